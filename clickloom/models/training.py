@@ -26,7 +26,8 @@ class Trained:
     """A fitted model with its outputs.
 
     ``scored`` holds every input row (training rows included) and ``tested`` the
-    held-out ones; ``metrics`` and ``importance`` are small tables.
+    held-out ones; ``metrics`` and ``importance`` are small tables. ``scored`` is
+    persisted, as the metrics and the stored predictions both read it.
     """
 
     model: Model
@@ -40,19 +41,18 @@ def feature_names(features: DataFrame, row_id: str) -> list[str]:
     return [c for c in features.columns if c not in (row_id, "label")]
 
 
-def assemble(features: DataFrame, row_id: str, keep: list[str] | None = None) -> DataFrame:
-    """Row id, label and one vector column; names with dots or slashes are allowed."""
-    names = feature_names(features, row_id)
-    plain = {name: f"f{i}" for i, name in enumerate(names)}
-    renamed = features.select(
-        row_id,
-        F.col("label").cast("double").alias("label"),
-        *[F.col(f"`{n}`").alias(f"_keep_{n}") for n in keep or []],
-        *[F.col(f"`{n}`").alias(alias) for n, alias in plain.items()],
+def assemble(rows: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
+    """The kept columns and the named features as one vector column.
+
+    Features get plain aliases first, since their names may hold dots or slashes.
+    """
+    plain = {name: f"_f{i}" for i, name in enumerate(names)}
+    aliased = rows.select(
+        *[F.col(f"`{c}`").alias(c) for c in keep], *[F.col(f"`{n}`").alias(alias) for n, alias in plain.items()]
+    )
+    return VectorAssembler(inputCols=list(plain.values()), outputCol="features").transform(aliased).select(
+        *keep, "features"
     )
-    vectors = VectorAssembler(inputCols=list(plain.values()), outputCol="features").transform(renamed)
-    kept = [F.col(f"`_keep_{n}`").alias(n) for n in keep or []]
-    return vectors.select(row_id, "label", *kept, "features")
 
 
 def _test_rows(test_share: float) -> Column:
@@ -91,9 +91,14 @@ def cross_validate(estimator, evaluator: Evaluator, folded: DataFrame, k: int) -
     return float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])
 
 
-def with_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """Add ``weight``; the joined table has one row per class."""
-    return df.join(F.broadcast(balanced_weights(df, label)), label)
+def with_class_weights(df: DataFrame, train: DataFrame) -> DataFrame:
+    """Add ``weight``, balanced over the training rows. One value per class is read
+    to the driver, so that fitting scans the rows without a join."""
+    weights = balanced_weights(train, "label").collect()
+    chain = F
+    for row in weights:
+        chain = chain.when(F.col("label") == row["label"], row["weight"])
+    return df.withColumn("weight", chain.otherwise(1.0))
 
 
 def feature_importance(model: Model, names: list[str], spark: SparkSession) -> DataFrame:
@@ -117,23 +122,25 @@ def train_classifier(
     """
     spark = features.sparkSession
     names = feature_names(features, row_id)
-    rows = split_and_fold(assemble(features, row_id, keep), row_id, "label", folds, seed=seed).persist(
+    split = split_and_fold(features, row_id, "label", folds, seed=seed)
+    rows = assemble(split, names, [row_id, "label", "is_test", "fold", *(keep or [])]).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     forest = RandomForestClassifier(
         numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=10, seed=seed, weightCol="weight"
     )
-    train = rows.filter(~F.col("is_test"))
-    model = forest.fit(with_class_weights(train))
+    weighted = with_class_weights(rows, rows.filter(~F.col("is_test")))
+    model = forest.fit(weighted.filter(~F.col("is_test")))
 
     probability = vector_to_array("probability")[1]
     scored = model.transform(rows).select(
         row_id, *(keep or []), F.col("label").cast("int").alias("actual"), probability.alias("score"),
         F.when(probability >= 0.5, 1).otherwise(0).alias("predicted"), "is_test",
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     tested = scored.filter("is_test")
-    cv_mean, cv_std = cross_validate(forest, BinaryClassificationEvaluator(), with_class_weights(rows), folds)
-    sizes = rows.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
+    cv_mean, cv_std = cross_validate(forest, BinaryClassificationEvaluator(), weighted, folds)
+    sizes = scored.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
+    rows.unpersist()
     metrics = classification_metrics(tested).unionByName(
         _extra_metrics(
             spark, cv_roc_auc_mean=cv_mean, cv_roc_auc_std=cv_std,
@@ -150,19 +157,19 @@ def train_regressor(
     """Gradient-boosted trees on squared loss."""
     spark = features.sparkSession
     names = feature_names(features, row_id)
-    rows = split_and_fold(assemble(features, row_id), row_id, "label", folds, seed=seed, stratified=False).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    split = split_and_fold(features, row_id, "label", folds, seed=seed, stratified=False)
+    rows = assemble(split, names, [row_id, "label", "is_test", "fold"]).persist(StorageLevel.MEMORY_AND_DISK)
     booster = GBTRegressor(
         maxIter=iterations, maxDepth=max_depth, stepSize=learning_rate, minInstancesPerNode=10, seed=seed
     )
     model = booster.fit(rows.filter(~F.col("is_test")))
     scored = model.transform(rows).select(
         row_id, F.col("label").alias("actual"), F.col("prediction").alias("predicted"), "is_test"
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     tested = scored.filter("is_test")
     cv_mean, cv_std = cross_validate(booster, RegressionEvaluator(metricName="r2"), rows, folds)
-    sizes = rows.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
+    sizes = scored.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
+    rows.unpersist()
     metrics = regression_metrics(tested).unionByName(
         _extra_metrics(
             spark, cv_r2_mean=cv_mean, cv_r2_std=cv_std,

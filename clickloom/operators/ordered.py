@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RANK_SLICE_BITS = 12
-CUT_POINTS = 64
+CUT_POINTS = 256
 SKETCH_ACCURACY = 10_000
 
 
@@ -44,12 +44,14 @@ def sequence_in_group(
 
 def shuffled_rank(df: DataFrame, groups: list[str], key: str, seed: int, rank: str, size: str) -> DataFrame:
     """Add a 1-based rank within ``groups``, in an order drawn from a hash of the
-    key, and the size of the group.
+    key, and the size of the group. Rows with equal keys are told apart by the
+    hash of all their columns, so the order is the same on every run.
 
     The leading bits of the hash cut a group into equally filled slices, so a
     class holding most of the rows is ranked by many tasks. The windows over whole
     groups see one row per slice.
     """
+    whole_row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     hashed = df.withColumn("_hash", F.xxhash64(F.col(key), F.lit(seed))).withColumn(
         "_slice", F.shiftright("_hash", 64 - RANK_SLICE_BITS)
     )
@@ -61,7 +63,7 @@ def shuffled_rank(df: DataFrame, groups: list[str], key: str, seed: int, rank: s
         .withColumns({"_before": F.coalesce(F.sum("n").over(before), F.lit(0)), size: F.sum("n").over(whole)})
         .drop("n")
     )
-    inside = Window.partitionBy(*groups, "_slice").orderBy("_hash", key)
+    inside = Window.partitionBy(*groups, "_slice").orderBy("_hash", key, whole_row)
     return (
         hashed.join(summary, [*groups, "_slice"])
         .withColumn(rank, F.col("_before") + F.row_number().over(inside))
@@ -69,16 +71,17 @@ def shuffled_rank(df: DataFrame, groups: list[str], key: str, seed: int, rank: s
     )
 
 
-def _cut_index(df: DataFrame, value: str, at: list[float]) -> Column:
-    """How many of the approximate quantiles ``at`` lie at or below the value.
+def _with_slices(df: DataFrame, sample_of: DataFrame, value: str, at: list[float]) -> DataFrame:
+    """Add ``_slice``: how many approximate quantiles ``at`` lie at or below the value.
 
     The sketch only balances the slices; results stay exact whatever it returns.
     """
-    cuts = df.agg(
+    cuts = sample_of.agg(
         F.percentile_approx(value, F.array(*[F.lit(q) for q in at]), SKETCH_ACCURACY)
     ).scalar()
-    passed = [F.when(F.col(value) >= F.get(cuts, F.lit(i)), 1).otherwise(0) for i in range(len(at))]
-    return sum(passed[1:], passed[0])
+    # never NULL, so that no null check on it is pushed down to the unreduced rows
+    passed = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= F.col(value))), F.lit(0))
+    return df.withColumn("_cuts", cuts).withColumn("_slice", passed).drop("_cuts")
 
 
 def running_totals(df: DataFrame, value: str, totals: list[str]) -> DataFrame:
@@ -88,7 +91,7 @@ def running_totals(df: DataFrame, value: str, totals: list[str]) -> DataFrame:
     """
     points = df.groupBy(value).agg(*[F.sum(t).alias(t) for t in totals])
     at = [i / CUT_POINTS for i in range(1, CUT_POINTS)]
-    sliced = points.withColumn("_slice", _cut_index(df, value, at))
+    sliced = _with_slices(points, df, value, at)
     above = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sliced.groupBy("_slice").agg(*[F.sum(t).alias(t) for t in totals]).select(
         "_slice", *[F.coalesce(F.sum(t).over(above), F.lit(0)).alias(f"_above_{t}") for t in totals]
@@ -113,7 +116,7 @@ def exact_percentiles(df: DataFrame, value: str, named: dict[str, float]) -> Dat
     at = sorted({min(1.0, max(0.0, q + d)) for q in named.values() for d in (-margin, margin)})
     present = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("v"))
     counted = (
-        present.withColumn("_slice", _cut_index(present, "v", at))
+        _with_slices(present, present, "v", at)
         .groupBy("_slice", "v")
         .agg(F.count("*").alias("n"))
     )

@@ -24,7 +24,7 @@ from clickloom.sources.clicks import click_events, product_catalog
 from clickloom.sources.writers import write_parquet
 
 # Model size for the registered queries; run_ml_models defaults to the full one.
-SMALL = ModelSize(trees=10, tree_depth=5, boosting_rounds=5, boosting_depth=3, folds=3)
+SMALL = ModelSize(trees=5, tree_depth=4, boosting_rounds=3, boosting_depth=3, folds=2)
 
 _lakes: dict[tuple[str, str], "Lake"] = {}
 _lock = threading.RLock()

@@ -30,7 +30,9 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def _events_out(df: DataFrame) -> DataFrame:
-    return df.select(*EVENT_COLUMNS)
+    """Event record with the timestamp as ISO text in microseconds."""
+    iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return df.select(*EVENT_COLUMNS).withColumn("timestamp", iso)
 
 
 # --- sources and sinks -----------------------------------------------------
@@ -38,8 +40,7 @@ def _events_out(df: DataFrame) -> DataFrame:
 
 def _read_events_csv(l: Lake) -> DataFrame:
     path = l.scratch("clicks.csv")
-    as_text = _events_out(l["events"]).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-    as_text.write.option("header", True).csv(path)
+    _events_out(l["events"]).write.option("header", True).csv(path)
     return readers.read_events(l.spark, path)
 
 
@@ -131,7 +132,8 @@ def _save_model(l: Lake) -> DataFrame:
 
     path = writers.save_model(l.trained("conversion").model, l.scratch("out"), "conversion")
     model = RandomForestClassificationModel.load(path)
-    rows = training.assemble(l["conversion_features"], "session_id")
+    stored = l["conversion_features"]
+    rows = training.assemble(stored, training.feature_names(stored, "session_id"), ["session_id"])
     return model.transform(rows).select("session_id", "prediction")
 
 
@@ -153,7 +155,7 @@ def _cross_validate(l: Lake) -> DataFrame:
 
 
 def _train_test_split(l: Lake) -> DataFrame:
-    rows = training.assemble(l["conversion_features"].dropDuplicates(["session_id"]), "session_id")
+    rows = l["conversion_features"].groupBy("session_id").agg(F.max("label").alias("label"))
     return training.train_test_split(rows, "session_id", "label").groupBy("label", "is_test").agg(
         F.count("*").alias("num_rows")
     )

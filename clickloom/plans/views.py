@@ -11,6 +11,7 @@ from clickloom.functions.exprs import (
     purchase_amount, ratio,
 )
 from clickloom.operators.ordered import rollup_entities
+from clickloom.session import stage
 
 CHANNEL = ["device", "browser", "referrer"]
 
@@ -66,30 +67,38 @@ def product_affinity(events: DataFrame, min_sessions: int = 5) -> DataFrame:
     )
     carts = carts.join(frequent.select("product_id"), "product_id", "left_semi")
     items = carts.filter("counts = 1").select("session_id", "product_id")
-
     sizes = items.groupBy("session_id").agg(F.count("*").alias("items"))
     fullest = Window.partitionBy("product_id").orderBy(F.desc("items"), F.desc("session_id"))
     aside = (
         items.join(sizes, "session_id")
         .withColumn("_rank", F.row_number().over(fullest))
         .filter(F.col("_rank") <= min_sessions - 1)
-        .select("session_id", "product_id")
+        .select("session_id", "product_id", F.lit(True).alias("aside"))
+    )
+    carts = stage(
+        carts.join(aside, ["session_id", "product_id"], "left").withColumn(
+            "aside", F.coalesce("aside", F.lit(False))
+        ),
+        "carts",
     )
-    cell = ["session_id", "product_id"]
-    kept_carts = carts.join(aside, cell, "left_anti").withColumnRenamed("product_id", "product_a")
-    kept_items = items.join(aside, cell, "left_anti").withColumnRenamed("product_id", "product_b")
-    aside_carts = carts.join(aside, cell, "left_semi").withColumnRenamed("product_id", "product_a")
-    aside_items = aside.withColumnRenamed("product_id", "product_b")
-    all_items = items.withColumnRenamed("product_id", "product_b")
 
-    paired = kept_carts.join(kept_items, "session_id").filter("product_a < product_b")
+    def side(name: str, rows: DataFrame) -> DataFrame:
+        return rows.withColumnRenamed("product_id", f"product_{name}")
+
+    items = carts.filter("counts = 1").select("session_id", "product_id", "aside")
+    kept_carts = side("a", carts.filter("not aside").drop("aside"))
+    paired = kept_carts.join(side("b", items.filter("not aside").drop("aside")), "session_id").filter(
+        "product_a < product_b"
+    )
     candidates = paired.select("product_a", "product_b").distinct()
     # the session is set aside by the first product
-    by_first = candidates.join(aside_carts, "product_a").join(
-        all_items, ["session_id", "product_b"], "left_semi"
+    by_first = candidates.join(side("a", carts.filter("aside")), "product_a").join(
+        side("b", items.drop("aside")), ["session_id", "product_b"], "left_semi"
     )
     # the session is set aside by the second product only
-    by_second = candidates.join(aside_items, "product_b").join(kept_carts, ["session_id", "product_a"])
+    by_second = candidates.join(side("b", items.filter("aside")), "product_b").join(
+        kept_carts, ["session_id", "product_a"]
+    )
 
     pair = ["product_a", "product_b"]
     rows = [df.select(*pair, "user_id", "counts") for df in (paired, by_first, by_second)]
@@ -419,7 +428,7 @@ def ml_performance_summary(conversion: DataFrame, churn: DataFrame, ltv: DataFra
         accuracy = F.lit(None).cast("double") if hit is None else ratio(F.count_if(hit), F.count("*"))
         return df.agg(
             F.count("*").alias("total_predictions"),
-            F.avg(F.col(score).cast("double")).alias("avg_probability"),
+            F.round(F.avg(F.col(score).cast("double")), 6).alias("avg_probability"),
             accuracy.alias("accuracy"),
         ).select(F.lit(model).alias("model_name"), "*")
 

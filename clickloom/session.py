@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str, cpus: int | str = "*") -> SparkSession:
@@ -43,3 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="clickloom-")
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    For results that a plan reads several times: they are computed once, and a
+    lost executor costs no recomputation of what led to them.
+    """
+    path = f"{shared_dir(df.sparkSession)}/clickloom-stage/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

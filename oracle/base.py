@@ -8,7 +8,7 @@ from __future__ import annotations
 
 
 def pct(n: str, d: str, digits: int = 2) -> str:
-    return f"round(100.0::double * ({n})::double / nullif(({d})::double, 0), {digits})"
+    return f"rnd(100.0::double * ({n})::double / nullif(({d})::double, 0), {digits})"
 
 
 def div(n: str, d: str) -> str:
@@ -135,7 +135,7 @@ prod AS (
          count(DISTINCT user_id) AS unique_users, count(DISTINCT session_id) AS unique_sessions,
          {n_type('product_click')} AS num_clicks, {n_type('add_to_cart')} AS num_add_to_cart,
          {money_avg('price')} AS avg_price,
-         coalesce(round({div(n_type('add_to_cart'), n_type('product_click'))}, 4), 0.0)::double AS click_to_cart_rate
+         coalesce(rnd({div(n_type('add_to_cart'), n_type('product_click'))}, 4), 0.0)::double AS click_to_cart_rate
   FROM ev WHERE product_id IS NOT NULL GROUP BY product_id, category
 ),
 usr0 AS (
@@ -148,8 +148,8 @@ usr0 AS (
 ),
 usr AS (
   SELECT *, (datediff('day', first_seen::date, last_seen::date) + 1)::int AS days_active,
-         round(total_events::double / num_sessions, 2) AS avg_events_per_session,
-         coalesce(round({div('total_revenue', 'total_purchases')}, 2), 0.0)::double AS avg_revenue_per_purchase,
+         rnd(total_events::double / num_sessions, 2) AS avg_events_per_session,
+         coalesce(rnd({div('total_revenue', 'total_purchases')}, 2), 0.0)::double AS avg_revenue_per_purchase,
          CASE WHEN total_purchases >= 5 THEN 'High Value' WHEN total_purchases >= 1 THEN 'Converted'
               WHEN num_sessions >= 3 THEN 'Engaged' ELSE 'New/Inactive' END AS user_segment
   FROM usr0
@@ -158,7 +158,7 @@ daily AS (
   SELECT event_date, count(*) AS total_events, count(DISTINCT user_id) AS unique_users,
          count(DISTINCT session_id) AS unique_sessions, {n_type('purchase')} AS total_purchases,
          {money0('cart_value')} AS total_revenue, {money_avg('cart_value')} AS avg_order_value,
-         round({div(n_type('purchase'), 'count(DISTINCT session_id)')} * 100, 2) AS conversion_rate
+         rnd({div(n_type('purchase'), 'count(DISTINCT session_id)')} * 100, 2) AS conversion_rate
   FROM ev GROUP BY event_date
 ),
 days AS (
@@ -172,15 +172,15 @@ wsess AS (
   SELECT session_id, user_id, event_date, session_start, session_end, session_duration_seconds,
          num_events, num_unique_event_types, device, browser, referrer, num_page_views,
          num_product_clicks, num_add_to_cart, num_purchases, total_cart_value, items_purchased,
-         round(avg_time_between_events, 2) AS avg_time_between_events, converted = 1 AS converted
+         rnd(avg_time_between_events, 2) AS avg_time_between_events, converted = 1 AS converted
   FROM sess QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY event_date, user_id) = 1
 ),
 wprod AS (
-  SELECT * REPLACE (round(avg_price, 2) AS avg_price)
+  SELECT * REPLACE (rnd(avg_price, 2) AS avg_price)
   FROM prod QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY category) = 1
 ),
 wdaily AS (
-  SELECT event_date AS metric_date, * EXCLUDE (event_date) REPLACE (round(avg_order_value, 2) AS avg_order_value)
+  SELECT event_date AS metric_date, * EXCLUDE (event_date) REPLACE (rnd(avg_order_value, 2) AS avg_order_value)
   FROM daily
 ),
 scores AS (
@@ -192,7 +192,7 @@ scores AS (
 fits AS (
   SELECT event_id::varchar AS id,
          CASE WHEN regexp_extract(props, '[0-9]+')::int = 0 THEN 0.0::double ELSE value END AS actual,
-         round(value * 0.9::double + regexp_extract(props, '[0-9]+')::int / 10.0::double, 4) AS predicted
+         rnd(value * 0.9::double + regexp_extract(props, '[0-9]+')::int / 10.0::double, 4) AS predicted
   FROM events
 ),
 conv AS (
@@ -204,19 +204,39 @@ conv AS (
 churn AS (
   SELECT session_id AS user_id, actual_converted AS actual_churned, conversion_probability AS churn_probability,
          predicted_converted AS predicted_churned, conversion_risk AS churn_risk,
-         round(s.value * 5, 2) AS total_revenue, c.conversion_probability * round(s.value * 5, 2) AS retention_priority
+         rnd(s.value * 5, 2) AS total_revenue, c.conversion_probability * rnd(s.value * 5, 2) AS retention_priority
   FROM conv c JOIN scores s ON s.id = c.session_id
 ),
 ltv AS (
-  SELECT id AS user_id, actual AS actual_revenue, round(predicted * 4 - 20, 2) AS predicted_ltv_90days,
-         CASE WHEN round(predicted * 4 - 20, 2) <= 50 THEN 'Low' WHEN round(predicted * 4 - 20, 2) <= 200 THEN 'Medium'
-              WHEN round(predicted * 4 - 20, 2) <= 500 THEN 'High' ELSE 'VIP' END AS ltv_category
+  SELECT id AS user_id, actual AS actual_revenue, rnd(predicted * 4 - 20, 2) AS predicted_ltv_90days,
+         CASE WHEN rnd(predicted * 4 - 20, 2) <= 50 THEN 'Low' WHEN rnd(predicted * 4 - 20, 2) <= 200 THEN 'Medium'
+              WHEN rnd(predicted * 4 - 20, 2) <= 500 THEN 'High' ELSE 'VIP' END AS ltv_category
   FROM fits
 )
 """
 
 
+def _expand_rnd(sql: str) -> str:
+    """rnd(x, n) rounds half up on the decimal digits of x, as numeric columns do.
+
+    DuckDB's round() scales the binary double, so 19.455 would become 19.45.
+    """
+    while (start := sql.find("rnd(")) >= 0:
+        depth, end, comma = 0, start + 3, -1
+        while True:
+            c = sql[end]
+            if c == "," and depth == 1:
+                comma = end
+            depth += (c == "(") - (c == ")")
+            if depth == 0:
+                break
+            end += 1
+        value, digits = sql[start + 4:comma], sql[comma + 1:end]
+        sql = f"{sql[:start]}(round(({value})::decimal(28,10),{digits})::double){sql[end + 1:]}"
+    return sql
+
+
 def with_tables(select: str, extra: str = "") -> str:
     """A statement over the tables above, with further expressions in ``extra``."""
     tail = f",\n{extra}" if extra else ""
-    return f"WITH {CTES.strip()}{tail}\n{select}"
+    return _expand_rnd(f"WITH {CTES.strip()}{tail}\n{select}")

@@ -135,9 +135,9 @@ def _etl() -> dict[str, str]:
             "SELECT * FROM prod ORDER BY total_interactions DESC, product_id, category LIMIT 10",
         "insight_session_conversion": f"""
 SELECT count(*) AS total_sessions, sum(converted)::bigint AS converted_sessions,
-       round({avg_int('converted')} * 100, 2) AS conversion_rate_pct,
-       round({avg_int('session_duration_seconds')}, 2) AS avg_session_duration,
-       round({avg_int('num_events')}, 2) AS avg_events_per_session FROM sess""",
+       rnd({avg_int('converted')} * 100, 2) AS conversion_rate_pct,
+       rnd({avg_int('session_duration_seconds')}, 2) AS avg_session_duration,
+       rnd({avg_int('num_events')}, 2) AS avg_events_per_session FROM sess""",
     }
 
 
@@ -186,7 +186,7 @@ SELECT p.category, count(DISTINCT p.product_id) AS total_products, {n_type('page
        {n_type('purchase')} AS total_purchases, {money0(PAID)} AS total_revenue,
        any_value(m.avg_price) AS avg_price, {pct(n_type('purchase'), n_type('product_click'))} AS conversion_rate
 FROM catalog p LEFT JOIN ev e ON e.product_id = p.product_id
-JOIN (SELECT category, round({money_avg('price')}, 2) AS avg_price FROM catalog GROUP BY 1) m ON m.category = p.category
+JOIN (SELECT category, rnd({money_avg('price')}, 2) AS avg_price FROM catalog GROUP BY 1) m ON m.category = p.category
 GROUP BY p.category""",
         "check_primary_keys": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, '{k}' AS key_columns, count(*) AS duplicate_keys FROM "
@@ -236,7 +236,7 @@ SELECT event_date, device, browser, referrer, total_sessions, step_1_page_view,
        step_2_product_click - step_3_add_to_cart AS dropoff_step_2_to_3,
        step_3_add_to_cart - step_4_checkout AS dropoff_step_3_to_4,
        step_4_checkout - step_5_purchase AS dropoff_step_4_to_5,
-       total_revenue, round({div('total_revenue', 'step_5_purchase')}, 2) AS avg_order_value,
+       total_revenue, rnd({div('total_revenue', 'step_5_purchase')}, 2) AS avg_order_value,
        users_step_1, users_step_5
 FROM (
   SELECT event_date, device, browser, referrer, count(DISTINCT session_id) AS total_sessions,
@@ -249,13 +249,13 @@ FROM (
 )""",
         "session_analytics": f"""
 SELECT s.session_id, s.user_id, u.user_segment, s.event_date, d.day_name, d.is_weekend, s.session_start,
-       s.session_end, s.session_duration_seconds, round({MINUTES}, 2) AS session_duration_minutes,
+       s.session_end, s.session_duration_seconds, rnd({MINUTES}, 2) AS session_duration_minutes,
        s.device, s.browser, s.referrer, s.num_events, s.num_unique_event_types, s.avg_time_between_events,
        CASE WHEN s.num_events > 15 THEN 'High Engagement' WHEN s.num_events >= 6 THEN 'Medium Engagement'
             WHEN s.num_events >= 2 THEN 'Low Engagement' ELSE 'Bounce' END AS engagement_level,
        s.num_page_views, s.num_product_clicks, s.num_add_to_cart, s.num_purchases, s.converted,
        s.num_add_to_cart > 0 AND s.num_purchases = 0 AS cart_abandoned, s.total_cart_value, s.items_purchased,
-       round({div('s.total_cart_value', 's.items_purchased')}, 2) AS avg_item_price,
+       rnd({div('s.total_cart_value', 's.items_purchased')}, 2) AS avg_item_price,
        least(100, s.num_events * 5 + s.num_unique_event_types * 10 + CASE WHEN s.converted THEN 50 ELSE 0 END)::bigint
          AS session_quality_score,
        hour(s.session_start)::int AS session_hour, dayofweek(s.session_start)::int AS session_day_of_week
@@ -263,12 +263,12 @@ FROM wsess s JOIN usr u USING (user_id) JOIN days d ON d.date_key = s.event_date
         "user_segment_performance": f"""
 SELECT user_segment, count(*) AS total_users, sum(num_sessions)::bigint AS total_sessions,
        sum(total_events)::bigint AS total_events,
-       round({money_avg('avg_events_per_session')}, 2) AS avg_events_per_session,
-       round({avg_int('num_active_days')}, 2) AS avg_active_days, sum(total_purchases)::bigint AS total_purchases,
-       {money('total_revenue')} AS total_revenue, round({money_avg('total_revenue')}, 2) AS avg_revenue_per_user,
-       round({money_avg('avg_revenue_per_purchase')}, 2) AS avg_order_value,
+       rnd({money_avg('avg_events_per_session')}, 2) AS avg_events_per_session,
+       rnd({avg_int('num_active_days')}, 2) AS avg_active_days, sum(total_purchases)::bigint AS total_purchases,
+       {money('total_revenue')} AS total_revenue, rnd({money_avg('total_revenue')}, 2) AS avg_revenue_per_user,
+       rnd({money_avg('avg_revenue_per_purchase')}, 2) AS avg_order_value,
        {pct(n_where('total_purchases > 0'), 'count(*)')} AS user_conversion_rate,
-       round({avg_int('unique_products_viewed')}, 2) AS avg_products_viewed,
+       rnd({avg_int('unique_products_viewed')}, 2) AS avg_products_viewed,
        {pct('count(*)', '(SELECT count(*) FROM usr)')} AS segment_share_pct,
        {pct(money('total_revenue'), f"(SELECT {money('total_revenue')} FROM usr)")} AS revenue_share_pct
 FROM usr GROUP BY user_segment""",
@@ -287,19 +287,19 @@ SELECT event_date, device AS touchpoint_device, browser AS touchpoint_browser, r
        count(DISTINCT user_id) AS unique_users, {n_type('page_view')} AS page_views,
        {n_type('product_click')} AS product_clicks, {n_type('add_to_cart')} AS add_to_carts,
        {n_type('purchase')} AS purchases, {pct(n_type('purchase'), 'count(DISTINCT session_id)')} AS session_conversion_rate,
-       {money(PAID_OR_0)} AS total_revenue, round({money_avg(PAID)}, 2) AS avg_order_value,
-       round({div(n_where("event_type <> 'page_view'"), 'count(*)')} * 100, 2) AS engagement_rate
+       {money(PAID_OR_0)} AS total_revenue, rnd({money_avg(PAID)}, 2) AS avg_order_value,
+       rnd({div(n_where("event_type <> 'page_view'"), 'count(*)')} * 100, 2) AS engagement_rate
 FROM ev GROUP BY event_date, device, browser, referrer""",
         "executive_kpis": f"""
 SELECT metric_date, day_name, is_weekend, total_events, unique_users, unique_sessions, total_purchases, total_revenue,
-       avg_order_value, conversion_rate, round({div('total_revenue', 'unique_users')}, 2) AS revenue_per_user,
-       round({div('total_events', 'unique_sessions')}, 2) AS events_per_session,
-       round({div('total_purchases', 'unique_sessions')} * 100, 2) AS purchase_rate,
+       avg_order_value, conversion_rate, rnd({div('total_revenue', 'unique_users')}, 2) AS revenue_per_user,
+       rnd({div('total_events', 'unique_sessions')}, 2) AS events_per_session,
+       rnd({div('total_purchases', 'unique_sessions')} * 100, 2) AS purchase_rate,
        {pct('unique_users - lag(unique_users, 7) OVER o', 'lag(unique_users, 7) OVER o')} AS users_wow_change_pct,
        {pct('total_revenue - lag(total_revenue, 7) OVER o', 'lag(total_revenue, 7) OVER o')} AS revenue_wow_change_pct,
-       round(conversion_rate - lag(conversion_rate, 7) OVER o, 2) AS conversion_wow_change_pp,
-       round(sum(total_revenue::decimal(18,2)) OVER w::double / count(*) OVER w, 2) AS revenue_7day_ma,
-       round(sum(unique_users) OVER w::double / count(*) OVER w, 2) AS users_7day_ma
+       rnd(conversion_rate - lag(conversion_rate, 7) OVER o, 2) AS conversion_wow_change_pp,
+       rnd(sum(total_revenue::decimal(18,2)) OVER w::double / count(*) OVER w, 2) AS revenue_7day_ma,
+       rnd(sum(unique_users) OVER w::double / count(*) OVER w, 2) AS users_7day_ma
 FROM wdaily JOIN days ON date_key = metric_date
 WINDOW o AS (ORDER BY metric_date), w AS (ORDER BY metric_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
         "product_analytics": f"""
@@ -309,7 +309,7 @@ SELECT c.product_id, c.product_name, c.category, c.price, c.rating, m.total_inte
        (SELECT {money('cart_value')} FROM ev e WHERE e.product_id = c.product_id AND e.event_type = 'purchase') AS total_revenue,
        {pct('m.num_clicks', 'm.total_interactions')} AS click_through_rate,
        {pct('m.num_add_to_cart', 'm.num_clicks')} AS cart_conversion_rate,
-       round(m.total_interactions * 0.3::double + m.unique_users * 0.4::double + m.num_clicks * 0.3::double, 2) AS engagement_score,
+       rnd(m.total_interactions * 0.3::double + m.unique_users * 0.4::double + m.num_clicks * 0.3::double, 2) AS engagement_score,
        CASE WHEN c.price < 50 THEN 'Budget' WHEN c.price <= 150 THEN 'Mid-Range' WHEN c.price <= 500 THEN 'Premium'
             ELSE 'Luxury' END AS price_tier,
        CASE WHEN m.total_interactions > 1.5 * a.mean THEN 'Top Performer' WHEN m.total_interactions > a.mean THEN 'Above Average'
@@ -319,9 +319,9 @@ FROM catalog c JOIN wprod m USING (product_id), (SELECT {avg_int('total_interact
 SELECT event_date, device, browser, user_segment, count(*) AS total_cart_sessions,
        {n_where(lost)} AS abandoned_sessions, {n_where(f'NOT {lost}')} AS completed_sessions,
        {money(f'CASE WHEN {lost} THEN total_cart_value ELSE 0 END')} AS potential_lost_revenue,
-       round({money_avg(f'CASE WHEN {lost} THEN total_cart_value END')}, 2) AS avg_abandoned_cart_value,
-       round({avg_int(f'CASE WHEN {lost} THEN session_duration_seconds END')}, 2) AS avg_abandoned_session_duration,
-       round({avg_int(f'CASE WHEN {lost} THEN num_add_to_cart END')}, 2) AS avg_items_in_abandoned_cart,
+       rnd({money_avg(f'CASE WHEN {lost} THEN total_cart_value END')}, 2) AS avg_abandoned_cart_value,
+       rnd({avg_int(f'CASE WHEN {lost} THEN session_duration_seconds END')}, 2) AS avg_abandoned_session_duration,
+       rnd({avg_int(f'CASE WHEN {lost} THEN num_add_to_cart END')}, 2) AS avg_items_in_abandoned_cart,
        {pct(n_where(lost), 'count(*)')} AS abandonment_rate
 FROM wsess JOIN usr USING (user_id) WHERE num_add_to_cart > 0
 GROUP BY event_date, device, browser, user_segment""",
@@ -334,10 +334,10 @@ FROM (SELECT session_id, min(event_date) AS started, count(*) AS items, {money0(
       GROUP BY session_id)
 GROUP BY 1""",
         "ml_performance_summary_from_scores": f"""
-SELECT 'Conversion' AS model_name, count(*) AS total_predictions, avg(conversion_probability) AS avg_probability,
+SELECT 'Conversion' AS model_name, count(*) AS total_predictions, round(avg(conversion_probability), 6) AS avg_probability,
        {div(n_where('predicted_converted = actual_converted'), 'count(*)')} AS accuracy FROM conv
-UNION ALL SELECT 'Churn', count(*), avg(churn_probability), {div(n_where('predicted_churned = actual_churned'), 'count(*)')} FROM churn
-UNION ALL SELECT 'LTV', count(*), avg(predicted_ltv_90days), NULL::double FROM ltv""",
+UNION ALL SELECT 'Churn', count(*), round(avg(churn_probability), 6), {div(n_where('predicted_churned = actual_churned'), 'count(*)')} FROM churn
+UNION ALL SELECT 'LTV', count(*), round(avg(predicted_ltv_90days), 6), NULL::double FROM ltv""",
     }
 
 
@@ -349,12 +349,12 @@ def _queries() -> dict[str, str]:
     return {
         "q01_daily_revenue_trend": f"""
 SELECT event_date, total_events, unique_users, unique_sessions, total_purchases, total_revenue,
-       round({div('total_revenue', 'total_purchases')}, 2) AS avg_order_value, conversion_rate
+       rnd({div('total_revenue', 'total_purchases')}, 2) AS avg_order_value, conversion_rate
 FROM daily ORDER BY event_date DESC LIMIT 30""",
         "q02_segment_distribution": f"""
 SELECT user_segment, count(*) AS num_users, sum(total_purchases)::bigint AS total_purchases,
-       {money('total_revenue')} AS total_revenue, round({money_avg('total_revenue')}, 2) AS avg_revenue_per_user,
-       round({avg_int('num_sessions')}, 2) AS avg_sessions_per_user
+       {money('total_revenue')} AS total_revenue, rnd({money_avg('total_revenue')}, 2) AS avg_revenue_per_user,
+       rnd({avg_int('num_sessions')}, 2) AS avg_sessions_per_user
 FROM usr GROUP BY user_segment""",
         "q03_top20_products": """
 SELECT product_id, c.product_name, c.category, m.total_interactions, m.unique_users, m.num_add_to_cart,
@@ -380,14 +380,14 @@ SELECT event_hour, count(*) AS num_events, count(DISTINCT user_id) AS unique_use
 SELECT dayname(event_date) AS day_name, count(DISTINCT session_id) AS sessions, {n_type('purchase')} AS purchases,
        {money(PAID_OR_0)} AS revenue FROM ev GROUP BY 1""",
         "q08_month_over_month": f"""
-SELECT event_year, event_month, unique_users, sessions, purchases, round(revenue, 2) AS revenue,
+SELECT event_year, event_month, unique_users, sessions, purchases, rnd(revenue, 2) AS revenue,
        {pct('revenue - lag(revenue) OVER o', 'lag(revenue) OVER o')} AS revenue_growth_pct
 FROM (SELECT event_year, event_month, count(DISTINCT user_id) AS unique_users, count(DISTINCT session_id) AS sessions,
              {n_type('purchase')} AS purchases, {money(PAID_OR_0)} AS revenue FROM ev GROUP BY 1, 2)
 WINDOW o AS (ORDER BY event_year, event_month)""",
         "q09_weekly_cohorts": f"""
-SELECT {WEEK} AS cohort_week, count(*) AS cohort_size, round({avg_int('num_sessions')}, 2) AS avg_sessions,
-       round({money_avg('total_revenue')}, 2) AS avg_revenue, {n_where('total_purchases > 0')} AS converted_users
+SELECT {WEEK} AS cohort_week, count(*) AS cohort_size, rnd({avg_int('num_sessions')}, 2) AS avg_sessions,
+       rnd({money_avg('total_revenue')}, 2) AS avg_revenue, {n_where('total_purchases > 0')} AS converted_users
 FROM usr GROUP BY 1""",
         "q10_purchase_frequency_cohorts": f"""
 SELECT {MONTH} AS cohort_month, count(*) AS total_users, {n_where('total_purchases = 0')} AS zero_purchases,
@@ -396,8 +396,8 @@ SELECT {MONTH} AS cohort_month, count(*) AS total_users, {n_where('total_purchas
         "q11_category_performance": f"""
 SELECT category, count(*) AS num_products, sum(total_interactions)::bigint AS total_interactions,
        sum(unique_users)::bigint AS total_unique_users, sum(num_add_to_cart)::bigint AS total_add_to_cart,
-       round(sum(click_to_cart_rate::decimal(18,4))::double / count(*), 4) AS avg_click_to_cart_rate,
-       round({money_avg('avg_price')}, 2) AS avg_product_price FROM wprod GROUP BY category""",
+       rnd(sum(click_to_cart_rate::decimal(18,4))::double / count(*), 4) AS avg_click_to_cart_rate,
+       rnd({money_avg('avg_price')}, 2) AS avg_product_price FROM wprod GROUP BY category""",
         "q12_product_affinity_named": """
 SELECT a.product_name AS product_a, b.product_name AS product_b, sessions_together, users_together
 FROM affinity f JOIN catalog a ON a.product_id = f.product_a JOIN catalog b ON b.product_id = f.product_b
@@ -419,11 +419,11 @@ FROM wsess GROUP BY 1""",
         "q15_device_browser": f"""
 SELECT device, browser, count(*) AS sessions, count(DISTINCT user_id) AS unique_users, {converted} AS conversions,
        {pct(converted, 'count(*)')} AS conversion_rate,
-       round({avg_int('session_duration_seconds')}, 2) AS avg_session_duration FROM wsess GROUP BY 1, 2""",
+       rnd({avg_int('session_duration_seconds')}, 2) AS avg_session_duration FROM wsess GROUP BY 1, 2""",
         "q16_referrer": f"""
 SELECT referrer, count(*) AS sessions, count(DISTINCT user_id) AS unique_users, {converted} AS conversions,
        {pct(converted, 'count(*)')} AS conversion_rate, {money('total_cart_value')} AS total_revenue,
-       round({avg_int('num_events')}, 2) AS avg_events_per_session FROM wsess GROUP BY 1""",
+       rnd({avg_int('num_events')}, 2) AS avg_events_per_session FROM wsess GROUP BY 1""",
         "q17_top5_per_category": """
 SELECT c.category, product_id, product_name, m.total_interactions, m.unique_users,
        row_number() OVER (PARTITION BY c.category ORDER BY m.total_interactions DESC, product_id)::int AS rank
@@ -433,20 +433,20 @@ SELECT event_date, total_revenue, sum(total_revenue::decimal(18,2)) OVER (ORDER
        round(sum(total_revenue::decimal(18,2)) OVER w::double / count(*) OVER w, 6) AS revenue_7day_ma
 FROM daily WINDOW w AS (ORDER BY event_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
         "q19_ltv_percentiles": "SELECT " + ", ".join(
-            f"round(quantile_cont(total_revenue, {p}), 4) AS {name}"
+            f"rnd(quantile_cont(total_revenue, {p}), 4) AS {name}"
             for name, p in (("p25_ltv", 0.25), ("median_ltv", 0.5), ("p75_ltv", 0.75), ("p90_ltv", 0.9), ("p95_ltv", 0.95))
         ) + ", max(total_revenue) AS max_ltv FROM usr WHERE total_revenue > 0",
         "q20_ltv_by_acquisition": f"""
 SELECT f.referrer AS acquisition_source, count(*) AS acquired_users, {money('total_revenue')} AS total_ltv,
-       round({money_avg('total_revenue')}, 2) AS avg_ltv, round({avg_int('num_sessions')}, 2) AS avg_sessions,
-       round({avg_int('total_purchases')}, 2) AS avg_purchases
+       rnd({money_avg('total_revenue')}, 2) AS avg_ltv, rnd({avg_int('num_sessions')}, 2) AS avg_sessions,
+       rnd({avg_int('total_purchases')}, 2) AS avg_purchases
 FROM (SELECT user_id, referrer FROM wsess
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY session_start, session_id) = 1) f
 JOIN usr USING (user_id) GROUP BY 1""",
         "q21_time_to_first_purchase": f"""
 SELECT CASE WHEN d > 30 THEN '>30 days' WHEN d > 7 THEN '8-30 days' WHEN d > 1 THEN '2-7 days' WHEN d = 1 THEN '1 day'
             ELSE 'Same day' END AS time_to_purchase,
-       count(*) AS num_users, round({money_avg('total_revenue')}, 2) AS avg_revenue
+       count(*) AS num_users, rnd({money_avg('total_revenue')}, 2) AS avg_revenue
 FROM (SELECT u.user_id, u.total_revenue, datediff('day', u.first_seen::date, min(e.event_date)) AS d
       FROM usr u JOIN ev e USING (user_id) WHERE e.event_type = 'purchase' GROUP BY u.user_id, u.total_revenue, u.first_seen)
 GROUP BY 1""",
@@ -482,30 +482,30 @@ REPLY = """CASE event_id % 8
 
 def _questions() -> dict[str, str]:
     bought = "FROM ev e JOIN catalog c ON c.product_id = e.product_id WHERE e.event_type = 'purchase'"
-    kpis = ("SELECT metric_date, unique_users, unique_sessions, total_purchases, round(total_revenue, 2) AS total_revenue, "
+    kpis = ("SELECT metric_date, unique_users, unique_sessions, total_purchases, rnd(total_revenue, 2) AS total_revenue, "
             "conversion_rate FROM wdaily ORDER BY metric_date")
     bad_words = " ".join(
         f"WHEN regexp_matches(code, '(?i)\\b{w}\\b') THEN 'Forbidden SQL keyword detected: {w}'" for w in FORBIDDEN
     )
     return {
         "ask_top10_products_by_revenue": f"""
-SELECT e.product_id, c.product_name, c.category, round({money('cart_value')}, 2) AS total_revenue {bought}
+SELECT e.product_id, c.product_name, c.category, rnd({money('cart_value')}, 2) AS total_revenue {bought}
 GROUP BY ALL ORDER BY total_revenue DESC NULLS LAST, e.product_id LIMIT 10""",
         "ask_conversion_by_device": f"""
 SELECT device, count(*) AS total_sessions, {n_where('converted')} AS converted_sessions,
        {pct(n_where('converted'), 'count(*)')} AS conversion_rate FROM wsess GROUP BY 1""",
         "ask_users_per_segment":
-            f"SELECT user_segment, count(*) AS num_users, round({money('total_revenue')}, 2) AS total_revenue FROM usr GROUP BY 1",
+            f"SELECT user_segment, count(*) AS num_users, rnd({money('total_revenue')}, 2) AS total_revenue FROM usr GROUP BY 1",
         "ask_daily_revenue_trend": kpis,
         "ask_daily_revenue_trend_last7": kpis + " DESC LIMIT 7",
         "ask_avg_duration_by_browser":
-            f"SELECT browser, round({avg_int('session_duration_seconds')}, 2) AS avg_session_duration FROM wsess GROUP BY 1",
+            f"SELECT browser, rnd({avg_int('session_duration_seconds')}, 2) AS avg_session_duration FROM wsess GROUP BY 1",
         "ask_top5_categories_by_purchases":
             f"SELECT c.category, count(*) AS num_purchases {bought} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5",
         "ask_revenue_by_category": f"SELECT c.category, {money('cart_value')} AS total_revenue {bought} GROUP BY 1",
         "ask_vip_predicted_ltv_from_scores": f"""
 SELECT count(*) AS vip_users, {money('predicted_ltv_90days')} AS total_predicted_ltv,
-       round({money_avg('predicted_ltv_90days')}, 2) AS avg_predicted_ltv FROM ltv WHERE ltv_category = 'VIP'""",
+       rnd({money_avg('predicted_ltv_90days')}, 2) AS avg_predicted_ltv FROM ltv WHERE ltv_category = 'VIP'""",
         "extract_sql": f"""
 SELECT event_id, reply, CASE event_id % 8 WHEN 2 THEN 'SELECT * FROM fact_sessions'
          WHEN 3 THEN 'SELECT device, COUNT(*)' || chr(10) || 'FROM fact_sessions GROUP BY device'
@@ -537,32 +537,32 @@ NUMERIC_DAILY = (
 def _dashboards() -> dict[str, str]:
     minutes = f"SELECT {MINUTES} AS v FROM sess WHERE {MINUTES} < "
     describe = " UNION ALL ".join(
-        f"SELECT '{c}' AS metric, count({c}) AS count, round(avg({c}::double), 4) AS mean, "
-        f"round(stddev_samp({c}::double), 4) AS std, round(min({c})::double, 4) AS min, "
-        f"round(quantile_cont({c}::double, 0.25), 4) AS p25, round(quantile_cont({c}::double, 0.5), 4) AS p50, "
-        f"round(quantile_cont({c}::double, 0.75), 4) AS p75, round(max({c})::double, 4) AS max FROM daily"
+        f"SELECT '{c}' AS metric, count({c}) AS count, rnd(avg({c}::double), 4) AS mean, "
+        f"rnd(stddev_samp({c}::double), 4) AS std, rnd(min({c})::double, 4) AS min, "
+        f"rnd(quantile_cont({c}::double, 0.25), 4) AS p25, rnd(quantile_cont({c}::double, 0.5), 4) AS p50, "
+        f"rnd(quantile_cont({c}::double, 0.75), 4) AS p75, rnd(max({c})::double, 4) AS max FROM daily"
         for c in NUMERIC_DAILY
     )
     share = f"SELECT user_segment, count(*) AS num_users, {pct('count(*)', '(SELECT count(*) FROM usr)', 1)} AS share_pct FROM usr GROUP BY 1"
     report = " UNION ALL ".join([
         metric_rows([
             ("total_revenue", money("total_revenue")), ("total_purchases", "sum(total_purchases)"),
-            ("avg_conversion_rate", f"round({money_avg('conversion_rate')}, 2)"),
+            ("avg_conversion_rate", f"rnd({money_avg('conversion_rate')}, 2)"),
         ], "daily", "overall"),
         metric_rows([
-            ("total_users", "count(*)"), ("avg_sessions_per_user", f"round({avg_int('num_sessions')}, 2)"),
-            ("avg_revenue_per_user", f"round({money_avg('total_revenue')}, 2)"),
+            ("total_users", "count(*)"), ("avg_sessions_per_user", f"rnd({avg_int('num_sessions')}, 2)"),
+            ("avg_revenue_per_user", f"rnd({money_avg('total_revenue')}, 2)"),
         ], "usr", "users"),
         f"SELECT 'users', 'users in segment: ' || user_segment, num_users::double FROM ({share})",
         f"SELECT 'users', 'percent in segment: ' || user_segment, share_pct FROM ({share})",
         metric_rows([
-            ("total_sessions", "count(*)"), ("avg_events_per_session", f"round({avg_int('num_events')}, 2)"),
-            ("avg_session_minutes", f"round({avg_int('session_duration_seconds')} / 60, 2)"),
-            ("conversion_rate", f"round({avg_int('converted')} * 100, 2)"),
+            ("total_sessions", "count(*)"), ("avg_events_per_session", f"rnd({avg_int('num_events')}, 2)"),
+            ("avg_session_minutes", f"rnd({avg_int('session_duration_seconds')} / 60, 2)"),
+            ("conversion_rate", f"rnd({avg_int('converted')} * 100, 2)"),
         ], "sess", "sessions"),
         metric_rows([
             ("total_products", "count(*)"),
-            ("avg_interactions_per_product", f"round({avg_int('total_interactions')}, 2)"),
+            ("avg_interactions_per_product", f"rnd({avg_int('total_interactions')}, 2)"),
         ], "prod", "products"),
         "SELECT 'products', 'top product: ' || product_id, total_interactions::double FROM "
         "(SELECT * FROM prod ORDER BY total_interactions DESC, product_id, category LIMIT 5)",
@@ -585,9 +585,9 @@ def _dashboards() -> dict[str, str]:
         "report_summary": report,
         "nb_overall_metrics": f"""
 SELECT {money('total_revenue')} AS total_revenue, sum(total_purchases)::bigint AS total_purchases,
-       round({money_avg('total_revenue')}, 2) AS avg_daily_revenue,
-       round({money_avg('conversion_rate')}, 2) AS avg_conversion_rate,
-       round(avg(avg_order_value), 2) AS avg_order_value FROM daily""",
+       rnd({money_avg('total_revenue')}, 2) AS avg_daily_revenue,
+       rnd({money_avg('conversion_rate')}, 2) AS avg_conversion_rate,
+       rnd(avg(avg_order_value), 2) AS avg_order_value FROM daily""",
         "nb_describe_daily": describe,
         "nb_duration_histogram_median": hist(
             minutes + "30", 50, f", (SELECT round(quantile_cont({MINUTES}, 0.5), 6) FROM sess) AS median_minutes"),
@@ -600,8 +600,8 @@ SELECT device, count(*) AS sessions, sum(converted)::bigint AS converted,
        round({div('sum(converted)', 'count(*)')} * 100, 6) AS conversion_rate FROM sess GROUP BY 1""",
         "nb_key_insights": f"""
 SELECT (SELECT user_segment FROM usr GROUP BY 1 ORDER BY {money('total_revenue')} DESC, 1 LIMIT 1) AS top_segment,
-       round({avg_int('session_duration_seconds')} / 60, 2) AS avg_session_minutes,
-       round({avg_int('converted')} * 100, 2) AS conversion_rate,
+       rnd({avg_int('session_duration_seconds')} / 60, 2) AS avg_session_minutes,
+       rnd({avg_int('converted')} * 100, 2) AS conversion_rate,
        (SELECT category FROM prod GROUP BY 1 ORDER BY sum(total_interactions) DESC, 1 LIMIT 1) AS top_category,
        (SELECT device FROM sess GROUP BY 1 ORDER BY {avg_int('converted')} DESC, 1 LIMIT 1) AS best_device
 FROM sess""",
@@ -616,18 +616,18 @@ UNION ALL SELECT 'churn', churn_risk, count(*) FROM churn GROUP BY 2""",
             f"SELECT conversion_risk, round({avg_int('actual_converted')} * 100, 6) AS actual_conversion_rate FROM conv GROUP BY 1",
         "nb_retention_priority_histogram_from_scores": hist("SELECT retention_priority AS v FROM churn", 50),
         "nb_avg_ltv_by_category_from_scores":
-            "SELECT ltv_category, round(avg(predicted_ltv_90days), 4) AS avg_predicted_ltv FROM ltv GROUP BY 1",
+            "SELECT ltv_category, rnd(avg(predicted_ltv_90days), 4) AS avg_predicted_ltv FROM ltv GROUP BY 1",
         "nb_retention_targets_from_scores": f"""
 SELECT user_id, churn_probability, total_revenue, retention_priority, (SELECT count(*) FROM {risky}) AS num_targets,
        (SELECT {money('total_revenue')} FROM {risky}) AS revenue_at_risk
 FROM {risky} ORDER BY retention_priority DESC, user_id LIMIT 20""",
         "nb_high_probability_sessions_from_scores": f"""
-SELECT count(*) AS num_sessions, round({avg_int('actual_converted')} * 100, 1) AS actual_conversion_rate
+SELECT count(*) AS num_sessions, rnd({avg_int('actual_converted')} * 100, 1) AS actual_conversion_rate
 FROM conv WHERE conversion_probability > 0.7::double""",
         "nb_vip_customers_from_scores": f"""
 SELECT user_id, actual_revenue, predicted_ltv_90days, ltv_category, (SELECT count(*) FROM {vip}) AS num_vip,
        (SELECT {money('predicted_ltv_90days')} FROM {vip}) AS vip_revenue,
-       (SELECT round({money_avg('predicted_ltv_90days')}, 2) FROM {vip}) AS avg_vip_ltv
+       (SELECT rnd({money_avg('predicted_ltv_90days')}, 2) FROM {vip}) AS avg_vip_ltv
 FROM {vip} ORDER BY predicted_ltv_90days DESC, user_id LIMIT 10""",
     }
 
@@ -710,7 +710,7 @@ FROM sess GROUP BY 1""",
         "train_test_split": """
 SELECT c.label, t.is_test, CASE WHEN t.is_test THEN k ELSE n - k END AS num_rows
 FROM (SELECT label, count(*) AS n, round(count(*) * 0.2::double)::bigint AS k
-      FROM (SELECT session_id, max(converted)::double AS label FROM sess GROUP BY 1) GROUP BY 1) c,
+      FROM (SELECT session_id, max(converted) AS label FROM sess GROUP BY 1) GROUP BY 1) c,
      (VALUES (true), (false)) t(is_test)""",
         "classification_metrics": f"""
 SELECT metric, round(value, 9) AS value FROM (
