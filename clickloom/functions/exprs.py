@@ -18,10 +18,23 @@ def ratio(numerator: str | Column, denominator: str | Column) -> Column:
     return _col(numerator).cast("double") / F.nullif(_col(denominator).cast("double"), F.lit(0.0))
 
 
+def _exact(c: str | Column) -> Column:
+    return _col(c).cast("decimal(20,4)")
+
+
+def rounded_ratio(numerator: str | Column, denominator: str | Column, digits: int = 2, scale: int = 1) -> Column:
+    """scale * numerator / denominator, rounded half up as a numeric column would be.
+
+    The quotient is a decimal: as a double, 97.35 / 6 falls just below 16.225 and
+    would round to 16.22. Meant for group results, not for every row.
+    """
+    divisor = F.nullif(_exact(denominator), F.lit(0).cast("decimal(20,4)"))
+    return F.round(_exact(numerator) * scale / divisor, digits).cast("double")
+
+
 def percent(numerator: str | Column, denominator: str | Column, digits: int = 2) -> Column:
     """100 * numerator / denominator, rounded."""
-    scaled = F.lit(100.0) * _col(numerator).cast("double")
-    return F.round(scaled / F.nullif(_col(denominator).cast("double"), F.lit(0.0)), digits)
+    return rounded_ratio(numerator, denominator, digits, 100)
 
 
 def is_type(event_type: str, column: str = "event_type") -> Column:
@@ -49,13 +62,14 @@ def money_sum_or_zero(amount: str | Column) -> Column:
     return F.coalesce(F.sum(_cents(amount)), F.lit(0).cast("long")) / F.lit(100.0)
 
 
-def money_avg(amount: str | Column) -> Column:
-    return money_sum(amount) / F.nullif(F.count(_col(amount)), F.lit(0).cast("long"))
+def money_avg(amount: str | Column, digits: int = 2) -> Column:
+    """Rounded average of an amount."""
+    return rounded_ratio(money_sum(amount), F.count(_col(amount)), digits)
 
 
-def mean(value: str | Column) -> Column:
-    """Average of a whole-number column as an exact sum over a count."""
-    return F.sum(_col(value)).cast("double") / F.nullif(F.count(_col(value)), F.lit(0).cast("long"))
+def mean(value: str | Column, digits: int = 2, scale: int = 1) -> Column:
+    """Rounded average of a whole-number column."""
+    return rounded_ratio(F.sum(_col(value)), F.count(_col(value)), digits, scale)
 
 
 def purchase_amount() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.functions.exprs import (
-    count_type, mean, money_sum_or_zero, ratio,
+    count_type, mean, money_sum_or_zero, ratio, rounded_ratio,
 )
 from clickloom.operators.ordered import sequence_in_group
 from clickloom.sources.writers import write_parquet
@@ -99,7 +99,7 @@ def product_metrics(ev: DataFrame) -> DataFrame:
         F.sum("adds").alias("num_add_to_cart"),
         (F.sum("cents") / F.lit(100.0) / F.nullif(F.sum("priced"), F.lit(0).cast("long"))).alias("avg_price"),
     )
-    rate = F.coalesce(F.round(ratio("num_add_to_cart", "num_clicks"), 4), F.lit(0.0))
+    rate = F.coalesce(rounded_ratio("num_add_to_cart", "num_clicks", 4), F.lit(0.0))
     return grouped.withColumn("click_to_cart_rate", rate)
 
 
@@ -135,13 +135,13 @@ def user_metrics(ev: DataFrame) -> DataFrame:
         .groupBy("user_id")
         .agg(F.count_distinct("product_id").alias("unique_products_viewed"))
     )
-    per_purchase = F.coalesce(F.round(ratio("total_revenue", "total_purchases"), 2), F.lit(0.0))
+    per_purchase = F.coalesce(rounded_ratio("total_revenue", "total_purchases", 2), F.lit(0.0))
     return user_segments(
         activity.join(products, "user_id", "left").withColumns(
             {
                 "unique_products_viewed": F.coalesce("unique_products_viewed", F.lit(0).cast("long")),
                 "days_active": F.datediff("last_seen", "first_seen") + 1,
-                "avg_events_per_session": F.round(ratio("total_events", "num_sessions"), 2),
+                "avg_events_per_session": rounded_ratio("total_events", "num_sessions", 2),
                 "avg_revenue_per_purchase": per_purchase,
             }
         )
@@ -173,7 +173,7 @@ def daily_metrics(ev: DataFrame) -> DataFrame:
             F.sum("paid_orders").alias("paid_orders"),
         )
         .withColumn("avg_order_value", ratio("total_revenue", "paid_orders"))
-        .withColumn("conversion_rate", F.round(ratio("total_purchases", "unique_sessions") * 100, 2))
+        .withColumn("conversion_rate", rounded_ratio("total_purchases", "unique_sessions", 2, 100))
         .drop("paid_orders")
         .orderBy("event_date")
     )
@@ -199,9 +199,9 @@ def insight_session_conversion(sessions: DataFrame) -> DataFrame:
     return sessions.agg(
         F.count("*").alias("total_sessions"),
         F.sum("converted").alias("converted_sessions"),
-        F.round(mean("converted") * 100, 2).alias("conversion_rate_pct"),
-        F.round(mean("session_duration_seconds"), 2).alias("avg_session_duration"),
-        F.round(mean("num_events"), 2).alias("avg_events_per_session"),
+        mean("converted", 2, 100).alias("conversion_rate_pct"),
+        mean("session_duration_seconds").alias("avg_session_duration"),
+        mean("num_events").alias("avg_events_per_session"),
     )
 
 

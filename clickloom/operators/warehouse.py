@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from clickloom.functions.exprs import (
-    count_type, is_type, money_sum_or_zero, percent, purchase_amount, ratio, week_start,
+    count_type, money_sum_or_zero, percent, purchase_amount, rounded_ratio, week_start,
 )
 from clickloom.schemas import WAREHOUSE, TableSpec
 
@@ -20,6 +20,9 @@ def _typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
         c = F.col(name)
         if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
             c = F.when(~F.isnan(c), c)
+            if target.startswith("decimal"):
+                # drops the noise of binary fractions before rounding half up
+                c = c.cast("decimal(28,10)")
         return c.cast(target).alias(name)
 
     return df.select(*[as_typed(name, kind) for name, kind in columns.items() if name in df.columns])
@@ -157,7 +160,7 @@ def agg_category_metrics(ev: DataFrame, products: DataFrame) -> DataFrame:
         F.coalesce(F.sum("adds"), zero).alias("total_add_to_cart"),
         F.coalesce(F.sum("purchases"), zero).alias("total_purchases"),
         money_sum_or_zero("revenue").alias("total_revenue"),
-        F.round(ratio(money_sum_or_zero("price"), F.count("price")), 2).alias("avg_price"),
+        rounded_ratio(money_sum_or_zero("price"), F.count("price"), 2).alias("avg_price"),
     )
     return totals.withColumn("conversion_rate", percent("total_purchases", "total_clicks"))
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickloom.functions.exprs import mean, money_avg, money_sum, percent, ratio
+from clickloom.functions.exprs import mean, money_avg, money_sum, percent, rounded_ratio
 from clickloom.operators.ordered import exact_percentiles, histogram
 
 
@@ -14,6 +14,10 @@ def _minutes(sessions: DataFrame) -> DataFrame:
     return sessions.select((F.col("session_duration_seconds") / 60.0).alias("minutes"))
 
 
+def _avg_minutes() -> Column:
+    return rounded_ratio(F.sum("session_duration_seconds"), F.count("session_duration_seconds") * 60, 2)
+
+
 def _total_by(df: DataFrame, key: str, value: Column, name: str) -> DataFrame:
     return df.groupBy(key).agg(value.alias(name)).orderBy(F.desc(name), key)
 
@@ -32,8 +36,8 @@ def nb_overall_metrics(daily: DataFrame) -> DataFrame:
     return daily.agg(
         money_sum("total_revenue").alias("total_revenue"),
         F.sum("total_purchases").alias("total_purchases"),
-        F.round(money_avg("total_revenue"), 2).alias("avg_daily_revenue"),
-        F.round(money_avg("conversion_rate"), 2).alias("avg_conversion_rate"),
+        money_avg("total_revenue").alias("avg_daily_revenue"),
+        money_avg("conversion_rate").alias("avg_conversion_rate"),
         F.round(F.avg("avg_order_value"), 2).alias("avg_order_value"),
     )
 
@@ -52,13 +56,13 @@ def nb_describe_daily(daily: DataFrame) -> DataFrame:
     )
     return long.groupBy("metric").agg(
         F.count("value").alias("count"),
-        F.round(F.avg("value"), 4).alias("mean"),
-        F.round(F.stddev_samp("value"), 4).alias("std"),
-        F.round(F.min("value"), 4).alias("min"),
-        F.round(F.percentile("value", 0.25), 4).alias("p25"),
-        F.round(F.percentile("value", 0.5), 4).alias("p50"),
-        F.round(F.percentile("value", 0.75), 4).alias("p75"),
-        F.round(F.max("value"), 4).alias("max"),
+        F.round(F.avg("value"), 6).alias("mean"),
+        F.round(F.stddev_samp("value"), 6).alias("std"),
+        F.round(F.min("value"), 6).alias("min"),
+        F.round(F.percentile("value", 0.25), 6).alias("p25"),
+        F.round(F.percentile("value", 0.5), 6).alias("p50"),
+        F.round(F.percentile("value", 0.75), 6).alias("p75"),
+        F.round(F.max("value"), 6).alias("max"),
     )
 
 
@@ -92,7 +96,7 @@ def dash_sessions_by_device(sessions: DataFrame) -> DataFrame:
 
 
 def dash_conversion_by_device(sessions: DataFrame) -> DataFrame:
-    rate = F.round(mean("converted") * 100, 6)
+    rate = mean("converted", 6, 100)
     return sessions.groupBy("device").agg(rate.alias("conversion_rate")).orderBy("device")
 
 
@@ -110,7 +114,7 @@ def nb_conversion_by_device(sessions: DataFrame) -> DataFrame:
         F.count("session_id").alias("sessions"), F.sum("converted").alias("converted")
     )
     return grouped.withColumn(
-        "conversion_rate", F.round(ratio("converted", "sessions") * 100, 6)
+        "conversion_rate", rounded_ratio("converted", "sessions", 6, 100)
     ).orderBy("device")
 
 
@@ -152,7 +156,7 @@ def nb_category_performance(products: DataFrame) -> DataFrame:
             F.sum("total_interactions").alias("total_interactions"),
             F.sum("unique_users").alias("unique_users"),
             F.sum("num_add_to_cart").alias("num_add_to_cart"),
-            F.round(F.sum(rate_units) / F.lit(10000.0) / F.count("click_to_cart_rate"), 6).alias("click_to_cart_rate"),
+            rounded_ratio(F.sum(rate_units), F.count("click_to_cart_rate") * 10000, 6).alias("click_to_cart_rate"),
         )
         .orderBy(F.desc("total_interactions"), "category")
     )
@@ -181,24 +185,24 @@ def report_summary(daily: DataFrame, users: DataFrame, sessions: DataFrame, prod
         section("overall", daily.agg(
             money_sum("total_revenue").alias("total_revenue"),
             F.sum("total_purchases").alias("total_purchases"),
-            F.round(money_avg("conversion_rate"), 2).alias("avg_conversion_rate"),
+            money_avg("conversion_rate").alias("avg_conversion_rate"),
         )),
         section("users", users.agg(
             F.count("*").alias("total_users"),
-            F.round(mean("num_sessions"), 2).alias("avg_sessions_per_user"),
-            F.round(money_avg("total_revenue"), 2).alias("avg_revenue_per_user"),
+            mean("num_sessions").alias("avg_sessions_per_user"),
+            money_avg("total_revenue").alias("avg_revenue_per_user"),
         )),
         listed("users", shares, "users in segment", "user_segment", "num_users"),
         listed("users", shares, "percent in segment", "user_segment", "share_pct"),
         section("sessions", sessions.agg(
             F.count("*").alias("total_sessions"),
-            F.round(mean("num_events"), 2).alias("avg_events_per_session"),
-            F.round(mean("session_duration_seconds") / 60, 2).alias("avg_session_minutes"),
-            F.round(mean("converted") * 100, 2).alias("conversion_rate"),
+            mean("num_events").alias("avg_events_per_session"),
+            _avg_minutes().alias("avg_session_minutes"),
+            mean("converted", 2, 100).alias("conversion_rate"),
         )),
         section("products", products.agg(
             F.count("*").alias("total_products"),
-            F.round(mean("total_interactions"), 2).alias("avg_interactions_per_product"),
+            mean("total_interactions").alias("avg_interactions_per_product"),
         )),
         listed("products", top, "top product", "product_id", "total_interactions"),
     ]
@@ -213,8 +217,8 @@ def nb_key_insights(users: DataFrame, sessions: DataFrame, products: DataFrame)
         return totals.agg(F.min_by(key, F.struct(-F.col(value), F.col(key)))).scalar()
 
     return sessions.agg(
-        F.round(mean("session_duration_seconds") / 60, 2).alias("avg_session_minutes"),
-        F.round(mean("converted") * 100, 2).alias("conversion_rate"),
+        _avg_minutes().alias("avg_session_minutes"),
+        mean("converted", 2, 100).alias("conversion_rate"),
     ).select(
         best(dash_segment_revenue(users), "user_segment", "total_revenue").alias("top_segment"),
         "avg_session_minutes",
@@ -269,7 +273,7 @@ def nb_model_metrics(metrics: DataFrame) -> DataFrame:
 def nb_actual_conversion_by_risk(conversion: DataFrame) -> DataFrame:
     return (
         conversion.groupBy("conversion_risk")
-        .agg(F.round(mean("actual_converted") * 100, 6).alias("actual_conversion_rate"))
+        .agg(mean("actual_converted", 6, 100).alias("actual_conversion_rate"))
         .orderBy("conversion_risk")
     )
 
@@ -303,7 +307,7 @@ def nb_retention_targets(churn: DataFrame, n: int = 20) -> DataFrame:
 def nb_high_probability_sessions(conversion: DataFrame, threshold: float = 0.7) -> DataFrame:
     return conversion.filter(F.col("conversion_probability") > threshold).agg(
         F.count("*").alias("num_sessions"),
-        F.round(mean("actual_converted") * 100, 1).alias("actual_conversion_rate"),
+        mean("actual_converted", 1, 100).alias("actual_conversion_rate"),
     )
 
 
@@ -314,7 +318,7 @@ def nb_vip_customers(ltv: DataFrame, n: int = 10) -> DataFrame:
         F.struct(
             F.count("*").alias("n"),
             money_sum("predicted_ltv_90days").alias("total"),
-            F.round(money_avg("predicted_ltv_90days"), 2).alias("mean"),
+            money_avg("predicted_ltv_90days").alias("mean"),
         )
     ).scalar()
     return (

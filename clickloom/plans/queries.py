@@ -8,10 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions.exprs import (
-    count_type, is_type, mean, money_avg, money_sum, month_start, percent, purchase_amount, ratio,
-    week_start,
+    count_type, is_type, mean, money_avg, money_sum, month_start, percent, rounded_ratio, week_start,
 )
-from clickloom.operators.ordered import exact_percentiles, rollup_entities
+from clickloom.operators.ordered import exact_percentiles
 from clickloom.plans.views import product_affinity, session_funnel
 
 
@@ -20,7 +19,7 @@ def _revenue() -> Column:
     return F.when(is_type("purchase"), F.col("cart_value")).otherwise(0)
 
 
-def _bucket(value: str, limits: list[tuple[Column, str]], last: str) -> tuple[Column, Column]:
+def _bucket(limits: list[tuple[Column, str]], last: str) -> tuple[Column, Column]:
     """Label and order of the first condition that holds."""
     label, order = F, F
     for i, (cond, name) in enumerate(limits):
@@ -32,7 +31,7 @@ def q01_daily_revenue_trend(daily: DataFrame) -> DataFrame:
     return daily.select(
         "event_date", "total_events", "unique_users", "unique_sessions", "total_purchases",
         "total_revenue",
-        F.round(ratio("total_revenue", "total_purchases"), 2).alias("avg_order_value"),
+        rounded_ratio("total_revenue", "total_purchases", 2).alias("avg_order_value"),
         "conversion_rate",
     ).orderBy(F.desc("event_date")).limit(30)
 
@@ -44,8 +43,8 @@ def q02_segment_distribution(users: DataFrame) -> DataFrame:
             F.count("*").alias("num_users"),
             F.sum("total_purchases").alias("total_purchases"),
             money_sum("total_revenue").alias("total_revenue"),
-            F.round(money_avg("total_revenue"), 2).alias("avg_revenue_per_user"),
-            F.round(mean("num_sessions"), 2).alias("avg_sessions_per_user"),
+            money_avg("total_revenue").alias("avg_revenue_per_user"),
+            mean("num_sessions").alias("avg_sessions_per_user"),
         )
         .orderBy(F.desc("total_revenue"), "user_segment")
     )
@@ -147,8 +146,8 @@ def q09_weekly_cohorts(users: DataFrame) -> DataFrame:
         users.groupBy(week_start("first_seen").alias("cohort_week"))
         .agg(
             F.count("user_id").alias("cohort_size"),
-            F.round(mean("num_sessions"), 2).alias("avg_sessions"),
-            F.round(money_avg("total_revenue"), 2).alias("avg_revenue"),
+            mean("num_sessions").alias("avg_sessions"),
+            money_avg("total_revenue").alias("avg_revenue"),
             F.count_if(F.col("total_purchases") > 0).alias("converted_users"),
         )
         .orderBy(F.desc("cohort_week"))
@@ -179,8 +178,8 @@ def q11_category_performance(metrics: DataFrame) -> DataFrame:
             F.sum("total_interactions").alias("total_interactions"),
             F.sum("unique_users").alias("total_unique_users"),
             F.sum("num_add_to_cart").alias("total_add_to_cart"),
-            F.round(F.sum(rate_units) / F.lit(10000.0) / F.count("click_to_cart_rate"), 4).alias("avg_click_to_cart_rate"),
-            F.round(money_avg("avg_price"), 2).alias("avg_product_price"),
+            rounded_ratio(F.sum(rate_units), F.count("click_to_cart_rate") * 10000, 4).alias("avg_click_to_cart_rate"),
+            money_avg("avg_price").alias("avg_product_price"),
         )
         .orderBy(F.desc("total_interactions"), "category")
     )
@@ -236,7 +235,6 @@ def q13_abandoned_cart_products(events: DataFrame, products: DataFrame, min_sess
 def q14_session_duration_buckets(sessions: DataFrame) -> DataFrame:
     seconds = F.col("session_duration_seconds")
     label, order = _bucket(
-        "session_duration_seconds",
         [(seconds < 60, "<1 min"), (seconds < 300, "1-5 min"), (seconds < 900, "5-15 min"), (seconds < 1800, "15-30 min")],
         ">30 min",
     )
@@ -267,7 +265,7 @@ def _session_breakdown(sessions: DataFrame, keys: list[str], *extra: Column) ->
 def q15_device_browser(sessions: DataFrame) -> DataFrame:
     return _session_breakdown(
         sessions, ["device", "browser"],
-        F.round(mean("session_duration_seconds"), 2).alias("avg_session_duration"),
+        mean("session_duration_seconds").alias("avg_session_duration"),
     )
 
 
@@ -275,7 +273,7 @@ def q16_referrer(sessions: DataFrame) -> DataFrame:
     return _session_breakdown(
         sessions, ["referrer"],
         money_sum("total_cart_value").alias("total_revenue"),
-        F.round(mean("num_events"), 2).alias("avg_events_per_session"),
+        mean("num_events").alias("avg_events_per_session"),
     )
 
 
@@ -301,7 +299,7 @@ def q18_running_revenue(daily: DataFrame) -> DataFrame:
         "event_date",
         "total_revenue",
         (F.sum(cents).over(so_far) / F.lit(100.0)).alias("cumulative_revenue"),
-        F.round(F.sum(cents).over(week) / F.lit(100.0) / F.count("*").over(week), 6).alias("revenue_7day_ma"),
+        rounded_ratio(F.sum(cents).over(week), F.count("*").over(week) * 100, 6).alias("revenue_7day_ma"),
     ).orderBy("event_date")
 
 
@@ -310,7 +308,7 @@ def q19_ltv_percentiles(users: DataFrame) -> DataFrame:
     wanted = {"p25_ltv": 0.25, "median_ltv": 0.5, "p75_ltv": 0.75, "p90_ltv": 0.9, "p95_ltv": 0.95}
     largest = buyers.agg(F.max("total_revenue")).scalar()
     return exact_percentiles(buyers, "total_revenue", wanted).select(
-        *[F.round(name, 4).alias(name) for name in wanted], largest.alias("max_ltv")
+        *[F.round(name, 6).alias(name) for name in wanted], largest.alias("max_ltv")
     )
 
 
@@ -325,9 +323,9 @@ def q20_ltv_by_acquisition(sessions: DataFrame, users: DataFrame) -> DataFrame:
         .agg(
             F.count("user_id").alias("acquired_users"),
             money_sum("total_revenue").alias("total_ltv"),
-            F.round(money_avg("total_revenue"), 2).alias("avg_ltv"),
-            F.round(mean("num_sessions"), 2).alias("avg_sessions"),
-            F.round(mean("total_purchases"), 2).alias("avg_purchases"),
+            money_avg("total_revenue").alias("avg_ltv"),
+            mean("num_sessions").alias("avg_sessions"),
+            mean("total_purchases").alias("avg_purchases"),
         )
         .orderBy(F.desc("total_ltv"), "acquisition_source")
     )
@@ -342,13 +340,12 @@ def q21_time_to_first_purchase(users: DataFrame, events: DataFrame) -> DataFrame
     )
     days = F.col("days")
     label, order = _bucket(
-        "days",
         [(days == 0, "Same day"), (days <= 1, "1 day"), (days <= 7, "2-7 days"), (days <= 30, "8-30 days")],
         ">30 days",
     )
     return (
         waited.groupBy(label.alias("time_to_purchase"), order.alias("bucket_order"))
-        .agg(F.count("*").alias("num_users"), F.round(money_avg("total_revenue"), 2).alias("avg_revenue"))
+        .agg(F.count("*").alias("num_users"), money_avg("total_revenue").alias("avg_revenue"))
         .orderBy("bucket_order")
         .drop("bucket_order")
     )

@@ -71,7 +71,7 @@ def ask_highest_churn_risk(churn: DataFrame, users: DataFrame, n: int = 20) -> D
 def ask_avg_duration_by_browser(sessions: DataFrame) -> DataFrame:
     return (
         sessions.groupBy("browser")
-        .agg(F.round(mean("session_duration_seconds"), 2).alias("avg_session_duration"))
+        .agg(mean("session_duration_seconds").alias("avg_session_duration"))
         .orderBy(F.desc("avg_session_duration"), "browser")
     )
 
@@ -101,7 +101,7 @@ def ask_vip_predicted_ltv(ltv: DataFrame) -> DataFrame:
     return ltv.filter(F.col("ltv_category") == "VIP").agg(
         F.count("*").alias("vip_users"),
         money_sum("predicted_ltv_90days").alias("total_predicted_ltv"),
-        F.round(money_avg("predicted_ltv_90days"), 2).alias("avg_predicted_ltv"),
+        money_avg("predicted_ltv_90days").alias("avg_predicted_ltv"),
     )
 
 

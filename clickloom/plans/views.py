@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.functions.exprs import (
     count_type, is_type, mean, money_avg, money_sum, money_sum_or_zero, month_start, percent,
-    purchase_amount, ratio,
+    purchase_amount, ratio, rounded_ratio,
 )
 from clickloom.operators.ordered import rollup_entities
 from clickloom.session import stage
@@ -164,7 +164,7 @@ def customer_journey_funnel(events: DataFrame) -> DataFrame:
         (F.col(s3) - F.col(s4)).alias("dropoff_step_3_to_4"),
         (F.col(s4) - F.col(s5)).alias("dropoff_step_4_to_5"),
         "total_revenue",
-        F.round(ratio("total_revenue", s5), 2).alias("avg_order_value"),
+        rounded_ratio("total_revenue", s5, 2).alias("avg_order_value"),
         "users_step_1",
         "users_step_5",
     )
@@ -194,7 +194,7 @@ def session_analytics(sessions: DataFrame, users: DataFrame, dates: DataFrame) -
         "num_page_views", "num_product_clicks", "num_add_to_cart", "num_purchases", "converted",
         F.coalesce(abandoned, F.lit(False)).alias("cart_abandoned"),
         "total_cart_value", "items_purchased",
-        F.round(ratio("total_cart_value", "items_purchased"), 2).alias("avg_item_price"),
+        rounded_ratio("total_cart_value", "items_purchased", 2).alias("avg_item_price"),
         F.least(F.lit(100), score).cast("long").alias("session_quality_score"),
         F.hour("session_start").alias("session_hour"),
         (F.dayofweek("session_start") - 1).alias("session_day_of_week"),
@@ -212,14 +212,14 @@ def user_segment_performance(users: DataFrame) -> DataFrame:
         F.count("user_id").alias("total_users"),
         F.sum("num_sessions").alias("total_sessions"),
         F.sum("total_events").alias("total_events"),
-        F.round(money_avg("avg_events_per_session"), 2).alias("avg_events_per_session"),
-        F.round(mean("num_active_days"), 2).alias("avg_active_days"),
+        money_avg("avg_events_per_session").alias("avg_events_per_session"),
+        mean("num_active_days").alias("avg_active_days"),
         F.sum("total_purchases").alias("total_purchases"),
         money_sum("total_revenue").alias("total_revenue"),
-        F.round(money_avg("total_revenue"), 2).alias("avg_revenue_per_user"),
-        F.round(money_avg("avg_revenue_per_purchase"), 2).alias("avg_order_value"),
+        money_avg("total_revenue").alias("avg_revenue_per_user"),
+        money_avg("avg_revenue_per_purchase").alias("avg_order_value"),
         F.count_if(F.col("total_purchases") > 0).alias("buyers"),
-        F.round(mean("unique_products_viewed"), 2).alias("avg_products_viewed"),
+        mean("unique_products_viewed").alias("avg_products_viewed"),
     )
     return totals.select(
         "user_segment", "total_users", "total_sessions", "total_events", "avg_events_per_session",
@@ -289,7 +289,7 @@ def touchpoint_performance(events: DataFrame) -> DataFrame:
         count_type("add_to_cart").alias("add_to_carts"),
         count_type("purchase").alias("purchases"),
         money_sum(F.when(is_type("purchase"), F.col("cart_value")).otherwise(0)).alias("total_revenue"),
-        money_avg(purchase_amount()).alias("order_value"),
+        money_avg(purchase_amount()).alias("avg_order_value"),
         F.count_if(~is_type("page_view")).alias("engaged"),
     )
     return by_channel.select(
@@ -301,8 +301,8 @@ def touchpoint_performance(events: DataFrame) -> DataFrame:
         "page_views", "product_clicks", "add_to_carts", "purchases",
         percent("purchases", "unique_sessions").alias("session_conversion_rate"),
         "total_revenue",
-        F.round("order_value", 2).alias("avg_order_value"),
-        F.round(ratio("engaged", "total_interactions") * 100, 2).alias("engagement_rate"),
+        "avg_order_value",
+        rounded_ratio("engaged", "total_interactions", 2, 100).alias("engagement_rate"),
     )
 
 
@@ -327,14 +327,14 @@ def executive_kpis(daily: DataFrame, dates: DataFrame) -> DataFrame:
     return prior.select(
         "metric_date", "day_name", "is_weekend", "total_events", "unique_users", "unique_sessions",
         "total_purchases", "total_revenue", "avg_order_value", "conversion_rate",
-        F.round(ratio("total_revenue", "unique_users"), 2).alias("revenue_per_user"),
-        F.round(ratio("total_events", "unique_sessions"), 2).alias("events_per_session"),
-        F.round(ratio("total_purchases", "unique_sessions") * 100, 2).alias("purchase_rate"),
+        rounded_ratio("total_revenue", "unique_users", 2).alias("revenue_per_user"),
+        rounded_ratio("total_events", "unique_sessions", 2).alias("events_per_session"),
+        rounded_ratio("total_purchases", "unique_sessions", 2, 100).alias("purchase_rate"),
         percent(F.col("unique_users") - F.col("users_before"), "users_before").alias("users_wow_change_pct"),
         percent(F.col("total_revenue") - F.col("revenue_before"), "revenue_before").alias("revenue_wow_change_pct"),
         F.round(F.col("conversion_rate") - F.col("conversion_before"), 2).alias("conversion_wow_change_pp"),
-        F.round(F.sum("revenue_cents").over(week) / F.lit(100.0) / F.count("*").over(week), 2).alias("revenue_7day_ma"),
-        F.round(F.sum("unique_users").over(week).cast("double") / F.count("*").over(week), 2).alias("users_7day_ma"),
+        rounded_ratio(F.sum("revenue_cents").over(week), F.count("*").over(week) * 100).alias("revenue_7day_ma"),
+        rounded_ratio(F.sum("unique_users").over(week), F.count("*").over(week)).alias("users_7day_ma"),
     )
 
 
@@ -345,7 +345,7 @@ def product_analytics(products: DataFrame, metrics: DataFrame, events: DataFrame
         .groupBy("product_id")
         .agg(F.count("*").alias("num_purchases"), money_sum("cart_value").alias("total_revenue"))
     )
-    average = metrics.agg(mean("total_interactions")).scalar()
+    average = metrics.agg(ratio(F.sum("total_interactions"), F.count("*"))).scalar()
     total = F.col("total_interactions")
     price = F.col("price").cast("double")
     price_tier = (
@@ -393,9 +393,9 @@ def cart_abandonment(sessions: DataFrame, users: DataFrame) -> DataFrame:
             F.count_if(lost).alias("abandoned_sessions"),
             F.count_if(~lost).alias("completed_sessions"),
             money_sum(F.when(lost, F.col("total_cart_value")).otherwise(0)).alias("potential_lost_revenue"),
-            F.round(money_avg(F.when(lost, F.col("total_cart_value"))), 2).alias("avg_abandoned_cart_value"),
-            F.round(mean(F.when(lost, F.col("session_duration_seconds"))), 2).alias("avg_abandoned_session_duration"),
-            F.round(mean(F.when(lost, F.col("num_add_to_cart"))), 2).alias("avg_items_in_abandoned_cart"),
+            money_avg(F.when(lost, F.col("total_cart_value"))).alias("avg_abandoned_cart_value"),
+            mean(F.when(lost, F.col("session_duration_seconds"))).alias("avg_abandoned_session_duration"),
+            mean(F.when(lost, F.col("num_add_to_cart"))).alias("avg_items_in_abandoned_cart"),
         )
         .withColumn("abandonment_rate", percent("abandoned_sessions", "total_cart_sessions"))
     )

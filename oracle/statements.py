@@ -433,7 +433,7 @@ SELECT event_date, total_revenue, sum(total_revenue::decimal(18,2)) OVER (ORDER
        round(sum(total_revenue::decimal(18,2)) OVER w::double / count(*) OVER w, 6) AS revenue_7day_ma
 FROM daily WINDOW w AS (ORDER BY event_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
         "q19_ltv_percentiles": "SELECT " + ", ".join(
-            f"rnd(quantile_cont(total_revenue, {p}), 4) AS {name}"
+            f"round(quantile_cont(total_revenue, {p}), 6) AS {name}"
             for name, p in (("p25_ltv", 0.25), ("median_ltv", 0.5), ("p75_ltv", 0.75), ("p90_ltv", 0.9), ("p95_ltv", 0.95))
         ) + ", max(total_revenue) AS max_ltv FROM usr WHERE total_revenue > 0",
         "q20_ltv_by_acquisition": f"""
@@ -537,10 +537,10 @@ NUMERIC_DAILY = (
 def _dashboards() -> dict[str, str]:
     minutes = f"SELECT {MINUTES} AS v FROM sess WHERE {MINUTES} < "
     describe = " UNION ALL ".join(
-        f"SELECT '{c}' AS metric, count({c}) AS count, rnd(avg({c}::double), 4) AS mean, "
-        f"rnd(stddev_samp({c}::double), 4) AS std, rnd(min({c})::double, 4) AS min, "
-        f"rnd(quantile_cont({c}::double, 0.25), 4) AS p25, rnd(quantile_cont({c}::double, 0.5), 4) AS p50, "
-        f"rnd(quantile_cont({c}::double, 0.75), 4) AS p75, rnd(max({c})::double, 4) AS max FROM daily"
+        f"SELECT '{c}' AS metric, count({c}) AS count, round(avg({c}::double), 6) AS mean, "
+        f"round(stddev_samp({c}::double), 6) AS std, round(min({c})::double, 6) AS min, "
+        f"round(quantile_cont({c}::double, 0.25), 6) AS p25, round(quantile_cont({c}::double, 0.5), 6) AS p50, "
+        f"round(quantile_cont({c}::double, 0.75), 6) AS p75, round(max({c})::double, 6) AS max FROM daily"
         for c in NUMERIC_DAILY
     )
     share = f"SELECT user_segment, count(*) AS num_users, {pct('count(*)', '(SELECT count(*) FROM usr)', 1)} AS share_pct FROM usr GROUP BY 1"
@@ -661,7 +661,7 @@ FROM sess"""
 
 def _regression() -> str:
     return f"""
-SELECT metric, round(value, 6) AS value FROM (
+SELECT metric, round(value, 9) AS value FROM (
   {metric_rows([
       ('rmse', 'sqrt(avg((actual - predicted) ** 2))'),
       ('mae', 'avg(abs(actual - predicted))'),
