@@ -78,12 +78,8 @@ def roc_curve(pred: DataFrame) -> DataFrame:
 
 def roc_auc(pred: DataFrame) -> DataFrame:
     """One row, the exact area: pairs ranked correctly, equal scores counting half."""
-    points = pred.groupBy(F.col("score").cast("double").alias("score")).agg(
-        F.sum(F.col("actual").cast("long")).alias("pos"), F.count_if(F.col("actual") == 0).alias("neg")
-    )
-    above = _roc_totals(pred).select("score", "cum_pos")
-    # half a win for equal scores, all in whole numbers: neg * (2 * above - pos)
-    won = points.join(above, "score").agg(
+    # half a win for equal scores, in whole numbers: neg * (2 * above - pos)
+    won = _roc_totals(pred).agg(
         F.sum((F.col("neg") * (F.col("cum_pos") * 2 - F.col("pos"))).cast("decimal(38,0)")).alias("twice"),
         F.sum("pos").alias("pos"),
         F.sum("neg").alias("neg"),

@@ -1,35 +1,77 @@
 """Order-dependent operators that do not gather a whole group in one task.
 
 A plain window over a group sorts that group in a single task, which breaks when
-one key holds a large share of the rows. The operators here cut each group into
-slices of its own order, reduce every slice to one summary row, run the window
-over the summaries and add the result back to the rows.
+one key holds a large share of the rows. The operators here cut the common order
+of all rows into slices of similar size, reduce every (group, slice) to one
+summary row, run the window over the summaries and add the result back to the
+rows. No task then sorts more than one slice, whatever the keys look like.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RANK_SLICE_BITS = 12
-CUT_POINTS = 256
+ROWS_PER_SLICE = 1_000_000
+MAX_SLICES = 16_384
+SAMPLE_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 
 
+def sample_quantiles(df: DataFrame, value: str, at: list[float], rows: int) -> list[float]:
+    """Approximate quantiles as increasing numbers, at most one per entry of ``at``.
+
+    Only used to cut the order into slices. Results do not depend on where the
+    cuts fall, so a sample of bounded size is enough, as it is for Spark's own
+    range partitioning. The numbers are read once, so that every use sees the
+    same cuts.
+    """
+    if not at:
+        return []
+    if rows > SAMPLE_ROWS:
+        df = df.sample(SAMPLE_ROWS / rows, seed=1)
+    quantiles = df.agg(F.percentile_approx(value, F.array(*[F.lit(q) for q in at]), SKETCH_ACCURACY)).first()[0]
+    return sorted({float(q) for q in quantiles or []})
+
+
+def even_cuts(df: DataFrame, value: str, rows_per_slice: int) -> list[float]:
+    """Cuts that split the rows into slices of about ``rows_per_slice``; none for a small table."""
+    rows = df.count()
+    slices = min(MAX_SLICES, math.ceil(rows / rows_per_slice))
+    return sample_quantiles(df, value, [i / slices for i in range(1, slices)], rows)
+
+
+def with_slices(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
+    """Add ``_slice``, the number of cuts at or below the value; -1 for NULL."""
+    if not cuts:
+        return df.withColumn("_slice", F.when(F.col(value).isNull(), -1).otherwise(0))
+    splits = [-math.inf, *cuts, math.inf]
+    found = Bucketizer(splits=splits, inputCol=value, outputCol="_found", handleInvalid="keep").transform(df)
+    return found.withColumn("_slice", F.when(F.col(value).isNull(), -1).otherwise(F.col("_found").cast("int"))).drop("_found")
+
+
 def sequence_in_group(
-    df: DataFrame, group: str, timestamp: str, tie_break: str, slice_seconds: int = 3600
+    df: DataFrame, group: str, timestamp: str, tie_break: str, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Add ``event_sequence`` (1-based) and ``prev_timestamp`` by (timestamp, tie_break)."""
-    sliced = df.withColumn("_slice", F.floor(F.unix_seconds(timestamp) / F.lit(slice_seconds)))
+    timed = df.withColumn("_at", F.unix_micros(timestamp).cast("double"))
+    cuts = even_cuts(timed, "_at", rows_per_slice)
+    if not cuts:
+        whole = Window.partitionBy(group).orderBy(timestamp, tie_break)
+        return df.withColumns(
+            {"event_sequence": F.row_number().over(whole).cast("long"), "prev_timestamp": F.lag(timestamp).over(whole)}
+        )
+    sliced = with_slices(timed, "_at", cuts).drop("_at")
     by_slice = Window.partitionBy(group).orderBy("_slice")
+    before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     summary = (
         sliced.groupBy(group, "_slice")
         .agg(F.count("*").alias("n"), F.max(timestamp).alias("last_at"))
         .select(
-            group,
-            "_slice",
-            F.coalesce(
-                F.sum("n").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_before"),
+            group, "_slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"),
             F.lag("last_at").over(by_slice).alias("_last_before"),
         )
     )
@@ -71,36 +113,21 @@ def shuffled_rank(df: DataFrame, groups: list[str], key: str, seed: int, rank: s
     )
 
 
-def _with_slices(df: DataFrame, sample_of: DataFrame, value: str, at: list[float]) -> DataFrame:
-    """Add ``_slice``: how many approximate quantiles ``at`` lie at or below the value.
-
-    The sketch only balances the slices; results stay exact whatever it returns.
-    """
-    cuts = sample_of.agg(
-        F.percentile_approx(value, F.array(*[F.lit(q) for q in at]), SKETCH_ACCURACY)
-    ).scalar()
-    # never NULL, so that no null check on it is pushed down to the unreduced rows
-    passed = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= F.col(value))), F.lit(0))
-    return df.withColumn("_cuts", cuts).withColumn("_slice", passed).drop("_cuts")
-
-
-def running_totals(df: DataFrame, value: str, totals: list[str]) -> DataFrame:
+def running_totals(df: DataFrame, value: str, totals: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Per distinct value, the sums of ``totals`` over that and all larger values.
 
-    Returns ``value`` and one ``cum_<name>`` column per total.
+    Returns ``value`` (a double), the totals of that value and one ``cum_<name>``
+    column per total.
     """
-    points = df.groupBy(value).agg(*[F.sum(t).alias(t) for t in totals])
-    at = [i / CUT_POINTS for i in range(1, CUT_POINTS)]
-    sliced = _with_slices(points, df, value, at)
+    cuts = even_cuts(df, value, rows_per_slice)
+    points = with_slices(df.groupBy(value).agg(*[F.sum(t).alias(t) for t in totals]), value, cuts)
     above = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sliced.groupBy("_slice").agg(*[F.sum(t).alias(t) for t in totals]).select(
+    offsets = points.groupBy("_slice").agg(*[F.sum(t).alias(t) for t in totals]).select(
         "_slice", *[F.coalesce(F.sum(t).over(above), F.lit(0)).alias(f"_above_{t}") for t in totals]
     )
-    inside = (
-        Window.partitionBy("_slice").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return sliced.join(offsets, "_slice").select(
-        value,
+    inside = Window.partitionBy("_slice").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, 0)
+    return points.join(offsets, "_slice").select(
+        value, *totals,
         *[(F.col(f"_above_{t}") + F.sum(t).over(inside)).alias(f"cum_{t}") for t in totals],
     )
 
@@ -108,23 +135,20 @@ def running_totals(df: DataFrame, value: str, totals: list[str]) -> DataFrame:
 def exact_percentiles(df: DataFrame, value: str, named: dict[str, float]) -> DataFrame:
     """One row with interpolated percentiles, equal to percentile_cont.
 
-    Cut points just below and above each wanted rank split the value range into
-    narrow and wide slices. Slice sizes are counted exactly, and only the slices
-    that contain a wanted rank are sorted.
+    Cuts just below and above each wanted rank split the value range into narrow
+    and wide slices. Slice sizes are counted exactly, and only the slices that
+    contain a wanted rank are sorted.
     """
-    margin = 2.0 / SKETCH_ACCURACY
-    at = sorted({min(1.0, max(0.0, q + d)) for q in named.values() for d in (-margin, margin)})
-    present = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("v"))
-    counted = (
-        _with_slices(present, present, "v", at)
-        .groupBy("_slice", "v")
-        .agg(F.count("*").alias("n"))
-    )
-    total = present.agg(F.count("*")).scalar()
+    present = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    margin = 0.002
+    near = sorted({min(1.0, max(0.0, q + d)) for q in named.values() for d in (-margin, margin)})
+    rows = present.count()
+    cuts = sample_quantiles(present, "v", near, rows)
+    counted = with_slices(present.groupBy("v").agg(F.count("*").alias("n")), "v", cuts)
     wanted = sorted(set(named.values()))
 
     def rank(q: float) -> Column:
-        return F.lit(q) * (total - 1)
+        return F.lit(q * (rows - 1))
 
     def holds(start: str, end: str) -> Column:
         hit = F.lit(False)
@@ -132,11 +156,11 @@ def exact_percentiles(df: DataFrame, value: str, named: dict[str, float]) -> Dat
             hit = hit | ((F.floor(rank(q)) < F.col(end)) & (F.ceil(rank(q)) >= F.col(start)))
         return hit
 
-    over_slices = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
+    up_to = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
     slices = (
         counted.groupBy("_slice")
         .agg(F.sum("n").alias("size"))
-        .withColumn("slice_end", F.sum("size").over(over_slices))
+        .withColumn("slice_end", F.sum("size").over(up_to))
         .withColumn("slice_start", F.col("slice_end") - F.col("size"))
         .filter(holds("slice_start", "slice_end"))
         .select("_slice", "slice_start")
@@ -149,12 +173,12 @@ def exact_percentiles(df: DataFrame, value: str, named: dict[str, float]) -> Dat
     )
 
     def at_rank(r: Column) -> Column:
-        return F.max(F.when((r >= F.col("start")) & (r < F.col("end")), F.col("v"))).cast("double")
+        return F.max(F.when((r >= F.col("start")) & (r < F.col("end")), F.col("v")))
 
     picked = []
     for name, q in named.items():
         low, high = at_rank(F.floor(rank(q))), at_rank(F.ceil(rank(q)))
-        picked.append((low + (high - low) * (F.max(rank(q)) - F.floor(F.max(rank(q))))).alias(name))
+        picked.append((low + (high - low) * (rank(q) - F.floor(rank(q)))).alias(name))
     return ranked.agg(*picked)
 
 

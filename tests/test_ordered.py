@@ -32,11 +32,12 @@ def by_user(rows):
     return {user: sorted(events) for user, events in grouped.items()}
 
 
-def test_sequence_in_group(frame, visits):
+@pytest.mark.parametrize("rows_per_slice", [10_000, 100])
+def test_sequence_in_group(frame, visits, rows_per_slice):
     df = frame(visits, "event_id string, user string, at timestamp")
     got = {
         r.event_id: (r.event_sequence, r.prev_timestamp)
-        for r in ordered.sequence_in_group(df, "user", "at", "event_id", slice_seconds=7200).collect()
+        for r in ordered.sequence_in_group(df, "user", "at", "event_id", rows_per_slice).collect()
     }
     expected = {}
     for events in by_user(visits).values():
@@ -45,6 +46,16 @@ def test_sequence_in_group(frame, visits):
     assert got == expected
 
 
+@pytest.mark.parametrize("rows_per_slice", [10_000, 2])
+def test_sequence_puts_missing_times_first(frame, rows_per_slice):
+    rows = [("b", None), ("a", None), ("c", START), ("d", START + datetime.timedelta(hours=1)), ("e", START + datetime.timedelta(hours=2))]
+    df = frame([(i, "u", at) for i, at in rows], "event_id string, user string, at timestamp")
+    got = ordered.sequence_in_group(df, "user", "at", "event_id", rows_per_slice).orderBy("event_sequence").collect()
+    assert [(r.event_id, r.prev_timestamp) for r in got] == [
+        ("a", None), ("b", None), ("c", None), ("d", START), ("e", START + datetime.timedelta(hours=1))
+    ]
+
+
 @pytest.mark.parametrize("gap_hours", [1, 12])
 def test_number_sessions(frame, visits, gap_hours):
     df = frame(visits, "event_id string, user string, at timestamp")
@@ -92,10 +103,11 @@ def test_exact_percentiles_of_nothing(frame):
     assert ordered.exact_percentiles(frame([], "v double"), "v", {"p50": 0.5}).first().p50 is None
 
 
-def test_running_totals(frame):
+@pytest.mark.parametrize("rows_per_slice", [10_000, 50])
+def test_running_totals(frame, rows_per_slice):
     rng = random.Random(3)
     rows = [(round(rng.random() ** 4, 2), rng.randrange(5)) for _ in range(3000)]
-    got = {r.s: r.cum_n for r in ordered.running_totals(frame(rows, "s double, n long"), "s", ["n"]).collect()}
+    got = {r.s: r.cum_n for r in ordered.running_totals(frame(rows, "s double, n long"), "s", ["n"], rows_per_slice).collect()}
     assert got == {s: sum(n for t, n in rows if t >= s) for s in {s for s, _ in rows}}
 
 
