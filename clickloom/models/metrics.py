@@ -6,8 +6,6 @@ needed, ``score``. Regressor tables hold ``actual`` and ``predicted`` as doubles
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions.exprs import ratio
@@ -110,36 +108,33 @@ def classification_metrics(pred: DataFrame) -> DataFrame:
 
 
 def classification_report(pred: DataFrame) -> DataFrame:
-    """Per class and averaged: precision, recall, f1 and support."""
-    per_class = []
-    for label in (0, 1):
-        counts = pred.agg(
-            F.count_if((F.col("actual") == label) & (F.col("predicted") == label)).alias("tp"),
-            F.count_if(F.col("predicted") == label).alias("pp"),
-            F.count_if(F.col("actual") == label).alias("support"),
-        )
-        precision, recall, f1 = _prf(F.col("tp"), F.col("pp"), F.col("support"))
-        per_class.append(
-            counts.select(
-                F.lit(str(label)).alias("class_name"), precision.alias("precision"),
-                recall.alias("recall"), f1.alias("f1_score"), "support",
+    """Per class and averaged: precision, recall, f1 and support, from one pass."""
+    counts = pred.agg(
+        *[
+            F.count_if(cond).alias(f"{name}{c}")
+            for c in (0, 1)
+            for name, cond in (
+                ("tp", (F.col("actual") == c) & (F.col("predicted") == c)),
+                ("pp", F.col("predicted") == c),
+                ("n", F.col("actual") == c),
             )
-        )
-    classes = reduce(DataFrame.unionByName, per_class)
-    scores = ["precision", "recall", "f1_score"]
-    macro = classes.agg(*[(F.sum(s) / 2).alias(s) for s in scores], F.sum("support").alias("support"))
-    weighted = classes.agg(
-        *[ratio(F.sum(F.col(s) * F.col("support")), F.sum("support")).alias(s) for s in scores],
-        F.sum("support").alias("support"),
+        ]
     )
-    rows = [
-        classes,
-        macro.select(F.lit("macro avg").alias("class_name"), "*"),
-        weighted.select(F.lit("weighted avg").alias("class_name"), "*"),
+    scores = {c: _prf(F.col(f"tp{c}"), F.col(f"pp{c}"), F.col(f"n{c}")) for c in (0, 1)}
+    support = F.col("n0") + F.col("n1")
+
+    def line(name: str, values: list[Column], rows: Column) -> Column:
+        named = [F.round(v, 9).alias(k) for k, v in zip(("precision", "recall", "f1_score"), values)]
+        return F.struct(F.lit(name).alias("class_name"), *named, rows.alias("support"))
+
+    pairs = list(zip(scores[0], scores[1]))
+    lines = [
+        line("0", scores[0], F.col("n0")),
+        line("1", scores[1], F.col("n1")),
+        line("macro avg", [(a + b) / 2 for a, b in pairs], support),
+        line("weighted avg", [ratio(a * F.col("n0") + b * F.col("n1"), support) for a, b in pairs], support),
     ]
-    return reduce(DataFrame.unionByName, rows).select(
-        "class_name", *[F.round(s, 9).alias(s) for s in scores], "support"
-    )
+    return counts.select(F.inline(F.array(*lines)))
 
 
 def regression_metrics(pred: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from clickloom.functions.exprs import (
     count_type, money_sum_or_zero, percent, purchase_amount, rounded_ratio, week_start,
 )
 from clickloom.schemas import WAREHOUSE, TableSpec
+from clickloom.session import stage
 
 
 def _typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -31,13 +32,22 @@ def _typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def load_warehouse_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Project onto the table's columns and keep one row per primary key.
 
-    Among duplicates the first by the table's tie-break columns stays. The rank
-    filter is pushed below the shuffle, so duplicates are dropped map-side.
+    Among duplicates the first by the table's tie-break columns stays. Repeated
+    keys are found first, from the key columns alone. They are usually few, so the
+    joins on them broadcast (their written size decides) and the wide rows with
+    unique keys are neither shuffled nor sorted.
     """
     typed = _typed(df, spec.columns)
-    order = [*spec.tie_break, F.xxhash64(*typed.columns)]
-    first = Window.partitionBy(*spec.key).orderBy(*order)
-    return typed.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
+    keys = list(spec.key)
+    repeated = stage(typed.groupBy(*keys).count().filter("count > 1").select(*keys), "repeated_keys")
+    first = Window.partitionBy(*keys).orderBy(*spec.tie_break, F.xxhash64(*typed.columns))
+    resolved = (
+        typed.join(repeated, keys, "left_semi")
+        .withColumn("_rank", F.row_number().over(first))
+        .filter("_rank = 1")
+        .drop("_rank")
+    )
+    return typed.join(repeated, keys, "left_anti").unionByName(resolved)
 
 
 def dim_date(daily: DataFrame) -> DataFrame:
