@@ -104,7 +104,6 @@ def run_model(model: str, features: DataFrame, output: str, size: ModelSize = Mo
     write_predictions(prediction_table(model, trained.scored), output, model)
     write_metrics(trained.metrics, output, model)
     save_model(trained.model, output, model)
-    trained.scored.unpersist()
     return trained
 
 

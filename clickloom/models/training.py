@@ -5,7 +5,6 @@ from __future__ import annotations
 import statistics
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RegressionEvaluator
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.models.metrics import balanced_weights, classification_metrics, regression_metrics
 from clickloom.operators.ordered import shuffled_rank
+from clickloom.session import stage
 
 SEED = 42
 TEST_SHARE = 0.2
@@ -26,8 +26,7 @@ class Trained:
     """A fitted model with its outputs.
 
     ``scored`` holds every input row (training rows included) and ``tested`` the
-    held-out ones; ``metrics`` and ``importance`` are small tables. ``scored`` is
-    persisted, as the metrics and the stored predictions both read it.
+    held-out ones; both are written tables. ``metrics`` and ``importance`` are small.
     """
 
     model: Model
@@ -120,15 +119,12 @@ def train_classifier(
 ) -> Trained:
     """Random forest with balanced class weights.
 
-    ``features`` should be a stored table. The assembled rows are persisted because
-    fitting passes over them many times; a lost block is rebuilt from that table.
+    The split rows are written once, because fitting passes over them many times.
     """
     spark = features.sparkSession
     names = feature_names(features, row_id)
     split = split_and_fold(features, row_id, "label", folds, seed=seed)
-    rows = assemble(split, names, [row_id, "label", "is_test", "fold", *(keep or [])]).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    rows = stage(assemble(split, names, [row_id, "label", "is_test", "fold", *(keep or [])]), "model_rows")
     forest = RandomForestClassifier(
         numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=10, seed=seed, weightCol="weight"
     )
@@ -136,14 +132,14 @@ def train_classifier(
     model = forest.fit(weighted.filter(~F.col("is_test")))
 
     probability = vector_to_array("probability")[1]
-    scored = model.transform(rows).select(
+    scores = model.transform(rows).select(
         row_id, *(keep or []), F.col("label").cast("int").alias("actual"), probability.alias("score"),
         F.when(probability >= 0.5, 1).otherwise(0).alias("predicted"), "is_test",
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    scored = stage(scores, "scored")
     tested = scored.filter("is_test")
     cv_mean, cv_std = cross_validate(forest, BinaryClassificationEvaluator(), weighted, folds)
     sizes = scored.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
-    rows.unpersist()
     metrics = classification_metrics(tested).unionByName(
         _extra_metrics(
             spark, cv_roc_auc_mean=cv_mean, cv_roc_auc_std=cv_std,
@@ -161,18 +157,18 @@ def train_regressor(
     spark = features.sparkSession
     names = feature_names(features, row_id)
     split = split_and_fold(features, row_id, "label", folds, seed=seed, stratified=False)
-    rows = assemble(split, names, [row_id, "label", "is_test", "fold"]).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = stage(assemble(split, names, [row_id, "label", "is_test", "fold"]), "model_rows")
     booster = GBTRegressor(
         maxIter=iterations, maxDepth=max_depth, stepSize=learning_rate, minInstancesPerNode=10, seed=seed
     )
     model = booster.fit(rows.filter(~F.col("is_test")))
-    scored = model.transform(rows).select(
+    scores = model.transform(rows).select(
         row_id, F.col("label").alias("actual"), F.col("prediction").alias("predicted"), "is_test"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    scored = stage(scores, "scored")
     tested = scored.filter("is_test")
     cv_mean, cv_std = cross_validate(booster, RegressionEvaluator(metricName="r2"), rows, folds)
     sizes = scored.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
-    rows.unpersist()
     metrics = regression_metrics(tested).unionByName(
         _extra_metrics(
             spark, cv_r2_mean=cv_mean, cv_r2_std=cv_std,

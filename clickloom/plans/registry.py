@@ -169,8 +169,9 @@ def _balanced_weights(l: Lake) -> DataFrame:
     return met.balanced_weights(l["conversion_features"], "label")
 
 
-def _without_value(df: DataFrame) -> DataFrame:
-    return df.drop("value")
+def _untimed(df: DataFrame) -> DataFrame:
+    """Without the time of the run, so that results can be compared."""
+    return df.drop("prediction_timestamp")
 
 
 def _score(build: Callable[[SparkSession, str], DataFrame], use: Callable[[DataFrame], DataFrame]) -> LakeQuery:
@@ -299,7 +300,7 @@ QUESTIONS: dict[str, LakeQuery] = {
     "ask_vip_predicted_ltv": lambda l: ask.ask_vip_predicted_ltv(l.predictions("ltv")),
     "extract_sql": _sql_text(lambda df: sqltext.extract_sql(df, "reply")),
     "validate_sql_text": _sql_text(lambda df: sqltext.validate_sql_text(df, "reply")),
-    "limit_result": lambda l: ask.limit_result(l["dim_users"]),
+    "limit_result": lambda l: ask.limit_result(l["dim_users"]).agg(F.count("*").alias("num_rows")),
 }
 
 DASHBOARDS: dict[str, LakeQuery] = {
@@ -369,6 +370,12 @@ FROM_SCORES: dict[str, LakeQuery] = {
     "churn_predictions_from_scores": lambda l: _scored(l, "churn"),
     "ltv_predictions_from_scores": lambda l: _scored(l, "ltv"),
     "ml_performance_summary_from_scores": lambda l: views.ml_performance_summary(*[_scored(l, m) for m in pred.MODELS]),
+    "ml_prediction_tables_conversion_from_scores": lambda l: _untimed(wh.ml_conversion_table(_scored(l, "conversion"))),
+    "ml_prediction_tables_churn_from_scores": lambda l: _untimed(wh.ml_churn_table(_scored(l, "churn"))),
+    "ml_prediction_tables_ltv_from_scores": lambda l: _untimed(wh.ml_ltv_table(_scored(l, "ltv"))),
+    "ask_highest_churn_risk_from_scores": lambda l: ask.ask_highest_churn_risk(
+        wh.ml_churn_table(_scored(l, "churn")), l["dim_users"]
+    ),
     "ask_vip_predicted_ltv_from_scores": lambda l: ask.ask_vip_predicted_ltv(_scored(l, "ltv")),
 }
 

@@ -188,6 +188,15 @@ SELECT p.category, count(DISTINCT p.product_id) AS total_products, {n_type('page
 FROM catalog p LEFT JOIN ev e ON e.product_id = p.product_id
 JOIN (SELECT category, rnd({money_avg('price')}, 2) AS avg_price FROM catalog GROUP BY 1) m ON m.category = p.category
 GROUP BY p.category""",
+        "ml_prediction_tables_conversion_from_scores": """
+SELECT session_id, rnd(conversion_probability, 4) AS conversion_probability, predicted_converted = 1 AS predicted_converted,
+       conversion_risk, actual_converted = 1 AS actual_converted FROM conv""",
+        "ml_prediction_tables_churn_from_scores": """
+SELECT user_id, rnd(churn_probability, 4) AS churn_probability, predicted_churned = 1 AS predicted_churned, churn_risk,
+       rnd(retention_priority, 2) AS retention_priority_score, actual_churned = 1 AS actual_churned FROM churn""",
+        "ml_prediction_tables_ltv_from_scores": """
+SELECT user_id, rnd(predicted_ltv_90days, 2) AS predicted_ltv_90days, ltv_category,
+       rnd(actual_revenue, 2) AS actual_revenue FROM ltv""",
         "check_primary_keys": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, '{k}' AS key_columns, count(*) AS duplicate_keys FROM "
             f"(SELECT {k} FROM {cte} GROUP BY 1 HAVING count(*) > 1)" for t, cte, k in keys
@@ -506,6 +515,11 @@ SELECT device, count(*) AS total_sessions, {n_where('converted')} AS converted_s
         "ask_vip_predicted_ltv_from_scores": f"""
 SELECT count(*) AS vip_users, {money('predicted_ltv_90days')} AS total_predicted_ltv,
        rnd({money_avg('predicted_ltv_90days')}, 2) AS avg_predicted_ltv FROM ltv WHERE ltv_category = 'VIP'""",
+        "ask_highest_churn_risk_from_scores": """
+SELECT c.user_id, u.user_segment, rnd(churn_probability, 4) AS churn_probability, churn_risk,
+       rnd(retention_priority, 2) AS retention_priority
+FROM churn c JOIN usr u USING (user_id) ORDER BY churn_probability DESC, c.user_id LIMIT 20""",
+        "limit_result": "SELECT least(count(*), 100) AS num_rows FROM usr",
         "extract_sql": f"""
 SELECT event_id, reply, CASE event_id % 8 WHEN 2 THEN 'SELECT * FROM fact_sessions'
          WHEN 3 THEN 'SELECT device, COUNT(*)' || chr(10) || 'FROM fact_sessions GROUP BY device'
@@ -582,6 +596,8 @@ def _dashboards() -> dict[str, str]:
                                "ORDER BY total_interactions DESC, product_id, category LIMIT 15",
         "dash_category_interactions": "SELECT category, sum(total_interactions)::bigint AS total_interactions FROM prod GROUP BY 1",
         "dash_click_to_cart_histogram": hist("SELECT click_to_cart_rate AS v FROM prod WHERE click_to_cart_rate > 0", 30),
+        "dash_price_interactions_sample":
+            "SELECT product_id, category, round(avg_price, 6) AS avg_price, total_interactions, unique_users FROM prod",
         "report_summary": report,
         "nb_overall_metrics": f"""
 SELECT {money('total_revenue')} AS total_revenue, sum(total_purchases)::bigint AS total_purchases,

@@ -1,7 +1,6 @@
 """Feature, split and training properties."""
 
 import pytest
-from pyspark.ml.feature import VectorAssembler  # noqa: F401
 from pyspark.sql import functions as F
 
 from clickloom.models import features as feat, metrics as met, training

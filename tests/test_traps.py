@@ -5,7 +5,6 @@ import itertools
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from clickloom.functions.exprs import percent, rounded_ratio
 from clickloom.models.predictions import ltv_bands, risk_bands
