@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import mixing, packing, quality, simhash
-from clickloom.llm.frames import read
+from clickloom.llm import binary, chat, licences, mixing, packing, quality, sharding, simhash, warc
+from clickloom.llm.frames import read, take
+from clickloom.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+VOCABULARY = 50_257
+SHARD_BYTES = 1 << 20
 MIX = mixing.MixTarget(repetitions=2.0)
 
 
@@ -20,6 +23,71 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(read(spark, sf_dir, "documents"), MIX)
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"), licences.PHRASES + licences.NOTICES).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary.round_trip(read(spark, sf_dir, "documents"), TOKENIZER, VOCABULARY)
+
+
+def conversation_records(turns: DataFrame) -> DataFrame:
+    """Conversations as records of three layouts, by their shape.
+
+    A user and an assistant turn are a prompt and a response, with a system turn in
+    front a prompt with a system field; all others are lists of messages. Null roles
+    and texts are empty; turns with equal numbers are ordered by role and text.
+    """
+    rows = take(turns, {"conv_id": "conv_id", "turn": "turn", "role": "role", "text": "text"}).select(
+        F.col("conv_id").cast("long"),
+        F.struct(
+            F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+            F.coalesce(F.col("text").cast("string"), F.lit("")).alias("content"),
+        ).alias("m"),
+    )
+    lists = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("m"))
+    roles = F.transform("m", lambda x: x["role"])
+    plain = roles == F.array(F.lit("user"), F.lit("assistant"))
+    system = roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))
+    content = lambda i: F.get("m", F.lit(i))["content"]
+    messages = F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
+    return lists.select(
+        "conv_id",
+        F.when(~(plain | system), messages).alias("messages"),
+        F.when(system, content(0)).alias("system"),
+        F.when(plain, content(0)).when(system, content(1)).alias("prompt"),
+        F.when(plain, content(1)).when(system, content(2)).alias("response"),
+    )
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = take(read(spark, sf_dir, "conversations"), {c: c for c in ("conv_id", "turn", "role", "text")})
+    said = F.lit("</s>[INST] ok [/INST]").alias("text")
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said,
+    )
+    turns = chat.canonical(conversation_records(given.union(more)), "conv_id")
+    found = chat.parsed(stage(chat.formatted(turns), "chat"))
+    learnt = F.array_join("loss", "")
+    said_turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return found.select(
+        F.col("key").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said_turns, ""), 256).alias("turns_sha256"), F.length(learnt).cast("long").alias("loss_chars"),
+        F.sha2(learnt, 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(read(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -33,5 +101,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op8_packing, op9_quality_rules, op10_simhash)
+    f.__name__: f
+    for f in (
+        op1_mixing, op2_licences, op3_warc, op4_token_files, op5_chat, op6_sharding, op8_packing, op9_quality_rules,
+        op10_simhash,
+    )
 }
