@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.llm import files
-from clickloom.llm.frames import take
+from clickloom.llm.frames import in_tasks, take
 from clickloom.llm.tokens import encoder, share, slices
 from clickloom.session import stage
 
@@ -149,7 +149,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int,
     # a second key, so that many rows of one id do not meet in one task
     order = ["doc_id", F.xxhash64("text")]
     parts = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return stage(parts.mapInArrow(written, "part long, path string, n_docs long, n_ids long"), "token-files")
+    return stage(in_tasks(parts, written, "part long, path string, n_docs long, n_ids long"), "token-files")
 
 
 def read_tokens(written: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ def read_tokens(written: DataFrame) -> DataFrame:
                     )
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    return files.one_task_each(listed).mapInArrow(checked, schema)
+    return in_tasks(files.one_task_each(listed), checked, schema)
 
 
 def round_trip(docs: DataFrame, tokenizer: str, vocabulary: int, end: int = 0) -> DataFrame:

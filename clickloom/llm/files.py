@@ -40,6 +40,13 @@ def create(folder: str, suffix: str) -> tuple[str, pa.NativeFile]:
     return uri, system.open_output_stream(path)
 
 
+def write(uri: str, content: bytes) -> None:
+    system, path = _located(uri)
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(path) as out:
+        out.write(content)
+
+
 def open_random(uri: str) -> pa.NativeFile:
     system, path = _located(uri)
     return system.open_input_file(path)

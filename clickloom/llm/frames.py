@@ -1,9 +1,20 @@
-"""Column access that survives clashing names, and sums over a shared order."""
+"""Column access that survives clashing names, Python tasks, and sums over a shared order."""
 
 from __future__ import annotations
 
+import io
+import uuid
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from clickloom.session import shared_dir
+
+_shipped: set[str] = set()
+
 
 def position(df: DataFrame, name: str) -> int:
     """Place of the column of that name: spelt alike, else alike but for case."""
@@ -44,3 +55,27 @@ def before(totals: DataFrame, group: list[str], order: list[str], value: str, na
     """
     window = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return totals.withColumn(name, F.coalesce(F.sum(value).over(window), F.lit(0).cast("long")))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their Python finds it."""
+    from clickloom.llm.files import write
+
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parents[1]
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    uri = f"{shared_dir(spark)}/clickloom-files/package-{uuid.uuid4().hex}.zip"
+    write(uri, raw.getvalue())
+    context.addPyFile(uri)
+    _shipped.add(context.applicationId)
+
+
+def in_tasks(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df`` turned by a function over the Arrow batches of each partition."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.llm.frames import take
+from clickloom.llm.frames import in_tasks, take
 from clickloom.llm.tokens import encoder, share, slices
 
 GROUP_ROWS = 2048
@@ -194,4 +194,4 @@ def pack(
         yield from flush(True)
 
     rows = take(docs, {"doc_id": "doc_id", "text": "text"}).select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(packed, SCHEMA + ", ids binary" * with_ids)
+    return in_tasks(rows, packed, SCHEMA + ", ids binary" * with_ids)

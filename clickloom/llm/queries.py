@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import binary, chat, licences, mixing, packing, quality, sharding, simhash, warc
+from clickloom.llm import binary, chat, licences, mixing, packing, quality, sharding, simhash, vectors, warc
 from clickloom.llm.frames import read, take
 from clickloom.session import stage
 
@@ -88,6 +88,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(read(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -103,7 +107,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_mixing, op2_licences, op3_warc, op4_token_files, op5_chat, op6_sharding, op8_packing, op9_quality_rules,
+        op1_mixing, op2_licences, op3_warc, op4_token_files, op5_chat, op6_sharding, op7_vectors, op8_packing, op9_quality_rules,
         op10_simhash,
     )
 }

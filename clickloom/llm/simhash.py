@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.llm.frames import numbered, position, take
+from clickloom.llm.frames import in_tasks, numbered, position, take
 from clickloom.llm.graph import components, settle
 from clickloom.session import stage
 
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], column], ["doc_id", "text_hash", "fp"])
 
     rows = take(docs, {"doc_id": "doc_id", "text": "text"})
-    return rows.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text").mapInArrow(hashed, schema)
+    return in_tasks(rows.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text"), hashed, schema)
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -171,11 +171,8 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
         if rows:
             yield from flush(pa.Table.from_batches(held).combine_chunks())
 
-    return (
-        dealt.repartition("key", "lo", "hi")
-        .sortWithinPartitions("key", "lo", "hi", "own")
-        .mapInArrow(tie, "a long, b long")
-    )
+    sorted_keys = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "own")
+    return in_tasks(sorted_keys, tie, "a long, b long")
 
 
 def _with_components(docs: DataFrame, size: int, distance: int) -> DataFrame:

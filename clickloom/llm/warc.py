@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.llm import files
-from clickloom.llm.frames import row_key, take
+from clickloom.llm.frames import in_tasks, row_key, take
 from clickloom.session import stage
 
 # Fixed values of the formats.
@@ -178,7 +178,7 @@ def write_pages(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFram
         if records:
             yield flush()
 
-    return stage(ready.mapInArrow(written, "path string, n_records long"), "warc-files")
+    return stage(in_tasks(ready, written, "path string, n_records long"), "warc-files")
 
 
 def read_pages(written: DataFrame) -> DataFrame:
@@ -214,7 +214,7 @@ def read_pages(written: DataFrame) -> DataFrame:
                 columns = list(zip(*rows)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return files.one_task_each(written.select("path")).mapInArrow(parsed, schema)
+    return in_tasks(files.one_task_each(written.select("path")), parsed, schema)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
