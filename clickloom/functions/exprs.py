@@ -45,7 +45,8 @@ def count_type(event_type: str) -> Column:
     return F.count_if(is_type(event_type))
 
 
-def _cents(amount: str | Column) -> Column:
+def cents(amount: str | Column) -> Column:
+    """The amount in whole cents."""
     return F.rint(_col(amount).cast("double") * 100).cast("long")
 
 
@@ -55,11 +56,11 @@ def money_sum(amount: str | Column) -> Column:
     Adding longs is independent of the order in which partitions arrive and
     stays in the fast hash-aggregate path, unlike wide decimals.
     """
-    return F.sum(_cents(amount)) / F.lit(100.0)
+    return F.sum(cents(amount)) / F.lit(100.0)
 
 
 def money_sum_or_zero(amount: str | Column) -> Column:
-    return F.coalesce(F.sum(_cents(amount)), F.lit(0).cast("long")) / F.lit(100.0)
+    return F.coalesce(F.sum(cents(amount)), F.lit(0).cast("long")) / F.lit(100.0)
 
 
 def money_avg(amount: str | Column, digits: int = 2) -> Column:

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.functions.exprs import ratio
 
-MAX_LEVELS = 1000
-
 # The numeric features of each model, in order.
 CONVERSION_NUMERIC = [
     "num_events", "num_page_views", "num_product_clicks", "num_add_to_cart",
@@ -33,13 +31,10 @@ def at_least_one(c: str) -> Column:
 def levels_of(df: DataFrame, column: str) -> list[str]:
     """The distinct values of a categorical column, sorted.
 
-    They become column names, so the driver has to know them. The read is bounded:
-    a column with more than MAX_LEVELS values is refused rather than truncated.
+    They become column names, so the driver has to know them. Columns of free text
+    are better left as they are: training encodes them as sparse vectors.
     """
-    found = df.select(column).distinct().filter(F.col(column).isNotNull()).limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} values and cannot be one-hot encoded")
-    return sorted(row[0] for row in found)
+    return sorted(row[0] for row in df.select(column).distinct().filter(F.col(column).isNotNull()).collect())
 
 
 def one_hot(df: DataFrame, column: str, prefix: str, levels: list[str] | None = None) -> DataFrame:
@@ -59,8 +54,12 @@ def _feature_table(df: DataFrame, row_id: str, numeric: list[str], dummies: list
     return df.select(row_id, *[filled(c) for c in numeric], *[F.col(f"`{d}`") for d in dummies], label.alias("label"))
 
 
-def conversion_features(sessions: DataFrame) -> DataFrame:
-    """Behaviour and channel of a session; label: it contained a purchase."""
+def conversion_features(sessions: DataFrame, encode: bool = True) -> DataFrame:
+    """Behaviour and channel of a session; label: it contained a purchase.
+
+    Without ``encode`` the channel columns stay text, whatever number of values
+    they have, and training encodes them.
+    """
     df = sessions.withColumns(
         {
             "events_per_minute": F.col("num_events") / (at_least_one("session_duration_seconds") / 60.0),
@@ -69,7 +68,9 @@ def conversion_features(sessions: DataFrame) -> DataFrame:
     )
     dummies: list[str] = []
     for column in ("device", "browser", "referrer"):
-        if column in sessions.columns:
+        if column in sessions.columns and not encode:
+            dummies.append(column)
+        elif column in sessions.columns:
             levels = levels_of(sessions, column)
             df = one_hot(df, column, column, levels)
             dummies += [f"{column}_{v}" for v in levels]

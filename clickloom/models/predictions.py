@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.models.features import churn_features, conversion_features, ltv_features
-from clickloom.models.training import Trained, train_classifier, train_regressor
+from clickloom.models.training import MAX_ROWS, Trained, train_classifier, train_regressor
 from clickloom.sources.writers import save_model, write_features, write_metrics, write_predictions
 
 
@@ -65,13 +65,17 @@ def ltv_predictions(scored: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ModelSize:
-    """Training effort. The defaults are the specified model sizes."""
+    """Training effort. The defaults are the specified model sizes.
+
+    ``max_rows`` bounds the labelled rows a model is fitted on; all rows are scored.
+    """
 
     trees: int = 100
     tree_depth: int = 10
     boosting_rounds: int = 100
     boosting_depth: int = 5
     folds: int = 5
+    max_rows: int = MAX_ROWS
 
 
 MODELS = ("conversion", "churn", "ltv")
@@ -79,16 +83,16 @@ MODELS = ("conversion", "churn", "ltv")
 
 def build_features(model: str, sessions: DataFrame | None, users: DataFrame | None) -> DataFrame:
     if model == "conversion":
-        return conversion_features(sessions)
+        return conversion_features(sessions, encode=False)
     return churn_features(users) if model == "churn" else ltv_features(users)
 
 
 def train(model: str, features: DataFrame, size: ModelSize = ModelSize()) -> Trained:
     if model == "ltv":
-        return train_regressor(features, "user_id", size.boosting_rounds, size.boosting_depth, folds=size.folds)
+        return train_regressor(features, "user_id", size.boosting_rounds, size.boosting_depth, folds=size.folds, max_rows=size.max_rows)
     row_id = "session_id" if model == "conversion" else "user_id"
     keep = ["total_revenue"] if model == "churn" else None
-    return train_classifier(features, row_id, size.trees, size.tree_depth, size.folds, keep=keep)
+    return train_classifier(features, row_id, size.trees, size.tree_depth, size.folds, keep=keep, max_rows=size.max_rows)
 
 
 def prediction_table(model: str, scored: DataFrame) -> DataFrame:

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import statistics
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
-from clickloom.models.metrics import balanced_weights, classification_metrics, regression_metrics
+from clickloom.models.metrics import balanced_weights, classification_metrics, regression_metrics, roc_auc
 from clickloom.operators.ordered import shuffled_rank
 from clickloom.session import stage
 
 SEED = 42
 TEST_SHARE = 0.2
+MAX_ROWS = 5_000_000  # labelled rows a model is fitted on
 
 
 @dataclass(frozen=True)
@@ -40,6 +43,23 @@ def feature_names(features: DataFrame, row_id: str) -> list[str]:
     return [c for c in features.columns if c not in (row_id, "label")]
 
 
+def encoded(rows: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, list[str]]]:
+    """Text features as sparse 0/1 vectors, one place per value; returns the values, too.
+
+    A null is the vector of zeros. The number of values is not limited.
+    """
+    texts = [n for n in names if isinstance(rows.schema[n].dataType, StringType)]
+    values: dict[str, list[str]] = {}
+    for i, name in enumerate(texts):
+        rows = rows.withColumnRenamed(name, "_text")
+        known = StringIndexer(inputCol="_text", outputCol="_index", handleInvalid="keep", stringOrderType="alphabetAsc").fit(rows)
+        values[name] = list(known.labels)
+        # the place behind the last value stands for nulls and is dropped
+        places = OneHotEncoder(inputCol="_index", outputCol=f"_vector{i}", dropLast=True).fit(known.transform(rows))
+        rows = places.transform(known.transform(rows)).drop("_text", "_index").withColumnRenamed(f"_vector{i}", name)
+    return rows, values
+
+
 def assemble(rows: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
     """The kept columns and the named features as one vector column.
 
@@ -61,9 +81,10 @@ def _test_rows(test_share: float) -> Column:
 def train_test_split(
     df: DataFrame, row_id: str, label: str, test_share: float = TEST_SHARE, seed: int = SEED, stratified: bool = True
 ) -> DataFrame:
-    """Add ``is_test``: an exact share of the rows, per class when stratified.
+    """Add ``is_test``: an exact share of the ids, per class when stratified.
 
-    The draw depends on the row id and the seed only, not on partitioning.
+    All rows of an id are on one side. The draw depends on the id and the seed only,
+    not on partitioning.
     """
     ranked = shuffled_rank(df, [label] if stratified else [], row_id, seed, "_rank", "_size")
     return ranked.withColumn("is_test", _test_rows(test_share)).drop("_rank", "_size")
@@ -73,26 +94,43 @@ def split_and_fold(
     df: DataFrame, row_id: str, label: str, k: int, test_share: float = TEST_SHARE, seed: int = SEED,
     stratified: bool = True,
 ) -> DataFrame:
-    """Add ``is_test`` and ``fold`` in 0..k-1, both exact shares, from one ranking."""
+    """Add ``is_test`` and ``fold`` in 0..k-1, both exact shares of the ids, from one ranking."""
     ranked = shuffled_rank(df, [label] if stratified else [], row_id, seed, "_rank", "_size")
     return ranked.withColumns(
         {"is_test": _test_rows(test_share), "fold": ((F.col("_rank") - 1) % k).cast("int")}
     ).drop("_rank", "_size")
 
 
-def cross_validate(estimator: Estimator, evaluator: Evaluator, folded: DataFrame, k: int) -> tuple[float, float]:
-    """Mean and standard deviation of the evaluator over the k folds given in ``fold``.
+def cross_validate(
+    estimator: Estimator, evaluate: Callable[[DataFrame], float], folded: DataFrame, k: int, balanced: bool = False
+) -> tuple[float, float]:
+    """Mean and standard deviation of a score over the k folds given in ``fold``.
 
-    One fit per fold; CrossValidator would fit the whole table once more.
+    One fit per fold; CrossValidator would fit the whole table once more. With
+    ``balanced`` the class weights are those of the rows each fold is fitted on.
     """
     scores = []
     for fold in range(k):
         held_out = F.col("fold") == fold
-        model = estimator.fit(folded.filter(~held_out))
-        scores.append(evaluator.evaluate(model.transform(folded.filter(held_out))))
+        fitted_on = folded.filter(~held_out)
+        model = estimator.fit(with_class_weights(fitted_on, fitted_on) if balanced else fitted_on)
+        scores.append(evaluate(model.transform(folded.filter(held_out))))
     return statistics.fmean(scores), statistics.pstdev(scores)
 
 
+def _auc(scored: DataFrame) -> float:
+    """The exact area under the curve, as ``classification_metrics`` reports it."""
+    rows = scored.select(vector_to_array("probability")[1].alias("score"), F.col("label").cast("int").alias("actual"))
+    return roc_auc(rows).first()["roc_auc"] or 0.0
+
+
+def bounded(df: DataFrame, row_id: str, max_rows: int, seed: int = SEED) -> DataFrame:
+    """At most about ``max_rows`` labelled rows to fit on, whole ids drawn by their hash."""
+    share = min(1.0, max_rows / max(1, df.count()))
+    draw = F.conv(F.substring(F.md5(F.concat_ws("-", F.col(row_id), F.lit(f"rows{seed}"))), 1, 8), 16, 10).cast("long")
+    return df.filter(draw < int(share * (1 << 32)))
+
+
 def with_class_weights(df: DataFrame, train: DataFrame) -> DataFrame:
     """Add ``weight``, balanced over the training rows. One value per class is read
     to the driver, so that fitting scans the rows without a join."""
@@ -115,21 +153,24 @@ def _extra_metrics(spark: SparkSession, **values: float) -> DataFrame:
 
 def train_classifier(
     features: DataFrame, row_id: str, num_trees: int = 100, max_depth: int = 10,
-    folds: int = 5, seed: int = SEED, keep: list[str] | None = None,
+    folds: int = 5, seed: int = SEED, keep: list[str] | None = None, max_rows: int = MAX_ROWS,
 ) -> Trained:
-    """Random forest with balanced class weights.
+    """Random forest with balanced class weights, fitted on at most ``max_rows`` rows.
 
-    The split rows are written once, because fitting passes over them many times.
+    The split rows are written once, because fitting passes over them many times. All
+    rows are scored.
     """
     spark = features.sparkSession
     names = feature_names(features, row_id)
+    features, values = encoded(features, names)
     split = split_and_fold(features, row_id, "label", folds, seed=seed)
     rows = stage(assemble(split, names, [row_id, "label", "is_test", "fold", *(keep or [])]), "model_rows")
     forest = RandomForestClassifier(
         numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=10, seed=seed, weightCol="weight"
     )
-    weighted = with_class_weights(rows, rows.filter(~F.col("is_test")))
-    model = forest.fit(weighted.filter(~F.col("is_test")))
+    labelled = bounded(rows, row_id, max_rows)
+    train = labelled.filter(~F.col("is_test"))
+    model = forest.fit(with_class_weights(train, train))
 
     probability = vector_to_array("probability")[1]
     scores = model.transform(rows).select(
@@ -138,7 +179,7 @@ def train_classifier(
     )
     scored = stage(scores, "scored")
     tested = scored.filter("is_test")
-    cv_mean, cv_std = cross_validate(forest, BinaryClassificationEvaluator(), weighted, folds)
+    cv_mean, cv_std = cross_validate(forest, _auc, labelled, folds, balanced=True)
     sizes = scored.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
     metrics = classification_metrics(tested).unionByName(
         _extra_metrics(
@@ -146,14 +187,15 @@ def train_classifier(
             train_size=sizes["n"] - sizes["test"], test_size=sizes["test"],
         )
     )
-    return Trained(model, scored, tested, metrics, feature_importance(model, names, spark))
+    places = [p for n in names for p in ([f"{n}_{v}" for v in values[n]] if n in values else [n])]
+    return Trained(model, scored, tested, metrics, feature_importance(model, places, spark))
 
 
 def train_regressor(
     features: DataFrame, row_id: str, iterations: int = 100, max_depth: int = 5,
-    learning_rate: float = 0.1, folds: int = 5, seed: int = SEED,
+    learning_rate: float = 0.1, folds: int = 5, seed: int = SEED, max_rows: int = MAX_ROWS,
 ) -> Trained:
-    """Gradient-boosted trees on squared loss."""
+    """Gradient-boosted trees on squared loss, fitted on at most ``max_rows`` rows."""
     spark = features.sparkSession
     names = feature_names(features, row_id)
     split = split_and_fold(features, row_id, "label", folds, seed=seed, stratified=False)
@@ -161,13 +203,14 @@ def train_regressor(
     booster = GBTRegressor(
         maxIter=iterations, maxDepth=max_depth, stepSize=learning_rate, minInstancesPerNode=10, seed=seed
     )
-    model = booster.fit(rows.filter(~F.col("is_test")))
+    labelled = bounded(rows, row_id, max_rows)
+    model = booster.fit(labelled.filter(~F.col("is_test")))
     scores = model.transform(rows).select(
         row_id, F.col("label").alias("actual"), F.col("prediction").alias("predicted"), "is_test"
     )
     scored = stage(scores, "scored")
     tested = scored.filter("is_test")
-    cv_mean, cv_std = cross_validate(booster, RegressionEvaluator(metricName="r2"), rows, folds)
+    cv_mean, cv_std = cross_validate(booster, RegressionEvaluator(metricName="r2").evaluate, labelled, folds)
     sizes = scored.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
     metrics = regression_metrics(tested).unionByName(
         _extra_metrics(

@@ -14,33 +14,33 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RANK_SLICE_BITS = 12
 ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 16_384
+SAMPLE_PER_SLICE = 100
 SAMPLE_ROWS = 1_000_000
-SKETCH_ACCURACY = 10_000
+SLICE_SECONDS = 3600
 
 
 def sample_quantiles(df: DataFrame, value: str, at: list[float], rows: int) -> list[float]:
     """Approximate quantiles as increasing numbers, at most one per entry of ``at``.
 
     Only used to cut the order into slices. Results do not depend on where the
-    cuts fall, so a sample of bounded size is enough, as it is for Spark's own
-    range partitioning. The numbers are read once, so that every use sees the
-    same cuts.
+    cuts fall, so a sample that grows with the number of cuts is enough, as it is
+    for Spark's own range partitioning. The numbers are read once, so that every
+    use sees the same cuts.
     """
     if not at:
         return []
-    if rows > SAMPLE_ROWS:
-        df = df.sample(SAMPLE_ROWS / rows, seed=1)
-    quantiles = df.agg(F.percentile_approx(value, F.array(*[F.lit(q) for q in at]), SKETCH_ACCURACY)).first()[0]
+    wanted = SAMPLE_ROWS + SAMPLE_PER_SLICE * len(at)
+    sampled = df.sample(min(1.0, wanted / max(1, rows)), seed=1)
+    accuracy = SAMPLE_PER_SLICE * (len(at) + 1)
+    quantiles = sampled.agg(F.percentile_approx(value, F.array(*[F.lit(q) for q in at]), accuracy)).first()[0]
     return sorted({float(q) for q in quantiles or []})
 
 
 def even_cuts(df: DataFrame, value: str, rows_per_slice: int) -> list[float]:
-    """Cuts that split the rows into slices of about ``rows_per_slice``; none for a small table."""
+    """Cuts that split the rows into slices of about ``rows_per_slice``."""
     rows = df.count()
-    slices = min(MAX_SLICES, math.ceil(rows / rows_per_slice))
+    slices = math.ceil(rows / rows_per_slice)
     return sample_quantiles(df, value, [i / slices for i in range(1, slices)], rows)
 
 
@@ -54,48 +54,50 @@ def with_slices(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
 
 
 def sequence_in_group(
-    df: DataFrame, group: str, timestamp: str, tie_break: str, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, group: str, timestamp: str, tie_break: str, slice_seconds: int = SLICE_SECONDS
 ) -> DataFrame:
-    """Add ``event_sequence`` (1-based) and ``prev_timestamp`` by (timestamp, tie_break)."""
-    timed = df.withColumn("_at", F.unix_micros(timestamp).cast("double"))
-    cuts = even_cuts(timed, "_at", rows_per_slice)
-    if not cuts:
-        whole = Window.partitionBy(group).orderBy(timestamp, tie_break)
-        return df.withColumns(
-            {"event_sequence": F.row_number().over(whole).cast("long"), "prev_timestamp": F.lag(timestamp).over(whole)}
-        )
-    sliced = with_slices(timed, "_at", cuts).drop("_at")
-    by_slice = Window.partitionBy(group).orderBy("_slice")
+    """Add ``event_sequence`` (1-based) and ``prev_timestamp`` by (timestamp, tie_break).
+
+    Slices are stretches of time, so a busy group spreads over its hours. Rows
+    without a time come first, in a slice of their own.
+    """
+    stretch = F.floor(F.unix_micros(timestamp) / F.lit(slice_seconds * 1_000_000))
+    sliced = df.withColumn("_slice", stretch)
+    by_slice = Window.partitionBy("_group").orderBy("_at")
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     summary = (
-        sliced.groupBy(group, "_slice")
+        sliced.groupBy(F.col(group).alias("_group"), F.col("_slice").alias("_at"))
         .agg(F.count("*").alias("n"), F.max(timestamp).alias("last_at"))
         .select(
-            group, "_slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"),
+            "_group", "_at", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"),
             F.lag("last_at").over(by_slice).alias("_last_before"),
         )
     )
     inside = Window.partitionBy(group, "_slice").orderBy(timestamp, tie_break)
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col("_slice").eqNullSafe(F.col("_at"))
     return (
-        sliced.join(summary, [group, "_slice"])
+        sliced.join(summary, same)
         .withColumn("event_sequence", F.col("_before") + F.row_number().over(inside))
         .withColumn("prev_timestamp", F.coalesce(F.lag(timestamp).over(inside), F.col("_last_before")))
-        .drop("_slice", "_before", "_last_before")
+        .drop("_slice", "_at", "_group", "_before", "_last_before")
     )
 
 
-def shuffled_rank(df: DataFrame, groups: list[str], key: str, seed: int, rank: str, size: str) -> DataFrame:
-    """Add a 1-based rank within ``groups``, in an order drawn from a hash of the
-    key, and the size of the group. Rows with equal keys are told apart by the
-    hash of all their columns, so the order is the same on every run.
+def shuffled_rank(
+    df: DataFrame, groups: list[str], key: str, seed: int, rank: str, size: str, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """Add the 1-based rank of the row's key within ``groups``, in an order drawn from a
+    hash of the key, and how many keys the group has. All rows of a key share its rank
+    and, if they differ, the largest values of ``groups``.
 
-    The leading bits of the hash cut a group into equally filled slices, so a
-    class holding most of the rows is ranked by many tasks. The windows over whole
-    groups see one row per slice.
+    Only the distinct keys are ranked and joined back. The leading bits of the hash cut
+    a group into slices of bounded size, so a class that holds most keys is ranked by
+    many tasks. The windows over whole groups see one row per slice.
     """
-    whole_row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    hashed = df.withColumn("_hash", F.xxhash64(F.col(key), F.lit(seed))).withColumn(
-        "_slice", F.shiftright("_hash", 64 - RANK_SLICE_BITS)
+    ids = df.groupBy(F.col(key).alias("_key")).agg(*[F.max(g).alias(g) for g in groups], F.count("*").alias("_rows"))
+    bits = max(0, math.ceil(math.log2(max(1, ids.count()) / rows_per_slice)))
+    hashed = ids.withColumn("_hash", F.md5(F.concat_ws("-", "_key", F.lit(str(seed))))).withColumn(
+        "_slice", F.shiftright(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long"), 32 - min(32, bits))
     )
     whole = Window.partitionBy(*groups)
     before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -105,12 +107,11 @@ def shuffled_rank(df: DataFrame, groups: list[str], key: str, seed: int, rank: s
         .withColumns({"_before": F.coalesce(F.sum("n").over(before), F.lit(0)), size: F.sum("n").over(whole)})
         .drop("n")
     )
-    inside = Window.partitionBy(*groups, "_slice").orderBy("_hash", key, whole_row)
-    return (
-        hashed.join(summary, [*groups, "_slice"])
-        .withColumn(rank, F.col("_before") + F.row_number().over(inside))
-        .drop("_hash", "_slice", "_before")
+    inside = Window.partitionBy(*groups, "_slice").orderBy("_hash", "_key")
+    ranked = hashed.join(summary, [*groups, "_slice"]).select(
+        "_key", (F.col("_before") + F.row_number().over(inside)).alias(rank), size
     )
+    return df.join(ranked, F.col(f"`{key}`").eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def running_totals(df: DataFrame, value: str, totals: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
@@ -132,18 +133,17 @@ def running_totals(df: DataFrame, value: str, totals: list[str], rows_per_slice:
     )
 
 
-def exact_percentiles(df: DataFrame, value: str, named: dict[str, float]) -> DataFrame:
+def exact_percentiles(
+    df: DataFrame, value: str, named: dict[str, float], rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
     """One row with interpolated percentiles, equal to percentile_cont.
 
-    Cuts just below and above each wanted rank split the value range into narrow
-    and wide slices. Slice sizes are counted exactly, and only the slices that
-    contain a wanted rank are sorted.
+    Slice sizes are counted exactly, and only the slices that contain a wanted rank
+    are sorted.
     """
     present = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    margin = 0.002
-    near = sorted({min(1.0, max(0.0, q + d)) for q in named.values() for d in (-margin, margin)})
     rows = present.count()
-    cuts = sample_quantiles(present, "v", near, rows)
+    cuts = even_cuts(present, "v", rows_per_slice)
     counted = with_slices(present.groupBy("v").agg(F.count("*").alias("n")), "v", cuts)
     wanted = sorted(set(named.values()))
 
@@ -214,6 +214,26 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     )
 
 
+def rollup_visits(
+    events: DataFrame, keys: list[str], counts: dict[str, Column], sums: dict[str, Column] | None = None
+) -> DataFrame:
+    """Per key unique_sessions, unique_users, counted conditions and whole-number sums.
+
+    Events are reduced to (keys, session, user) before the two distinct counts, so
+    those expand one row per visit and not every event.
+    """
+    sums = sums or {}
+    per_visit = events.groupBy(*keys, "session_id", "user_id").agg(
+        *[F.count_if(condition).alias(name) for name, condition in counts.items()],
+        *[F.sum(value).alias(name) for name, value in sums.items()],
+    )
+    return per_visit.groupBy(*keys).agg(
+        F.count_distinct("session_id").alias("unique_sessions"),
+        F.count_distinct("user_id").alias("unique_users"),
+        *[F.sum(name).alias(name) for name in (*counts, *sums)],
+    )
+
+
 def rollup_entities(
     df: DataFrame,
     keys: list[str],

@@ -13,6 +13,8 @@ from clickloom.functions.exprs import (
 from clickloom.schemas import WAREHOUSE, TableSpec
 from clickloom.session import stage
 
+RUN_COLUMNS = ("prediction_timestamp",)  # differ from run to run
+
 
 def _typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Those of the columns that the input has, cast, with NaN turned into NULL."""
@@ -32,15 +34,18 @@ def _typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def load_warehouse_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Project onto the table's columns and keep one row per primary key.
 
-    Among duplicates the first by the table's tie-break columns stays. Repeated
+    Rows without a complete key cannot be loaded; ``rejected_rows`` counts them.
+    Among duplicates the first by the table's tie-break columns stays, then the first
+    by a hash of what does not depend on the time of the run. Repeated
     keys are found first, from the key columns alone. They are usually few, so the
     joins on them broadcast (their written size decides) and the wide rows with
     unique keys are neither shuffled nor sorted.
     """
-    typed = _typed(df, spec.columns)
     keys = list(spec.key)
+    typed = _typed(df, spec.columns).dropna(subset=keys)
     repeated = stage(typed.groupBy(*keys).count().filter("count > 1").select(*keys), "repeated_keys")
-    first = Window.partitionBy(*keys).orderBy(*spec.tie_break, F.xxhash64(*typed.columns))
+    content = [c for c in typed.columns if c not in RUN_COLUMNS]
+    first = Window.partitionBy(*keys).orderBy(*spec.tie_break, F.xxhash64(*content))
     resolved = (
         typed.join(repeated, keys, "left_semi")
         .withColumn("_rank", F.row_number().over(first))
@@ -50,6 +55,17 @@ def load_warehouse_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     return typed.join(repeated, keys, "left_anti").unionByName(resolved)
 
 
+def load_grouped_table(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Load a table whose producer groups by the primary key, so that no key repeats."""
+    return _typed(df, spec.columns).dropna(subset=list(spec.key))
+
+
+def rejected_rows(df: DataFrame, table: str, spec: TableSpec) -> DataFrame:
+    """One row: how many rows a load leaves out because their key is not complete."""
+    without = reduce(Column.__or__, [F.col(k).isNull() for k in spec.key])
+    return df.agg(F.count_if(without).alias("rejected_rows")).select(F.lit(table).alias("table_name"), "rejected_rows")
+
+
 def dim_date(daily: DataFrame) -> DataFrame:
     """Calendar rows for the dates that occur; weekday 0 is Monday."""
     d = F.col("date_key")
@@ -69,7 +85,7 @@ def dim_date(daily: DataFrame) -> DataFrame:
 
 
 def dim_users(users: DataFrame) -> DataFrame:
-    return load_warehouse_table(users, WAREHOUSE["dim_users"])
+    return load_grouped_table(users, WAREHOUSE["dim_users"])
 
 
 def dim_products(catalog: DataFrame) -> DataFrame:
@@ -104,7 +120,7 @@ def fact_sessions(sessions: DataFrame) -> DataFrame:
 
 def fact_daily_metrics(daily: DataFrame) -> DataFrame:
     renamed = daily.withColumnRenamed("event_date", "metric_date")
-    return load_warehouse_table(renamed, WAREHOUSE["fact_daily_metrics"])
+    return load_grouped_table(renamed, WAREHOUSE["fact_daily_metrics"])
 
 
 def agg_product_daily(ev: DataFrame) -> DataFrame:

@@ -139,7 +139,7 @@ def dash_click_to_cart_histogram(products: DataFrame, bins: int = 30) -> DataFra
 
 def _hash_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """Up to n rows in an order drawn from a hash of the key, the same on every run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("-", F.col(key), F.lit(str(seed)))), *df.columns).limit(n)
 
 
 def dash_price_interactions_sample(products: DataFrame, n: int = 1000) -> DataFrame:

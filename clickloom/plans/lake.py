@@ -19,12 +19,13 @@ from clickloom.models.features import churn_features, conversion_features, ltv_f
 from clickloom.models.predictions import MODELS, ModelSize, run_model
 from clickloom.models.training import Trained
 from clickloom.operators import etl, warehouse as wh
+from clickloom.plans.views import product_affinity
 from clickloom.session import shared_dir, use_utc
 from clickloom.sources.clicks import click_events, product_catalog
 from clickloom.sources.writers import write_parquet
 
-# Model size for the registered queries; run_ml_models defaults to the full one.
-SMALL = ModelSize(trees=5, tree_depth=4, boosting_rounds=3, boosting_depth=3, folds=2)
+# The registered queries train models of full size on at most so many labelled rows.
+REGISTERED = ModelSize(max_rows=20_000)
 
 _lakes: dict[tuple[str, str], "Lake"] = {}
 _lock = threading.RLock()
@@ -67,7 +68,7 @@ class Lake:
         """The model, trained once per lake; its outputs are below ``models_dir``."""
         with _lock:
             if model not in self._models:
-                self._models[model] = run_model(model, self[f"{model}_features"], self.models_dir, SMALL)
+                self._models[model] = run_model(model, self[f"{model}_features"], self.models_dir, REGISTERED)
             return self._models[model]
 
     def predictions(self, model: str) -> DataFrame:
@@ -113,6 +114,7 @@ _BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
     "fact_events": lambda l: wh.fact_events(l["events"]),
     "fact_sessions": lambda l: wh.fact_sessions(l["sessions"]),
     "fact_daily_metrics": lambda l: wh.fact_daily_metrics(l["daily"]),
+    "product_affinity": lambda l: product_affinity(l["fact_events"]),
     "conversion_features": lambda l: conversion_features(l["sessions"]),
     "churn_features": lambda l: churn_features(l["users"]),
     "ltv_features": lambda l: ltv_features(l["users"]),

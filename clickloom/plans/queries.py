@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions.exprs import (
-    count_type, is_type, mean, money_avg, money_sum, month_start, percent, rounded_ratio, week_start,
+    cents, count_type, is_type, mean, money_avg, money_sum, month_start, percent, rounded_ratio, week_start,
 )
-from clickloom.operators.ordered import exact_percentiles
-from clickloom.plans.views import product_affinity, session_funnel
+from clickloom.operators.ordered import exact_percentiles, rollup_visits
+from clickloom.plans.views import session_funnel
 
 
 def _revenue() -> Column:
@@ -99,13 +99,8 @@ def q05_event_funnel(events: DataFrame) -> DataFrame:
 
 def q06_hourly_traffic(events: DataFrame) -> DataFrame:
     return (
-        events.groupBy("event_hour")
-        .agg(
-            F.count("*").alias("num_events"),
-            F.count_distinct("user_id").alias("unique_users"),
-            F.count_distinct("session_id").alias("unique_sessions"),
-            count_type("purchase").alias("purchases"),
-        )
+        rollup_visits(events, ["event_hour"], {"num_events": F.lit(True), "purchases": is_type("purchase")})
+        .select("event_hour", "num_events", "unique_users", "unique_sessions", "purchases")
         .orderBy("event_hour")
     )
 
@@ -127,11 +122,11 @@ def q07_day_of_week(events: DataFrame) -> DataFrame:
 
 def q08_month_over_month(events: DataFrame) -> DataFrame:
     """Monthly metrics with revenue growth; the window runs over one row per month."""
-    months = events.groupBy("event_year", "event_month").agg(
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("session_id").alias("sessions"),
-        count_type("purchase").alias("purchases"),
-        money_sum(_revenue()).alias("revenue"),
+    months = rollup_visits(
+        events, ["event_year", "event_month"], {"purchases": is_type("purchase")}, {"cents": cents(_revenue())}
+    ).select(
+        "event_year", "event_month", "unique_users", F.col("unique_sessions").alias("sessions"), "purchases",
+        (F.col("cents") / 100.0).alias("revenue"),
     )
     before = F.lag("revenue").over(Window.orderBy("event_year", "event_month"))
     return (
@@ -185,15 +180,15 @@ def q11_category_performance(metrics: DataFrame) -> DataFrame:
     )
 
 
-def q12_product_affinity_named(events: DataFrame, products: DataFrame) -> DataFrame:
+def q12_product_affinity_named(affinity: DataFrame, products: DataFrame) -> DataFrame:
+    """The 20 pairs of ``product_affinity`` with most sessions, by name."""
     names = products.select("product_id", "product_name")
 
     def named(side: str) -> DataFrame:
         return names.select(F.col("product_id").alias(f"product_{side}"), F.col("product_name").alias(f"name_{side}"))
 
     return (
-        product_affinity(events)
-        .join(named("a"), "product_a")
+        affinity.join(named("a"), "product_a")
         .join(named("b"), "product_b")
         .orderBy(F.desc("sessions_together"), "product_a", "product_b")
         .limit(20)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DecimalType, DoubleType, TimestampType
 
 from clickloom.functions import sqltext
 from clickloom.models import features as feat, metrics as met, predictions as pred, training
@@ -62,17 +62,35 @@ def _etl_output(l: Lake) -> str:
     return base
 
 
-def _counted(tables: dict[str, DataFrame]) -> DataFrame:
-    rows = [
-        df.agg(F.count("*").alias("num_rows")).select(F.lit(name).alias("table_name"), "num_rows")
-        for name, df in tables.items()
+def _text(df: DataFrame, name: str) -> Column:
+    """A value as text that any engine writes alike: fractions as whole ten-thousandths, times as microseconds."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (DoubleType, DecimalType)):
+        return F.round(F.col(name).cast("double") * 10000).cast("long").cast("string")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(name).cast("string")
+    return F.col(name).cast("string")
+
+
+def _digest(df: DataFrame, table: str) -> DataFrame:
+    """Per column: rows, known values and the sum of a hash of every value, in one pass."""
+    columns = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.count("*").alias("num_rows"), F.count(c).alias("num_known"),
+            F.sum(F.conv(F.substring(F.md5(_text(df, c)), 1, 7), 16, 10).cast("long")).alias("digest"),
+        )
+        for c in df.columns
     ]
-    return reduce(DataFrame.unionByName, rows)
+    return df.agg(F.array(*columns).alias("c")).select(F.lit(table).alias("table_name"), F.inline("c"))
+
+
+def _digests(tables: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [_digest(df, table) for table, df in tables.items()])
 
 
 def _run_etl(l: Lake) -> DataFrame:
     base = _etl_output(l)
-    return _counted({n: readers.read_parquet_table(l.spark, f"{base}/{n}") for n in etl.ETL_TABLES})
+    return _digests({n: readers.read_parquet_table(l.spark, f"{base}/{n}") for n in etl.ETL_TABLES})
 
 
 def _read_parquet_table(l: Lake) -> DataFrame:
@@ -94,7 +112,7 @@ def _read_metric_tables(l: Lake) -> DataFrame:
     base = l.scratch("processed")
     for source, name in (("sessions", "fact_sessions"), ("users", "dim_user_metrics"), ("daily", "fact_daily_metrics")):
         writers.write_parquet(l[source], f"{base}/{name}")
-    return _counted(readers.read_metric_tables(l.spark, base))
+    return _digests(readers.read_metric_tables(l.spark, base))
 
 
 def _read_sessions_users(l: Lake) -> DataFrame:
@@ -102,7 +120,7 @@ def _read_sessions_users(l: Lake) -> DataFrame:
     for source, name in (("sessions", "fact_sessions"), ("users", "dim_user_metrics")):
         writers.write_parquet(l[source], f"{base}/{name}")
     sessions, users = readers.read_sessions_users(l.spark, base)
-    return _counted({"sessions": sessions, "users": users})
+    return _digests({"sessions": sessions, "users": users})
 
 
 def _load_warehouse_table(l: Lake) -> DataFrame:
@@ -141,13 +159,8 @@ def _save_model(l: Lake) -> DataFrame:
 
 
 def _run_ml_models(l: Lake) -> DataFrame:
-    trained = pred.run_ml_models(
-        l["sessions"], l["users"], l.scratch("ml"),
-        pred.ModelSize(trees=3, tree_depth=3, boosting_rounds=2, boosting_depth=2, folds=2),
-    )
-    return reduce(
-        DataFrame.unionByName, [t.metrics.select(F.lit(m).alias("model"), "*") for m, t in trained.items()]
-    )
+    """Metrics of the three models, each stored with its features, predictions and metrics."""
+    return l.metrics()
 
 
 def _cross_validate(l: Lake) -> DataFrame:
@@ -155,10 +168,8 @@ def _cross_validate(l: Lake) -> DataFrame:
 
 
 def _train_test_split(l: Lake) -> DataFrame:
-    rows = l["conversion_features"].groupBy("session_id").agg(F.max("label").alias("label"))
-    return training.train_test_split(rows, "session_id", "label").groupBy("label", "is_test").agg(
-        F.count("*").alias("num_rows")
-    )
+    split = training.train_test_split(l["conversion_features"], "session_id", "label")
+    return split.select("session_id", "label", "is_test")
 
 
 def _one_hot(l: Lake) -> DataFrame:
@@ -188,6 +199,16 @@ def _sql_text(use: Callable[[DataFrame], DataFrame]) -> LakeQuery:
     return lambda l: use(scores.sql_replies(l.spark, l.sf_dir))
 
 
+def _all_tables(l: Lake) -> dict[str, DataFrame]:
+    """The warehouse tables, with prediction tables built on derived scores."""
+    return l.warehouse() | {
+        "dim_device": wh.dim_device(l["events"]),
+        "ml_conversion_predictions": wh.ml_conversion_table(_scored(l, "conversion")),
+        "ml_churn_predictions": wh.ml_churn_table(_scored(l, "churn")),
+        "ml_ltv_predictions": wh.ml_ltv_table(_scored(l, "ltv")),
+    }
+
+
 SOURCES: dict[str, LakeQuery] = {
     "read_events_csv": _read_events_csv,
     "read_events_json": _read_events_json,
@@ -237,15 +258,15 @@ WAREHOUSE_QUERIES: dict[str, LakeQuery] = {
     "ml_prediction_tables_conversion": lambda l: wh.ml_conversion_table(l.predictions("conversion")),
     "ml_prediction_tables_churn": lambda l: wh.ml_churn_table(l.predictions("churn")),
     "ml_prediction_tables_ltv": lambda l: wh.ml_ltv_table(l.predictions("ltv")),
-    "check_primary_keys": lambda l: wh.check_primary_keys(l.warehouse()),
-    "check_foreign_keys": lambda l: wh.check_foreign_keys(l.warehouse()),
-    "check_not_null": lambda l: wh.check_not_nulls(l.warehouse()),
+    "check_primary_keys": lambda l: wh.check_primary_keys(_all_tables(l)),
+    "check_foreign_keys": lambda l: wh.check_foreign_keys(_all_tables(l)),
+    "check_not_null": lambda l: wh.check_not_nulls(_all_tables(l)),
 }
 
 VIEWS: dict[str, LakeQuery] = {
     "user_purchase_history": lambda l: views.user_purchase_history(l["fact_events"], l["dim_users"], l["dim_products"]),
     "session_funnel": lambda l: views.session_funnel(l["fact_sessions"]),
-    "product_affinity": lambda l: views.product_affinity(l["fact_events"]),
+    "product_affinity": lambda l: l["product_affinity"],
     "user_retention": lambda l: views.user_retention(l["dim_users"], l["fact_events"]),
     "customer_journey_funnel": lambda l: views.customer_journey_funnel(l["fact_events"]),
     "session_analytics": lambda l: views.session_analytics(l["fact_sessions"], l["dim_users"], l["dim_date"]),
@@ -274,7 +295,7 @@ QUERIES: dict[str, LakeQuery] = {
     "q09_weekly_cohorts": lambda l: q.q09_weekly_cohorts(l["dim_users"]),
     "q10_purchase_frequency_cohorts": lambda l: q.q10_purchase_frequency_cohorts(l["dim_users"]),
     "q11_category_performance": lambda l: q.q11_category_performance(l["dim_product_metrics"]),
-    "q12_product_affinity_named": lambda l: q.q12_product_affinity_named(l["fact_events"], l["dim_products"]),
+    "q12_product_affinity_named": lambda l: q.q12_product_affinity_named(l["product_affinity"], l["dim_products"]),
     "q13_abandoned_cart_products": lambda l: q.q13_abandoned_cart_products(l["fact_events"], l["dim_products"]),
     "q14_session_duration_buckets": lambda l: q.q14_session_duration_buckets(l["fact_sessions"]),
     "q15_device_browser": lambda l: q.q15_device_browser(l["fact_sessions"]),
@@ -300,7 +321,7 @@ QUESTIONS: dict[str, LakeQuery] = {
     "ask_vip_predicted_ltv": lambda l: ask.ask_vip_predicted_ltv(l.predictions("ltv")),
     "extract_sql": _sql_text(lambda df: sqltext.extract_sql(df, "reply")),
     "validate_sql_text": _sql_text(lambda df: sqltext.validate_sql_text(df, "reply")),
-    "limit_result": lambda l: ask.limit_result(l["dim_users"]).agg(F.count("*").alias("num_rows")),
+    "limit_result": lambda l: ask.limit_result(l["dim_users"].orderBy("user_id")),
 }
 
 DASHBOARDS: dict[str, LakeQuery] = {

@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.functions.exprs import (
-    count_type, is_type, mean, money_avg, money_sum, money_sum_or_zero, month_start, percent,
+    cents, count_type, is_type, mean, money_avg, money_sum, money_sum_or_zero, month_start, percent,
     purchase_amount, ratio, rounded_ratio,
 )
-from clickloom.operators.ordered import rollup_entities
+from clickloom.operators.ordered import rollup_entities, rollup_visits
 from clickloom.session import stage
 
 CHANNEL = ["device", "browser", "referrer"]
@@ -21,14 +21,19 @@ def user_purchase_history(events: DataFrame, users: DataFrame, products: DataFra
     bought = events.filter(is_type("purchase")).select(
         "user_id", "timestamp", "session_id", "product_id", "cart_value", "num_items", "payment_method"
     )
-    return (
-        bought.join(users.select("user_id", "user_segment"), "user_id")
-        .join(products.select("product_id", "product_name", "category"), "product_id", "left")
-        .select(
-            "user_id", "user_segment", "timestamp", "session_id", "product_id", "product_name",
-            "category", "cart_value", "num_items", "payment_method",
-        )
+    columns = [
+        "user_id", "user_segment", "timestamp", "session_id", "product_id", "product_name",
+        "category", "cart_value", "num_items", "payment_method",
+    ]
+    by_users = bought.join(users.select("user_id", "user_segment"), "user_id")
+    # purchases without a product stay out of the join, where they would meet in one task
+    named = by_users.filter(F.col("product_id").isNotNull()).join(
+        products.select("product_id", "product_name", "category"), "product_id", "left"
+    )
+    unnamed = by_users.filter(F.col("product_id").isNull()).withColumns(
+        {c: F.lit(None).cast("string") for c in ("product_name", "category")}
     )
+    return named.select(*columns).unionByName(unnamed.select(*columns))
 
 
 def session_funnel(sessions: DataFrame) -> DataFrame:
@@ -90,7 +95,11 @@ def product_affinity(events: DataFrame, min_sessions: int = 5) -> DataFrame:
     paired = kept_carts.join(side("b", items.filter("not aside").drop("aside")), "session_id").filter(
         "product_a < product_b"
     )
-    candidates = paired.select("product_a", "product_b").distinct()
+    pair = ["product_a", "product_b"]
+    together = F.sum("counts").alias("sessions")
+    # the pairs are formed once; candidates and counts both come from this table
+    paired = stage(paired.groupBy(*pair, "user_id").agg(together), "pairs")
+    candidates = paired.select(*pair).distinct()
     # the session is set aside by the first product
     by_first = candidates.join(side("a", carts.filter("aside")), "product_a").join(
         side("b", items.drop("aside")), ["session_id", "product_b"], "left_semi"
@@ -100,9 +109,10 @@ def product_affinity(events: DataFrame, min_sessions: int = 5) -> DataFrame:
         kept_carts, ["session_id", "product_a"]
     )
 
-    pair = ["product_a", "product_b"]
-    rows = [df.select(*pair, "user_id", "counts") for df in (paired, by_first, by_second)]
-    per_user = reduce(DataFrame.unionByName, rows).groupBy(*pair, "user_id").agg(F.sum("counts").alias("sessions"))
+    looked_up = [df.groupBy(*pair, "user_id").agg(together) for df in (by_first, by_second)]
+    per_user = reduce(DataFrame.unionByName, [paired, *looked_up]).groupBy(*pair, "user_id").agg(
+        F.sum("sessions").alias("sessions")
+    )
     return (
         per_user.groupBy(*pair)
         .agg(F.sum("sessions").alias("sessions_together"), F.count("user_id").alias("users_together"))
@@ -280,17 +290,23 @@ def cohort_retention_monthly(users: DataFrame, events: DataFrame) -> DataFrame:
 
 def touchpoint_performance(events: DataFrame) -> DataFrame:
     """Per day and channel: volume, event mix, conversion, revenue and engagement."""
-    by_channel = events.groupBy("event_date", *CHANNEL).agg(
-        F.count("*").alias("total_interactions"),
-        F.count_distinct("session_id").alias("unique_sessions"),
-        F.count_distinct("user_id").alias("unique_users"),
-        count_type("page_view").alias("page_views"),
-        count_type("product_click").alias("product_clicks"),
-        count_type("add_to_cart").alias("add_to_carts"),
-        count_type("purchase").alias("purchases"),
-        money_sum(F.when(is_type("purchase"), F.col("cart_value")).otherwise(0)).alias("total_revenue"),
-        money_avg(purchase_amount()).alias("avg_order_value"),
-        F.count_if(~is_type("page_view")).alias("engaged"),
+    by_channel = rollup_visits(
+        events, ["event_date", *CHANNEL],
+        {
+            "total_interactions": F.lit(True),
+            "page_views": is_type("page_view"), "product_clicks": is_type("product_click"),
+            "add_to_carts": is_type("add_to_cart"), "purchases": is_type("purchase"),
+            "engaged": ~is_type("page_view"), "orders": purchase_amount().isNotNull(),
+        },
+        {
+            "cents": cents(F.when(is_type("purchase"), F.col("cart_value")).otherwise(0)),
+            "order_cents": cents(purchase_amount()),
+        },
+    ).withColumns(
+        {
+            "total_revenue": F.col("cents") / 100.0,
+            "avg_order_value": rounded_ratio(F.col("order_cents") / 100.0, "orders"),
+        }
     )
     return by_channel.select(
         "event_date",

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from clickloom.functions.exprs import pick
 
 SESSION_GAP_HOURS = 12
-CATALOG_SIZE = 20
+# Share (in hundredths) of clicks on the first HEAD_PRODUCTS products; the others fall on all products alike.
+HEAD_CLICKS = 60
+HEAD_PRODUCTS = 20
 
 # The domains of the derived columns.
 PAGE_TYPES = ["home", "category", "product", "cart", "checkout", "account", "search"]
@@ -91,7 +93,9 @@ def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     in_cart = F.col("event_type").isin("add_to_cart", "remove_from_cart")
     paid = (F.col("event_type") == "purchase") & (F.col("k") % 10 != 0)
-    shaped = typed.withColumn("product_id", F.when(on_product, (F.col("k") % CATALOG_SIZE).cast("string")))
+    products = spark.read.parquet(f"{sf_dir}/part.parquet").agg(F.count("*")).scalar()
+    product = F.when(F.col("k") < HEAD_CLICKS, F.col("k") % HEAD_PRODUCTS).otherwise(F.col("event_id") % products)
+    shaped = typed.withColumn("product_id", F.when(on_product, product.cast("string")))
     goods = product_catalog(spark, sf_dir).select("product_id", "category", "price")
     return shaped.join(goods, "product_id", "left").select(
         F.col("event_id").cast("string").alias("event_id"),
@@ -111,13 +115,16 @@ def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         pick(F.col("user_id") % 4, BROWSERS).alias("browser"),
         F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1")).alias("ip_address"),
         pick(F.col("event_id") % 8, REFERRERS).alias("referrer"),
-        F.when(F.col("page_type") == "search", pick(F.col("k") % 10, SEARCH_TERMS)).alias("search_query"),
+        F.when(
+            F.col("page_type") == "search",
+            F.concat_ws(" ", pick(F.col("k") % 10, SEARCH_TERMS), (F.col("event_id") % 5).cast("string")),
+        ).alias("search_query"),
     )
 
 
 def product_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalog of the products that click records refer to: at most CATALOG_SIZE rows."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").filter(F.col("p_partkey") < CATALOG_SIZE)
+    """Catalog of all products, the stored parts."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
     return parts.select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("product_name"),

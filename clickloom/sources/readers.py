@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,23 +25,68 @@ def _conform(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     )
 
 
-def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header. Columns are matched by name because writers emit the union
-    of the keys they saw in any order; values are read as text and cast, so no
-    inference pass over the file is needed."""
-    return _conform(spark.read.option("header", True).csv(path), EVENT_COLUMNS)
+def _first_lines(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files below ``path`` by their first line that is not blank.
+
+    Spark reads the lines; one line per file reaches the driver, which lists the
+    files of a table anyway.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    )
+    firsts = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "at")).alias("line"))
+    found: dict[str, list[str]] = {}
+    for row in firsts.orderBy("file").collect():
+        found.setdefault(row["line"], []).append(unquote(row["file"]))
+    return found
+
+
+def _empty(spark: SparkSession, columns: dict[str, str]) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in columns.items()])
 
 
-def _starts_as_array(spark: SparkSession, path: str) -> bool:
-    head = spark.read.text(path).filter(F.trim("value") != "").select(F.substring(F.trim("value"), 1, 1)).head()
-    return head is not None and head[0] == "["
+def _read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """CSV files with a header each, quotes doubled inside quotes.
+
+    Files may differ in columns and their order: those with one header are one scan.
+    Values are read as text and cast, so there is no inference pass. A line break
+    inside quotes ends the record, which keeps large files splittable.
+    """
+    parts = [_empty(spark, columns)]
+    for header, files in _first_lines(spark, path).items():
+        names = next(csv.reader([header.lstrip("\ufeff")]))
+        text = ", ".join("`" + name.replace("`", "``") + "` string" for name in names)
+        scan = spark.read.schema(text).option("header", True).option("escape", '"').csv(files)
+        parts.append(_conform(scan, columns))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Event files whose headers are the keys their writer saw, in any order."""
+    return _read_csv(spark, path, EVENT_COLUMNS)
 
 
 def read_events_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON Lines (.jsonl, splittable) or .json holding either lines or one array."""
-    whole_file = path.endswith(".json") and _starts_as_array(spark, path)
+    """JSON Lines (.jsonl, splittable), or .json files with either lines or one array.
+
+    Each .json file is told apart by its first character. An array file is read by
+    one task; it suits small files, lines suit large ones.
+    """
     text = ", ".join(f"{name} string" for name in EVENT_COLUMNS)
-    return _conform(spark.read.schema(text).option("multiLine", whole_file).json(path), EVENT_COLUMNS)
+    reader = spark.read.schema(text)
+    if path.endswith(".jsonl"):
+        return _conform(reader.json(path), EVENT_COLUMNS)
+    arrays: list[str] = []
+    lines: list[str] = []
+    for first, files in _first_lines(spark, path).items():
+        (arrays if first.lstrip().startswith("[") else lines).extend(files)
+    parts = [_empty(spark, EVENT_COLUMNS)]
+    if lines:
+        parts.append(_conform(reader.json(lines), EVENT_COLUMNS))
+    if arrays:
+        parts.append(_conform(spark.read.schema(text).option("multiLine", True).json(arrays), EVENT_COLUMNS))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -50,7 +99,7 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_product_catalog(spark: SparkSession, path: str) -> DataFrame:
-    return _conform(spark.read.option("header", True).csv(path), CATALOG_COLUMNS)
+    return _read_csv(spark, path, CATALOG_COLUMNS)
 
 
 def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:

@@ -4,19 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Generated replies of the kinds the text checks must tell apart.
-REPLIES = [
-    "SELECT user_id, total_revenue FROM dim_users",
-    "WITH top AS (SELECT user_id FROM dim_users LIMIT 10) SELECT * FROM top",
-    "```sql\nSELECT * FROM fact_sessions;\n```",
-    "Here is the query you need:\nSELECT device, COUNT(*)\nFROM fact_sessions GROUP BY device;",
-    "DROP TABLE dim_users",
-    "SELECT 1; SELECT 2",
-    "SELECT * FROM dim_users WHERE user_segment = 'delete me'",
-    "",
-]
-
-
 def classifier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, score in 0..0.99, actual and predicted class."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -59,9 +46,17 @@ def ltv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id and a reply text per stored event."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    replies = F.array(*[F.lit(r) for r in REPLIES])
-    return events.select(
-        "event_id", F.element_at(replies, (F.col("event_id") % len(REPLIES) + 1).cast("int")).alias("reply")
+    """id and a reply per stored conversation turn: its text, alone or around a statement."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    text = F.coalesce("text", F.lit(""))
+    quoted = F.replace(text, F.lit("'"), F.lit(""))
+    kind = F.pmod(F.coalesce("conv_id", F.lit(0)) + F.coalesce("turn", F.lit(0)), F.lit(6))
+    reply = (
+        F.when(kind == 0, F.concat(F.lit("```sql\nSELECT * FROM dim_users WHERE note = '"), quoted, F.lit("';\n```")))
+        .when(kind == 1, F.concat(text, F.lit("\nSELECT device, COUNT(*)\nFROM fact_sessions GROUP BY device;")))
+        .when(kind == 2, F.concat(F.lit("DROP TABLE dim_users -- "), text))
+        .when(kind == 3, F.concat(F.lit("SELECT 1; SELECT '"), quoted, F.lit("'")))
+        .when(kind == 4, F.concat(F.lit("WITH t AS (SELECT 1) "), text, F.lit(" delete grant")))
+        .otherwise(F.concat(F.lit("Note: "), text))
     )
+    return turns.select("conv_id", "turn", reply.alias("reply"))

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace the table at ``path``, snappy-compressed.
+    """Replace the table at ``path``, snappy-compressed; of a partitioned table only the
+    partitions that ``df`` has rows for, so a rerun for one day leaves the other days.
 
     Partitioned tables are rebalanced on the partition columns: small partitions
     end up in one file, and adaptive execution splits an oversized one over
@@ -17,7 +18,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 

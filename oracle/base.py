@@ -43,6 +43,7 @@ def choose(index: str, values: list[str]) -> str:
     return f"([{', '.join(repr(v) for v in values)}])[({index}) + 1]"
 
 
+# The domains of the derived columns.
 PAGES = ["home", "category", "product", "cart", "checkout", "account", "search"]
 REFERRERS = [
     "direct", "google.com", "facebook.com", "instagram.com",
@@ -78,7 +79,7 @@ visits AS (
   SELECT *, count(*) FILTER (WHERE NOT goes_on)
               OVER (PARTITION BY user_id ORDER BY happened, event_id ROWS UNBOUNDED PRECEDING) AS nth,
          CASE WHEN kind IN ('product_click', 'add_to_cart', 'remove_from_cart', 'purchase')
-              THEN (k % 20)::varchar END AS pid,
+              THEN (CASE WHEN k < 60 THEN k % 20 ELSE event_id % (SELECT count(*) FROM part) END)::varchar END AS pid,
          kind = 'purchase' AND k % 10 <> 0 AS paid
   FROM paused
 ),
@@ -86,7 +87,7 @@ catalog AS (
   SELECT p_partkey::varchar AS product_id, p_name AS product_name, p_type AS category,
          p_retailprice AS price, (p_size * 10)::int AS stock_quantity,
          (1 + p_partkey % 5)::double AS rating, (p_partkey * 7)::int AS num_reviews
-  FROM part WHERE p_partkey < 20
+  FROM part
 ),
 ev AS (
   SELECT v.event_id::varchar AS event_id, v.user_id::varchar || '-' || v.nth::varchar AS session_id,
@@ -101,7 +102,7 @@ ev AS (
          {choose('v.user_id % 4', ['Chrome', 'Firefox', 'Safari', 'Edge'])} AS browser,
          '10.0.' || (v.user_id % 256)::varchar || '.1' AS ip_address,
          {choose('v.event_id % 8', REFERRERS)} AS referrer,
-         CASE WHEN v.event_id % 7 = 6 THEN {choose('v.k % 10', TERMS)} END AS search_query,
+         CASE WHEN v.event_id % 7 = 6 THEN {choose('v.k % 10', TERMS)} || ' ' || (v.event_id % 5)::varchar END AS search_query,
          v.happened::date AS event_date, hour(v.happened)::int AS event_hour,
          (dayofweek(v.happened) + 1)::int AS event_day_of_week,
          month(v.happened)::int AS event_month, year(v.happened)::int AS event_year

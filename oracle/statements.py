@@ -88,18 +88,45 @@ def sessions_with(kind: str) -> str:
 # --- sources, ETL, warehouse -----------------------------------------------
 
 
+# Columns of the ETL tables by how their values are written for a digest.
+WHOLE = {
+    "ev": "event_id session_id user_id event_type page_type product_id category cart_size num_items payment_method device "
+          "browser ip_address referrer search_query event_date event_hour event_day_of_week event_month event_year",
+    "sess": "session_id user_id event_date num_events num_unique_event_types device browser referrer num_page_views "
+            "num_product_clicks num_add_to_cart num_purchases items_purchased session_duration_seconds converted",
+    "prod": "product_id category total_interactions unique_users unique_sessions num_clicks num_add_to_cart",
+    "usr": "user_id num_sessions total_events num_active_days total_purchases unique_products_viewed days_active user_segment",
+    "daily": "event_date total_events unique_users unique_sessions total_purchases",
+}
+FRACTIONS = {
+    "ev": "price cart_value", "sess": "total_cart_value avg_time_between_events", "prod": "avg_price click_to_cart_rate",
+    "usr": "total_revenue avg_events_per_session avg_revenue_per_purchase",
+    "daily": "total_revenue avg_order_value conversion_rate",
+}
+TIMES = {"ev": "timestamp", "sess": "session_start session_end", "prod": "", "usr": "first_seen last_seen", "daily": ""}
+
+
+def digests(tables: tuple[tuple[str, str], ...]) -> str:
+    """Per table and column: rows, known values and the sum of a hash of every value."""
+    rows = []
+    for name, cte in tables:
+        texts = {c: f"{c}::varchar" for c in WHOLE[cte].split()}
+        texts |= {c: f"round({c}::double * 10000)::bigint::varchar" for c in FRACTIONS[cte].split()}
+        texts |= {c: f"epoch_us({c})::varchar" for c in TIMES[cte].split()}
+        rows += [
+            f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS num_rows, count({c}) AS num_known, "
+            f"sum(('0x' || substr(md5({t}), 1, 7))::bigint)::bigint AS digest FROM {cte}"
+            for c, t in texts.items()
+        ]
+    return " UNION ALL ".join(rows)
+
+
 def _sources() -> dict[str, str]:
-    etl_counts = " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS num_rows FROM {cte}"
-        for name, cte in (
-            ("fact_events", "ev"), ("fact_sessions", "sess"), ("dim_product_metrics", "prod"),
-            ("dim_user_metrics", "usr"), ("fact_daily_metrics", "daily"),
-        )
-    )
-    found = " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS num_rows FROM {cte}"
-        for name, cte in (("fact_sessions", "sess"), ("dim_user_metrics", "usr"), ("fact_daily_metrics", "daily"))
+    etl = (
+        ("fact_events", "ev"), ("fact_sessions", "sess"), ("dim_product_metrics", "prod"),
+        ("dim_user_metrics", "usr"), ("fact_daily_metrics", "daily"),
     )
+    found = digests((("fact_sessions", "sess"), ("dim_user_metrics", "usr"), ("fact_daily_metrics", "daily")))
     return {
         "read_events_csv": f"SELECT {EV_COLUMNS} FROM ev",
         "read_events_json": f"SELECT {EV_COLUMNS} FROM ev",
@@ -107,10 +134,9 @@ def _sources() -> dict[str, str]:
         "read_parquet_table": "SELECT event_date, count(*) AS num_rows, min(timestamp) AS first_at, "
                               "max(timestamp) AS last_at FROM ev GROUP BY event_date",
         "read_metric_tables": found,
-        "read_sessions_users": "SELECT 'sessions' AS table_name, count(*) AS num_rows FROM sess "
-                               "UNION ALL SELECT 'users', count(*) FROM usr",
+        "read_sessions_users": digests((("sessions", "sess"), ("users", "usr"))),
         "write_parquet": "SELECT * FROM sess",
-        "run_etl": etl_counts,
+        "run_etl": digests(etl),
         "load_warehouse_table": "SELECT * FROM wsess",
         "write_features": _conversion_features(),
         "write_predictions": "SELECT * FROM conv",
@@ -147,6 +173,9 @@ def _warehouse() -> dict[str, str]:
         ("dim_product_metrics", "wprod", "product_id"), ("dim_date", "days", "date_key"),
         ("fact_events", "ev", "event_id"), ("fact_sessions", "wsess", "session_id"),
         ("fact_daily_metrics", "wdaily", "metric_date"),
+        ("dim_device", "(SELECT DISTINCT device AS device_type, browser FROM ev)", "device_type,browser"),
+        ("ml_conversion_predictions", "conv", "session_id"), ("ml_churn_predictions", "churn", "user_id"),
+        ("ml_ltv_predictions", "ltv", "user_id"),
     )
     links = (
         ("dim_product_metrics.product_id", "wprod", "product_id", "catalog", "product_id"),
@@ -156,6 +185,9 @@ def _warehouse() -> dict[str, str]:
         ("fact_sessions.user_id", "wsess", "user_id", "usr", "user_id"),
         ("fact_sessions.event_date", "wsess", "event_date", "days", "date_key"),
         ("fact_daily_metrics.metric_date", "wdaily", "metric_date", "days", "date_key"),
+        ("ml_conversion_predictions.session_id", "conv", "session_id", "wsess", "session_id"),
+        ("ml_churn_predictions.user_id", "churn", "user_id", "usr", "user_id"),
+        ("ml_ltv_predictions.user_id", "ltv", "user_id", "usr", "user_id"),
     )
     required = (
         ("fact_events", "ev", ("session_id", "user_id", "timestamp", "event_date", "event_type")),
@@ -199,7 +231,7 @@ SELECT user_id, rnd(predicted_ltv_90days, 2) AS predicted_ltv_90days, ltv_catego
        rnd(actual_revenue, 2) AS actual_revenue FROM ltv""",
         "check_primary_keys": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, '{k}' AS key_columns, count(*) AS duplicate_keys FROM "
-            f"(SELECT {k} FROM {cte} GROUP BY 1 HAVING count(*) > 1)" for t, cte, k in keys
+            f"(SELECT {k} FROM {cte} GROUP BY ALL HAVING count(*) > 1)" for t, cte, k in keys
         ),
         "check_foreign_keys": " UNION ALL ".join(
             f"SELECT '{name}' AS relation, count(*) AS orphan_rows FROM {child} c WHERE c.{col} IS NOT NULL "
@@ -478,15 +510,15 @@ FORBIDDEN = [
     "REVOKE", "EXEC", "EXECUTE", "CALL", "COPY", "VACUUM", "REINDEX", "CLUSTER",
 ]
 
-REPLY = """CASE event_id % 8
-  WHEN 0 THEN 'SELECT user_id, total_revenue FROM dim_users'
-  WHEN 1 THEN 'WITH top AS (SELECT user_id FROM dim_users LIMIT 10) SELECT * FROM top'
-  WHEN 2 THEN '```sql' || chr(10) || 'SELECT * FROM fact_sessions;' || chr(10) || '```'
-  WHEN 3 THEN 'Here is the query you need:' || chr(10) || 'SELECT device, COUNT(*)' || chr(10) || 'FROM fact_sessions GROUP BY device;'
-  WHEN 4 THEN 'DROP TABLE dim_users'
-  WHEN 5 THEN 'SELECT 1; SELECT 2'
-  WHEN 6 THEN 'SELECT * FROM dim_users WHERE user_segment = ''delete me'''
-  ELSE '' END"""
+REPLIES = """(
+  SELECT conv_id, turn, CASE (coalesce(conv_id, 0) + coalesce(turn, 0)) % 6
+    WHEN 0 THEN '```sql' || chr(10) || 'SELECT * FROM dim_users WHERE note = ''' || replace(t, '''', '') || ''';' || chr(10) || '```'
+    WHEN 1 THEN t || chr(10) || 'SELECT device, COUNT(*)' || chr(10) || 'FROM fact_sessions GROUP BY device;'
+    WHEN 2 THEN 'DROP TABLE dim_users -- ' || t
+    WHEN 3 THEN 'SELECT 1; SELECT ''' || replace(t, '''', '') || ''''
+    WHEN 4 THEN 'WITH t AS (SELECT 1) ' || t || ' delete grant'
+    ELSE 'Note: ' || t END AS reply
+  FROM (SELECT conv_id, turn, coalesce(text, '') AS t FROM conversations))"""
 
 
 def _questions() -> dict[str, str]:
@@ -519,15 +551,15 @@ SELECT count(*) AS vip_users, {money('predicted_ltv_90days')} AS total_predicted
 SELECT c.user_id, u.user_segment, rnd(churn_probability, 4) AS churn_probability, churn_risk,
        rnd(retention_priority, 2) AS retention_priority
 FROM churn c JOIN usr u USING (user_id) ORDER BY churn_probability DESC, c.user_id LIMIT 20""",
-        "limit_result": "SELECT least(count(*), 100) AS num_rows FROM usr",
+        "limit_result": "SELECT * FROM usr ORDER BY user_id LIMIT 100",
         "extract_sql": f"""
-SELECT event_id, reply, CASE event_id % 8 WHEN 2 THEN 'SELECT * FROM fact_sessions'
-         WHEN 3 THEN 'SELECT device, COUNT(*)' || chr(10) || 'FROM fact_sessions GROUP BY device'
-         ELSE reply END AS sql
-FROM (SELECT event_id, {REPLY} AS reply FROM events)""",
+SELECT conv_id, turn, reply, regexp_replace(CASE WHEN regexp_matches(u, '(?i)^(select|with)') OR inside = '' THEN u ELSE inside END,
+                                            '\\s*;*\\s*(```)?\\s*$', '') AS sql
+FROM (SELECT *, regexp_extract(u, '(?is)(select|with)\\s+\\S.*') AS inside
+      FROM (SELECT *, regexp_replace(regexp_replace(reply, '^\\s+', ''), '^```(sql)?\\s*', '') AS u FROM {REPLIES}))""",
         "validate_sql_text": f"""
-SELECT event_id, reply, reason = '' AS is_valid, reason
-FROM (SELECT event_id, reply,
+SELECT conv_id, turn, reply, reason = '' AS is_valid, reason
+FROM (SELECT conv_id, turn, reply,
         CASE WHEN flat = '' THEN 'Empty SQL query'
              WHEN upper(split_part(flat, ' ', 1)) NOT IN ('SELECT', 'WITH')
                THEN 'Query must start with SELECT or WITH, got: ' || upper(split_part(flat, ' ', 1))
@@ -535,8 +567,7 @@ FROM (SELECT event_id, reply,
              WHEN len(list_filter(string_split(code, ';'), lambda p: trim(p) <> '')) > 1 THEN 'Multiple SQL statements not allowed'
              ELSE '' END AS reason
       FROM (SELECT *, regexp_replace(flat, '''[^'']*''', '''''', 'g') AS code
-            FROM (SELECT event_id, reply, trim(regexp_replace(reply, '\\s+', ' ', 'g')) AS flat
-                  FROM (SELECT event_id, {REPLY} AS reply FROM events))))""",
+            FROM (SELECT *, trim(regexp_replace(reply, '\\s+', ' ', 'g')) AS flat FROM {REPLIES})))""",
     }
 
 
@@ -597,7 +628,8 @@ def _dashboards() -> dict[str, str]:
         "dash_category_interactions": "SELECT category, sum(total_interactions)::bigint AS total_interactions FROM prod GROUP BY 1",
         "dash_click_to_cart_histogram": hist("SELECT click_to_cart_rate AS v FROM prod WHERE click_to_cart_rate > 0", 30),
         "dash_price_interactions_sample":
-            "SELECT product_id, category, round(avg_price, 6) AS avg_price, total_interactions, unique_users FROM prod",
+            "SELECT product_id, category, round(avg_price, 6) AS avg_price, total_interactions, unique_users FROM prod "
+            "ORDER BY md5(product_id || '-42'), product_id, category LIMIT 1000",
         "report_summary": report,
         "nb_overall_metrics": f"""
 SELECT {money('total_revenue')} AS total_revenue, sum(total_purchases)::bigint AS total_purchases,
@@ -724,10 +756,11 @@ FROM usr""",
 SELECT converted AS label, (SELECT count(*) FROM sess)::double / ((SELECT count(DISTINCT converted) FROM sess) * count(*)) AS weight
 FROM sess GROUP BY 1""",
         "train_test_split": """
-SELECT c.label, t.is_test, CASE WHEN t.is_test THEN k ELSE n - k END AS num_rows
-FROM (SELECT label, count(*) AS n, round(count(*) * 0.2::double)::bigint AS k
-      FROM (SELECT session_id, max(converted) AS label FROM sess GROUP BY 1) GROUP BY 1) c,
-     (VALUES (true), (false)) t(is_test)""",
+SELECT s.session_id, s.converted AS label, t.is_test
+FROM sess s JOIN (
+  SELECT session_id, row_number() OVER (PARTITION BY label ORDER BY md5(session_id || '-42'), session_id)
+                       <= round(count(*) OVER (PARTITION BY label) * 0.2::double) AS is_test
+  FROM (SELECT session_id, max(converted) AS label FROM sess GROUP BY 1)) t USING (session_id)""",
         "classification_metrics": f"""
 SELECT metric, round(value, 9) AS value FROM (
   {metric_rows([('accuracy', div(n_where('actual = predicted'), 'count(*)')), ('precision', precision),

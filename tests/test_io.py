@@ -1,8 +1,10 @@
 """Readers and writers on files in a fresh folder."""
 
+import datetime
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.operators import etl
 from clickloom.plans.lake import Lake
@@ -51,9 +53,13 @@ def test_etl_round_trip(spark, sf_dir, tmp_path):
     assert sessions.count() == lake["sessions"].count() and users.count() == lake["users"].count()
     read = readers.read_parquet_table(spark, paths["fact_events"])
     assert dict(read.dtypes)["event_date"] == "date" and read.count() == lake["events"].count()
-    # a second run replaces the tables
-    etl.run_etl(lake.raw().limit(5), str(tmp_path / "out"))
-    assert spark.read.parquet(paths["fact_events"]).count() == 5
+    # a second run replaces the days it has rows for, and tables without partitions
+    day = datetime.date(2024, 1, 5)
+    again = lake.raw().filter(F.to_date("timestamp") == day).orderBy("event_id").limit(5)
+    other_days = lake["events"].filter(F.col("event_date") != day).count()
+    etl.run_etl(again, str(tmp_path / "out"))
+    written = spark.read.parquet(paths["fact_events"])
+    assert written.filter(F.col("event_date") == day).count() == 5 and written.count() == other_days + 5
 
 
 def test_date_filter_prunes_partitions(spark, sf_dir, tmp_path):

@@ -13,10 +13,15 @@ def lake(spark, sf_dir):
     return Lake.of(spark, sf_dir)
 
 
-def test_one_hot_refuses_too_many_levels(spark, monkeypatch):
-    monkeypatch.setattr(feat, "MAX_LEVELS", 3)
-    with pytest.raises(ValueError, match="more than 3"):
-        feat.one_hot(spark.range(9).select(F.col("id").cast("string").alias("c")), "c", "c")
+def test_text_with_many_values_is_encoded_sparse(spark):
+    rows = spark.range(5000).select(F.concat(F.lit("r"), "id").alias("referrer"), F.lit(1.0).alias("n"))
+    rows = rows.union(spark.createDataFrame([(None, 1.0)], "referrer string, n double"))
+    coded, values = training.encoded(rows, ["n", "referrer"])
+    assert len(values["referrer"]) == 5000
+    found = {r.referrer.size: r for r in coded.select("referrer").collect()}
+    assert set(found) == {5000}
+    ones = sorted(int(r.referrer.indices[0]) for r in coded.collect() if len(r.referrer.indices))
+    assert ones == list(range(5000))
 
 
 def test_one_hot_null_has_no_level(frame):
