@@ -166,7 +166,8 @@ def mix_plan(docs: DataFrame, target: MixTarget, source: str = "source") -> Data
     rows = schedule(docs, target, source).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     in_block = Window.partitionBy("block").orderBy("order", "a", "b", "epoch", "copy")
     return rows.select(
-        "doc_id", "source", "n_tokens", "weight", "epoch", "block", (F.row_number().over(in_block) - 1).cast("long").alias("position")
+        "doc_id", "source", "n_tokens", F.round("weight", 9).alias("weight"), "epoch", "block",
+        (F.row_number().over(in_block) - 1).cast("long").alias("position")
     )
 
 

@@ -1,5 +1,234 @@
-"""DuckDB statements for the queries whose results SQL can state."""
+"""DuckDB statements for the queries whose results SQL can state.
+
+They follow the definitions, not the Spark plans: all pairs, windows over whole
+groups and recursion, as small tables allow. Token ids and 64-bit shingle hashes have
+no SQL, so op4, op8, op10 and the pipeline are tested against brute force instead.
+"""
 
 from __future__ import annotations
 
-STATEMENTS: dict[str, str] = {}
+from clickloom.llm.licences import NOTICES, PHRASES, Votes
+from clickloom.llm.quality import RiskLimits
+from clickloom.llm.queries import MIX, SHARD_BYTES
+
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+SPACE = r"\x20\x09-\x0D"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _mixing() -> str:
+    seed = MIX.seed
+    return f"""
+WITH RECURSIVE items AS (
+  SELECT doc_id, source, coalesce('=' || source, 'null') AS of,
+         len(regexp_extract_all(coalesce(text, ''), '[^{SPACE}]+')) + 1 AS n_tokens
+  FROM documents
+),
+sources AS (SELECT of, sum(n_tokens)::bigint AS tokens FROM items GROUP BY 1),
+spread AS (SELECT max(tokens)::double / min(tokens) AS r, sum(tokens)::double AS total FROM sources),
+halving(step, low, high) AS (
+  SELECT 0, 0.0::double, 1.0::double
+  UNION ALL
+  SELECT step + 1, CASE WHEN pow(r, 1 - (low + high) / 2) > {MIX.repetitions} THEN (low + high) / 2 ELSE low END,
+         CASE WHEN pow(r, 1 - (low + high) / 2) > {MIX.repetitions} THEN high ELSE (low + high) / 2 END
+  FROM halving, spread WHERE step < 36
+),
+alpha AS (SELECT CASE WHEN pow(r, 1) <= {MIX.repetitions} THEN 0 ELSE high END AS a FROM halving, spread WHERE step = 36),
+weighted AS (
+  SELECT of, tokens, pow(tokens / total, a) / sum(pow(tokens / total, a)) OVER () AS weight FROM sources, spread, alpha
+),
+aimed AS (
+  SELECT *, greatest(tokens, round(weight * max(tokens / weight) OVER ())::bigint) AS goal FROM weighted
+),
+quotas AS (
+  SELECT *, greatest(1, ceil(goal / greatest(1, ceil(sum(goal) OVER () / {MIX.block_tokens}))))::bigint AS quota FROM aimed
+),
+copies AS (
+  SELECT doc_id, source, n_tokens, weight, goal, quota, epoch,
+         epoch * tokens + coalesce(sum(n_tokens) OVER (
+           PARTITION BY of, epoch ORDER BY md5('{seed}-' || epoch || '-' || coalesce(doc_id::varchar, 'null')), doc_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM items JOIN quotas USING (of), range(0, 64) e(epoch) WHERE epoch < ceil(goal / tokens)
+)
+SELECT doc_id, source, n_tokens::bigint AS n_tokens, round(weight, 9) AS weight, epoch::int AS epoch,
+       (start // quota)::bigint AS block,
+       row_number() OVER (PARTITION BY start // quota ORDER BY md5('block-{seed}-' || epoch || '-' || coalesce(doc_id::varchar, 'null')), doc_id) - 1 AS position
+FROM copies WHERE start < goal"""
+
+
+def _licences() -> str:
+    votes = Votes()
+    rows = ", ".join(
+        f"({i}, {_text(t.label)}, {str(t.exact).lower()}, {_text(t.text)})" for i, t in enumerate([*PHRASES, *NOTICES])
+    )
+    words = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH templates AS (
+  SELECT template, label, exact, {words.format('txt')} AS w FROM (VALUES {rows}) t(template, label, exact, txt)
+),
+grams AS (
+  SELECT template, label, exact, len(w) - 1 AS n_grams, i - 1 AS place, w[i] || ' ' || w[i + 1] AS gram
+  FROM templates, unnest(range(1, len(w))) u(i)
+),
+docs AS (SELECT row_number() OVER () AS row, doc_id, {words.format("coalesce(text, '')")} AS w FROM documents),
+hits AS (
+  SELECT row, template, label, exact, n_grams, i - 1 - place AS diagonal, place
+  FROM (SELECT row, i, w[i] || ' ' || w[i + 1] AS gram FROM docs, unnest(range(1, len(w))) u(i)) JOIN grams USING (gram)
+),
+diagonals AS (SELECT row, template, label, exact, n_grams, diagonal, list(place) AS places FROM hits GROUP BY ALL),
+shares AS (
+  SELECT d.row, d.template, d.label, d.exact, d.diagonal, len(d.places) AS own,
+         CASE WHEN d.exact THEN len(d.places) ELSE len(list_distinct(flatten(list(o.places)))) END / d.n_grams::double AS share
+  FROM diagonals d JOIN diagonals o ON o.row = d.row AND o.template = d.template
+    AND o.diagonal BETWEEN d.diagonal - {votes.slack} AND d.diagonal + {votes.slack}
+  GROUP BY d.row, d.template, d.label, d.exact, d.diagonal, d.places, d.n_grams
+),
+found AS (
+  SELECT * FROM shares s
+  WHERE exact AND share = 1 OR NOT exact AND share >= {votes.coverage} AND NOT EXISTS (
+    SELECT 1 FROM shares o WHERE o.row = s.row AND o.template = s.template
+      AND o.diagonal BETWEEN s.diagonal - {votes.slack} AND s.diagonal + {votes.slack}
+      AND (o.share > s.share OR o.share = s.share AND (o.own > s.own OR o.own = s.own AND o.diagonal < s.diagonal)))
+)
+SELECT any_value(doc_id) AS doc_id, any_value(len(w))::bigint AS n_words, count(*) FILTER (WHERE exact) AS n_base,
+       min(diagonal) FILTER (WHERE exact) AS first_word, max(diagonal) FILTER (WHERE exact) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0.0)::double AS score
+FROM docs LEFT JOIN found USING (row) GROUP BY docs.row"""
+
+
+def _warc() -> str:
+    bits = "('0x' || substr(x, (5 * i) // 4 + 1, 2))::bigint >> (3 - (5 * i) % 4)"
+    return f"""
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('{BASE32}', (({bits}) & 31)::int + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM (SELECT page_id, octet_length(encode(h))::bigint AS n, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first
+      FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))"""
+
+
+def _chat() -> str:
+    said = "'</s>[INST] ok [/INST]'"
+    size = "(length({0}) + length(regexp_replace({0}, '[^\\\\<\\[\\]]', '', 'g')))"
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', {said}), (-1, 1, 'assistant', {said})
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) AS turns_sha256,
+       coalesce(sum(length(t)) FILTER (WHERE r = 'assistant'), 0)::bigint AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+       sum(9 + {size.format('r')} + {size.format('t')})::bigint AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
+def _sharding() -> str:
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, octet_length(encode(coalesce(text, '')))::bigint AS n_bytes,
+         ('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || '-' || md5(coalesce(text, ''))), 1, 15))::bigint AS h
+  FROM documents
+),
+sums AS (
+  SELECT d, h >> (60 - d) AS p, sum(n_bytes)::bigint AS s, count(*) AS n FROM docs, range(0, 41) l(d) GROUP BY ALL
+),
+placed AS (
+  SELECT row, doc_id, n_bytes, h, min(d) AS d FROM docs JOIN sums ON sums.p = h >> (60 - d)
+  WHERE s <= {SHARD_BYTES} OR n = 1 GROUP BY ALL
+)
+SELECT doc_id, n_bytes, CASE WHEN placed.d = 0 THEN '' ELSE lpad(bin(p), placed.d::int, '0') END AS shard, placed.d::int AS depth,
+       s AS shard_bytes, n AS shard_rows
+FROM placed JOIN sums ON sums.d = placed.d AND sums.p = h >> (60 - placed.d)"""
+
+
+def _vectors() -> str:
+    return """
+WITH RECURSIVE known AS (
+  SELECT vec_id, label, embedding::double[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM known a JOIN known b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93::double
+),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT e.vec_id, coalesce(n, 0)::bigint AS n_links, c AS component_id, e.vec_id = c AS kept
+FROM embeddings e JOIN (SELECT a, min(b) AS c FROM reach GROUP BY 1) ON a = e.vec_id
+LEFT JOIN (SELECT links.a AS v, count(*) AS n FROM links GROUP BY 1) ON v = e.vec_id"""
+
+
+def _quality() -> str:
+    limits = RiskLimits()
+    rejects = {
+        "symbols": "1000 * n_symbols >= {c} * n_words", "repeats": "1000 * n_repeat_words >= {c} * n_words",
+        "dup_lines": "n_dup_lines >= {c}", "long_words": "1000 * word_chars >= {c} * n_words", "short": "n_words < {c}",
+    }
+    grid = " UNION ALL ".join(
+        f"SELECT *, '{rule}' AS rule, {rank} AS rank, {c} AS cutoff, {rejects[rule].format(c=c)} AS hit FROM used"
+        for rule, values in limits.cutoffs.items()
+        for rank, c in enumerate(values)
+    )
+    rate = limits.good_rejected / len(limits.cutoffs)
+    verdict = " OR ".join(f"t.rule = '{rule}' AND {condition.format(c='t.cutoff')}" for rule, condition in rejects.items())
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, lang, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^{SPACE}]+') AS w FROM documents
+),
+windows AS (
+  SELECT row, i, count(*) OVER (PARTITION BY row, w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS n
+  FROM docs, unnest(range(1, len(w) - 3)) u(i)
+),
+repeats AS (
+  SELECT row, count(DISTINCT i + k) AS n_repeat_words FROM windows, range(0, 5) o(k) WHERE n > 1 GROUP BY 1
+),
+measured AS (
+  SELECT row, doc_id, lang, len(w)::bigint AS n_words, length(array_to_string(w, ''))::bigint AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint AS n_symbols,
+         (len(l) - len(list_distinct(l)))::bigint AS n_dup_lines, coalesce(n_repeat_words, 0)::bigint AS n_repeat_words
+  FROM (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^{SPACE}]')) AS l FROM docs)
+  LEFT JOIN repeats USING (row)
+),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured),
+known AS (
+  SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE doc_id IS NOT NULL GROUP BY 1 HAVING min(quality) = max(quality)
+),
+used AS (
+  SELECT DISTINCT doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, good,
+         substr(md5(doc_id::varchar), 1, 1) >= '8' AS holdout
+  FROM judged JOIN known USING (doc_id) WHERE NOT base_failed
+),
+counted AS (
+  SELECT lang, rule, rank, cutoff, count(*) FILTER (WHERE holdout AND good) AS n, count(*) FILTER (WHERE holdout AND good AND hit) AS k,
+         count(*) FILTER (WHERE NOT holdout AND good) AS gn, count(*) FILTER (WHERE NOT holdout AND good AND hit) AS gk,
+         count(*) FILTER (WHERE NOT holdout AND NOT good) AS bn, count(*) FILTER (WHERE NOT holdout AND NOT good AND hit) AS bk
+  FROM ({grid}) GROUP BY ALL
+),
+proven AS (
+  SELECT lang, rule, arg_min(cutoff, rank) AS cutoff FROM counted c
+  WHERE bk > 0 AND bk * gn >= {limits.lift} * gk * bn AND k <= n * {rate}::double
+    AND list_sum(list_transform(range(0, k + 1), lambda j:
+          exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}::double) + (n - j) * ln(1 - {rate}::double))))
+       <= {limits.error}::double / (SELECT count(*) FROM counted)
+  GROUP BY ALL
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT EXISTS (SELECT 1 FROM proven t WHERE t.lang IS NOT DISTINCT FROM j.lang AND ({verdict})) AS kept
+FROM judged j"""
+
+
+STATEMENTS: dict[str, str] = {
+    "op1_mixing": _mixing(),
+    "op2_licences": _licences(),
+    "op3_warc": _warc(),
+    "op5_chat": _chat(),
+    "op6_sharding": _sharding(),
+    "op7_vectors": _vectors(),
+    "op9_quality_rules": _quality(),
+}
