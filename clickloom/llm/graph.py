@@ -42,21 +42,16 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
 
 
 def settle(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest index reachable from each index over the links i-j and earlier labels."""
+    """Smallest index reachable from each index over the links i-j and earlier labels.
+
+    ``labels`` are those of an earlier call or the indices themselves. Only roots are
+    tied to lower roots, so whatever hangs on a root moves with it.
+    """
     while len(i):
-        low = np.minimum(labels[i], labels[j])
-        changed = (labels[i] != low) | (labels[j] != low)
-        if not changed.any():
-            break
-        i, j, low = i[changed], j[changed], low[changed]
-        # tie the roots of both ends too, so whole trees move at once
-        np.minimum.at(labels, labels[i], low)
-        np.minimum.at(labels, labels[j], low)
-        np.minimum.at(labels, i, low)
-        np.minimum.at(labels, j, low)
-        while True:
-            jumped = labels[labels]
-            if np.array_equal(jumped, labels):
-                break
+        high, low = np.maximum(labels[i], labels[j]), np.minimum(labels[i], labels[j])
+        apart = high != low
+        i, j = i[apart], j[apart]
+        np.minimum.at(labels, high[apart], low[apart])
+        while not np.array_equal(jumped := labels[labels], labels):
             labels = jumped
     return labels

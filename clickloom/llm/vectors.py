@@ -81,7 +81,7 @@ def principal_axes(known: DataFrame, width: int) -> np.ndarray:
     return np.ascontiguousarray(axes[:, ::-1])
 
 
-def blocks(known: DataFrame, width: int, axes: Broadcast, reach: float) -> DataFrame:
+def blocks(known: DataFrame, width: int, axes: Broadcast, reach: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Runs of the epsilon grid order, written: block, label, low, high, ids, members, rows (packed doubles)."""
     n_box = min(BOX_AXES, width)
 
@@ -116,7 +116,7 @@ def blocks(known: DataFrame, width: int, axes: Broadcast, reach: float) -> DataF
         label, ids, members, rows = None, [], [], []
         for batch in batches:
             for i, of, n, row in zip(*(batch.column(c).to_pylist() for c in ("class_id", "label", "members", "row"))):
-                if ids and (of != label or len(ids) == BLOCK_ROWS):
+                if ids and (of != label or len(ids) == block_rows):
                     yield block(label, ids, members, rows)
                     ids, members, rows = [], [], []
                 label = of
@@ -170,7 +170,9 @@ def _boxes_near(a: np.ndarray, b: np.ndarray, reach: float) -> bool:
     return float(gap @ gap) <= (reach + SLACK) ** 2
 
 
-def join_intervals(a: np.ndarray, b: np.ndarray, same: bool, least: float, reach: float) -> Iterator[tuple[int, int, np.ndarray]]:
+def join_intervals(
+    a: np.ndarray, b: np.ndarray, same: bool, least: float, reach: float, leaf: int = LEAF
+) -> Iterator[tuple[int, int, np.ndarray]]:
     """Leaves (offset in a, offset in b, linked?) of the recursive join of two intervals.
 
     With ``same``, b is a: each pair of its sub-intervals once, a vector not with itself.
@@ -180,10 +182,10 @@ def join_intervals(a: np.ndarray, b: np.ndarray, same: bool, least: float, reach
         a0, a1, b0, b1 = todo.pop()
         if not _boxes_near(a[a0:a1, :BOX_AXES], b[b0:b1, :BOX_AXES], reach):
             continue
-        if a1 - a0 > LEAF or b1 - b0 > LEAF:
+        if a1 - a0 > leaf or b1 - b0 > leaf:
             am, bm = (a0 + a1) // 2, (b0 + b1) // 2
-            lefts = [(a0, am), (am, a1)] if a1 - a0 > LEAF else [(a0, a1)]
-            rights = [(b0, bm), (bm, b1)] if b1 - b0 > LEAF else [(b0, b1)]
+            lefts = [(a0, am), (am, a1)] if a1 - a0 > leaf else [(a0, a1)]
+            rights = [(b0, bm), (bm, b1)] if b1 - b0 > leaf else [(b0, b1)]
             todo += [(*x, *y) for x in lefts for y in rights if not same or x[0] <= y[0]]
             continue
         linked = a[a0:a1] @ b[b0:b1].T >= least
@@ -193,7 +195,7 @@ def join_intervals(a: np.ndarray, b: np.ndarray, same: bool, least: float, reach
             yield a0, b0, linked
 
 
-def linked_pairs(cut: DataFrame, pairs: DataFrame, width: int, least: float, reach: float) -> DataFrame:
+def linked_pairs(cut: DataFrame, pairs: DataFrame, width: int, least: float, reach: float, leaf: int = LEAF) -> DataFrame:
     """Per pair of blocks and vector with links: id, n_links there, root it is tied to."""
     schema = "id long, n_links long, root long"
 
@@ -208,7 +210,7 @@ def linked_pairs(cut: DataFrame, pairs: DataFrame, width: int, least: float, rea
                 members = np.array(r["x_members"] if same else r["x_members"] + r["y_members"])
                 counts = np.zeros(len(ids), dtype=np.int64)
                 labels = np.arange(len(ids))
-                for a0, b0, linked in join_intervals(a, b, same, least, reach):
+                for a0, b0, linked in join_intervals(a, b, same, least, reach, leaf):
                     i, j = np.nonzero(linked)
                     i, j = i + a0, j + b0 + base
                     np.add.at(counts, i, members[j])
@@ -227,7 +229,9 @@ def linked_pairs(cut: DataFrame, pairs: DataFrame, width: int, least: float, rea
     return in_tasks(wide.repartition(tasks, "x", "y"), joined, schema)
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
+def near_duplicates(
+    vectors: DataFrame, least: float = 0.93, block_rows: int = BLOCK_ROWS, leaf: int = LEAF
+) -> DataFrame:
     """vec_id, n_links, component_id, kept per row of ``vectors`` (vec_id, embedding, label).
 
     Rows link when their labels are equal and the cosine in double precision is at
@@ -242,9 +246,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     width = known.agg(F.coalesce(F.max(F.size("vector")), F.lit(1))).first()[0]
     reach = float(np.sqrt(max(0.0, 2 - 2 * least))) or 1e-9
     axes = spark.sparkContext.broadcast(principal_axes(known, width))
-    cut = blocks(known, width, axes, reach)
+    cut = blocks(known, width, axes, reach, block_rows)
     pairs = stage(block_pairs(cut, width, reach), "vector-pairs")
-    found = stage(linked_pairs(cut, pairs, width, least, reach), "vector-links")
+    found = stage(linked_pairs(cut, pairs, width, least, reach, leaf), "vector-links")
     links = found.groupBy("id").agg(F.sum("n_links").alias("n"))
     roots = components(found.select("id", "root"), "id", "root")
     tied = (
