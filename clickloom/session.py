@@ -50,8 +50,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     For results that a plan reads several times: they are computed once, and a
-    lost executor costs no recomputation of what led to them.
+    lost executor costs no recomputation of what led to them. ``clear_stage`` removes
+    them when the results that read them are written.
     """
     path = f"{shared_dir(df.sparkSession)}/clickloom-stage/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def clear_stage(spark: SparkSession) -> None:
+    """Remove the staged tables, lakes and files of this package from the shared folder.
+
+    Call it when every result of the application is written: results that are not yet
+    computed still read them.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "clickloom-*")) or []:
+        system.delete(status.getPath(), True)

@@ -69,3 +69,39 @@ def test_date_filter_prunes_partitions(spark, sf_dir, tmp_path):
     files = one_day.inputFiles()
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert one_day.count() > 0 and files and "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_csv_files_with_other_headers_and_quotes(spark, tmp_path):
+    folder = tmp_path / "clicks.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("event_id,session_id,user_id,timestamp,event_type\ne1,s1,u1,2024-01-01T10:00:00,page_view\n")
+    (folder / "b c.csv").write_text('event_type,user_id,cart_value,event_id,search_query\npurchase,u2,3.5,e2,"27"" Monitor, black"\n')
+    (folder / "c.csv").write_text("\n")
+    rows = readers.read_events(spark, str(folder)).orderBy("event_id").collect()
+    assert [(r.event_id, r.user_id, r.event_type, r.session_id) for r in rows] == [("e1", "u1", "page_view", "s1"), ("e2", "u2", "purchase", None)]
+    assert rows[1].cart_value == 3.5 and rows[1].search_query == '27" Monitor, black' and rows[0].timestamp.hour == 10
+
+
+def test_catalog_with_doubled_quotes(spark, tmp_path):
+    path = tmp_path / "catalog.csv"
+    path.write_text('product_id,product_name,category,price,stock_quantity,rating,num_reviews\n1,"27"" Monitor, black",Screens,99.5,3,4.5,7\n')
+    row = readers.read_product_catalog(spark, str(path)).first()
+    assert (row.product_name, row.category, row.price, row.num_reviews) == ('27" Monitor, black', "Screens", 99.5, 7)
+
+
+def test_json_folder_with_lines_and_an_array(spark, tmp_path):
+    folder = tmp_path / "clicks.json"
+    folder.mkdir()
+    (folder / "a.json").write_text("\n".join(json.dumps({**RECORD, "event_id": f"a{i}"}) for i in range(3)))
+    (folder / "b.json").write_text("\n " + json.dumps([RECORD, BUY], indent=2))
+    rows = readers.read_events(spark, str(folder)).orderBy("event_id").collect()
+    assert [r.event_id for r in rows] == ["a0", "a1", "a2", "e1", "e2"] and rows[-1].cart_value == 12.5
+
+
+def test_rerun_of_one_day_leaves_the_other_days(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    rows = lambda day, n: spark.range(n).withColumn("event_date", F.lit(day).cast("date"))
+    writers.write_parquet(rows("2024-01-01", 3).union(rows("2024-01-02", 4)), path, ["event_date"])
+    writers.write_parquet(rows("2024-01-02", 1), path, ["event_date"])
+    found = {str(r.event_date): r["count"] for r in spark.read.parquet(path).groupBy("event_date").count().collect()}
+    assert found == {"2024-01-01": 3, "2024-01-02": 1}
