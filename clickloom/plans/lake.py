@@ -25,7 +25,7 @@ from clickloom.sources.clicks import click_events, product_catalog
 from clickloom.sources.writers import write_parquet
 
 # The registered queries train models of full size on at most so many labelled rows.
-REGISTERED = ModelSize(max_rows=20_000)
+REGISTERED = ModelSize(max_rows=5_000)
 
 _lakes: dict[tuple[str, str], "Lake"] = {}
 _lock = threading.RLock()

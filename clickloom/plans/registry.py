@@ -163,6 +163,32 @@ def _run_ml_models(l: Lake) -> DataFrame:
     return l.metrics()
 
 
+def _prediction_actuals(l: Lake) -> DataFrame:
+    """Model, id and true value of every row that the trained models scored."""
+    columns = {"conversion": ("session_id", "actual_converted"), "churn": ("user_id", "actual_churned"), "ltv": ("user_id", "actual_revenue")}
+    rows = [
+        l.predictions(model).select(F.lit(model).alias("model"), F.col(key).alias("id"), F.col(value).cast("double").alias("actual"))
+        for model, (key, value) in columns.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _model_properties(l: Lake) -> DataFrame:
+    """What must hold for any training: sizes of its parts, features, sum of importances, scores within range."""
+    parts = []
+    for model, probability in (("conversion", "conversion_probability"), ("churn", "churn_probability"), ("ltv", None)):
+        metrics = l.trained(model).metrics.filter(F.col("metric").isin("train_size", "test_size"))
+        parts.append(metrics.select(F.lit(model).alias("model"), F.col("metric").alias("property"), "value"))
+        importance = l.trained(model).importance.agg(
+            F.count("*").cast("double").alias("features"), F.round(F.sum("importance"), 6).alias("importance_sum")
+        )
+        parts.append(importance.unpivot([], ["features", "importance_sum"], "property", "value").select(F.lit(model).alias("model"), "property", "value"))
+        if probability:
+            outside = l.predictions(model).filter(~F.col(probability).between(0, 1)).agg(F.count("*").cast("double").alias("value"))
+            parts.append(outside.select(F.lit(model).alias("model"), F.lit("scores_out_of_range").alias("property"), "value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _cross_validate(l: Lake) -> DataFrame:
     return l.metrics().filter(F.col("metric").startswith("cv_"))
 
@@ -371,6 +397,8 @@ MODELS: dict[str, LakeQuery] = {
     "train_classifier": lambda l: l.trained("conversion").metrics,
     "train_regressor": lambda l: l.trained("ltv").metrics,
     "cross_validate": _cross_validate,
+    "prediction_actuals": _prediction_actuals,
+    "model_properties": _model_properties,
     "classification_metrics": _score(scores.classifier_scores, met.classification_metrics),
     "confusion_matrix": _score(scores.classifier_scores, met.confusion_matrix),
     "classification_report": _score(scores.classifier_scores, met.classification_report),

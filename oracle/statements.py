@@ -627,6 +627,8 @@ def _dashboards() -> dict[str, str]:
                                "ORDER BY total_interactions DESC, product_id, category LIMIT 15",
         "dash_category_interactions": "SELECT category, sum(total_interactions)::bigint AS total_interactions FROM prod GROUP BY 1",
         "dash_click_to_cart_histogram": hist("SELECT click_to_cart_rate AS v FROM prod WHERE click_to_cart_rate > 0", 30),
+        "dash_ltv_actual_vs_predicted_from_scores":
+            "SELECT user_id, actual_revenue, predicted_ltv_90days FROM ltv ORDER BY md5(user_id || '-42'), user_id LIMIT 1000",
         "dash_price_interactions_sample":
             "SELECT product_id, category, round(avg_price, 6) AS avg_price, total_interactions, unique_users FROM prod "
             "ORDER BY md5(product_id || '-42'), product_id, category LIMIT 1000",
@@ -761,6 +763,30 @@ FROM sess s JOIN (
   SELECT session_id, row_number() OVER (PARTITION BY label ORDER BY md5(session_id || '-42'), session_id)
                        <= round(count(*) OVER (PARTITION BY label) * 0.2::double) AS is_test
   FROM (SELECT session_id, max(converted) AS label FROM sess GROUP BY 1)) t USING (session_id)""",
+        "prediction_actuals": """
+SELECT 'conversion' AS model, session_id AS id, converted::double AS actual FROM sess
+UNION ALL SELECT 'churn', user_id, (date_diff('microsecond', last_seen, (SELECT max(last_seen) FROM usr)) // 86400000000 > 7)::int::double FROM usr
+UNION ALL SELECT 'ltv', user_id, total_revenue FROM usr""",
+        "model_properties": """
+SELECT * FROM (WITH ids AS (
+  SELECT 'conversion' AS model, session_id AS id, max(converted) AS class, count(*) AS n FROM sess GROUP BY ALL
+  UNION ALL SELECT 'churn', user_id, (date_diff('microsecond', last_seen, (SELECT max(last_seen) FROM usr)) // 86400000000 > 7)::int, 1 FROM usr
+  UNION ALL SELECT 'ltv', user_id, 0, 1 FROM usr
+),
+split AS (
+  SELECT model, n, row_number() OVER (PARTITION BY model, class ORDER BY md5(id || '-42'), id)
+                     <= round(count(*) OVER (PARTITION BY model, class) * 0.2::double) AS is_test FROM ids
+),
+dummies AS (
+  SELECT 'conversion' AS model, 9 + (SELECT count(DISTINCT device) + count(DISTINCT browser) + count(DISTINCT referrer) FROM sess) AS n
+  UNION ALL SELECT 'churn', 12 + (SELECT count(DISTINCT user_segment) FROM usr)
+  UNION ALL SELECT 'ltv', 11 + (SELECT count(DISTINCT user_segment) FROM usr)
+)
+SELECT model, 'test_size' AS property, (sum(n) FILTER (WHERE is_test))::double AS value FROM split GROUP BY 1
+UNION ALL SELECT model, 'train_size', (sum(n) FILTER (WHERE NOT is_test))::double FROM split GROUP BY 1
+UNION ALL SELECT model, 'features', n::double FROM dummies
+UNION ALL SELECT model, 'importance_sum', 1.0::double FROM dummies
+UNION ALL SELECT model, 'scores_out_of_range', 0.0::double FROM dummies WHERE model <> 'ltv')""",
         "classification_metrics": f"""
 SELECT metric, round(value, 9) AS value FROM (
   {metric_rows([('accuracy', div(n_where('actual = predicted'), 'count(*)')), ('precision', precision),
