@@ -412,6 +412,7 @@ MODELS: dict[str, LakeQuery] = {
     "risk_bands": _score(scores.classifier_scores, lambda df: pred.risk_bands(df.select("id", "score"), "score")),
     "ltv_bands": _score(scores.ltv_scores, lambda df: pred.ltv_bands(df.select("user_id", "predicted"), "predicted")),
     "run_ml_models": _run_ml_models,
+    "run_ml_pipeline": _run_ml_models,
 }
 
 FROM_SCORES: dict[str, LakeQuery] = {

@@ -183,6 +183,7 @@ def customer_journey_funnel(events: DataFrame) -> DataFrame:
 def session_analytics(sessions: DataFrame, users: DataFrame, dates: DataFrame) -> DataFrame:
     """Sessions with user segment, calendar attributes, engagement level and quality score."""
     n = F.col("num_events")
+    # Limits and names of the levels, weights of the score.
     engagement = (
         F.when(n == 1, "Bounce")
         .when(n.between(2, 5), "Low Engagement")
@@ -364,6 +365,7 @@ def product_analytics(products: DataFrame, metrics: DataFrame, events: DataFrame
     average = metrics.agg(ratio(F.sum("total_interactions"), F.count("*"))).scalar()
     total = F.col("total_interactions")
     price = F.col("price").cast("double")
+    # Limits and names of the tiers, weights of the score.
     price_tier = (
         F.when(price < 50, "Budget")
         .when(price <= 150, "Mid-Range")

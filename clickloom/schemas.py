@@ -46,6 +46,7 @@ def _spec(name: str, ddl: str, key: str, **rest) -> TableSpec:
     return TableSpec(name, columns_of(ddl), tuple(key.split()), **rest)
 
 
+# Names, columns and keys of the warehouse tables.
 WAREHOUSE: dict[str, TableSpec] = {
     s.name: s
     for s in (
