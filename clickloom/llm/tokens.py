@@ -10,6 +10,7 @@ other white space or at their end are encoded whole.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 ODD = r" (?:[\s\p{Z}\x0b\x1c-\x1f\x{85}]|\z)"
-KEPT_CHUNKS = 400_000  # distinct chunks a worker keeps between batches
+KEPT_CHUNKS = 300_000  # distinct chunks a worker keeps between batches
 BATCH_BYTES = 8 << 20  # text encoded at once, unless one text is longer
 
 
@@ -34,7 +35,7 @@ class Encoder:
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk after a space."""
@@ -57,7 +58,7 @@ class Encoder:
         split = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         bounds = split.offsets.to_numpy().astype(np.int64)
         parts = split.values.dictionary_encode()
-        codes = parts.indices.to_numpy().astype(np.int64)
+        codes = parts.indices.to_numpy().copy()
         chunks = parts.dictionary.to_pylist()
         # the first part of a text follows no space; an odd text is one first part
         firsts = pc.if_else(odd, texts, split.values.take(pa.array(bounds[:-1]))).to_pylist()
@@ -65,12 +66,14 @@ class Encoder:
         codes = np.insert(codes, bounds[1:], len(chunks) + len(firsts))
         pieces = [*self._chunks(chunks), *self._encoded(firsts), self.end]
         table = np.frombuffer(b"".join(pieces), dtype="<u4")
-        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
-        starts = np.cumsum(sizes) - sizes
+        # a batch holds far fewer ids than 32 bits count
+        sizes = np.fromiter(map(len, pieces), dtype=np.int32, count=len(pieces)) // 4
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
         counts = sizes[codes]
-        ends = np.cumsum(counts)
-        at = np.repeat(starts[codes] - (ends - counts), counts) + np.arange(ends[-1])
-        return table[at], np.r_[0, ends[bounds[1:] + np.arange(len(firsts))]]
+        ends = np.cumsum(counts, dtype=np.int32)
+        at = np.repeat(starts[codes] - (ends - counts), counts)
+        at += np.arange(ends[-1], dtype=np.int32)
+        return table[at], np.r_[0, ends[bounds[1:] + np.arange(len(firsts))].astype(np.int64)]
 
 
 _encoders: dict[tuple[int, int], Encoder] = {}
