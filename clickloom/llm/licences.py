@@ -27,6 +27,7 @@ class Template:
     label: str
     text: str
     exact: bool = False  # a phrase: only its words in a row count, every place
+    coverage: float | None = None  # of a short statement: the share that one diagonal must hold, in place of that of Votes
 
 
 @dataclass(frozen=True)
@@ -102,6 +103,36 @@ NOTICES = [
 ]
 
 
+def _named(label: str, *texts: str) -> list[Template]:
+    return [Template(label, text, coverage=0.99) for text in texts]
+
+
+# What one-line statements call a licence by.
+STATEMENTS = [
+    *_named("agpl", "affero general public license", "gnu agpl", "agpl v3", "agpl 3 0", "agplv3 license"),
+    *_named("apache-2.0", "apache license version 2 0", "apache license v2 0", "apache license 2 0", "apache 2 0"),
+    *_named(
+        "bsd", "bsd license", "bsd licence", "bsd 2 clause", "bsd 3 clause", "2 clause bsd", "3 clause bsd", "bsd style license",
+    ),
+    *_named("cc0", "cc0 1 0", "cc0 license", "cc0 public domain", "creative commons zero"),
+    *_named("cc-by-4.0", "cc by 4 0", "creative commons attribution 4 0"),
+    *_named("cc-by-nc", "cc by nc", "creative commons attribution noncommercial", "creative commons attribution non commercial"),
+    *_named(
+        "cc-by-nc-nd", "cc by nc nd", "creative commons attribution noncommercial noderivatives",
+        "creative commons attribution noncommercial noderivs",
+    ),
+    *_named("cc-by-nc-sa", "cc by nc sa", "creative commons attribution noncommercial sharealike"),
+    *_named("cc-by-nd", "cc by nd", "creative commons attribution noderivatives", "creative commons attribution noderivs"),
+    *_named("cc-by-sa", "cc by sa", "creative commons attribution sharealike", "creative commons attribution share alike"),
+    *_named("gpl", "gnu gpl", "gpl v2", "gpl v3", "gpl 2 0", "gpl 3 0", "gplv2 license", "gplv3 license"),
+    *_named("isc", "isc license", "isc licence"),
+    *_named("lgpl", "lesser general public license", "library general public license", "gnu lgpl", "lgpl v2", "lgpl v3", "lgpl 2 1", "lgpl 3 0"),
+    *_named("mit", "mit license", "mit licence", "mit licensed", "licensed under mit"),
+    *_named("mpl-2.0", "mozilla public license version 2 0", "mozilla public license v 2 0", "mozilla public license 2 0", "mpl 2 0"),
+    *_named("unlicense", "the unlicense"),
+]
+
+
 def _words(text: Column) -> Column:
     """Words of A-Z lowered text. The Kelvin sign is the only other letter that lowers into a-z alone."""
     lowered = F.when(F.contains(text, F.lit("K")), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
@@ -116,22 +147,23 @@ def _grams(words: Column, first: Column, last: Column) -> Column:
 
 
 def template_grams(spark: SparkSession, templates: list[Template]) -> DataFrame:
-    """(template, label, exact, n_grams, place, gram) of all templates, and an empty k-gram for template -1."""
+    """(template, label, exact, least, n_grams, place, gram) of all templates, and an empty k-gram for template -1."""
     for t in templates:
         if len(t.text.split()) < GRAM:
             raise ValueError(f"a template needs at least {GRAM} words: {t.text!r}")
     rows = F.array(
-        *[F.struct(F.lit(i).alias("template"), F.lit(t.label).alias("label"), F.lit(t.exact).alias("exact"), F.lit(t.text).alias("text"))
+        *[F.struct(F.lit(i).alias("template"), F.lit(t.label).alias("label"), F.lit(t.exact).alias("exact"),
+                   F.lit(t.coverage).cast("double").alias("least"), F.lit(t.text).alias("text"))
           for i, t in enumerate(templates)]
     )
-    cut = spark.range(1).select(F.inline(rows)).select("template", "label", "exact", _words(F.col("text")).alias("words"))
+    cut = spark.range(1).select(F.inline(rows)).select("template", "label", "exact", "least", _words(F.col("text")).alias("words"))
     grams = cut.select(
-        "template", "label", "exact", (F.size("words") - 1 - GRAM).alias("n_grams"),
+        "template", "label", "exact", "least", (F.size("words") - 1 - GRAM).alias("n_grams"),
         F.posexplode(_grams(F.col("words"), F.lit(1), F.size("words") - 1 - GRAM)).alias("place", "gram"),
     )
     every = spark.range(1).select(
-        F.lit(-1).alias("template"), F.lit("").alias("label"), F.lit(False).alias("exact"), F.lit(1).alias("n_grams"),
-        F.lit(0).alias("place"), F.lit("").alias("gram"),
+        F.lit(-1).alias("template"), F.lit("").alias("label"), F.lit(False).alias("exact"),
+        F.lit(None).cast("double").alias("least"), F.lit(1).alias("n_grams"), F.lit(0).alias("place"), F.lit("").alias("gram"),
     )
     return grams.union(every).withColumn("hash", F.xxhash64("gram"))
 
@@ -162,19 +194,21 @@ def scan(docs: DataFrame, templates: list[Template], votes: Votes = Votes()) ->
         F.posexplode(F.concat(F.array(F.lit("")), _grams(F.col("words"), F.lit(1), n_words + 1 - GRAM))).alias("at", "gram"),
     ).withColumn("hash", F.xxhash64("gram"))
     hits = held.join(grams, ["hash", "gram"]).withColumn("diagonal", F.col("at") - 1 - F.col("place"))
-    diagonals = hits.groupBy("row", "doc_id", "n_words", "template", "label", "exact", "n_grams", "diagonal").agg(
+    diagonals = hits.groupBy("row", "doc_id", "n_words", "template", "label", "exact", "least", "n_grams", "diagonal").agg(
         F.collect_list("place").alias("places")
     )
     near = Window.partitionBy("row", "doc_id", "n_words", "template").orderBy("diagonal").rangeBetween(-votes.slack, votes.slack)
     merged = F.array_distinct(F.flatten(F.collect_list("places").over(near)))
-    voted = diagonals.withColumn("merged", F.when(F.col("exact"), F.col("places")).otherwise(merged)).withColumn(
+    # phrases and short statements stand on one diagonal, and every place counts
+    alone = F.col("exact") | F.col("least").isNotNull()
+    voted = diagonals.withColumn("merged", F.when(alone, F.col("places")).otherwise(merged)).withColumn(
         "share", F.size("merged") / F.col("n_grams")
     )
-    full = F.when(F.col("exact"), F.col("share") == 1).otherwise(F.col("share") >= votes.coverage)
+    full = F.when(F.col("exact"), F.col("share") == 1).otherwise(F.col("share") >= F.coalesce("least", F.lit(votes.coverage)))
     # the strongest of the diagonals that were merged stands for them
     best = F.max(F.struct("share", F.size("places"), -F.col("diagonal"))).over(near)
     found = voted.withColumn("hit", (F.col("template") >= 0) & full).withColumn(
-        "hit", F.col("hit") & (F.col("exact") | (F.struct("share", F.size("places"), -F.col("diagonal")) == best))
+        "hit", F.col("hit") & (alone | (F.struct("share", F.size("places"), -F.col("diagonal")) == best))
     )
     start = F.col("diagonal") + F.array_min("merged")
     spans = found.select(

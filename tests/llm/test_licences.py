@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from clickloom.llm.licences import LOWER, NOTICES, PHRASES, UPPER, Template, scan
+from clickloom.llm.licences import LOWER, NOTICES, PHRASES, STATEMENTS, UPPER, Template, scan
 from samples import SCHEMA
 
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -51,3 +51,30 @@ def test_notices_are_found_where_they_stand(spark, i):
 def test_short_templates_are_refused(spark, docs):
     with pytest.raises(ValueError, match="at least"):
         scan(docs, [Template("x", "one")])
+
+
+def test_one_line_statements_name_their_licence(spark):
+    lines = {
+        "Released under the MIT License.": "mit",
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+        "All rights reserved.": "reserved",
+        "License: BSD 3-Clause": "bsd",
+        "GNU Lesser General Public License": "gpl,lgpl",
+        "GNU Affero General Public License v3": "agpl,gpl",
+        "Mozilla Public License, Version 2.0": "mpl-2.0",
+        "Creative Commons Attribution-ShareAlike 4.0": "cc-by-sa",
+        "CC0 1.0 Universal": "cc0",
+        "Apache Junction has a public license office, version 2.0 of it": "",
+        "the license of MIT": "",
+    }
+    rows = spark.createDataFrame([(i, f"before it {line} and behind", None, None) for i, line in enumerate(lines)], SCHEMA)
+    got = {r.doc_id: (r.labels, r.score) for r in scan(rows, PHRASES + NOTICES + STATEMENTS).collect()}
+    assert got == {i: (labels, 1.0 if labels else 0.0) for i, labels in enumerate(lines.values())}
+
+
+def test_statements_leave_phrases_and_notices_as_they_are(spark, docs):
+    columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+    few, all_ = (scan(docs, t).select(columns).collect() for t in (PHRASES + NOTICES, PHRASES + NOTICES + STATEMENTS))
+    assert sorted(map(tuple, few), key=str) == sorted(map(tuple, all_), key=str)
