@@ -102,17 +102,19 @@ def split_and_fold(
 
 
 def cross_validate(
-    estimator: Estimator, evaluate: Callable[[DataFrame], float], folded: DataFrame, k: int, balanced: bool = False
+    estimator: Estimator, evaluate: Callable[[DataFrame], float], folded: DataFrame, k: int, balanced: bool = False,
+    fitted: DataFrame | None = None,
 ) -> tuple[float, float]:
     """Mean and standard deviation of a score over the k folds given in ``fold``.
 
-    One fit per fold; CrossValidator would fit the whole table once more. With
+    Each fold is scored on all its rows in ``folded``, and fitted on the rows of the
+    others, those in ``fitted`` if that is given. One fit per fold; CrossValidator would fit the whole table once more. With
     ``balanced`` the class weights are those of the rows each fold is fitted on.
     """
     scores = []
     for fold in range(k):
         held_out = F.col("fold") == fold
-        fitted_on = folded.filter(~held_out)
+        fitted_on = (folded if fitted is None else fitted).filter(~held_out)
         model = estimator.fit(with_class_weights(fitted_on, fitted_on) if balanced else fitted_on)
         scores.append(evaluate(model.transform(folded.filter(held_out))))
     return statistics.fmean(scores), statistics.pstdev(scores)
@@ -179,12 +181,13 @@ def train_classifier(
     )
     scored = stage(scores, "scored")
     tested = scored.filter("is_test")
-    cv_mean, cv_std = cross_validate(forest, _auc, labelled, folds, balanced=True)
+    cv_mean, cv_std = cross_validate(forest, _auc, rows, folds, balanced=True, fitted=labelled)
+    fit_size = labelled.filter(~F.col("is_test")).count()
     sizes = scored.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
     metrics = classification_metrics(tested).unionByName(
         _extra_metrics(
             spark, cv_roc_auc_mean=cv_mean, cv_roc_auc_std=cv_std,
-            train_size=sizes["n"] - sizes["test"], test_size=sizes["test"],
+            train_size=sizes["n"] - sizes["test"], test_size=sizes["test"], fit_size=fit_size,
         )
     )
     places = [p for n in names for p in ([f"{n}_{v}" for v in values[n]] if n in values else [n])]
@@ -210,12 +213,13 @@ def train_regressor(
     )
     scored = stage(scores, "scored")
     tested = scored.filter("is_test")
-    cv_mean, cv_std = cross_validate(booster, RegressionEvaluator(metricName="r2").evaluate, labelled, folds)
+    cv_mean, cv_std = cross_validate(booster, RegressionEvaluator(metricName="r2").evaluate, rows, folds, fitted=labelled)
+    fit_size = labelled.filter(~F.col("is_test")).count()
     sizes = scored.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
     metrics = regression_metrics(tested).unionByName(
         _extra_metrics(
             spark, cv_r2_mean=cv_mean, cv_r2_std=cv_std,
-            train_size=sizes["n"] - sizes["test"], test_size=sizes["test"],
+            train_size=sizes["n"] - sizes["test"], test_size=sizes["test"], fit_size=fit_size,
         )
     )
     return Trained(model, scored, tested, metrics, feature_importance(model, names, spark))

@@ -97,3 +97,25 @@ def test_models_end_to_end(spark, lake, tmp_path):
     assert churn.filter(F.abs(F.col("retention_priority") - F.col("churn_probability") * F.col("total_revenue")) > 1e-9).count() == 0
     ltv = {r.metric: r.value for r in trained["ltv"].metrics.collect()}
     assert {"rmse", "mae", "r2", "mape", "cv_r2_mean", "cv_r2_std"} <= set(ltv) and ltv["rmse"] >= ltv["mae"] >= 0
+
+
+def test_folds_are_fitted_on_a_part_and_scored_whole(spark):
+    """Also the number of rows that were fitted is reported, beside the size of the split."""
+    rows = spark.range(100).select("id", F.col("id").cast("double").alias("x"), (F.col("id") * 2.0).alias("label"))
+    folded = rows.withColumn("fold", (F.col("id") % 2).cast("int"))
+    fits = []
+
+    class Counted:
+        def fit(self, df):
+            fits.append(df.count())
+            return self
+
+        def transform(self, df):
+            return df
+
+    few = folded.filter("id < 20")
+    assert training.cross_validate(Counted(), lambda df: df.count(), folded, 2, fitted=few) == (50, 0)
+    assert fits == [10, 10]
+    sizes = training.train_regressor(rows, "id", iterations=1, max_depth=1, folds=2, max_rows=40).metrics.collect()
+    sizes = {r.metric: r.value for r in sizes}
+    assert sizes["train_size"] == 80 and 0 < sizes["fit_size"] < 60
