@@ -7,14 +7,17 @@ a cutoff finds bad documents at all, the holdout half tests it. The test is
 exact: with n good holdout documents of which k are rejected, the chance of k or
 fewer under the largest allowed rate must not exceed the error level, divided by
 the number of tests (strata x rules x cutoffs). Rules share the allowed rate, so
-the bound holds for a document rejected by any of them.
+the bound holds for a document rejected by any of them. The labelled documents that
+this needs grow with the grid. ``combined_cutoffs`` needs far fewer: the tuning half
+chooses, and the holdout half tests one combined rejection per stratum.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.llm.frames import numbered, position, row_key, take
 from clickloom.session import stage
@@ -158,12 +161,8 @@ def binomial_tail(n: Column, k: Column, rate: float) -> Column:
     return F.when(k > n * rate, F.lit(1.0)).otherwise(top * F.aggregate(steps, start, step, lambda acc: acc["total"]))
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits()) -> DataFrame:
-    """(stratum, rule, cutoff): per stratum and rule the strictest cutoff that is proven.
-
-    Labels (doc_id, quality) that contradict each other are left out, as are
-    documents that fail the base rules; a repeated document counts once.
-    """
+def _labelled(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """Distinct documents with one label that pass the base rules: counts, good, holdout."""
     known = (
         take(labels, {"doc_id": "doc_id", "quality": "quality"})
         .groupBy("doc_id")
@@ -171,17 +170,29 @@ def cutoffs(measured: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLim
         .filter("quality = highest and doc_id is not null")
         .select("doc_id", (F.col("quality") == 1).alias("good"))
     )
-    used = measured.filter(~base_failed()).drop("key").distinct().join(known, "doc_id")
     holdout = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) >= "8"
-    grid = F.array(
+    return measured.filter(~base_failed()).drop("key").distinct().join(known, "doc_id").withColumn("holdout", holdout)
+
+
+def _grid(limits: RiskLimits) -> Column:
+    return F.array(
         *[
             F.struct(F.lit(rule).alias("rule"), F.lit(rank).alias("rank"), F.lit(cutoff).alias("cutoff"), rejects(rule, F.lit(cutoff)).alias("hit"))
             for rule, values in limits.cutoffs.items()
             for rank, cutoff in enumerate(values)
         ]
     )
+
+
+def cutoffs(measured: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits()) -> DataFrame:
+    """(stratum, rule, cutoff): per stratum and rule the strictest cutoff that is proven.
+
+    Labels (doc_id, quality) that contradict each other are left out, as are
+    documents that fail the base rules; a repeated document counts once.
+    """
+    used = _labelled(measured, labels)
     counted = (
-        used.select("stratum", "good", holdout.alias("holdout"), F.explode(grid).alias("g"))
+        used.select("stratum", "good", "holdout", F.explode(_grid(limits)).alias("g"))
         .groupBy("stratum", "g.rule", "g.rank", "g.cutoff")
         .agg(
             F.count_if(F.expr("holdout and good")).alias("n"), F.count_if(F.expr("holdout and good and g.hit")).alias("k"),
@@ -202,9 +213,68 @@ def cutoffs(measured: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLim
     )
 
 
-def _judged(docs: DataFrame, labels: DataFrame, limits: RiskLimits, stratum: str) -> DataFrame:
+def combined_cutoffs(measured: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits()) -> DataFrame:
+    """(stratum, rule, cutoff): the cutoffs whose combined rejection is proven in a stratum.
+
+    The tuning half chooses per stratum and rule the useful cutoff that finds most bad
+    documents, the mildest of equals, among those that spend at most half the rule's part
+    of the allowed rate. It orders the rules by the bad documents they find, and takes as
+    many as find most together and pass the test on the tuning half itself. The holdout
+    half tests that one combination at the whole rate, so the error is divided by the
+    strata with a choice only. A stratum whose test fails has no rows.
+    """
+    used = stage(_labelled(measured, labels), "labelled")
+    rules = list(limits.cutoffs)
+    tuned = (
+        used.filter(~F.col("holdout")).select("stratum", "good", F.explode(_grid(limits)).alias("g"))
+        .groupBy("stratum", "g.rule", "g.rank", "g.cutoff")
+        .agg(
+            F.count_if("good").alias("good_n"), F.count_if(F.expr("good and g.hit")).alias("good_k"),
+            F.count_if(F.expr("not good")).alias("bad_n"), F.count_if(F.expr("not good and g.hit")).alias("bad_k"),
+        )
+    )
+    useful = (F.col("bad_k") > 0) & (F.col("bad_k") * F.col("good_n") >= limits.lift * F.col("good_k") * F.col("bad_n"))
+    safe = F.col("good_k") <= F.col("good_n") * (limits.good_rejected / (2 * len(rules)))
+    chosen = (
+        tuned.filter(useful & safe).groupBy("stratum", "rule")
+        .agg(F.max_by(F.struct("cutoff", "bad_k", "good_k"), F.struct("bad_k", "rank")).alias("c"))
+        .select("stratum", "rule", "c.*")
+    )
+    place = F.row_number().over(Window.partitionBy("stratum").orderBy(F.desc("bad_k"), "good_k", "rule"))
+    chosen = stage(chosen.select("stratum", "rule", "cutoff", place.alias("place")), "cutoff-choice")
+    per_stratum = chosen.groupBy(F.col("stratum").alias("of")).agg(
+        F.max("place").alias("rules"),
+        *[F.max(F.when(F.col("rule") == r, F.col(c))).alias(f"{c}_{r}") for r in rules for c in ("cutoff", "place")],
+    )
+    # the place of the first rule that rejects the document
+    first = F.least(F.lit(len(rules) + 1), *[F.when(rejects(r, F.col(f"cutoff_{r}")), F.col(f"place_{r}")) for r in rules])
+    of = F.col("stratum").eqNullSafe(F.col("of"))
+    counted = used.join(per_stratum, of).select("of", "rules", "good", "holdout", first.alias("first"))
+    hits = lambda rows, i: F.count_if(F.expr(rows) & (F.col("first") <= i + 1))
+    counted = counted.groupBy("of", "rules").agg(
+        F.count_if(F.expr("not holdout and good")).alias("good_n"), F.count_if(F.expr("holdout and good")).alias("n"),
+        *[
+            F.array(*[hits(rows, i) for i in range(len(rules))]).alias(name)
+            for name, rows in (("good_k", "not holdout and good"), ("k", "holdout and good"), ("bad_k", "not holdout and not good"))
+        ],
+    )
+    counted = stage(counted, "cutoff-tests")
+    level = F.lit(limits.error) / counted.agg(F.count("*")).scalar()
+    # of the combinations that pass, the one that finds most; of equals the shortest
+    tried = counted.withColumn("depth", F.explode(F.sequence(F.lit(1), F.col("rules"))))
+    at = lambda name: F.element_at(name, F.col("depth"))
+    best = tried.filter(binomial_tail(F.col("good_n"), at("good_k"), limits.good_rejected) <= level).groupBy("of").agg(
+        F.max_by(F.struct("depth", "n", at("k").alias("k")), F.struct(at("bad_k").alias("found"), -F.col("depth"))).alias("best")
+    )
+    best = stage(best.select("of", "best.*"), "cutoff-tests")
+    proven = best.filter(binomial_tail(F.col("n"), F.col("k"), limits.good_rejected) <= level)
+    kept = of & (F.col("place") <= F.col("depth"))
+    return chosen.join(proven.select("of", "depth"), kept).select("stratum", "rule", "cutoff")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, limits: RiskLimits, stratum: str, prove: Callable[..., DataFrame]) -> DataFrame:
     measured = metrics(docs, stratum)
-    per_stratum = cutoffs(measured, labels, limits).groupBy("stratum").agg(
+    per_stratum = prove(measured, labels, limits).groupBy("stratum").agg(
         *[F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in limits.cutoffs]
     )
     joined = measured.join(per_stratum.withColumnRenamed("stratum", "of"), F.col("stratum").eqNullSafe(F.col("of")), "left")
@@ -222,14 +292,14 @@ def judge(docs: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits(),
     rules keep. Repeated rows get equal verdicts. Other columns are ignored, an
     empty table gives no rows; without labels only the base rules reject.
     """
-    return _judged(docs, labels, limits, stratum).select(
+    return _judged(docs, labels, limits, stratum, cutoffs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits(), stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with all their columns."""
-    bad = _judged(docs, labels, limits, stratum).filter("not kept").select("key.*").distinct()
+    """The rows of ``docs``, with all their columns, that neither the base rules nor ``combined_cutoffs`` reject."""
+    bad = _judged(docs, labels, limits, stratum, combined_cutoffs).filter("not kept").select("key.*").distinct()
     doc_id, of, text = (f"_{position(docs, c)}" for c in ("doc_id", stratum, "text"))
     rows = numbered(docs).select("*", row_key(doc_id, of, text).alias("_key")).select("*", "_key.*").drop("_key")
     return rows.join(bad, ["a", "b"], "left_anti").drop("a", "b").toDF(*docs.columns)

@@ -73,3 +73,20 @@ def test_contradicting_and_repeated_labels_are_harmless(labelled, spark):
     limits = quality.RiskLimits()
     found = {tuple(r) for r in quality.cutoffs(quality.metrics(rows), twice, limits).collect()}
     assert found and {r[0] for r in found} == {"en"}
+
+
+def test_few_labels_prove_a_combined_rejection(spark):
+    """About 240 good holdout documents per language; in one of them a tenth of the good ones hold symbols."""
+    words = " ".join(f"w{i}" for i in range(60))
+    rows, labels = [], []
+    for i in range(1200):
+        lang, bad = ("en", "de")[i % 2], i % 5 == 0
+        symbols = " " + " ".join(f"#{k}" for k in range(40)) if bad or (lang == "de" and i % 11 == 1) else ""
+        rows.append((i, f"{words} n{i}{symbols}", lang, "s"))
+        labels.append((i, 0 if bad else 1))
+    docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")
+    assert quality.cutoffs(quality.metrics(docs), known).count() == 0
+    found = {tuple(r) for r in quality.combined_cutoffs(quality.metrics(docs), known).collect()}
+    assert {r[0] for r in found} == {"en"} and "symbols" in {r[1] for r in found}
+    kept = {r.doc_id for r in quality.keep_good(docs, known).collect()}
+    assert kept == {i for i in range(1200) if i % 2 or i % 5}
