@@ -181,7 +181,7 @@ def _with_components(docs: DataFrame, size: int, distance: int) -> DataFrame:
     roots = components(links(firsts.select("fp"), distance))
     tree = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = tree.groupBy("root").agg(F.min("first").alias("component_id"))
-    return held.join(tree.join(lowest, "root").select("fp", "component_id"), "fp")
+    return held.join(tree.join(lowest, "root").select("fp", "root", "component_id"), "fp")
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
@@ -201,9 +201,8 @@ def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFr
 def keep_one(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component its smallest doc_id.
 
-    All columns of ``docs`` come back. Rows that repeat both doc_id and text are
-    kept once. Rows without a doc_id go if their component has a row with one, else
-    they are kept, once per text.
+    All columns of ``docs`` come back. Of rows that share the smallest doc_id, or of a
+    component without any, the one whose text has the smallest hash is kept, once.
     """
     names = ["_id", "_null", "_hash"]
     doc_id, text = f"_{position(docs, 'doc_id')}", f"_{position(docs, 'text')}"
@@ -212,7 +211,8 @@ def keep_one(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
         known = F.col(doc_id).cast("long")
         return [F.coalesce(known, F.lit(0).cast("long")).alias("_id"), known.isNull().alias("_null"), text_hash.alias("_hash")]
 
-    kept = _with_components(docs, size, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
+    kept = _with_components(docs, size, distance).groupBy("root").agg(F.min(order).alias("first")).select("first.*")
     rows = numbered(docs).select("*", *key(doc_id, F.xxhash64(text)))
     found = rows.join(kept.select(*key("doc_id", F.col("text_hash"))).distinct(), names)
     return found.dropDuplicates(names).drop(*names).toDF(*docs.columns)

@@ -79,3 +79,9 @@ def test_keep_one_keeps_the_smallest_of_each_group(docs):
     lowest = {c for _, _, c in expected([(r[0], r[1]) for r in docs.collect()])}
     assert len(rows) == len(set(rows)) and set(rows) <= whole
     assert {doc_id for doc_id, _ in rows} == lowest
+
+
+def test_one_row_stays_of_components_with_null_or_repeated_ids(spark):
+    rows = [(None, "one two three four"), (None, "One two three four"), (5, "x y z"), (5, "X y z"), (6, "X y z")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == [5, None]
