@@ -37,13 +37,14 @@ def create(folder: str, suffix: str) -> tuple[str, pa.NativeFile]:
     uri = f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}{suffix}"
     system, path = _located(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return uri, system.open_output_stream(path)
+    # what is written is what is stored, whatever the suffix
+    return uri, system.open_output_stream(path, compression=None)
 
 
 def write(uri: str, content: bytes) -> None:
     system, path = _located(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    with system.open_output_stream(path) as out:
+    with system.open_output_stream(path, compression=None) as out:
         out.write(content)
 
 
@@ -54,7 +55,7 @@ def open_random(uri: str) -> pa.NativeFile:
 
 def open_stream(uri: str) -> pa.NativeFile:
     system, path = _located(uri)
-    return system.open_input_stream(path)
+    return system.open_input_stream(path, compression=None)
 
 
 def one_task_each(files: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ no SQL, so op4, op8, op10 and the pipeline are tested against brute force instea
 
 from __future__ import annotations
 
+from clickloom.llm.fim import Fim
 from clickloom.llm.licences import NOTICES, PHRASES, Votes
 from clickloom.llm.quality import RiskLimits
 from clickloom.llm.queries import MIX, SHARD_BYTES
@@ -223,6 +224,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged j"""
 
 
+def _fim() -> str:
+    fim = Fim()
+    marks = [m.decode() for m in (fim.prefix, fim.suffix, fim.middle)]
+    held = " OR ".join(f"contains(t, '{m}')" for m in marks)
+    part = "coalesce(array_to_string(u[{} : {}], ''), '')"
+    h = lambda i: f"('0x' || substr(sha256('{fim.seed}:' || coalesce(doc_id::varchar, 'null')), {8 * i + 1}, 8))::bigint"
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         {h(0)} AS h1, {h(1)} AS h2, {h(2)} AS h3, {h(3)} AS h4 FROM documents
+),
+cut AS (
+  SELECT *, len(u)::bigint AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR {held} OR h3 % 100 >= {fim.share} THEN 'plain' WHEN h4 % 100 < {fim.spm} THEN 'spm' ELSE 'psm' END AS form
+  FROM docs
+),
+parts AS (
+  SELECT *, {part.format('1', 'a')} AS p, {part.format('a + 1', 'b')} AS m, {part.format('b + 1', 'n')} AS s FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '{marks[0]}' || p || '{marks[1]}' || s || '{marks[2]}' || m
+                        WHEN 'spm' THEN '{marks[1]}' || s || '{marks[0]}' || p || '{marks[2]}' || m ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts"""
+
+
 STATEMENTS: dict[str, str] = {
     "op1_mixing": _mixing(),
     "op2_licences": _licences(),
@@ -231,4 +258,5 @@ STATEMENTS: dict[str, str] = {
     "op6_sharding": _sharding(),
     "op7_vectors": _vectors(),
     "op9_quality_rules": _quality(),
+    "op13_fill_in_middle": _fim(),
 }
