@@ -11,6 +11,7 @@ from clickloom.llm.fim import Fim
 from clickloom.llm.licences import NOTICES, PHRASES, Votes
 from clickloom.llm.quality import RiskLimits
 from clickloom.llm.queries import MIX, SHARD_BYTES
+from clickloom.llm.spelling import Variants
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 SPACE = r"\x20\x09-\x0D"
@@ -224,6 +225,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged j"""
 
 
+def _spelling() -> str:
+    rule = Variants()
+    # the checksum byte by byte, from its table of 256 entries
+    entry = "list_reduce(list_prepend(i, range(0, 8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    return f"""
+WITH RECURSIVE crc AS (SELECT list({entry} ORDER BY i) AS entries FROM range(0, 256) r(i)),
+runs AS (
+  SELECT coalesce(doc_id::varchar, 'null') AS d, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL
+),
+bytes AS (
+  SELECT run, n, list_transform(range(0, octet_length(encode(d || ':' || run))), lambda i: ('0x' || substr(hex(encode(d || ':' || run)), 2 * i + 1, 2))::bigint) AS b
+  FROM runs WHERE length(run) >= {rule.least_chars}
+),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, entries[(xor(c, x) & 255) + 1])), 4294967295) AS h
+  FROM bytes, crc
+),
+words AS (
+  SELECT word, sum(n)::bigint AS n
+  FROM (SELECT CASE WHEN h % {rule.drop} = 0 THEN left(run, (h % length(run))::int) || substr(run, (h % length(run) + 2)::int) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= {rule.least_chars} GROUP BY 1 HAVING sum(n) >= {rule.least_count}
+),
+shorter AS (
+  SELECT DISTINCT word, i, left(word, i::int - 1) || substr(word, i::int + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) u(i)
+),
+near AS (
+  SELECT a.word AS a, b.word AS b FROM shorter a JOIN shorter b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON w.word = s.rest
+  UNION SELECT w.word, s.word FROM shorter s JOIN words w ON w.word = s.rest
+),
+best AS (
+  SELECT a AS word, count(*) AS n_near, (arg_min(struct_pack(b := b, n := w.n), struct_pack(n := -w.n, b := b))) AS o
+  FROM near JOIN words w ON w.word = b GROUP BY 1
+),
+forms AS (
+  SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN o.n >= {rule.ratio} * w.n THEN o.b END AS form, CASE WHEN o.n >= {rule.ratio} * w.n THEN o.n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+),
+followed(word, last) AS (SELECT word, word FROM forms UNION ALL SELECT f.word, forms.form FROM followed f JOIN forms ON forms.word = f.last WHERE forms.form IS NOT NULL)
+SELECT word, form, last AS root, n, n_near, form_n
+FROM forms JOIN (SELECT f.word, f.last FROM followed f JOIN forms ON forms.word = f.last WHERE forms.form IS NULL) USING (word)"""
+
+
 def _fim() -> str:
     fim = Fim()
     marks = [m.decode() for m in (fim.prefix, fim.suffix, fim.middle)]
@@ -258,5 +303,6 @@ STATEMENTS: dict[str, str] = {
     "op6_sharding": _sharding(),
     "op7_vectors": _vectors(),
     "op9_quality_rules": _quality(),
+    "op11_spelling": _spelling(),
     "op13_fill_in_middle": _fim(),
 }
