@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import binary, chat, fim, licences, mixing, packing, quality, sharding, simhash, spelling, vectors, warc
+from clickloom.llm import binary, chat, classifier, fim, licences, mixing, packing, quality, sharding, simhash, spelling, vectors, warc
 from clickloom.llm.frames import read, take
 from clickloom.session import stage
 
@@ -116,6 +116,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(read(spark, sf_dir, "documents"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.round_trip(read(spark, sf_dir, "documents"))
 
@@ -124,6 +128,6 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mixing, op2_licences, op2_licences_named, op3_warc, op4_token_files, op5_chat, op6_sharding, op7_vectors, op8_packing, op9_quality_rules,
-        op10_simhash, op11_spelling, op13_fill_in_middle,
+        op10_simhash, op11_spelling, op12_quality_classifier, op13_fill_in_middle,
     )
 }
