@@ -10,14 +10,17 @@ rows. No task then sorts more than one slice, whatever the keys look like.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 ROWS_PER_SLICE = 1_000_000
 SAMPLE_PER_SLICE = 100
 SAMPLE_ROWS = 1_000_000
 SLICE_SECONDS = 3600
+LAST_ROWS = 10_000  # rows of a bucket that are sorted at the end of a selection
 
 
 def sample_quantiles(df: DataFrame, value: str, at: list[float], rows: int) -> list[float]:
@@ -133,53 +136,117 @@ def running_totals(df: DataFrame, value: str, totals: list[str], rows_per_slice:
     )
 
 
-def exact_percentiles(
-    df: DataFrame, value: str, named: dict[str, float], rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
-    """One row with interpolated percentiles, equal to percentile_cont.
+def order_bits(v: Column) -> Column:
+    """A long that orders like the double ``v``: equal zeros, NaN last.
 
-    Slice sizes are counted exactly, and only the slices that contain a wanted rank
-    are sorted.
+    Its size is the bit pattern of the absolute value, put together from exponent and
+    fraction by steps that are exact in doubles.
     """
-    present = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    rows = present.count()
-    cuts = even_cuts(present, "v", rows_per_slice)
-    counted = with_slices(present.groupBy("v").agg(F.count("*").alias("n")), "v", cuts)
-    wanted = sorted(set(named.values()))
-
-    def rank(q: float) -> Column:
-        return F.lit(q * (rows - 1))
-
-    def holds(start: str, end: str) -> Column:
-        hit = F.lit(False)
-        for q in wanted:
-            hit = hit | ((F.floor(rank(q)) < F.col(end)) & (F.ceil(rank(q)) >= F.col(start)))
-        return hit
-
-    up_to = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
-    slices = (
-        counted.groupBy("_slice")
-        .agg(F.sum("n").alias("size"))
-        .withColumn("slice_end", F.sum("size").over(up_to))
-        .withColumn("slice_start", F.col("slice_end") - F.col("size"))
-        .filter(holds("slice_start", "slice_end"))
-        .select("_slice", "slice_start")
-    )
-    inside = Window.partitionBy("_slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        counted.join(slices, "_slice")
-        .withColumn("end", F.col("slice_start") + F.sum("n").over(inside))
-        .withColumn("start", F.col("end") - F.col("n"))
-    )
+    size = F.abs(v)
+
+    def two(exponent: Column) -> Column:
+        return F.pow(F.lit(2.0), exponent)
 
-    def at_rank(r: Column) -> Column:
-        return F.max(F.when((r >= F.col("start")) & (r < F.col("end")), F.col("v")))
+    guess = F.floor(F.log2(size)).cast("double")  # may be one off beside a power of two
+    exponent = F.when(two(guess) > size, guess - 1).when(two(guess + 1) <= size, guess + 1).otherwise(guess)
+    exponent = F.least(F.greatest(exponent, F.lit(-1022.0)), F.lit(1023.0))
+    fraction = ((size / two(exponent) - 1) * F.lit(2.0**52)).cast("long")
+    finite = F.shiftleft((exponent + 1023).cast("long"), 52) + fraction
+    bits = F.when(size == 0, 0).when(size == float("inf"), F.lit(2047 << 52)).otherwise(finite)
+    return F.when(F.isnan(v), F.lit((1 << 63) - 1)).when(v < 0, -bits).otherwise(bits)
 
-    picked = []
-    for name, q in named.items():
-        low, high = at_rank(F.floor(rank(q))), at_rank(F.ceil(rank(q)))
-        picked.append((low + (high - low) * (rank(q) - F.floor(rank(q)))).alias(name))
-    return ranked.agg(*picked)
+
+def order_statistics(
+    rows: DataFrame, keys: list[str], ranks: list[Column], last_rows: int = LAST_ROWS
+) -> dict[tuple, tuple[int, list[float]]]:
+    """Per combination of ``keys`` the number of rows and the values ``v`` of exact ranks.
+
+    ``v`` is a double and not null; ``ranks`` are 0-based, as functions of ``n``, the rows
+    of the combination. The result reaches the driver, so combinations have to be few.
+
+    Radix selection: a histogram of the leading sixteen bits finds the bucket of every
+    rank. Only those buckets are looked into, sixteen bits a pass, until each holds one
+    value or at most ``last_rows`` rows, which are sorted. Nothing is sampled.
+    """
+    coded = rows.select(*keys, "v", order_bits(F.col("v")).alias("k"))
+    found: dict[tuple, tuple[int, list[float]]] = {}
+
+    def bucketed(df: DataFrame, group: list[str], shift: int, *more: Column) -> DataFrame:
+        bucket = F.shiftright("k", shift).alias("bucket")
+        return df.groupBy(*group, bucket).agg(F.count("*").alias("size"), F.min("v").alias("lo"), F.max("v").alias("hi"), *more)
+
+    def located(histogram: DataFrame, group: list[str], wanted: Column) -> list[Row]:
+        """The bucket of every wanted rank; ranks come back relative to it."""
+        within = Window.partitionBy(*group)
+        before = within.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        counted = histogram.withColumns({"start": F.coalesce(F.sum("size").over(before), F.lit(0)), "n": F.sum("size").over(within)})
+        hits = counted.select("*", F.inline(wanted)).filter("r >= start AND r < start + size")
+        return hits.select(*keys, "bucket", "size", "n", "lo", "hi", "i", (F.col("r") - F.col("start")).alias("r")).collect()
+
+    def key_of(row: Row) -> tuple:
+        return tuple(row[k] for k in keys)
+
+    def settled(hit: Row) -> bool:
+        if hit["lo"] != hit["hi"] and not math.isnan(hit["lo"]):
+            return False
+        found[key_of(hit)][1][hit["i"]] = hit["lo"]
+        return True
+
+    asked = F.array(*[F.struct(F.lit(i).alias("i"), r.cast("long").alias("r")) for i, r in enumerate(ranks)])
+    hits = located(bucketed(coded, keys, 48), keys, asked)
+    for hit in hits:
+        found.setdefault(key_of(hit), (hit["n"], [math.nan] * len(ranks)))
+    for shift in (32, 16, 0):
+        hits = [hit for hit in hits if not settled(hit)]
+        if not hits:
+            break
+        fields = [*(rows.schema[k] for k in keys), *(StructField(c, LongType()) for c in ("prefix", "i", "r"))]
+        wanted = rows.sparkSession.createDataFrame([(*key_of(h), h["bucket"], h["i"], h["r"]) for h in hits], StructType(fields))
+        # a row per bucket that holds a rank
+        wanted = wanted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], "prefix").agg(F.collect_list(F.struct("i", "r")).alias("wanted"))
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.shiftright("k", shift + 16) == F.col("prefix"))
+        inside = coded.join(F.broadcast(wanted), same)
+        if max(h["size"] for h in hits) <= last_rows:
+            lists = inside.groupBy(*keys, "prefix").agg(F.first("wanted").alias("wanted"), F.sort_array(F.collect_list("v")).alias("vs"))
+            for row in lists.select(*keys, "vs", F.inline("wanted")).select(*keys, "i", F.get("vs", F.col("r").cast("int")).alias("v")).collect():
+                found[key_of(row)][1][row["i"]] = row["v"]
+            break
+        parts = bucketed(inside, [*keys, "prefix"], shift, F.first("wanted").alias("wanted"))
+        hits = located(parts, [*keys, "prefix"], F.col("wanted"))
+    else:
+        for hit in hits:  # all bits are the same
+            settled(hit)
+    return found
+
+
+def column_percentiles(df: DataFrame, named: dict[str, tuple[str, float]], last_rows: int = LAST_ROWS) -> DataFrame:
+    """One row with interpolated percentiles, equal to percentile_cont, of one or more columns.
+
+    ``named`` gives the column and the share of each; all of them are selected together.
+    NULLs are ignored, a column without values has NULL percentiles.
+    """
+    columns = list(dict.fromkeys(column for column, _ in named.values()))
+    values = F.array(*[F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    rows = df.select(F.inline(values)).filter("v IS NOT NULL")
+    shares = sorted({share for _, share in named.values()})
+    place = [F.lit(share) * (F.col("n") - 1) for share in shares]
+    found = order_statistics(rows, ["column"], [*map(F.floor, place), *map(F.ceil, place)], last_rows)
+
+    def percentile(column: str, share: float) -> float | None:
+        n, values = found.get((columns.index(column),), (0, []))
+        if not n:
+            return None
+        at, i = share * (n - 1), shares.index(share)
+        low, high = values[i], values[i + len(shares)]
+        return low + (high - low) * (at - math.floor(at)) if high != low else low
+
+    picked = [F.lit(percentile(*wanted)).cast("double").alias(name) for name, wanted in named.items()]
+    return df.sparkSession.range(1).select(*picked)
+
+
+def exact_percentiles(df: DataFrame, value: str, named: dict[str, float], last_rows: int = LAST_ROWS) -> DataFrame:
+    """As ``column_percentiles``, of one column."""
+    return column_percentiles(df, {name: (value, share) for name, share in named.items()}, last_rows)
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

@@ -2,7 +2,9 @@
 
 import collections
 import datetime
+import math
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -103,6 +105,48 @@ def test_exact_percentiles_of_nothing(frame):
     assert ordered.exact_percentiles(frame([], "v double"), "v", {"p50": 0.5}).first().p50 is None
 
 
+def test_order_bits_are_those_of_doubles(frame):
+    rng = random.Random(9)
+    values = [0.0, -0.0, math.inf, -math.inf, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308]
+    values += [f(2.0**e) for e in range(-1073, 1024) for f in (float, lambda x: math.nextafter(x, 0), lambda x: math.nextafter(x, math.inf))]
+    values += [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(63)))[0] for _ in range(2000)]
+    values = [s * v for v in values if not math.isnan(v) for s in (1, -1)]
+    got = {(r.v, r.k) for r in frame([(v,) for v in values], "v double").select("v", ordered.order_bits(F.col("v")).alias("k")).collect()}
+    for v, k in got:
+        bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        assert k == (-bits if v < 0 else bits), v
+    nan = frame([(math.nan,)], "v double").select(ordered.order_bits(F.col("v"))).first()[0]
+    assert nan > max(k for _, k in got)
+
+
+@pytest.mark.parametrize("last_rows", [0, 3, 10_000])
+def test_order_statistics_per_group(frame, last_rows):
+    """Also where values differ in their last bits only, over all passes."""
+    rng = random.Random(last_rows)
+    close = [1.0]
+    for _ in range(60):
+        close.append(math.nextafter(close[-1], 2))
+    rows = [(None, v) for v in close * 3] + [("a", rng.gauss(0, 1) * 10.0 ** rng.randrange(-300, 300)) for _ in range(500)]
+    rows += [("b", -7.5)] * 9 + [("c", v) for v in (math.inf, -math.inf, 0.0, -0.0, math.nan)]
+    n = F.col("n")
+    got = ordered.order_statistics(frame(rows, "g string, v double"), ["g"], [F.lit(0), F.floor(n / 2), n - 1], last_rows)
+    for g in (None, "a", "b", "c"):
+        mine = sorted((v for k, v in rows if k == g), key=lambda v: (math.isnan(v), v))
+        size, values = got[(g,)]
+        assert size == len(mine)
+        assert [repr(v + 0.0) for v in values] == [repr(v + 0.0) for v in (mine[0], mine[len(mine) // 2], mine[-1])]
+
+
+def test_percentiles_of_several_columns(frame):
+    rng = random.Random(4)
+    rows = [(rng.random(), rng.choice([None, rng.gauss(0, 5)]), None) for _ in range(700)]
+    named = {"a50": ("a", 0.5), "a99": ("a", 0.99), "b50": ("b", 0.5), "c50": ("c", 0.5)}
+    row = ordered.column_percentiles(frame(rows, "a double, b double, c double"), named, 20).first()
+    for i, c in enumerate("ab"):
+        assert row[f"{c}50"] == pytest.approx(np.percentile([r[i] for r in rows if r[i] is not None], 50), rel=1e-12)
+    assert row.a99 == pytest.approx(np.percentile([r[0] for r in rows], 99), rel=1e-12) and row.c50 is None
+
+
 @pytest.mark.parametrize("rows_per_slice", [10_000, 50])
 def test_running_totals(frame, rows_per_slice):
     rng = random.Random(3)
