@@ -67,7 +67,8 @@ def ltv_predictions(scored: DataFrame) -> DataFrame:
 class ModelSize:
     """Training effort. The defaults are the specified model sizes.
 
-    ``max_rows`` bounds the labelled rows a model is fitted on; all rows are scored.
+    ``max_rows`` bounds the labelled rows a classifier is fitted on; the value model is
+    fitted on all of them, and all rows are scored.
     """
 
     trees: int = 100
@@ -89,7 +90,7 @@ def build_features(model: str, sessions: DataFrame | None, users: DataFrame | No
 
 def train(model: str, features: DataFrame, size: ModelSize = ModelSize()) -> Trained:
     if model == "ltv":
-        return train_regressor(features, "user_id", size.boosting_rounds, size.boosting_depth, folds=size.folds, max_rows=size.max_rows)
+        return train_regressor(features, "user_id", size.boosting_rounds, size.boosting_depth, folds=size.folds)
     row_id = "session_id" if model == "conversion" else "user_id"
     keep = ["total_revenue"] if model == "churn" else None
     return train_classifier(features, row_id, size.trees, size.tree_depth, size.folds, keep=keep, max_rows=size.max_rows)

@@ -8,20 +8,19 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
+from clickloom.models.boosting import HuberModel, boost
 from clickloom.models.metrics import balanced_weights, classification_metrics, regression_metrics, roc_auc
 from clickloom.operators.ordered import shuffled_rank
-from clickloom.session import stage
+from clickloom.session import side_by_side, stage
 
 SEED = 42
 TEST_SHARE = 0.2
-MAX_ROWS = 5_000_000  # labelled rows a model is fitted on
+MAX_ROWS = 5_000_000  # labelled rows a classifier is fitted on
 
 
 @dataclass(frozen=True)
@@ -32,7 +31,7 @@ class Trained:
     held-out ones; both are written tables. ``metrics`` and ``importance`` are small.
     """
 
-    model: Model
+    model: Model | HuberModel
     scored: DataFrame
     tested: DataFrame
     metrics: DataFrame
@@ -108,15 +107,18 @@ def cross_validate(
     """Mean and standard deviation of a score over the k folds given in ``fold``.
 
     Each fold is scored on all its rows in ``folded``, and fitted on the rows of the
-    others, those in ``fitted`` if that is given. One fit per fold; CrossValidator would fit the whole table once more. With
-    ``balanced`` the class weights are those of the rows each fold is fitted on.
+    others, those in ``fitted`` if that is given. One fit per fold, a few at a time; CrossValidator
+    would fit the whole table once more. With ``balanced`` the class weights are those of the
+    rows each fold is fitted on.
     """
-    scores = []
-    for fold in range(k):
+
+    def score(fold: int) -> float:
         held_out = F.col("fold") == fold
         fitted_on = (folded if fitted is None else fitted).filter(~held_out)
         model = estimator.fit(with_class_weights(fitted_on, fitted_on) if balanced else fitted_on)
-        scores.append(evaluate(model.transform(folded.filter(held_out))))
+        return evaluate(model.transform(folded.filter(held_out)))
+
+    scores = side_by_side(score, range(k))
     return statistics.fmean(scores), statistics.pstdev(scores)
 
 
@@ -143,9 +145,9 @@ def with_class_weights(df: DataFrame, train: DataFrame) -> DataFrame:
     return df.withColumn("weight", chain.otherwise(1.0))
 
 
-def feature_importance(model: Model, names: list[str], spark: SparkSession) -> DataFrame:
+def feature_importance(model: Model | HuberModel, names: list[str], spark: SparkSession) -> DataFrame:
     """(feature, importance) rows, bounded by the number of features."""
-    values = model.featureImportances.toArray().tolist()
+    values = model.featureImportances.toArray().tolist() if isinstance(model, Model) else model.featureImportances.tolist()
     return spark.createDataFrame(list(zip(names, values)), "feature string, importance double")
 
 
@@ -194,32 +196,40 @@ def train_classifier(
     return Trained(model, scored, tested, metrics, feature_importance(model, places, spark))
 
 
+def _r2_scores(rows: DataFrame, predictions: dict[int, str]) -> list[float]:
+    """R squared of every fold's own predictions, 0 for a fold of equal labels."""
+    label = F.col("label")
+    chosen = F.coalesce(*[F.when(F.col("fold") == fold, F.col(name)) for fold, name in predictions.items()])
+    held = rows.select("fold", label, (label - chosen).alias("error")).filter("error IS NOT NULL")
+    sums = held.groupBy("fold").agg(F.sum(F.pow("error", F.lit(2))).alias("error"), (F.var_pop("label") * F.count("*")).alias("spread"))
+    return [1 - r["error"] / r["spread"] if r["spread"] else 0.0 for r in sums.orderBy("fold").collect()]
+
+
 def train_regressor(
     features: DataFrame, row_id: str, iterations: int = 100, max_depth: int = 5,
-    learning_rate: float = 0.1, folds: int = 5, seed: int = SEED, max_rows: int = MAX_ROWS,
+    learning_rate: float = 0.1, folds: int = 5, seed: int = SEED,
 ) -> Trained:
-    """Gradient-boosted trees on squared loss, fitted on at most ``max_rows`` rows."""
+    """Gradient-boosted trees on Huber loss, fitted on all rows of the training part.
+
+    The models of the folds grow beside the one of the training part, over the same rows.
+    """
     spark = features.sparkSession
     names = feature_names(features, row_id)
     split = split_and_fold(features, row_id, "label", folds, seed=seed, stratified=False)
     rows = stage(assemble(split, names, [row_id, "label", "is_test", "fold"]), "model_rows")
-    booster = GBTRegressor(
-        maxIter=iterations, maxDepth=max_depth, stepSize=learning_rate, minInstancesPerNode=10, seed=seed
-    )
-    labelled = bounded(rows, row_id, max_rows)
-    model = booster.fit(labelled.filter(~F.col("is_test")))
-    scores = model.transform(rows).select(
-        row_id, F.col("label").alias("actual"), F.col("prediction").alias("predicted"), "is_test"
-    )
+    fitted = [~F.col("is_test"), *[F.col("fold") != fold for fold in range(folds)]]
+    predicted, models = boost(rows, fitted, iterations, max_depth, learning_rate, seed)
+    predicted = stage(predicted, "boosted")
+    scores = predicted.select(row_id, F.col("label").alias("actual"), F.col("prediction0").alias("predicted"), "is_test")
     scored = stage(scores, "scored")
     tested = scored.filter("is_test")
-    cv_mean, cv_std = cross_validate(booster, RegressionEvaluator(metricName="r2").evaluate, rows, folds, fitted=labelled)
-    fit_size = labelled.filter(~F.col("is_test")).count()
+    cv = _r2_scores(predicted, {fold: f"prediction{fold + 1}" for fold in range(folds)}) or [0.0]
     sizes = scored.agg(F.count_if("is_test").alias("test"), F.count("*").alias("n")).first()
+    train_size = sizes["n"] - sizes["test"]
     metrics = regression_metrics(tested).unionByName(
         _extra_metrics(
-            spark, cv_r2_mean=cv_mean, cv_r2_std=cv_std,
-            train_size=sizes["n"] - sizes["test"], test_size=sizes["test"], fit_size=fit_size,
+            spark, cv_r2_mean=statistics.fmean(cv), cv_r2_std=statistics.pstdev(cv),
+            train_size=train_size, test_size=sizes["test"], fit_size=train_size,
         )
     )
-    return Trained(model, scored, tested, metrics, feature_importance(model, names, spark))
+    return Trained(models[0], scored, tested, metrics, feature_importance(models[0], names, spark))

@@ -157,7 +157,7 @@ def order_bits(v: Column) -> Column:
 
 
 def order_statistics(
-    rows: DataFrame, keys: list[str], ranks: list[Column], last_rows: int = LAST_ROWS
+    rows: DataFrame, keys: list[str], ranks: list[Column], last_rows: int = LAST_ROWS, most: int | None = None
 ) -> dict[tuple, tuple[int, list[float]]]:
     """Per combination of ``keys`` the number of rows and the values ``v`` of exact ranks.
 
@@ -166,8 +166,13 @@ def order_statistics(
 
     Radix selection: a histogram of the leading sixteen bits finds the bucket of every
     rank. Only those buckets are looked into, sixteen bits a pass, until each holds one
-    value or at most ``last_rows`` rows, which are sorted. Nothing is sampled.
+    value or at most ``last_rows`` rows, which are sorted. Nothing is sampled. If no
+    combination can have more rows than that, as ``most`` says, they are sorted at once.
     """
+    if most is not None and most <= last_rows:
+        sorted_rows = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("v")).alias("vs"))
+        picked = F.array(*[F.get("vs", r.cast("int")) for r in ranks]).alias("values")
+        return {tuple(row[k] for k in keys): (row["n"], row["values"]) for row in sorted_rows.select(*keys, "n", picked).filter("n > 0").collect()}
     coded = rows.select(*keys, "v", order_bits(F.col("v")).alias("k"))
     found: dict[tuple, tuple[int, list[float]]] = {}
 

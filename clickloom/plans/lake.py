@@ -24,7 +24,7 @@ from clickloom.session import shared_dir, use_utc
 from clickloom.sources.clicks import click_events, product_catalog
 from clickloom.sources.writers import write_parquet
 
-# The registered queries train models of full size on at most so many labelled rows.
+# The registered queries train models of full size, classifiers on at most so many labelled rows.
 REGISTERED = ModelSize(max_rows=5_000)
 
 _lakes: dict[tuple[str, str], "Lake"] = {}
@@ -68,7 +68,7 @@ class Lake:
         """The model, trained once per lake; its outputs are below ``models_dir``."""
         with _lock:
             if model not in self._models:
-                self._models[model] = run_model(model, self[f"{model}_features"], self.models_dir, REGISTERED)
+                self._models[model] = run_model(model, self[f"{model}_training"], self.models_dir, REGISTERED)
             return self._models[model]
 
     def predictions(self, model: str) -> DataFrame:
@@ -118,4 +118,8 @@ _BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
     "conversion_features": lambda l: conversion_features(l["sessions"]),
     "churn_features": lambda l: churn_features(l["users"]),
     "ltv_features": lambda l: ltv_features(l["users"]),
+    # for training, text columns stay text, whatever number of values they have
+    "conversion_training": lambda l: conversion_features(l["sessions"], encode=False),
+    "churn_training": lambda l: l["churn_features"],
+    "ltv_training": lambda l: l["ltv_features"],
 }

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, DoubleType, TimestampType
 
 from clickloom.functions import sqltext
 from clickloom.models import features as feat, metrics as met, predictions as pred, training
+from clickloom.models.boosting import HuberModel
 from clickloom.operators import etl, warehouse as wh
 from clickloom.plans import dashboards as dash, queries as q, questions as ask, views
 from clickloom.plans.lake import Lake
@@ -144,15 +147,23 @@ def _write_metrics(l: Lake) -> DataFrame:
     return l.spark.read.schema("metric string, value double").json(path)
 
 
-def _save_model(l: Lake) -> DataFrame:
-    """Scores of the stored and reloaded conversion model."""
-    from pyspark.ml.classification import RandomForestClassificationModel
+def _reloaded(l: Lake, model: str) -> DataFrame:
+    """Id and score of every row, by the model as stored and loaded again."""
+    path = writers.save_model(l.trained(model).model, l.scratch("out"), model)
+    key = "session_id" if model == "conversion" else "user_id"
+    stored = l[f"{model}_training"]
+    names = training.feature_names(stored, key)
+    coded, _ = training.encoded(stored, names)
+    rows = training.assemble(coded, names, [key])
+    if model == "ltv":
+        return HuberModel.load(l.spark, path).transform(rows).select(key, F.col("prediction").alias("score"))
+    scored = RandomForestClassificationModel.load(path).transform(rows)
+    return scored.select(key, "prediction", vector_to_array("probability")[1].alias("score"))
+
 
-    path = writers.save_model(l.trained("conversion").model, l.scratch("out"), "conversion")
-    model = RandomForestClassificationModel.load(path)
-    stored = l["conversion_features"]
-    rows = training.assemble(stored, training.feature_names(stored, "session_id"), ["session_id"])
-    return model.transform(rows).select("session_id", "prediction")
+def _save_model(l: Lake) -> DataFrame:
+    """Predictions of the stored and reloaded conversion model."""
+    return _reloaded(l, "conversion").select("session_id", "prediction")
 
 
 # --- models ----------------------------------------------------------------
@@ -174,8 +185,31 @@ def _prediction_actuals(l: Lake) -> DataFrame:
 
 
 def _model_properties(l: Lake) -> DataFrame:
-    """What must hold for any training: sizes of its parts, features, sum of importances, scores within range."""
+    """What must hold for any training: sizes of its parts, features, sum of importances, scores
+    within range, the stored and reloaded model's scores and the metrics recomputed from the
+    written predictions."""
     parts = []
+    written = {
+        "conversion": ("session_id", "conversion_probability", "actual_converted", "predicted_converted"),
+        "churn": ("user_id", "churn_probability", "actual_churned", "predicted_churned"),
+        "ltv": ("user_id", "predicted_ltv_90days", "actual_revenue", None),
+    }
+    for model, (key, score, actual, predicted) in written.items():
+        stored = l.predictions(model)
+        # sessions over midnight have several rows with equal ids: compare their sorted scores
+        lists = lambda df, c, name: df.groupBy(key).agg(F.sort_array(F.collect_list(c)).alias(name))
+        both = lists(stored, score, "old").join(lists(_reloaded(l, model), "score", "new"), key, "full")
+        apart = F.zip_with("old", "new", lambda a, b: F.abs(a - b))
+        worst = F.max(F.coalesce(F.array_max(apart), F.lit(1e9)))
+        parts.append(both.agg(F.round(worst, 9).alias("value")).select(F.lit(model).alias("model"), F.lit("reload_difference").alias("property"), "value"))
+        # the held-out rows once more, by their written predictions
+        held = l.trained(model).tested.select(key).distinct().join(stored, key)
+        held = held.select(F.col(actual).alias("actual"), F.col(predicted or score).alias("predicted"), F.col(score).alias("score"))
+        again = met.classification_metrics(held) if predicted else met.regression_metrics(held.drop("score"))
+        kept = l.metrics().filter(F.col("model") == model).select("metric", F.col("value").alias("kept"))
+        apart = F.when(F.col("value").eqNullSafe(F.col("kept")), 0.0).otherwise(F.coalesce(F.abs(F.col("value") - F.col("kept")), F.lit(1e9)))
+        gap = again.join(kept, "metric", "left").agg(F.round(F.max(apart), 6).alias("value"))
+        parts.append(gap.select(F.lit(model).alias("model"), F.lit("metric_difference").alias("property"), "value"))
     for model, probability in (("conversion", "conversion_probability"), ("churn", "churn_probability"), ("ltv", None)):
         metrics = l.trained(model).metrics.filter(F.col("metric").isin("train_size", "test_size"))
         parts.append(metrics.select(F.lit(model).alias("model"), F.col("metric").alias("property"), "value"))

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+PARALLEL_JOBS = 4  # model fits that run side by side
+_local_dirs: dict[str, str] = {}
+
 
 def build_session(app_name: str, cpus: int | str = "*") -> SparkSession:
     """Local session for tests and the benchmark; a cluster brings its own."""
@@ -41,9 +48,11 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    # one folder per application; the setting itself cannot be changed in a running session
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="clickloom-")
+    return _local_dirs[application]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -69,3 +78,13 @@ def clear_stage(spark: SparkSession) -> None:
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for status in system.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "clickloom-*")) or []:
         system.delete(status.getPath(), True)
+
+
+def side_by_side(work: Callable[[Any], Any], items: Iterable[Any], jobs: int = PARALLEL_JOBS) -> list[Any]:
+    """``work`` of every item, in order, with at most so many running at a time.
+
+    For driver-side steps that start Spark jobs of their own, such as the fits of several
+    folds: a job that cannot fill the cluster leaves room for the next one.
+    """
+    with ThreadPoolExecutor(max_workers=jobs) as pool:
+        return list(pool.map(inheritable_thread_target(SparkSession.active())(work), items))

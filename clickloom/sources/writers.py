@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from clickloom.models.boosting import HuberModel
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -41,7 +43,10 @@ def write_metrics(df: DataFrame, base: str, model: str) -> str:
     return path
 
 
-def save_model(model: Model, base: str, name: str) -> str:
+def save_model(model: Model | HuberModel, base: str, name: str) -> str:
     path = f"{base}/models/{name}_model"
-    model.write().overwrite().save(path)
+    if isinstance(model, HuberModel):
+        model.save(SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
     return path

@@ -792,6 +792,8 @@ SELECT model, 'test_size' AS property, (sum(n) FILTER (WHERE is_test))::double A
 UNION ALL SELECT model, 'train_size', (sum(n) FILTER (WHERE NOT is_test))::double FROM split GROUP BY 1
 UNION ALL SELECT model, 'features', n::double FROM dummies
 UNION ALL SELECT model, 'importance_sum', 1.0::double FROM dummies
+UNION ALL SELECT model, 'reload_difference', 0.0::double FROM dummies
+UNION ALL SELECT model, 'metric_difference', 0.0::double FROM dummies
 UNION ALL SELECT model, 'scores_out_of_range', 0.0::double FROM dummies WHERE model <> 'ltv')""",
         "classification_metrics": f"""
 SELECT metric, round(value, 9) AS value FROM (

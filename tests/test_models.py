@@ -116,6 +116,11 @@ def test_folds_are_fitted_on_a_part_and_scored_whole(spark):
     few = folded.filter("id < 20")
     assert training.cross_validate(Counted(), lambda df: df.count(), folded, 2, fitted=few) == (50, 0)
     assert fits == [10, 10]
-    sizes = training.train_regressor(rows, "id", iterations=1, max_depth=1, folds=2, max_rows=40).metrics.collect()
+    labels = rows.withColumn("label", (F.col("id") % 2).cast("int"))
+    sizes = training.train_classifier(labels, "id", num_trees=1, max_depth=1, folds=2, max_rows=40).metrics.collect()
     sizes = {r.metric: r.value for r in sizes}
     assert sizes["train_size"] == 80 and 0 < sizes["fit_size"] < 60
+    # the value model knows no bound
+    sizes = training.train_regressor(rows, "id", iterations=1, max_depth=1, folds=2).metrics.collect()
+    sizes = {r.metric: r.value for r in sizes}
+    assert sizes["train_size"] == sizes["fit_size"] == 80

@@ -129,7 +129,7 @@ def test_order_statistics_per_group(frame, last_rows):
     rows = [(None, v) for v in close * 3] + [("a", rng.gauss(0, 1) * 10.0 ** rng.randrange(-300, 300)) for _ in range(500)]
     rows += [("b", -7.5)] * 9 + [("c", v) for v in (math.inf, -math.inf, 0.0, -0.0, math.nan)]
     n = F.col("n")
-    got = ordered.order_statistics(frame(rows, "g string, v double"), ["g"], [F.lit(0), F.floor(n / 2), n - 1], last_rows)
+    got = ordered.order_statistics(frame(rows, "g string, v double"), ["g"], [F.lit(0), F.floor(n / 2), n - 1], last_rows, len(rows))
     for g in (None, "a", "b", "c"):
         mine = sorted((v for k, v in rows if k == g), key=lambda v: (math.isnan(v), v))
         size, values = got[(g,)]
