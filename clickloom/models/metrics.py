@@ -56,12 +56,21 @@ def _roc_totals(pred: DataFrame) -> DataFrame:
     return running_totals(marked, "score", ["pos", "neg"])
 
 
-def roc_curve(pred: DataFrame) -> DataFrame:
-    """Curve points (threshold, fpr, tpr), from the origin at an infinite threshold."""
+def roc_curve(pred: DataFrame, drop_intermediate: bool = True) -> DataFrame:
+    """Curve points (threshold, fpr, tpr), from the origin at an infinite threshold.
+
+    Points that lie amid a straight line, that is whose own step and the next one are the
+    same, are dropped unless asked for; the first and the last threshold always stay.
+    """
     size = pred.agg(
         F.struct(F.sum(F.col("actual").cast("long")).alias("pos"), F.count_if(F.col("actual") == 0).alias("neg"))
     ).scalar()
-    points = _roc_totals(pred).select(
+    totals = _roc_totals(pred)
+    if drop_intermediate:
+        first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+        turns = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
+        totals = totals.filter(first | F.col("next_pos").isNull() | turns)
+    points = totals.select(
         F.col("score").alias("threshold"),
         ratio("cum_neg", size["neg"]).alias("fpr"),
         ratio("cum_pos", size["pos"]).alias("tpr"),

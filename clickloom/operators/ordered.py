@@ -120,19 +120,25 @@ def shuffled_rank(
 def running_totals(df: DataFrame, value: str, totals: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Per distinct value, the sums of ``totals`` over that and all larger values.
 
-    Returns ``value`` (a double), the totals of that value and one ``cum_<name>``
-    column per total.
+    Returns ``value`` (a double), the totals of that value, one ``cum_<name>`` column per
+    total and ``next_<name>``, the totals of the next smaller value (null for the last).
     """
     cuts = even_cuts(df, value, rows_per_slice)
     points = with_slices(df.groupBy(value).agg(*[F.sum(t).alias(t) for t in totals]), value, cuts)
-    above = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = points.groupBy("_slice").agg(*[F.sum(t).alias(t) for t in totals]).select(
-        "_slice", *[F.coalesce(F.sum(t).over(above), F.lit(0)).alias(f"_above_{t}") for t in totals]
+    downwards = Window.orderBy(F.desc("_slice"))
+    above = downwards.rowsBetween(Window.unboundedPreceding, -1)
+    # the largest value of each slice follows the smallest of the slice above
+    tops = F.max_by(F.struct(*totals), value).alias("_top")
+    offsets = points.groupBy("_slice").agg(*[F.sum(t).alias(t) for t in totals], tops).select(
+        "_slice", *[F.coalesce(F.sum(t).over(above), F.lit(0)).alias(f"_above_{t}") for t in totals],
+        F.lead("_top").over(downwards).alias("_next_top"),
     )
-    inside = Window.partitionBy("_slice").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, 0)
+    in_slice = Window.partitionBy("_slice").orderBy(F.desc(value))
+    inside = in_slice.rowsBetween(Window.unboundedPreceding, 0)
     return points.join(offsets, "_slice").select(
         value, *totals,
         *[(F.col(f"_above_{t}") + F.sum(t).over(inside)).alias(f"cum_{t}") for t in totals],
+        *[F.coalesce(F.lead(t).over(in_slice), F.col("_next_top")[t]).alias(f"next_{t}") for t in totals],
     )
 
 

@@ -816,10 +816,13 @@ FROM ({per_class}
       UNION ALL SELECT 'weighted avg', {weighted}, sum(support) FROM ({per_class}))""",
         "roc_curve": """
 SELECT threshold, round(fpr, 9) AS fpr, round(tpr, 9) AS tpr FROM (
-  SELECT score AS threshold,
-         sum(sum(1 - actual)) OVER (ORDER BY score DESC)::double / (SELECT count(*) FROM scores WHERE actual = 0) AS fpr,
-         sum(sum(actual)) OVER (ORDER BY score DESC)::double / (SELECT count(*) FROM scores WHERE actual = 1) AS tpr
-  FROM scores GROUP BY score
+  SELECT score AS threshold, fp::double / (SELECT count(*) FROM scores WHERE actual = 0) AS fpr,
+         tp::double / (SELECT count(*) FROM scores WHERE actual = 1) AS tpr
+  FROM (SELECT *, lag(fp) OVER w AS fp0, lead(fp) OVER w AS fp2, lag(tp) OVER w AS tp0, lead(tp) OVER w AS tp2
+        FROM (SELECT score, sum(sum(1 - actual)) OVER (ORDER BY score DESC) AS fp, sum(sum(actual)) OVER (ORDER BY score DESC) AS tp
+              FROM scores GROUP BY score)
+        WINDOW w AS (ORDER BY score DESC))
+  WHERE fp0 IS NULL OR fp2 IS NULL OR fp2 - 2 * fp + fp0 <> 0 OR tp2 - 2 * tp + tp0 <> 0
   UNION ALL SELECT 'infinity'::double, 0.0, 0.0)""",
         "regression_metrics": _regression(),
         "residual_histogram": hist("SELECT round(actual - predicted, 6) AS v FROM fits", 30),

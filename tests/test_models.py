@@ -72,6 +72,23 @@ def test_metrics_of_one_class_are_zero_or_null(frame):
     assert values == {"accuracy": 1.0, "precision": 0.0, "recall": 0.0, "f1": 0.0, "roc_auc": None}
 
 
+def test_roc_curve_keeps_its_corners(frame, monkeypatch):
+    """As numpy's second differences, over many slices, with long straight stretches."""
+    import numpy as np
+
+    monkeypatch.setattr(met.running_totals, "__defaults__", (20,))
+    rows = [(int(i % 9 == 0 or i < 60), i / 400.0) for i in range(400)] + [(0, 0.5), (1, 0.5)]
+    got = met.roc_curve(frame(rows, "actual int, score double")).orderBy(F.desc("threshold")).collect()
+    whole = met.roc_curve(frame(rows, "actual int, score double"), drop_intermediate=False).orderBy(F.desc("threshold")).collect()
+    thresholds = sorted({s for _, s in rows}, reverse=True)
+    fp = np.array([sum(a == 0 for a, s in rows if s >= t) for t in thresholds])
+    tp = np.array([sum(a == 1 for a, s in rows if s >= t) for t in thresholds])
+    kept = np.r_[True, (np.diff(fp, 2) != 0) | (np.diff(tp, 2) != 0), True]
+    assert [r.threshold for r in got[1:]] == [t for t, k in zip(thresholds, kept) if k]
+    assert [r.threshold for r in whole[1:]] == thresholds and len(got) < len(whole)
+    assert [r.fpr for r in got[1:]] == pytest.approx((fp / fp[-1])[kept].tolist(), abs=1e-8)
+
+
 def test_regression_mape_ignores_zero_actuals(frame):
     pred = frame([(0.0, 5.0), (10.0, 9.0)], "actual double, predicted double")
     values = {r.metric: r.value for r in met.regression_metrics(pred).collect()}

@@ -151,8 +151,10 @@ def test_percentiles_of_several_columns(frame):
 def test_running_totals(frame, rows_per_slice):
     rng = random.Random(3)
     rows = [(round(rng.random() ** 4, 2), rng.randrange(5)) for _ in range(3000)]
-    got = {r.s: r.cum_n for r in ordered.running_totals(frame(rows, "s double, n long"), "s", ["n"], rows_per_slice).collect()}
-    assert got == {s: sum(n for t, n in rows if t >= s) for s in {s for s, _ in rows}}
+    found = ordered.running_totals(frame(rows, "s double, n long"), "s", ["n"], rows_per_slice).collect()
+    assert {r.s: r.cum_n for r in found} == {s: sum(n for t, n in rows if t >= s) for s in {s for s, _ in rows}}
+    falling = sorted(found, key=lambda r: -r.s)
+    assert [r.next_n for r in falling] == [*[r.n for r in falling[1:]], None]
 
 
 @pytest.mark.parametrize("values", [[1.0, 2.0, 2.5, 10.0], [4.0, 4.0], [float(i % 17) for i in range(300)]])
