@@ -24,15 +24,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.scan(read(spark, sf_dir, "documents"), licences.PHRASES + licences.NOTICES).select(
-        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
-    )
-
-
-def op2_licences_named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``op2_licences``, with the short statements that only name a licence."""
-    every = licences.PHRASES + licences.NOTICES + licences.STATEMENTS
-    return licences.scan(read(spark, sf_dir, "documents"), every).select(
+    return licences.scan(read(spark, sf_dir, "documents"), licences.EVERY).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
     )
 
@@ -127,7 +119,7 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_mixing, op2_licences, op2_licences_named, op3_warc, op4_token_files, op5_chat, op6_sharding, op7_vectors, op8_packing, op9_quality_rules,
+        op1_mixing, op2_licences, op3_warc, op4_token_files, op5_chat, op6_sharding, op7_vectors, op8_packing, op9_quality_rules,
         op10_simhash, op11_spelling, op12_quality_classifier, op13_fill_in_middle,
     )
 }

@@ -8,7 +8,7 @@ no SQL, so op4, op8, op10 and the pipeline are tested against brute force instea
 from __future__ import annotations
 
 from clickloom.llm.fim import Fim
-from clickloom.llm.licences import NOTICES, PHRASES, Votes
+from clickloom.llm.licences import EVERY, RUN, Votes
 from clickloom.llm.quality import RiskLimits
 from clickloom.llm.queries import MIX, SHARD_BYTES
 from clickloom.llm.spelling import Variants
@@ -63,37 +63,66 @@ FROM copies WHERE start < goal"""
 
 def _licences() -> str:
     votes = Votes()
-    rows = ", ".join(
-        f"({i}, {_text(t.label)}, {str(t.exact).lower()}, {_text(t.text)})" for i, t in enumerate([*PHRASES, *NOTICES])
-    )
+
+    def row(i: int, t) -> str:
+        least = 1.0 if t.exact else votes.coverage if t.coverage is None else t.coverage
+        alone = t.exact or t.coverage is not None
+        needs = ", ".join(map(_text, t.needs))
+        return f"({i}, {_text(t.label)}, {_text(t.family or t.label)}, {t.exact}, {alone}, {t.run == RUN}, {least}::double, [{needs}]::varchar[], {_text(t.text)})"
+
+    rows = ", ".join(row(i, t) for i, t in enumerate(EVERY))
     words = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    held = lambda a, b: f"list_contains(places, p + {a}) AND list_contains(places, p + {b})"
+    strong = f"list_filter(places, lambda p: {held(-2, -1)} OR {held(-1, 1)} OR {held(1, 2)})"
     return f"""
 WITH templates AS (
-  SELECT template, label, exact, {words.format('txt')} AS w FROM (VALUES {rows}) t(template, label, exact, txt)
+  SELECT *, {words.format('txt')} AS w FROM (VALUES {rows}) t(template, label, family, exact, alone, runs, least, needs, txt)
 ),
 grams AS (
-  SELECT template, label, exact, len(w) - 1 AS n_grams, i - 1 AS place, w[i] || ' ' || w[i + 1] AS gram
+  SELECT template, label, family, exact, alone, runs, least, needs, len(w) - 1 AS n_grams, i - 1 AS place, w[i] || ' ' || w[i + 1] AS gram
   FROM templates, unnest(range(1, len(w))) u(i)
 ),
 docs AS (SELECT row_number() OVER () AS row, doc_id, {words.format("coalesce(text, '')")} AS w FROM documents),
 hits AS (
-  SELECT row, template, label, exact, n_grams, i - 1 - place AS diagonal, place
+  SELECT row, template, i - 1 - place AS diagonal, place
   FROM (SELECT row, i, w[i] || ' ' || w[i + 1] AS gram FROM docs, unnest(range(1, len(w))) u(i)) JOIN grams USING (gram)
 ),
-diagonals AS (SELECT row, template, label, exact, n_grams, diagonal, list(place) AS places FROM hits GROUP BY ALL),
-shares AS (
-  SELECT d.row, d.template, d.label, d.exact, d.diagonal, len(d.places) AS own,
-         CASE WHEN d.exact THEN len(d.places) ELSE len(list_distinct(flatten(list(o.places)))) END / d.n_grams::double AS share
-  FROM diagonals d JOIN diagonals o ON o.row = d.row AND o.template = d.template
+rules AS (
+  SELECT template, label, family, exact, alone, runs, least, n_grams, coalesce(list(place) FILTER (WHERE list_contains(needs, gram)), []) AS needed
+  FROM grams GROUP BY ALL
+),
+diagonals AS (
+  SELECT * REPLACE (CASE WHEN runs THEN {strong} ELSE places END AS places)
+  FROM (SELECT row, template, diagonal, list(place) AS places FROM hits GROUP BY ALL) JOIN rules USING (template)
+),
+voting AS (SELECT * FROM diagonals WHERE len(places) > 0),
+merging AS (
+  SELECT d.row, d.template, d.label, d.family, d.exact, d.alone, d.least, d.needed, d.diagonal, len(d.places) AS own, d.n_grams,
+         CASE WHEN d.alone THEN d.places ELSE list_distinct(flatten(list(o.places))) END AS merged
+  FROM voting d JOIN voting o ON o.row = d.row AND o.template = d.template
     AND o.diagonal BETWEEN d.diagonal - {votes.slack} AND d.diagonal + {votes.slack}
-  GROUP BY d.row, d.template, d.label, d.exact, d.diagonal, d.places, d.n_grams
+  GROUP BY d.row, d.template, d.label, d.family, d.exact, d.alone, d.least, d.needed, d.diagonal, d.places, d.n_grams
 ),
-found AS (
-  SELECT * FROM shares s
-  WHERE exact AND share = 1 OR NOT exact AND share >= {votes.coverage} AND NOT EXISTS (
+shares AS (SELECT *, len(merged) / n_grams::double AS share FROM merging),
+spans AS (
+  SELECT s.*, len(merged) AS votes, greatest(diagonal + list_min(merged), 0) AS first, least(diagonal + list_max(merged) + 2, len(w)) AS last
+  FROM shares s JOIN docs USING (row)
+  WHERE share >= least AND list_has_all(merged, needed) AND (alone OR NOT EXISTS (
     SELECT 1 FROM shares o WHERE o.row = s.row AND o.template = s.template
       AND o.diagonal BETWEEN s.diagonal - {votes.slack} AND s.diagonal + {votes.slack}
-      AND (o.share > s.share OR o.share = s.share AND (o.own > s.own OR o.own = s.own AND o.diagonal < s.diagonal)))
+      AND (o.share > s.share OR o.share = s.share AND (o.own > s.own OR o.own = s.own AND o.diagonal < s.diagonal))))
+),
+begun AS (
+  SELECT *, CASE WHEN first < max(last) OVER (PARTITION BY row, family, exact ORDER BY first, last, template ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                 THEN 0 ELSE 1 END AS new
+  FROM spans
+),
+stretches AS (
+  SELECT *, sum(new) OVER (PARTITION BY row, family, exact ORDER BY first, last, template ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stretch FROM begun
+),
+found AS (
+  SELECT * FROM stretches
+  QUALIFY exact OR rank() OVER (PARTITION BY row, family, exact, stretch ORDER BY votes DESC, share DESC, template) = 1
 )
 SELECT any_value(doc_id) AS doc_id, any_value(len(w))::bigint AS n_words, count(*) FILTER (WHERE exact) AS n_base,
        min(diagonal) FILTER (WHERE exact) AS first_word, max(diagonal) FILTER (WHERE exact) AS last_word,

@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from clickloom.llm.licences import LOWER, NOTICES, PHRASES, STATEMENTS, UPPER, Template, scan
+from clickloom.llm.licences import EVERY, LOWER, NOTICES, PHRASES, STATEMENTS, UPPER, Template, scan
 from samples import SCHEMA
 
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -48,6 +48,34 @@ def test_notices_are_found_where_they_stand(spark, i):
     assert row[1].labels == "" and row[1].score == 0.0 and row[1].spans == []
 
 
+def base_labels(*texts):
+    return {x for t in texts for x in base(t)[4].split(",") if x}
+
+
+def test_each_notice_gives_its_label_alone(spark):
+    """Also the notices of one family, which share most of their words, and whole or edited."""
+    texts = [t.text for t in NOTICES] + [edited(t.text) for t in NOTICES if len(t.text.split()) > 45]
+    names = [t.label for t in NOTICES] + [t.label for t in NOTICES if len(t.text.split()) > 45]
+    rows = spark.createDataFrame([(i, "of the " + t + " and to it") for i, t in enumerate(texts)], "doc_id long, text string")
+    for templates in (PHRASES + NOTICES, EVERY):
+        got = {r.doc_id: r.labels for r in scan(rows, templates).collect()}
+        assert got == {i: ",".join(sorted({name} | base_labels(texts[i]))) for i, name in enumerate(names)}
+
+
+def test_two_notices_give_both_labels(spark):
+    pairs = [(a, b) for a in NOTICES for b in NOTICES if a is not b]
+    rows = [(i, f"{a.text}. Some words stand between the two of them. {b.text}") for i, (a, b) in enumerate(pairs)]
+    got = {r.doc_id: r.labels for r in scan(spark.createDataFrame(rows, "doc_id long, text string"), EVERY).collect()}
+    assert got == {i: ",".join(sorted({a.label, b.label} | base_labels(a.text, b.text))) for i, (a, b) in enumerate(pairs)}
+
+
+def test_common_pairs_of_words_do_not_vote_for_notices(spark):
+    words = NOTICES[1].text.split()
+    pairs = " x ".join(" ".join(words[i : i + 2]) for i in range(len(words)))
+    row = scan(spark.createDataFrame([(1, pairs)], "doc_id long, text string"), NOTICES).first()
+    assert row.labels == "" and row.score == 0
+
+
 def test_short_templates_are_refused(spark, docs):
     with pytest.raises(ValueError, match="at least"):
         scan(docs, [Template("x", "one")])
