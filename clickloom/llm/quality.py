@@ -1,20 +1,16 @@
 """Quality rules whose cutoffs limit the share of good documents they reject.
 
-Base rules are fixed. Further rules have a grid of cutoffs each; one is used in a
-stratum only if labelled documents prove that it rejects few good ones there. The
-labelled documents are split by a hash of their id: the tuning half says whether
-a cutoff finds bad documents at all, the holdout half tests it. The test is
-exact: with n good holdout documents of which k are rejected, the chance of k or
-fewer under the largest allowed rate must not exceed the error level, divided by
-the number of tests (strata x rules x cutoffs). Rules share the allowed rate, so
-the bound holds for a document rejected by any of them. The labelled documents that
-this needs grow with the grid. ``combined_cutoffs`` needs far fewer: the tuning half
-chooses, and the holdout half tests one combined rejection per stratum.
+Base rules are fixed. Further rules have a grid of cutoffs each, and are used in a
+stratum only if labelled documents prove that they reject few good ones there. Labelled
+documents count once per text, so that copies are one trial, and are split by a hash of
+the text: the tuning half chooses one combination of cutoffs per stratum, the holdout
+half tests it. The test is exact: with n good holdout texts of which k are rejected, the
+chance of k or fewer under the largest allowed rate must not exceed the error level,
+divided by the strata that have a choice to test.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -52,7 +48,7 @@ def _when(condition: Column, value: Column, otherwise: Column) -> Column:
 def metrics(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     """Word, symbol, line and repetition counts of every row's whole text.
 
-    Returns key, doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines,
+    Returns key, doc_id, stratum, text_hash, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, written to the shared folder: a filter pushed into the array
     functions would repeat them for every element. Windows are compared by their
     64-bit hashes within a text; only texts in which some window repeats are sorted.
@@ -60,17 +56,17 @@ def metrics(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     rows = take(docs, {"doc_id": "doc_id", "stratum": stratum, "raw": "text"}).select(
         row_key("doc_id", "stratum", "raw").alias("key"), F.col("doc_id").cast("long"),
         F.col("stratum").cast("string"), F.coalesce("raw", F.lit("")).alias("text"),
-    )
+    ).withColumn("text_hash", F.md5("text"))
     trimmed = rows.withColumn("trimmed", F.btrim("text", F.lit(TRIMMED)))
     words = trimmed.select(
-        "key", "doc_id", "stratum",
+        "key", "doc_id", "stratum", "text_hash",
         _when(F.col("trimmed") == "", F.array().cast("array<string>"), F.split("trimmed", f"[{SPACE}]+")).alias("words"),
         F.length(F.regexp_replace("text", "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         F.filter(F.split("text", "\n"), lambda line: line.rlike(f"[^{SPACE}]")).alias("lines"),
     )
     window = F.lit(WINDOW)
     hashes = words.select(
-        "key", "doc_id", "stratum", "n_symbols",
+        "key", "doc_id", "stratum", "text_hash", "n_symbols",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -162,7 +158,7 @@ def binomial_tail(n: Column, k: Column, rate: float) -> Column:
 
 
 def _labelled(measured: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct documents with one label that pass the base rules: counts, good, holdout."""
+    """Distinct texts of a stratum with one label that pass the base rules: counts, good, holdout."""
     known = (
         take(labels, {"doc_id": "doc_id", "quality": "quality"})
         .groupBy("doc_id")
@@ -170,8 +166,11 @@ def _labelled(measured: DataFrame, labels: DataFrame) -> DataFrame:
         .filter("quality = highest and doc_id is not null")
         .select("doc_id", (F.col("quality") == 1).alias("good"))
     )
-    holdout = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) >= "8"
-    return measured.filter(~base_failed()).drop("key").distinct().join(known, "doc_id").withColumn("holdout", holdout)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    texts = measured.filter(~base_failed()).join(known, "doc_id").groupBy("stratum", "text_hash", *counts).agg(
+        F.min("good").alias("good"), F.max("good").alias("highest")
+    )
+    return texts.filter("good = highest").drop("highest").withColumn("holdout", F.substring("text_hash", 1, 1) >= "8")
 
 
 def _grid(limits: RiskLimits) -> Column:
@@ -185,35 +184,6 @@ def _grid(limits: RiskLimits) -> Column:
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits()) -> DataFrame:
-    """(stratum, rule, cutoff): per stratum and rule the strictest cutoff that is proven.
-
-    Labels (doc_id, quality) that contradict each other are left out, as are
-    documents that fail the base rules; a repeated document counts once.
-    """
-    used = _labelled(measured, labels)
-    counted = (
-        used.select("stratum", "good", "holdout", F.explode(_grid(limits)).alias("g"))
-        .groupBy("stratum", "g.rule", "g.rank", "g.cutoff")
-        .agg(
-            F.count_if(F.expr("holdout and good")).alias("n"), F.count_if(F.expr("holdout and good and g.hit")).alias("k"),
-            F.count_if(F.expr("not holdout and good")).alias("good_n"), F.count_if(F.expr("not holdout and good and g.hit")).alias("good_k"),
-            F.count_if(F.expr("not holdout and not good")).alias("bad_n"), F.count_if(F.expr("not holdout and not good and g.hit")).alias("bad_k"),
-        )
-    )
-    counted = stage(counted, "cutoff-tests")
-    tests = counted.agg(F.count("*").alias("tests"))
-    rate = limits.good_rejected / len(limits.cutoffs)
-    useful = (F.col("bad_k") > 0) & (F.col("bad_k") * F.col("good_n") >= limits.lift * F.col("good_k") * F.col("bad_n"))
-    return (
-        counted.filter(useful)
-        .withColumn("tests", tests.scalar())
-        .filter(binomial_tail(F.col("n"), F.col("k"), rate) <= limits.error / F.col("tests"))
-        .groupBy("stratum", "rule")
-        .agg(F.min_by("cutoff", "rank").alias("cutoff"))
-    )
-
-
-def combined_cutoffs(measured: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits()) -> DataFrame:
     """(stratum, rule, cutoff): the cutoffs whose combined rejection is proven in a stratum.
 
     The tuning half chooses per stratum and rule the useful cutoff that finds most bad
@@ -222,6 +192,9 @@ def combined_cutoffs(measured: DataFrame, labels: DataFrame, limits: RiskLimits
     many as find most together and pass the test on the tuning half itself. The holdout
     half tests that one combination at the whole rate, so the error is divided by the
     strata with a choice only. A stratum whose test fails has no rows.
+
+    Labels (doc_id, quality) that contradict each other are left out, for one document or
+    for copies of one text, as are documents that fail the base rules.
     """
     used = stage(_labelled(measured, labels), "labelled")
     rules = list(limits.cutoffs)
@@ -272,9 +245,9 @@ def combined_cutoffs(measured: DataFrame, labels: DataFrame, limits: RiskLimits
     return chosen.join(proven.select("of", "depth"), kept).select("stratum", "rule", "cutoff")
 
 
-def _judged(docs: DataFrame, labels: DataFrame, limits: RiskLimits, stratum: str, prove: Callable[..., DataFrame]) -> DataFrame:
+def _judged(docs: DataFrame, labels: DataFrame, limits: RiskLimits, stratum: str) -> DataFrame:
     measured = metrics(docs, stratum)
-    per_stratum = prove(measured, labels, limits).groupBy("stratum").agg(
+    per_stratum = cutoffs(measured, labels, limits).groupBy("stratum").agg(
         *[F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in limits.cutoffs]
     )
     joined = measured.join(per_stratum.withColumnRenamed("stratum", "of"), F.col("stratum").eqNullSafe(F.col("of")), "left")
@@ -292,14 +265,14 @@ def judge(docs: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits(),
     rules keep. Repeated rows get equal verdicts. Other columns are ignored, an
     empty table gives no rows; without labels only the base rules reject.
     """
-    return _judged(docs, labels, limits, stratum, cutoffs).select(
+    return _judged(docs, labels, limits, stratum).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits(), stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that neither the base rules nor ``combined_cutoffs`` reject."""
-    bad = _judged(docs, labels, limits, stratum, combined_cutoffs).filter("not kept").select("key.*").distinct()
+    """The rows of ``docs``, with all their columns, that neither the base rules nor the proven ``cutoffs`` reject."""
+    bad = _judged(docs, labels, limits, stratum).filter("not kept").select("key.*").distinct()
     doc_id, of, text = (f"_{position(docs, c)}" for c in ("doc_id", stratum, "text"))
     rows = numbered(docs).select("*", row_key(doc_id, of, text).alias("_key")).select("*", "_key.*").drop("_key")
     return rows.join(bad, ["a", "b"], "left_anti").drop("a", "b").toDF(*docs.columns)

@@ -205,8 +205,14 @@ def _quality() -> str:
         for rule, values in limits.cutoffs.items()
         for rank, c in enumerate(values)
     )
-    rate = limits.good_rejected / len(limits.cutoffs)
+    tail = (
+        "(k <= n * {rate}::double AND list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)"
+        " + j * ln({rate}::double) + (n - j) * ln(1 - {rate}::double)))) <= (SELECT {error}::double / count(*) FROM strata))"
+    )
+    passed = lambda n, k: tail.replace("lgamma(n", f"lgamma({n}").replace("(n - j)", f"({n} - j)").replace(
+        "(k <= n", f"({k} <= {n}").replace("(0, k + 1)", f"(0, {k} + 1)").format(rate=limits.good_rejected, error=limits.error)
     verdict = " OR ".join(f"t.rule = '{rule}' AND {condition.format(c='t.cutoff')}" for rule, condition in rejects.items())
+    rule_hits = " OR ".join(f"c.rule = '{rule}' AND {condition.format(c='c.cutoff')}" for rule, condition in rejects.items())
     return f"""
 WITH docs AS (
   SELECT row_number() OVER () AS row, doc_id, lang, coalesce(text, '') AS text,
@@ -220,7 +226,7 @@ repeats AS (
   SELECT row, count(DISTINCT i + k) AS n_repeat_words FROM windows, range(0, 5) o(k) WHERE n > 1 GROUP BY 1
 ),
 measured AS (
-  SELECT row, doc_id, lang, len(w)::bigint AS n_words, length(array_to_string(w, ''))::bigint AS word_chars,
+  SELECT row, doc_id, lang, md5(text) AS text_hash, len(w)::bigint AS n_words, length(array_to_string(w, ''))::bigint AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint AS n_symbols,
          (len(l) - len(list_distinct(l)))::bigint AS n_dup_lines, coalesce(n_repeat_words, 0)::bigint AS n_repeat_words
   FROM (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^{SPACE}]')) AS l FROM docs)
@@ -231,23 +237,37 @@ known AS (
   SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE doc_id IS NOT NULL GROUP BY 1 HAVING min(quality) = max(quality)
 ),
 used AS (
-  SELECT DISTINCT doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, good,
-         substr(md5(doc_id::varchar), 1, 1) >= '8' AS holdout
-  FROM judged JOIN known USING (doc_id) WHERE NOT base_failed
-),
+  SELECT lang, text_hash, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, bool_and(good) AS good, text_hash >= '8' AS holdout
+  FROM judged JOIN known USING (doc_id) WHERE NOT base_failed GROUP BY ALL HAVING bool_and(good) = bool_or(good)
+),
+tuned AS (
+  SELECT lang, rule, rank, cutoff, count(*) FILTER (WHERE good) AS gn, count(*) FILTER (WHERE good AND hit) AS gk,
+         count(*) FILTER (WHERE NOT good) AS bn, count(*) FILTER (WHERE NOT good AND hit) AS bk
+  FROM ({grid}) WHERE NOT holdout GROUP BY ALL
+),
+chosen AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY bk DESC, gk, rule) AS place
+  FROM (SELECT * FROM tuned
+        WHERE bk > 0 AND bk * gn >= {limits.lift} * gk * bn AND gk <= gn * {limits.good_rejected / (2 * len(limits.cutoffs))}::double
+        QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY bk DESC, rank DESC) = 1)
+),
+firsts AS (
+  SELECT u.lang, u.good, u.holdout, (SELECT min(c.place) FROM chosen c WHERE c.lang IS NOT DISTINCT FROM u.lang AND ({rule_hits})) AS first
+  FROM used u
+),
+depths AS (SELECT lang, place AS depth FROM chosen),
+strata AS (SELECT DISTINCT lang FROM chosen),
 counted AS (
-  SELECT lang, rule, rank, cutoff, count(*) FILTER (WHERE holdout AND good) AS n, count(*) FILTER (WHERE holdout AND good AND hit) AS k,
-         count(*) FILTER (WHERE NOT holdout AND good) AS gn, count(*) FILTER (WHERE NOT holdout AND good AND hit) AS gk,
-         count(*) FILTER (WHERE NOT holdout AND NOT good) AS bn, count(*) FILTER (WHERE NOT holdout AND NOT good AND hit) AS bk
-  FROM ({grid}) GROUP BY ALL
+  SELECT d.lang, d.depth, count(*) FILTER (WHERE good AND NOT holdout) AS gn, count(*) FILTER (WHERE good AND NOT holdout AND first <= depth) AS gk,
+         count(*) FILTER (WHERE good AND holdout) AS n, count(*) FILTER (WHERE good AND holdout AND first <= depth) AS k,
+         count(*) FILTER (WHERE NOT good AND NOT holdout AND first <= depth) AS bk
+  FROM depths d JOIN firsts f ON f.lang IS NOT DISTINCT FROM d.lang GROUP BY ALL
+),
+best AS (
+  SELECT * FROM counted WHERE {passed('gn', 'gk')} QUALIFY row_number() OVER (PARTITION BY lang ORDER BY bk DESC, depth) = 1
 ),
 proven AS (
-  SELECT lang, rule, arg_min(cutoff, rank) AS cutoff FROM counted c
-  WHERE bk > 0 AND bk * gn >= {limits.lift} * gk * bn AND k <= n * {rate}::double
-    AND list_sum(list_transform(range(0, k + 1), lambda j:
-          exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}::double) + (n - j) * ln(1 - {rate}::double))))
-       <= {limits.error}::double / (SELECT count(*) FROM counted)
-  GROUP BY ALL
+  SELECT c.lang, c.rule, c.cutoff FROM chosen c JOIN best b ON b.lang IS NOT DISTINCT FROM c.lang AND c.place <= b.depth WHERE {passed('b.n', 'b.k')}
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT EXISTS (SELECT 1 FROM proven t WHERE t.lang IS NOT DISTINCT FROM j.lang AND ({verdict})) AS kept

@@ -85,8 +85,31 @@ def test_few_labels_prove_a_combined_rejection(spark):
         rows.append((i, f"{words} n{i}{symbols}", lang, "s"))
         labels.append((i, 0 if bad else 1))
     docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")
-    assert quality.cutoffs(quality.metrics(docs), known).count() == 0
-    found = {tuple(r) for r in quality.combined_cutoffs(quality.metrics(docs), known).collect()}
+    found = {tuple(r) for r in quality.cutoffs(quality.metrics(docs), known).collect()}
     assert {r[0] for r in found} == {"en"} and "symbols" in {r[1] for r in found}
     kept = {r.doc_id for r in quality.keep_good(docs, known).collect()}
     assert kept == {i for i in range(1200) if i % 2 or i % 5}
+
+
+def test_copies_of_a_text_are_one_trial(spark):
+    """Also under many ids, and with their symbols in few bad texts."""
+    words = " ".join(f"w{i}" for i in range(60))
+    symbols = " ".join(f"#{k}" for k in range(40))
+    rows = [(i, words, "en", "s") for i in range(800)] + [(800 + i, f"{words} n{i} {symbols}", "en", "s") for i in range(100)]
+    labels = [(i, int(i < 800)) for i in range(900)]
+    docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")
+    assert quality.cutoffs(quality.metrics(docs), known).count() == 0
+    assert quality._labelled(quality.metrics(docs), known).filter("good").count() == 1
+    # a text that is called good and bad says nothing
+    turned = known.withColumn("quality", (F.col("doc_id") % 2).cast("int"))
+    assert quality._labelled(quality.metrics(docs), turned).filter("n_symbols = 0").count() == 0
+
+
+def test_more_than_the_base_rules_reject_on_the_larger_tables(spark):
+    from clickloom.llm.queries import op9_quality_rules
+    from clickloom.llm.frames import read
+
+    sf = "/root/testdata/sf0.1"
+    rows = op9_quality_rules(spark, sf).join(read(spark, sf, "labels"), "doc_id").collect()
+    beyond = [r for r in rows if not r.base_failed and not r.kept]
+    assert len(beyond) > 100 and sum(r.quality for r in beyond) <= 0.02 * sum(r.quality for r in rows)
