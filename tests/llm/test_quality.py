@@ -113,3 +113,30 @@ def test_more_than_the_base_rules_reject_on_the_larger_tables(spark):
     rows = op9_quality_rules(spark, sf).join(read(spark, sf, "labels"), "doc_id").collect()
     beyond = [r for r in rows if not r.base_failed and not r.kept]
     assert len(beyond) > 100 and sum(r.quality for r in beyond) <= 0.02 * sum(r.quality for r in rows)
+
+
+def test_proven_cutoffs_equal_the_statement(spark):
+    """The statement's verdict beyond the base rules, in four strata, one of them without a name."""
+    import random
+
+    import duckdb
+    import pandas as pd
+    from clickloom.llm.statements import STATEMENTS
+
+    draw = random.Random(2)
+    words = [f"w{i}" for i in range(60)]
+    rows, labels = [], []
+    for i in range(2400):
+        lang, bad = ("en", "de", "fr", None)[i % 4], draw.random() < 0.2
+        body = draw.sample(words, 40) + (["#"] * draw.choice([1, 3, 9, 30]) if bad or (lang == "de" and draw.random() < 0.1) else [])
+        body += ["extraordinarily" * 2] * 25 if bad and draw.random() < 0.3 else []
+        rows.append((i, " ".join(body) + ("\nsame line here\nsame line here" if bad and lang == "fr" else ""), lang, "s"))
+        labels.append((i, 0 if bad else 1))
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "lang", "source"]))
+    con.register("labels", pd.DataFrame(labels, columns=["doc_id", "quality"]))
+    expected = con.sql(STATEMENTS["op9_quality_rules"])
+    got = quality.judge(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert sorted(map(tuple, got.select(*expected.columns).collect())) == sorted(expected.fetchall())
+    beyond = {(rows[r.doc_id][2], labels[r.doc_id][1]) for r in got.collect() if not r.base_failed and not r.kept}
+    assert len({lang for lang, _ in beyond}) >= 3 and (None, 0) in beyond
