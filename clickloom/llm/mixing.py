@@ -55,13 +55,16 @@ def _items(docs: DataFrame, source: str) -> DataFrame:
     words = F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, "[\\x20\\x09-\\x0D]+")))
     return rows.select(
         row_key("doc_id", "source", "text").alias("key"), F.col("doc_id").cast("long"), F.col("source").cast("string"),
-        (words + 1).cast("long").alias("n_tokens"),
-    ).groupBy("key.a", "key.b", "doc_id", "source").agg(F.max("n_tokens").alias("n_tokens"), F.count("*").alias("times"))
+        (words + 1).cast("long").alias("n_tokens"), F.md5(F.coalesce("text", F.lit(""))).alias("text_hash"),
+    ).groupBy("key.a", "key.b", "doc_id", "source", "text_hash").agg(F.max("n_tokens").alias("n_tokens"), F.count("*").alias("times"))
 
 
 def exponent(sources: DataFrame, target: MixTarget) -> float:
     """The exponent in [0, 1] for ``sources`` (tokens), 1 where it already meets the target.
 
+    A target that no exponent meets is refused: an entropy above that of equal weights, or
+    a budget for which even the natural shares repeat a source too often.
+
     A pass evaluates all the midpoints that the next six halvings can ask for, as
     one aggregation, and follows the halvings on its 63 rows.
     """
@@ -87,12 +90,17 @@ def exponent(sources: DataFrame, target: MixTarget) -> float:
             """Whether the weights at this exponent are at least as even as the target."""
             r = at[i]
             if target.entropy is not None:
-                return math.log(r.s) - r.alpha * r.l / r.s >= target.entropy
+                return math.log(r.s) - r.alpha * r.l / r.s >= target.entropy - 1e-12
             repeated = r.spread if target.budget is None else r.most / r.s * target.budget / r.total
             return repeated > target.repetitions
 
-        if high - low == 1.0 and (flat(steps) or not flat(0)):
-            return 1.0 if flat(steps) else 0.0
+        if high - low == 1.0:
+            if target.entropy is not None and not flat(0):
+                raise ValueError(f"an entropy of {target.entropy} is above that of equal weights")
+            if target.repetitions is not None and flat(steps):
+                raise ValueError(f"no weights keep to {target.repetitions} repetitions in a budget of {target.budget}")
+            if flat(steps) or not flat(0):
+                return 1.0 if flat(steps) else 0.0
         first, last = 0, steps
         while last - first > 1:
             middle = (first + last) // 2
@@ -131,7 +139,8 @@ def schedule(docs: DataFrame, target: MixTarget, source: str = "source") -> Data
     aimed = weights(totals, target)
     epochs = F.ceil(F.col("goal") / F.col("tokens")).cast("int")
     bits = F.least(F.lit(32), F.greatest(F.lit(0), F.ceil(F.log2(F.col("tokens") / target.cell_tokens)))).cast("int")
-    known = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    # the text, too, so that rows without an id, or of one id, spread over all cells
+    known = F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text_hash"))
     copies = (
         items.join(aimed, "of")
         .filter("goal > 0")

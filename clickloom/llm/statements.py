@@ -25,7 +25,7 @@ def _mixing() -> str:
     seed = MIX.seed
     return f"""
 WITH RECURSIVE items AS (
-  SELECT doc_id, source, coalesce('=' || source, 'null') AS of,
+  SELECT doc_id, source, coalesce('=' || source, 'null') AS of, coalesce(doc_id::varchar, 'null') || '-' || md5(coalesce(text, '')) AS known,
          len(regexp_extract_all(coalesce(text, ''), '[^{SPACE}]+')) + 1 AS n_tokens
   FROM documents
 ),
@@ -49,15 +49,15 @@ quotas AS (
   SELECT *, greatest(1, ceil(goal / greatest(1, ceil(sum(goal) OVER () / {MIX.block_tokens}))))::bigint AS quota FROM aimed
 ),
 copies AS (
-  SELECT doc_id, source, n_tokens, weight, goal, quota, epoch,
+  SELECT doc_id, source, known, n_tokens, weight, goal, quota, epoch,
          epoch * tokens + coalesce(sum(n_tokens) OVER (
-           PARTITION BY of, epoch ORDER BY md5('{seed}-' || epoch || '-' || coalesce(doc_id::varchar, 'null')), doc_id
+           PARTITION BY of, epoch ORDER BY md5('{seed}-' || epoch || '-' || known), doc_id
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM items JOIN quotas USING (of), range(0, 64) e(epoch) WHERE epoch < ceil(goal / tokens)
 )
 SELECT doc_id, source, n_tokens::bigint AS n_tokens, round(weight, 9) AS weight, epoch::int AS epoch,
        (start // quota)::bigint AS block,
-       row_number() OVER (PARTITION BY start // quota ORDER BY md5('block-{seed}-' || epoch || '-' || coalesce(doc_id::varchar, 'null')), doc_id) - 1 AS position
+       row_number() OVER (PARTITION BY start // quota ORDER BY md5('block-{seed}-' || epoch || '-' || known), doc_id) - 1 AS position
 FROM copies WHERE start < goal"""
 
 

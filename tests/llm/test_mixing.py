@@ -3,7 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.llm.mixing import MixTarget, mix, mix_plan
+from clickloom.llm import mixing
+from clickloom.llm.mixing import MixTarget, mix, mix_plan, schedule
 from samples import SCHEMA
 
 
@@ -64,3 +65,25 @@ def test_messy_rows(docs, empty):
 def test_one_target_is_needed(docs):
     with pytest.raises(ValueError, match="one of"):
         mix_plan(docs, MixTarget())
+
+
+@pytest.mark.parametrize("doc_id", ["CAST(NULL AS long)", "CAST(7 AS long)"])
+def test_many_rows_without_an_id_of_their_own_spread_over_all_cells(spark, doc_id):
+    rows = spark.range(100_000).selectExpr(f"{doc_id} AS doc_id", "concat('text of row ', id) AS text", "'one' AS source")
+    target = MixTarget(repetitions=1.0, cell_tokens=20_000, block_tokens=50_000)
+    plan = schedule(rows, target)
+    blocks = [r["count"] for r in plan.groupBy("block").count().collect()]
+    assert sum(blocks) == 100_000 and max(blocks) < 1.1 * sum(blocks) / len(blocks) + 10 and len(blocks) == 10
+    assert plan.select("order").distinct().count() == 100_000
+    # the permuting hash tells all rows apart, so a cell holds its share of them
+    assert mixing._items(rows, "source").select("text_hash").distinct().count() == 100_000
+
+
+def test_targets_out_of_reach_are_refused(corpus):
+    with pytest.raises(ValueError, match="repetitions"):
+        mix_plan(corpus, MixTarget(repetitions=2.0, budget=10**7))
+    with pytest.raises(ValueError, match="entropy"):
+        mix_plan(corpus, MixTarget(entropy=2.0))
+    even = mix_plan(corpus, MixTarget(entropy=math.log(4)))
+    assert {round(r.w, 3) for r in totals(even).values()} == {0.25}
+    assert mix_plan(corpus, MixTarget(repetitions=50.0, budget=100_000)).count() > 600
