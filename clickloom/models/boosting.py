@@ -21,7 +21,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.operators.ordered import LAST_ROWS, order_statistics
-from clickloom.session import side_by_side, stage
+from clickloom.session import send_package, side_by_side, stage
 
 STAGE_ROUNDS = 1  # rounds after which the predictions are written
 TREES = 6  # fitted at a time
@@ -56,6 +56,7 @@ class HuberModel:
 
     def transform(self, df: DataFrame, features: str = "features", prediction: str = "prediction") -> DataFrame:
         """Add the prediction of each row's vector, by Arrow batches."""
+        send_package(df.sparkSession)
 
         @F.pandas_udf("double")
         def predicted(rows: pd.Series) -> pd.Series:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -13,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 PARALLEL_JOBS = 4  # model fits that run side by side
 _local_dirs: dict[str, str] = {}
+_sent: set[str] = set()
 
 
 def build_session(app_name: str, cpus: int | str = "*") -> SparkSession:
@@ -88,3 +92,24 @@ def side_by_side(work: Callable[[Any], Any], items: Iterable[Any], jobs: int = P
     """
     with ThreadPoolExecutor(max_workers=jobs) as pool:
         return list(pool.map(inheritable_thread_target(SparkSession.active())(work), items))
+
+
+def send_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their Python finds it."""
+    context = spark.sparkContext
+    if context.applicationId in _sent or context.master.startswith("local["):
+        return
+    package = Path(__file__).parent
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    jvm = context._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/clickloom-package/package-{uuid.uuid4().hex}.zip")
+    out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    try:
+        out.write(raw.getvalue())
+    finally:
+        out.close()
+    context.addPyFile(target.toString())
+    _sent.add(context.applicationId)
