@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions.exprs import (
     count_type, mean, money_sum_or_zero, ratio, rounded_ratio,
 )
 from clickloom.operators.ordered import sequence_in_group
+from clickloom.session import stage
 from clickloom.sources.writers import write_parquet
 
 
@@ -48,8 +52,13 @@ def session_metrics(ev: DataFrame) -> DataFrame:
     The handful of event types is collected as a set, which spares the second
     shuffle of a distinct count.
     """
+    return _session_rows(_session_parts(ev))
+
+
+def _session_parts(ev: DataFrame) -> DataFrame:
+    """What one day's events tell of its sessions."""
     earliest = F.struct("timestamp", "event_id")
-    grouped = ev.groupBy("session_id", "user_id", "event_date").agg(
+    return ev.groupBy("session_id", "user_id", "event_date").agg(
         F.count("*").alias("num_events"),
         F.collect_set("event_type").alias("event_types"),
         F.min("timestamp").alias("session_start"),
@@ -62,6 +71,9 @@ def session_metrics(ev: DataFrame) -> DataFrame:
         F.max("cart_value").alias("total_cart_value"),
         F.max("num_items").alias("items_purchased"),
     )
+
+
+def _session_rows(grouped: DataFrame) -> DataFrame:
     by_session = Window.partitionBy("session_id", "user_id").orderBy("event_date")
     since = F.coalesce(F.lag("session_end").over(by_session), F.col("session_start"))
     gaps = F.unix_timestamp("session_end") - F.unix_timestamp(since)
@@ -83,9 +95,13 @@ def product_metrics(ev: DataFrame) -> DataFrame:
     Rows are reduced to (product, category, user, session) first, which spreads a
     popular product over its sessions before the distinct counts.
     """
-    visits = (
+    return _product_rows(_product_visits(ev))
+
+
+def _product_visits(ev: DataFrame, *days: str) -> DataFrame:
+    return (
         ev.filter(F.col("product_id").isNotNull())
-        .groupBy("product_id", "category", "user_id", "session_id")
+        .groupBy("product_id", "category", "user_id", "session_id", *days)
         .agg(
             F.count("*").alias("interactions"),
             count_type("product_click").alias("clicks"),
@@ -94,6 +110,9 @@ def product_metrics(ev: DataFrame) -> DataFrame:
             F.count("price").alias("priced"),
         )
     )
+
+
+def _product_rows(visits: DataFrame) -> DataFrame:
     grouped = visits.groupBy("product_id", "category").agg(
         F.sum("interactions").alias("total_interactions"),
         F.count_distinct("user_id").alias("unique_users"),
@@ -120,8 +139,13 @@ def _session_days(ev: DataFrame) -> DataFrame:
 
 def user_metrics(ev: DataFrame) -> DataFrame:
     """Lifetime metrics and segment per user."""
+    return _user_rows(_session_days(ev), ev.filter(F.col("product_id").isNotNull()).select("user_id", "product_id"))
+
+
+def _user_rows(session_days: DataFrame, viewed: DataFrame) -> DataFrame:
+    """Metrics from the sessions of all days and the products (user_id, product_id) they touched."""
     activity = (
-        _session_days(ev)
+        session_days
         .groupBy("user_id")
         .agg(
             F.count_distinct("session_id").alias("num_sessions"),
@@ -133,11 +157,7 @@ def user_metrics(ev: DataFrame) -> DataFrame:
             money_sum_or_zero("revenue").alias("total_revenue"),
         )
     )
-    products = (
-        ev.filter(F.col("product_id").isNotNull())
-        .groupBy("user_id")
-        .agg(F.count_distinct("product_id").alias("unique_products_viewed"))
-    )
+    products = viewed.groupBy("user_id").agg(F.count_distinct("product_id").alias("unique_products_viewed"))
     per_purchase = F.coalesce(rounded_ratio("total_revenue", "total_purchases", 2), F.lit(0.0))
     return user_segments(
         activity.join(products, "user_id", "left").withColumns(
@@ -164,8 +184,12 @@ def user_segments(users: DataFrame) -> DataFrame:
 
 def daily_metrics(ev: DataFrame) -> DataFrame:
     """Traffic, revenue and conversion per day, in date order."""
+    return _daily_rows(_session_days(ev))
+
+
+def _daily_rows(session_days: DataFrame) -> DataFrame:
     return (
-        _session_days(ev)
+        session_days
         .groupBy("event_date")
         .agg(
             F.sum("events").alias("total_events"),
@@ -232,3 +256,71 @@ ETL_TABLES = {
     "dim_user_metrics": (user_metrics, None),
     "fact_daily_metrics": (daily_metrics, None),
 }
+
+
+def _state_tables(ev: DataFrame) -> dict[str, DataFrame]:
+    """What the metric tables need of each day's events, exact sets included, to be merged over days."""
+    return {
+        "session_parts": _session_parts(ev),
+        "session_days": _session_days(ev),
+        "product_visits": _product_visits(ev, "event_date"),
+    }
+
+
+def refresh_etl(raw: DataFrame, output: str) -> dict[str, str]:
+    """As ``run_etl``, for the days that ``raw`` has events of, all of each; other days stay.
+
+    The tables become those of a full run over all days. Of the events only the days of
+    ``raw`` are read: their part in the metric tables is kept as one row per session, and
+    per product and session, in day folders below ``_state``, and the metric tables are
+    merged from those. Sessions are rewritten on the days of ``raw``, and on those to
+    which one of their sessions goes on. The first call makes the state of days that
+    ``run_etl`` wrote.
+    """
+    spark = raw.sparkSession
+    paths = {name: f"{output}/{name}" for name in ETL_TABLES}
+    states = {name: f"{output}/_state/{name}" for name in ("session_parts", "session_days", "product_visits")}
+    cleaned = stage(clean_events(raw), "refresh-events")
+    days = [row[0] for row in cleaned.select("event_date").distinct().collect()]  # as many as the day folders written
+    if not days:
+        return paths
+    of_days = reduce(Column.__or__, [F.col("event_date").eqNullSafe(F.lit(day)) for day in days])
+
+    def written(path: str) -> DataFrame | None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    before = written(states["session_parts"])
+    if before is None and (events := written(paths["fact_events"])) is not None:
+        for name, state in _state_tables(events).items():
+            write_parquet(state, states[name], ["event_date"])
+        before = spark.read.parquet(states["session_parts"])
+    # sessions that had or have rows on these days, and where they go on
+    keys = ["session_id", "user_id"]
+    touched = cleaned.select(*keys).distinct()
+    if before is not None:
+        touched = touched.union(before.filter(of_days).select(*keys)).distinct()
+    touched = stage(touched, "refresh-sessions")
+
+    write_parquet(cleaned, paths["fact_events"], ["event_date"])
+    for name, state in _state_tables(spark.read.parquet(paths["fact_events"]).filter(of_days)).items():
+        write_parquet(state, states[name], ["event_date"])
+    parts = spark.read.parquet(states["session_parts"])
+    others = parts.join(touched, keys, "left_semi").select("event_date").distinct().collect()
+    rewritten = reduce(Column.__or__, [F.col("event_date").eqNullSafe(F.lit(row[0])) for row in others], of_days)
+    # whole sessions, so that the gap to an earlier day is seen
+    sessions = parts.join(parts.filter(rewritten).select(*keys).distinct(), keys, "left_semi")
+    write_parquet(_session_rows(sessions).filter(rewritten), paths["fact_sessions"], ["event_date"])
+
+    visits, session_days = spark.read.parquet(states["product_visits"]), spark.read.parquet(states["session_days"])
+    write_parquet(_product_rows(visits), paths["dim_product_metrics"])
+    write_parquet(_user_rows(session_days, visits.select("user_id", "product_id")), paths["dim_user_metrics"])
+    daily = _daily_rows(session_days.filter(of_days))
+    if (old := written(paths["fact_daily_metrics"])) is not None:
+        daily = stage(old.filter(~of_days).unionByName(daily), "refresh-daily").orderBy("event_date")
+    write_parquet(daily, paths["fact_daily_metrics"])
+    return paths

@@ -19,7 +19,7 @@ from clickloom.models.features import churn_features, conversion_features, ltv_f
 from clickloom.models.predictions import MODELS, ModelSize, run_model
 from clickloom.models.training import Trained
 from clickloom.operators import etl, warehouse as wh
-from clickloom.plans.views import product_affinity
+from clickloom.plans.views import product_affinity, user_activity
 from clickloom.session import shared_dir, use_utc
 from clickloom.sources.clicks import click_events, product_catalog
 from clickloom.sources.writers import write_parquet
@@ -115,6 +115,7 @@ _BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
     "fact_sessions": lambda l: wh.fact_sessions(l["sessions"]),
     "fact_daily_metrics": lambda l: wh.fact_daily_metrics(l["daily"]),
     "product_affinity": lambda l: product_affinity(l["fact_events"]),
+    "user_activity": lambda l: user_activity(l["fact_events"]),
     "conversion_features": lambda l: conversion_features(l["sessions"]),
     "churn_features": lambda l: churn_features(l["users"]),
     "ltv_features": lambda l: ltv_features(l["users"]),

@@ -96,6 +96,16 @@ def _run_etl(l: Lake) -> DataFrame:
     return _digests({n: readers.read_parquet_table(l.spark, f"{base}/{n}") for n in etl.ETL_TABLES})
 
 
+def _refresh_etl(l: Lake) -> DataFrame:
+    """The tables of a run over all days but the latest, then brought up to date by that day alone."""
+    base, raw = l.scratch("processed"), l.raw()
+    latest = l["events"].agg(F.max("event_date")).first()[0]
+    is_latest = F.coalesce(F.to_date(F.col("timestamp").try_cast("timestamp")) == F.lit(latest), F.lit(False))
+    etl.run_etl(raw.filter(~is_latest), base)
+    paths = etl.refresh_etl(raw.filter(is_latest), base)
+    return _digests({n: readers.read_parquet_table(l.spark, path) for n, path in paths.items()})
+
+
 def _read_parquet_table(l: Lake) -> DataFrame:
     """Rows of the partitioned event table per partition, read back by folder."""
     path = l.scratch("fact_events")
@@ -278,6 +288,7 @@ SOURCES: dict[str, LakeQuery] = {
     "read_sessions_users": _read_sessions_users,
     "write_parquet": _write_parquet,
     "run_etl": _run_etl,
+    "refresh_etl": _refresh_etl,
     "load_warehouse_table": _load_warehouse_table,
     "write_features": _write_features,
     "write_predictions": _write_predictions,
@@ -327,12 +338,12 @@ VIEWS: dict[str, LakeQuery] = {
     "user_purchase_history": lambda l: views.user_purchase_history(l["fact_events"], l["dim_users"], l["dim_products"]),
     "session_funnel": lambda l: views.session_funnel(l["fact_sessions"]),
     "product_affinity": lambda l: l["product_affinity"],
-    "user_retention": lambda l: views.user_retention(l["dim_users"], l["fact_events"]),
+    "user_retention": lambda l: views.user_retention(l["dim_users"], activity=l["user_activity"]),
     "customer_journey_funnel": lambda l: views.customer_journey_funnel(l["fact_events"]),
     "session_analytics": lambda l: views.session_analytics(l["fact_sessions"], l["dim_users"], l["dim_date"]),
     "user_segment_performance": lambda l: views.user_segment_performance(l["dim_users"]),
-    "cohort_retention_monthly_literal": lambda l: views.cohort_retention_monthly_literal(l["dim_users"], l["fact_events"]),
-    "cohort_retention_monthly": lambda l: views.cohort_retention_monthly(l["dim_users"], l["fact_events"]),
+    "cohort_retention_monthly_literal": lambda l: views.cohort_retention_monthly_literal(l["dim_users"], activity=l["user_activity"]),
+    "cohort_retention_monthly": lambda l: views.cohort_retention_monthly(l["dim_users"], activity=l["user_activity"]),
     "touchpoint_performance": lambda l: views.touchpoint_performance(l["fact_events"]),
     "executive_kpis": lambda l: views.executive_kpis(l["fact_daily_metrics"], l["dim_date"]),
     "product_analytics": lambda l: views.product_analytics(l["dim_products"], l["dim_product_metrics"], l["fact_events"]),

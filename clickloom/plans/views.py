@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions.exprs import (
     cents, count_type, is_type, mean, money_avg, money_sum, money_sum_or_zero, month_start, percent,
@@ -14,6 +14,7 @@ from clickloom.operators.ordered import rollup_entities, rollup_visits
 from clickloom.session import stage
 
 CHANNEL = ["device", "browser", "referrer"]
+TILE_ITEMS = 1000  # items of a block of a large cart
 
 
 def user_purchase_history(events: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
@@ -57,7 +58,8 @@ def product_affinity(events: DataFrame, min_sessions: int = 5) -> DataFrame:
     that is set aside by neither, so pairing the remaining rows finds every
     candidate, while a session holding a large share of all carts pairs nothing.
     The sessions set aside are then looked up for the candidates alone, which
-    makes the counts exact.
+    makes the counts exact. Large carts that remain are cut into blocks of items, and
+    each pair of blocks is joined by itself, so no task pairs more than two blocks.
     """
     same_cart = Window.partitionBy("session_id", "product_id")
     carts = (
@@ -80,9 +82,10 @@ def product_affinity(events: DataFrame, min_sessions: int = 5) -> DataFrame:
         .filter(F.col("_rank") <= min_sessions - 1)
         .select("session_id", "product_id", F.lit(True).alias("aside"))
     )
+    blocks = sizes.filter(F.col("items") > TILE_ITEMS).select("session_id", F.ceil(F.col("items") / F.lit(TILE_ITEMS)).cast("int").alias("blocks"))
     carts = stage(
-        carts.join(aside, ["session_id", "product_id"], "left").withColumn(
-            "aside", F.coalesce("aside", F.lit(False))
+        carts.join(aside, ["session_id", "product_id"], "left").join(blocks, "session_id", "left").withColumns(
+            {"aside": F.coalesce("aside", F.lit(False)), "blocks": F.coalesce("blocks", F.lit(1))}
         ),
         "carts",
     )
@@ -90,18 +93,27 @@ def product_affinity(events: DataFrame, min_sessions: int = 5) -> DataFrame:
     def side(name: str, rows: DataFrame) -> DataFrame:
         return rows.withColumnRenamed("product_id", f"product_{name}")
 
-    items = carts.filter("counts = 1").select("session_id", "product_id", "aside")
-    kept_carts = side("a", carts.filter("not aside").drop("aside"))
-    paired = kept_carts.join(side("b", items.filter("not aside").drop("aside")), "session_id").filter(
-        "product_a < product_b"
+    def tiled(name: str, rows: DataFrame) -> DataFrame:
+        """Each row in the pairs of blocks that its own block is part of; small carts are one block."""
+        own = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
+        others = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        tiles = others.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other", "blocks")
+        return side(name, tiles).withColumnRenamed("own", f"own_{name}")
+
+    items = carts.filter("counts = 1").select("session_id", "product_id", "aside", "blocks")
+    kept = tiled("a", carts.filter("not aside").drop("aside"))
+    paired = kept.join(tiled("b", items.filter("not aside").drop("aside")), ["session_id", "low", "high"]).filter(
+        "product_a < product_b AND low = least(own_a, own_b) AND high = greatest(own_a, own_b)"
     )
+    kept_carts = side("a", carts.filter("not aside").drop("aside", "blocks"))
+    items = items.drop("blocks")
     pair = ["product_a", "product_b"]
     together = F.sum("counts").alias("sessions")
     # the pairs are formed once; candidates and counts both come from this table
     paired = stage(paired.groupBy(*pair, "user_id").agg(together), "pairs")
     candidates = paired.select(*pair).distinct()
     # the session is set aside by the first product
-    by_first = candidates.join(side("a", carts.filter("aside")), "product_a").join(
+    by_first = candidates.join(side("a", carts.drop("blocks").filter("aside")), "product_a").join(
         side("b", items.drop("aside")), ["session_id", "product_b"], "left_semi"
     )
     # the session is set aside by the second product only
@@ -120,19 +132,37 @@ def product_affinity(events: DataFrame, min_sessions: int = 5) -> DataFrame:
     )
 
 
-def user_retention(users: DataFrame, events: DataFrame) -> DataFrame:
-    """Per cohort day: users active on days 0, 1, 7 and 30 after they were first seen."""
-    active_days = events.select("user_id", F.to_date("timestamp").alias("active_on")).distinct()
+def _day_bit(day: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), F.dayofmonth(day) - 1)
+
+
+def user_activity(events: DataFrame) -> DataFrame:
+    """(user_id, month, days): per user and month the days with events, one bit a day.
+
+    Masks of several loads merge by ``bit_or``. Events without a time have a null month.
+    """
+    day = _day_bit(F.col("timestamp"))
+    return events.groupBy("user_id", month_start("timestamp").alias("month")).agg(F.bit_or(day).alias("days"))
+
+
+def user_retention(users: DataFrame, events: DataFrame | None = None, activity: DataFrame | None = None) -> DataFrame:
+    """Per cohort day: users active on days 0, 1, 7 and 30 after they were first seen.
+
+    Reads ``user_activity``, from ``events`` if it is not given: every offset is a bit of
+    the mask of its month.
+    """
+    activity = user_activity(events) if activity is None else activity
+    offsets = (0, 1, 7, 30)
     cohort = users.select("user_id", F.to_date("first_seen").alias("cohort_date"))
-    days = F.datediff("active_on", "cohort_date")
-    per_user = (
-        cohort.join(active_days, "user_id", "left")
-        .groupBy("cohort_date", "user_id")
-        .agg(*[F.max(F.when(days == d, 1).otherwise(0)).alias(f"day_{d}") for d in (0, 1, 7, 30)])
-    )
+
+    def active(offset: int) -> Column:
+        day = F.date_add("cohort_date", offset)
+        bit = F.col("days").bitwiseAND(_day_bit(day)) != 0
+        return F.max(F.when((F.col("month") == month_start(day)) & bit, 1).otherwise(0)).alias(f"day_{offset}")
+
+    per_user = cohort.join(activity, "user_id", "left").groupBy("cohort_date", "user_id").agg(*map(active, offsets))
     return per_user.groupBy("cohort_date").agg(
-        F.count("user_id").alias("cohort_size"),
-        *[F.sum(f"day_{d}").alias(f"day_{d}") for d in (0, 1, 7, 30)],
+        F.count("user_id").alias("cohort_size"), *[F.sum(f"day_{d}").alias(f"day_{d}") for d in offsets]
     )
 
 
@@ -243,26 +273,23 @@ def user_segment_performance(users: DataFrame) -> DataFrame:
     )
 
 
-def _cohort_activity(users: DataFrame, events: DataFrame) -> DataFrame:
-    """Users with their cohort month, one row per month in which they were active.
-
-    Activity is reduced to (user, month) before the join.
-    """
-    active = events.select("user_id", month_start("timestamp").alias("activity_month")).distinct()
+def _cohort_activity(users: DataFrame, events: DataFrame | None, activity: DataFrame | None) -> DataFrame:
+    """Users with their cohort month, one row per month in which they were active."""
+    activity = user_activity(events) if activity is None else activity
     cohort = users.select("user_id", month_start("first_seen").alias("cohort_month"))
-    return cohort.join(active, "user_id")
+    return cohort.join(activity.select("user_id", F.col("month").alias("activity_month")), "user_id")
 
 
 def _months_apart(later: str, earlier: str):
     return (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
 
 
-def cohort_retention_monthly_literal(users: DataFrame, events: DataFrame) -> DataFrame:
+def cohort_retention_monthly_literal(users: DataFrame, events: DataFrame | None = None, activity: DataFrame | None = None) -> DataFrame:
     """Retention with the cohort counted among the active users of the same month.
 
     The rate is therefore always 100, and the month offset wraps after a year.
     """
-    active = _cohort_activity(users, events).groupBy("cohort_month", "activity_month").agg(
+    active = _cohort_activity(users, events, activity).groupBy("cohort_month", "activity_month").agg(
         F.count("user_id").alias("cohort_size")
     )
     return active.select(
@@ -273,12 +300,12 @@ def cohort_retention_monthly_literal(users: DataFrame, events: DataFrame) -> Dat
     )
 
 
-def cohort_retention_monthly(users: DataFrame, events: DataFrame) -> DataFrame:
+def cohort_retention_monthly(users: DataFrame, events: DataFrame | None = None, activity: DataFrame | None = None) -> DataFrame:
     """Retention against the whole cohort, with the full month offset."""
     sizes = users.groupBy(month_start("first_seen").alias("cohort_month")).agg(
         F.count("user_id").alias("cohort_size")
     )
-    active = _cohort_activity(users, events).groupBy("cohort_month", "activity_month").agg(
+    active = _cohort_activity(users, events, activity).groupBy("cohort_month", "activity_month").agg(
         F.count("user_id").alias("active_users")
     )
     return active.join(sizes, "cohort_month").select(

@@ -137,6 +137,7 @@ def _sources() -> dict[str, str]:
         "read_sessions_users": digests((("sessions", "sess"), ("users", "usr"))),
         "write_parquet": "SELECT * FROM sess",
         "run_etl": digests(etl),
+        "refresh_etl": digests(etl),
         "load_warehouse_table": "SELECT * FROM wsess",
         "write_features": _conversion_features(),
         "write_predictions": "SELECT * FROM conv",

@@ -5,6 +5,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.functions.exprs import percent, rounded_ratio
 from clickloom.models.predictions import ltv_bands, risk_bands
@@ -196,9 +197,11 @@ def test_search_converts_only_when_the_purchase_is_later(events):
     assert (row.search_count, row.sessions_with_search, row.sessions_converted_after_search, row.conversion_rate) == (10, 10, 6, 60.0)
 
 
+@pytest.mark.parametrize("tile", [1000, 4])
 @pytest.mark.parametrize("min_sessions", [1, 2, 5])
-def test_affinity_equals_counting_all_pairs(frame, min_sessions):
+def test_affinity_equals_counting_all_pairs(frame, monkeypatch, min_sessions, tile):
     """Six huge sessions hold every product; the rest hold a few. One session has two users."""
+    monkeypatch.setattr(views, "TILE_ITEMS", tile)
     rng = random.Random(min_sessions)
     products = [f"p{i:02d}" for i in range(25)]
     rows = []
@@ -223,3 +226,33 @@ def test_affinity_equals_counting_all_pairs(frame, min_sessions):
         if len(both) >= min_sessions:
             expected[a, b] = (len(both), len(set().union(*(held[a][s] for s in both))))
     assert got == expected
+
+
+def test_large_carts_are_paired_block_by_block(frame, monkeypatch):
+    """Five carts of all products: one of them is set aside by no product, and is cut into tiles."""
+    monkeypatch.setattr(views, "TILE_ITEMS", 40)
+    n = 400
+    rows = [(f"s{s}", f"u{s}", f"p{i:04d}", "add_to_cart") for s in range(5) for i in range(n)]
+    found = views.product_affinity(frame(rows, "session_id string, user_id string, product_id string, event_type string"))
+    assert found.count() == n * (n - 1) // 2
+    assert {(r.sessions_together, r.users_together) for r in found.select("sessions_together", "users_together").distinct().collect()} == {(5, 5)}
+
+
+def test_activity_masks_merge_and_tell_every_day(frame):
+    rng = random.Random(12)
+    start = datetime.datetime(2024, 1, 25)
+    rows = [(f"u{rng.randrange(30)}", start + datetime.timedelta(days=rng.randrange(50), hours=rng.randrange(24))) for _ in range(600)]
+    schema = "user_id string, timestamp timestamp"
+    parts = [views.user_activity(frame(rows[i::3], schema)) for i in range(3)]
+    merged = parts[0].union(parts[1]).union(parts[2]).groupBy("user_id", "month").agg(F.bit_or("days").alias("days"))
+    users = frame([(u, min(t for v, t in rows if v == u)) for u in {u for u, _ in rows}], "user_id string, first_seen timestamp")
+    got = {r.cohort_date: (r.cohort_size, r.day_0, r.day_1, r.day_7, r.day_30) for r in views.user_retention(users, activity=merged).collect()}
+    active = {(u, t.date()) for u, t in rows}
+    cohorts = {}
+    for r in users.collect():
+        cohorts.setdefault(r.first_seen.date(), []).append(r.user_id)
+    assert got == {
+        day: (len(us), *(sum((u, day + datetime.timedelta(days=d)) in active for u in us) for d in (0, 1, 7, 30))) for day, us in cohorts.items()
+    }
+    whole = {tuple(r) for r in views.user_retention(users, frame(rows, schema)).collect()}
+    assert whole == {tuple(r) for r in views.user_retention(users, activity=merged).collect()}
