@@ -142,6 +142,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int,
         if writer is not None:
             writer.close()
             stream.close()
+            pa.default_memory_pool().release_unused()  # the worker waits for further tasks
             row = {"part": TaskContext.get().partitionId(), "path": path, "n_docs": len(writer.docs), "n_ids": writer.starts[-1]}
             yield pa.RecordBatch.from_pylist([row])
 

@@ -136,12 +136,14 @@ SCHEMA = (
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, limits: Limits = Limits(), end: int = 0, free: int = 1, with_ids: bool = False
+    docs: DataFrame, tokenizer: str, limits: Limits = Limits(), end: int = 0, free: int = 1, with_ids: bool = False,
+    prompt: str | None = None,
 ) -> DataFrame:
     """Pieces of the token ids of every row of ``docs`` (doc_id, text), in sequences.
 
     A row's ids are those of its whole text, then ``end``; the first ``free`` bear
-    no loss. Returns per piece doc_id, start (ids of its row before it), length,
+    no loss. For instruction data ``prompt`` names a column whose ids stand in front of
+    those of the text and bear no loss at all; a null prompt is empty. Returns per piece doc_id, start (ids of its row before it), length,
     ids_crc32 (of the ids as little-endian 32-bit numbers), doc_tokens,
     sequence_id, offset (tokens of the sequence before it) and, ``with_ids``, the
     ids as such bytes. Every id lies in exactly one piece.
@@ -183,15 +185,21 @@ def pack(
             for at, stop in slices(batch.column(1)):
                 ids, ends = code.encode(batch.column(1).slice(at, stop - at))
                 raw = memoryview(ids.astype("<u4").tobytes())
+                asked = [b""] * (stop - at)
+                if prompt is not None:
+                    asked = code.encode_apart(batch.column(2).slice(at, stop - at))
                 for k, doc_id in enumerate(batch.column(0).slice(at, stop - at).to_pylist()):
-                    held[example] = doc_id, raw[4 * ends[k] : 4 * ends[k + 1]]
-                    size = int(ends[k + 1] - ends[k])
-                    waiting.append(Piece(example, 0, size, free))
+                    own = raw[4 * ends[k] : 4 * ends[k + 1]]
+                    held[example] = doc_id, memoryview(asked[k] + own) if asked[k] else own
+                    size = int(ends[k + 1] - ends[k]) + len(asked[k]) // 4
+                    waiting.append(Piece(example, 0, size, len(asked[k]) // 4 if prompt is not None else free))
                     example += 1
                     tokens += size
                     if len(waiting) >= GROUP_ROWS or tokens >= GROUP_TOKENS:
                         yield from flush(False)
         yield from flush(True)
+        pa.default_memory_pool().release_unused()  # the worker waits for further tasks
 
-    rows = take(docs, {"doc_id": "doc_id", "text": "text"}).select(F.col("doc_id").cast("long"), "text")
+    columns = {"doc_id": "doc_id", "text": "text"} | ({} if prompt is None else {"prompt": prompt})
+    rows = take(docs, columns).withColumn("doc_id", F.col("doc_id").cast("long"))
     return in_tasks(rows, packed, SCHEMA + ", ids binary" * with_ids)

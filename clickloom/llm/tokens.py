@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession
 ODD = r" (?:[\s\p{Z}\x0b\x1c-\x1f\x{85}]|\z)"
 KEPT_CHUNKS = 300_000  # distinct chunks a worker keeps between batches
 BATCH_BYTES = 8 << 20  # text encoded at once, unless one text is longer
+AT_ONCE = 4096  # chunks given to the tokenizer together: what it returns for each is large
 
 
 class Encoder:
@@ -34,8 +35,11 @@ class Encoder:
         self.kept: dict[str, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+        ids: list[bytes] = []
+        for at in range(0, len(texts), AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[at : at + AT_ONCE], add_special_tokens=False)
+            ids += [array("I", x.ids).tobytes() for x in found]
+        return ids
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk after a space."""
@@ -76,6 +80,13 @@ class Encoder:
         return table[at], np.r_[0, ends[bounds[1:] + np.arange(len(firsts))].astype(np.int64)]
 
 
+    def encode_apart(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, without an end id, as little-endian 32-bit numbers."""
+        ids, ends = self.encode(texts)
+        raw = ids.astype("<u4").tobytes()
+        return [raw[4 * a : 4 * (b - 1)] for a, b in zip(ends[:-1], ends[1:])]
+
+
 _encoders: dict[tuple[int, int], Encoder] = {}
 
 

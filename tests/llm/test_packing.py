@@ -60,3 +60,30 @@ def test_messy_rows_equal_direct_encoding(docs, empty):
     )
     assert set(got) <= set(expected) and sum(r.length for r in rows) == sum(len(e) - 1 for e in expected)
     assert pack(empty, TOKENIZER).count() == 0
+
+
+def test_prompts_bear_no_loss_and_the_loss_limit_decides(spark):
+    """Instruction data: a third of each example bears loss, and sequences hold far more tokens than loss."""
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    rows = [(i, "please answer this question about number " + "x " * (5 + i % 11) + str(i), "the answer " * (2 + i % 7) + str(i)) for i in range(300)]
+    rows += [(300, None, "no prompt at all"), (301, "only a prompt", None), (301, "", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, question string, text string").coalesce(1)
+    limits = Limits(tokens=512, segments=64, loss=96)
+    prompts = [len(tokenizer.encode(q or "", add_special_tokens=False).ids) for _, q, _ in rows]
+    ids = [[*tokenizer.encode(q or "", add_special_tokens=False).ids, *tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for _, q, t in rows]
+    free = {(i, len(x)): n for (i, _, _), x, n in zip(rows, ids, prompts)}
+    got = pack(docs, TOKENIZER, limits, with_ids=True, prompt="question").collect()
+    sequences, texts = defaultdict(list), defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append(r)
+        texts[r.doc_id, r.doc_tokens].append(r)
+    loss = lambda r: max(0, r.start + r.length - max(r.start, free[r.doc_id, r.doc_tokens]))
+    sums = [(sum(r.length for r in s), len(s), sum(map(loss, s))) for s in sequences.values()]
+    assert all(t <= 512 and n <= 64 and x <= 96 for t, n, x in sums)
+    # the loss of full sequences is spent to the last token
+    assert sum(x == 96 for _, _, x in sums) > len(sums) / 10
+    whole = {k: np.frombuffer(b"".join(r.ids for r in sorted(v, key=lambda r: r.start)), "<u4").tolist() for k, v in texts.items()}
+    assert whole == {(i, len(x)): x for (i, _, _), x in zip(rows, ids)}
+    # without that limit fewer, fuller sequences hold the same examples
+    free_loss = pack(docs, TOKENIZER, Limits(tokens=512, segments=64, loss=512), prompt="question")
+    assert free_loss.select("sequence_id").distinct().count() < len(sequences)
