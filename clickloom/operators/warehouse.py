@@ -216,24 +216,59 @@ def ml_ltv_table(predictions: DataFrame) -> DataFrame:
 
 def check_primary_key(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """One row: how many key values occur more than once."""
-    repeated = df.groupBy(*keys).count().filter("count > 1")
-    return repeated.agg(F.count("*").alias("duplicate_keys")).select(
-        F.lit(table).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"), "duplicate_keys"
-    )
+    return repeated_keys({table: (df, keys)})
+
+
+def repeated_keys(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Per table (rows, key columns), how many key values occur more than once.
+
+    The keys of all tables are counted together by a hash of 64 bits, which is all that
+    is shuffled. Only keys whose hash repeats are then counted themselves, table by table,
+    and only of tables that have such.
+    """
+    names = list(tables)
+    hashes = [df.select(F.lit(i).alias("table"), F.xxhash64(*keys).alias("hash")) for i, (df, keys) in enumerate(tables.values())]
+    counts = reduce(DataFrame.unionByName, hashes).groupBy("table", "hash").agg(F.count("*").alias("rows"))
+    suspects = stage(counts.filter("rows > 1").select("table", "hash"), "suspect_keys")
+    suspected = {row["table"] for row in suspects.select("table").distinct().collect()}  # one row per table at most
+
+    def line(i: int) -> DataFrame:
+        df, keys = tables[names[i]]
+        named = [F.lit(names[i]).alias("table_name"), F.lit(",".join(keys)).alias("key_columns")]
+        if i not in suspected:
+            return df.sparkSession.range(1).select(*named, F.lit(0).cast("long").alias("duplicate_keys"))
+        held = df.select(*keys, F.xxhash64(*keys).alias("hash")).join(suspects.filter(F.col("table") == i), "hash", "left_semi")
+        repeated = held.groupBy(*keys).count().filter("count > 1")
+        return repeated.agg(F.count("*").alias("duplicate_keys")).select(*named, "duplicate_keys")
+
+    return reduce(DataFrame.unionByName, map(line, range(len(names))))
 
 
 def check_foreign_key(child: DataFrame, parent: DataFrame, name: str, column: str, parent_key: str) -> DataFrame:
-    """One row: how many child rows refer to a missing parent.
+    """One row: how many child rows refer to a missing parent."""
+    return orphan_rows({name: (child, column, parent, parent_key)})
 
-    Child rows are counted per distinct key before the anti join, so a frequent
-    key reaches the join once.
+
+def orphan_rows(relations: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """Per relation (child, its column, parent, its key), how many child rows refer to a missing parent.
+
+    The keys of all relations meet in one aggregation. Child rows are counted before it,
+    so a frequent key is shuffled once per task.
     """
-    counted = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(
-        F.count("*").alias("rows")
+    names = list(relations)
+    sides = []
+    for i, (child, column, parent, key) in enumerate(relations.values()):
+        for df, c, is_child in ((child, column, 1), (parent, key, 0)):
+            refers = df.select(F.lit(i).alias("relation"), F.col(c).cast("string").alias("key"), F.lit(is_child).alias("child"))
+            sides.append(refers.filter("key IS NOT NULL"))
+    per_key = reduce(DataFrame.unionByName, sides).groupBy("relation", "key").agg(
+        F.sum("child").alias("rows"), F.min("child").alias("without_parent")
     )
-    orphans = counted.join(parent.select(F.col(parent_key).alias("_key")), "_key", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("orphan_rows")).select(
-        F.lit(name).alias("relation"), "orphan_rows"
+    found = per_key.groupBy("relation").agg(F.sum(F.when(F.col("without_parent") == 1, F.col("rows")).otherwise(0)).alias("rows"))
+    every = F.array(*[F.struct(F.lit(i).alias("relation"), F.lit(name).alias("name")) for i, name in enumerate(names)])
+    listed = found.sparkSession.range(1).select(F.inline(every))
+    return listed.join(found, "relation", "left").select(
+        F.col("name").alias("relation"), F.coalesce("rows", F.lit(0).cast("long")).alias("orphan_rows")
     )
 
 
@@ -246,20 +281,18 @@ def check_not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
 
 
 def check_primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName,
-        [check_primary_key(df, n, list(WAREHOUSE[n].key)) for n, df in tables.items()],
-    )
+    return repeated_keys({name: (df, list(WAREHOUSE[name].key)) for name, df in tables.items()})
 
 
 def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    checks = [
-        check_foreign_key(df, tables[parent], f"{n}.{column}", column, parent_key)
-        for n, df in tables.items()
-        for column, (parent, parent_key) in WAREHOUSE[n].foreign_keys.items()
-        if parent in tables
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    return orphan_rows(
+        {
+            f"{n}.{column}": (df, column, tables[parent], parent_key)
+            for n, df in tables.items()
+            for column, (parent, parent_key) in WAREHOUSE[n].foreign_keys.items()
+            if parent in tables
+        }
+    )
 
 
 def check_not_nulls(tables: dict[str, DataFrame]) -> DataFrame:

@@ -16,11 +16,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.models.features import churn_features, conversion_features, ltv_features
-from clickloom.models.predictions import MODELS, ModelSize, run_model
+from clickloom.models.predictions import MODELS, ModelSize, churn_predictions, conversion_predictions, ltv_predictions, run_model
 from clickloom.models.training import Trained
 from clickloom.operators import etl, warehouse as wh
 from clickloom.plans.views import product_affinity, user_activity
 from clickloom.session import shared_dir, use_utc
+from clickloom.sources import scores
 from clickloom.sources.clicks import click_events, product_catalog
 from clickloom.sources.writers import write_parquet
 
@@ -115,6 +116,11 @@ _BUILDERS: dict[str, Callable[[Lake], DataFrame]] = {
     "fact_sessions": lambda l: wh.fact_sessions(l["sessions"]),
     "fact_daily_metrics": lambda l: wh.fact_daily_metrics(l["daily"]),
     "product_affinity": lambda l: product_affinity(l["fact_events"]),
+    # prediction tables on scores derived from the events
+    "dim_device": lambda l: wh.dim_device(l["events"]),
+    "scored_conversion": lambda l: wh.ml_conversion_table(conversion_predictions(scores.conversion_scores(l.spark, l.sf_dir))),
+    "scored_churn": lambda l: wh.ml_churn_table(churn_predictions(scores.churn_scores(l.spark, l.sf_dir))),
+    "scored_ltv": lambda l: wh.ml_ltv_table(ltv_predictions(scores.ltv_scores(l.spark, l.sf_dir))),
     "user_activity": lambda l: user_activity(l["fact_events"]),
     "conversion_features": lambda l: conversion_features(l["sessions"]),
     "churn_features": lambda l: churn_features(l["users"]),

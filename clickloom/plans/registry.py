@@ -272,10 +272,10 @@ def _sql_text(use: Callable[[DataFrame], DataFrame]) -> LakeQuery:
 def _all_tables(l: Lake) -> dict[str, DataFrame]:
     """The warehouse tables, with prediction tables built on derived scores."""
     return l.warehouse() | {
-        "dim_device": wh.dim_device(l["events"]),
-        "ml_conversion_predictions": wh.ml_conversion_table(_scored(l, "conversion")),
-        "ml_churn_predictions": wh.ml_churn_table(_scored(l, "churn")),
-        "ml_ltv_predictions": wh.ml_ltv_table(_scored(l, "ltv")),
+        "dim_device": l["dim_device"],
+        "ml_conversion_predictions": l["scored_conversion"],
+        "ml_churn_predictions": l["scored_churn"],
+        "ml_ltv_predictions": l["scored_ltv"],
     }
 
 
