@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from clickloom.llm.vectors import join_intervals, near_duplicates
+from clickloom.llm import vectors
+from clickloom.llm.vectors import cosine, join_intervals, near_duplicates
 
 NAN, INF = float("nan"), float("inf")
 
@@ -57,3 +58,49 @@ def test_distant_intervals_are_skipped_and_no_link_is_lost():
     reach = np.sqrt(2 - 2 * 0.95)
     found = {(a0 + i, b0 + j) for a0, b0, linked in join_intervals(a, a, True, 0.95, reach, 16) for i, j in zip(*np.nonzero(linked))}
     assert found == {(i, j) for i in range(300) for j in range(i + 1, 300) if a[i] @ a[j] >= 0.95}
+
+
+def test_cosines_at_the_bound_are_those_of_the_given_vectors(spark):
+    """Pairs whose cosine is the bound, or the next double below or above it, by the plain formula."""
+    draw = np.random.default_rng(8)
+    rows, least = [], None
+    while len(rows) < 400:
+        a = draw.integers(-9, 10, 5).astype(float)
+        b = a + draw.integers(-2, 3, 5)
+        if a.any() and b.any():
+            rows += [(len(rows), a.tolist(), len(rows)), (len(rows) + 1, b.tolist(), len(rows))]
+    values = {i: cosine(np.array(rows[i][1]), np.array(rows[i + 1][1])) for i in range(0, 400, 2)}
+    for i in [k for k, v in sorted(values.items(), key=lambda kv: abs(kv[1] - 0.9))[:3]]:
+        for least in (values[i], np.nextafter(values[i], 2), np.nextafter(values[i], 0)):
+            df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+            got = {r.vec_id: r.n_links for r in near_duplicates(df, float(least)).collect()}
+            assert got == {k + d: int(v >= least) for k, v in values.items() for d in (0, 1)}
+
+
+def test_tiles_of_one_label_equal_all_pairs(spark, monkeypatch):
+    """One label in many blocks, groups and levels; the leading axes alone decide little."""
+    monkeypatch.setattr(vectors, "GROUP", 2)
+    monkeypatch.setattr(vectors, "FANOUT", 2)
+    monkeypatch.setattr(vectors, "BOX_AXES", 6)
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(150, 24))
+    points = np.concatenate([centres, centres + draw.normal(size=centres.shape) * 0.28, draw.normal(size=(300, 24))])
+    rows = [(i, p.tolist(), 1) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(7)
+    got = sorted(map(tuple, near_duplicates(df, 0.93, 16, 8).collect()), key=str)
+    assert got == expected(rows) and sum(r[1] for r in got) > 50
+
+
+def test_blocks_are_sent_once_per_tile(spark):
+    """Far fewer copies of blocks than pairs of them."""
+    draw = np.random.default_rng(5)
+    rows = [(i, draw.normal(size=32).tolist(), 1) for i in range(2000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").coalesce(2)
+    known = vectors.classes(df)
+    axes = spark.sparkContext.broadcast(vectors.principal_axes(known, 32))
+    cut = vectors.blocks(known, 32, axes, 0.37, 32)
+    pairs = vectors.block_pairs(cut, 32, 0.37)
+    n = cut.count()
+    assert pairs.count() == pairs.select("x", "y").distinct().count() <= n * (n + 1) // 2
+    sent = pairs.selectExpr("x_group", "y_group", "x AS place").union(pairs.selectExpr("x_group", "y_group", "y")).distinct().count()
+    assert sent * 3 < 2 * pairs.count()
