@@ -38,10 +38,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_records(turns: DataFrame) -> DataFrame:
-    """Conversations as records of three layouts, by their shape.
+    """Conversations as records of six layouts, by their shape and the parity of their id.
 
-    A user and an assistant turn are a prompt and a response, with a system turn in
-    front a prompt with a system field; all others are lists of messages. Null roles
+    A user and an assistant turn are a prompt and a response, or an instruction and its
+    output; with a system turn in front a prompt with a system field; two user turns and
+    an assistant turn an instruction with an input. All others are lists of messages or,
+    with other role names, of conversations. Every record fits exactly one layout. Null roles
     and texts are empty; turns with equal numbers are ordered by role and text.
     """
     rows = take(turns, {"conv_id": "conv_id", "turn": "turn", "role": "role", "text": "text"}).select(
@@ -53,16 +55,28 @@ def conversation_records(turns: DataFrame) -> DataFrame:
     )
     lists = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("m"))
     roles = F.transform("m", lambda x: x["role"])
-    plain = roles == F.array(F.lit("user"), F.lit("assistant"))
-    system = roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))
+    shape = lambda *names: roles == F.array(*map(F.lit, names))
+    odd = F.coalesce(F.pmod("conv_id", F.lit(2)) == 1, F.lit(False))
+    pair = shape("user", "assistant")
+    plain, instruction = pair & ~odd, pair & odd
+    system, with_input = shape("system", "user", "assistant"), shape("user", "user", "assistant")
+    listed = ~(pair | system | with_input)
+    # a list that has the other names itself keeps its own
+    renamed = listed & odd & ~F.exists("m", lambda x: x["role"].isin("human", "gpt"))
     content = lambda i: F.get("m", F.lit(i))["content"]
     messages = F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
+    other = lambda role: F.when(role == "user", "human").when(role == "assistant", "gpt").otherwise(role)
+    conversations = F.transform("m", lambda x: F.struct(other(x["role"]).alias("from"), x["content"].alias("value")))
     return lists.select(
         "conv_id",
-        F.when(~(plain | system), messages).alias("messages"),
+        F.when(listed & ~renamed, messages).alias("messages"),
+        F.when(renamed, conversations).alias("conversations"),
         F.when(system, content(0)).alias("system"),
         F.when(plain, content(0)).when(system, content(1)).alias("prompt"),
         F.when(plain, content(1)).when(system, content(2)).alias("response"),
+        F.when(instruction | with_input, content(0)).alias("instruction"),
+        F.when(with_input, content(1)).alias("input"),
+        F.when(instruction, content(1)).when(with_input, content(2)).alias("output"),
     )
 
 

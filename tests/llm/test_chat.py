@@ -55,3 +55,50 @@ def test_messy_conversations_round_trip(spark):
         assert [tuple(t) for t in parsed[conv].turns] == [(r, x) for _, r, x in said]
         assert "".join(parsed[conv].loss) == "".join(x for _, r, x in said if r == "assistant")
     assert conversation_records(turns.limit(0)).count() == 0
+
+
+def test_unknown_nested_fields_and_two_layouts_at_once_fit_none(spark):
+    """The paths below a layout's columns count, at any depth; columns of no layout do not."""
+    element = "struct<role:string,content:string,name:string,calls:array<struct<tool:string>>>"
+    rows = spark.createDataFrame(
+        [
+            (1, None, None, [("user", "q", None, None)], ("x", 1)), (2, None, None, [("user", "q", "ann", [])], None),
+            (3, None, None, [("user", "q", None, [("search",)])], None), (4, "q", "a", [("user", "q", None, None)], None),
+            (5, "q", None, [("user", "q", None, None), ("assistant", "a", None, None)], None), (6, None, None, [("user", None, None, None)], None),
+            (7, None, None, [(None, None, None, None)], None),
+        ],
+        f"id long, prompt string, response string, messages array<{element}>, meta struct<a:string,b:int>",
+    )
+    found = {r.key: r for r in chat.canonical(rows, "id").collect()}
+    assert {i: r.layout for i, r in found.items()} == {1: "messages", 2: None, 3: None, 4: None, 5: "messages", 6: "messages", 7: "messages"}
+    assert found[3].turns is None and [tuple(t) for t in found[6].turns] == [("user", "")] and [tuple(t) for t in found[7].turns] == [("", "")]
+    tolerant = [chat.Layout("calls", turns="messages", role="role", text="content", optional=("messages[].name", "messages[].calls[]", "messages[].calls[].tool"))]
+    assert {r.key: r.layout for r in chat.canonical(rows.filter("id < 4"), "id", tolerant).collect()} == {1: "calls", 2: "calls", 3: "calls"}
+
+
+def test_lists_and_roles_inside_structs(spark):
+    rows = spark.createDataFrame(
+        [(1, ([(("user", 1), "q"), (("assistant", 2), "a")], None))],
+        "id long, data struct<turns:array<struct<author:struct<role:string,n:int>,text:string>>,note:string>",
+    )
+    nested = chat.Layout("nested", turns="data.turns", role="author.role", text="text", optional=("data.turns[].author.n",))
+    found = chat.canonical(rows, "id", [nested]).first()
+    assert found.layout == "nested" and [tuple(t) for t in found.turns] == [("user", "q"), ("assistant", "a")]
+    strict = chat.Layout("nested", turns="data.turns", role="author.role", text="text")
+    assert chat.canonical(rows, "id", [strict]).first().layout is None
+
+
+def test_the_query_has_records_of_all_layouts(spark, sf_dir):
+    from clickloom.llm.frames import read
+
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = [(10**9 + i, t, role, f"text {t}") for i in range(4) for t, role in enumerate(["user", "user", "assistant"][i // 2 :])]
+    more += [(10**9 + 11, t, role, "x") for t, role in enumerate(["human", "user", "gpt"])]
+    more += [(10**9 + 12, t, role, "x") for t, role in enumerate(["system", "user", "assistant"])]
+    every = turns.union(spark.createDataFrame(more, turns.schema))
+    found = chat.canonical(conversation_records(every), "conv_id").collect()
+    assert {r.layout for r in found} == {layout.name for layout in chat.LAYOUTS}
+    said = {}
+    for r in every.collect():
+        said.setdefault(r.conv_id, []).append((r.turn, r.role or "", r.text or ""))
+    assert {r.key: [tuple(t) for t in r.turns] for r in found} == {k: [(role, text) for _, role, text in sorted(v)] for k, v in said.items()}
