@@ -18,7 +18,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from clickloom.llm import files
 from clickloom.llm.frames import in_tasks, row_key, take
@@ -32,6 +32,7 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 FILE_BYTES = 24 << 20  # records of a file before compression, unless one is larger
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_BYTES, SAMPLE_RECORD = 4 << 20, 64 << 10  # of the records the dictionary is trained on
+SAMPLES = 10  # fewest samples to train on
 LEVEL = 3
 DATE = "1970-01-01T00:00:00Z"  # the tables hold no time of capture
 
@@ -66,24 +67,31 @@ def page_record(page_id, url, payload: bytes, sha1: bytes, revisit: bool, first_
     return _record(fields, HTTP)
 
 
-def train(records: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """A dictionary from records spread over the file; None if they are too few or too alike."""
+def train(records: list[bytes]) -> zstandard.ZstdCompressionDict:
+    """A dictionary from records spread over the file.
+
+    Of few records each is several samples. Where there is too little to train on, or
+    records are too alike, the records themselves are the dictionary.
+    """
     step = max(1, sum(min(len(r), SAMPLE_RECORD) for r in records) // SAMPLE_BYTES)
     samples = [r[:SAMPLE_RECORD] for r in records[::step]]
-    size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 10)
-    if len(samples) < 10 or size < 1024:
-        return None
-    try:
-        return zstandard.train_dictionary(size, samples, k=200, d=8)
-    except zstandard.ZstdError:
-        return None
+    whole = b"".join(samples)
+    if len(samples) < SAMPLES:
+        size = max(256, len(whole) // (4 * SAMPLES))
+        samples = [whole[at : at + size] for at in range(0, len(whole), size)]
+    size = min(DICTIONARY_BYTES, len(whole) // 10)
+    if len(samples) >= SAMPLES and size >= 1024:
+        try:
+            return zstandard.train_dictionary(size, samples, k=200, d=8)
+        except zstandard.ZstdError:
+            pass
+    return zstandard.ZstdCompressionDict(whole[-DICTIONARY_BYTES:], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
 def write_archive(records: list[bytes], out) -> None:
     dictionary = train(records)
-    if dictionary is not None:
-        raw = zstandard.ZstdCompressor(level=LEVEL).compress(dictionary.as_bytes())
-        out.write(struct.pack("<II", DICTIONARY_FRAME, len(raw)) + raw)
+    raw = zstandard.ZstdCompressor(level=LEVEL).compress(dictionary.as_bytes())
+    out.write(struct.pack("<II", DICTIONARY_FRAME, len(raw)) + raw)
     compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary)
     for record in records:
         out.write(compressor.compress(record))
@@ -146,11 +154,9 @@ def write_pages(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFram
         "a", "b", ((F.col("a") == F.col("first.a")) & (F.col("b") == F.col("first.b"))).alias("is_first"),
         F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"),
     ).distinct()
-    # of equal rows the first one written is the response
-    copy = F.row_number().over(Window.partitionBy("a", "b").orderBy("page_id"))
-    joined = rows.join(known, ["a", "b"], "left").withColumn("copy", copy)
-    revisit = F.col("is_first").isNotNull() & ~(F.col("is_first") & (F.col("copy") == 1))
-    ready = joined.select("page_id", "url", "payload", revisit.alias("revisit"), "first_id", "first_url")
+    # equal rows are combined before they are shuffled, and told apart when they are written
+    single = rows.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("page_id", "url", "payload")], F.count("*").alias("copies"))
+    ready = single.join(known, ["a", "b"], "left").select("page_id", "url", "payload", "copies", "is_first", "first_id", "first_url")
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records: list[bytes] = []
@@ -169,12 +175,17 @@ def write_pages(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFram
         count = 0
         for batch in batches:
             for row in zip(*(column.to_pylist() for column in batch.columns)):
-                payload = row[2].encode()
-                records.append(page_record(row[0], row[1], payload, hashlib.sha1(payload).digest(), *row[3:]))
-                size += len(records[-1])
-                if size >= FILE_BYTES:
-                    yield flush()
-                    count += 1
+                page_id, url, text, copies, is_first, *first = row
+                payload = text.encode()
+                digest = hashlib.sha1(payload).digest()
+                for copy in range(copies):
+                    # of equal rows the first one written is the response
+                    revisit = is_first is not None and not (is_first and copy == 0)
+                    records.append(page_record(page_id, url, payload, digest, revisit, *first))
+                    size += len(records[-1])
+                    if size >= FILE_BYTES:
+                        yield flush()
+                        count += 1
         if records:
             yield flush()
 

@@ -60,3 +60,38 @@ def test_files_hold_a_dictionary_and_single_records(pages):
     assert headers[0]["WARC-Type"] == "warcinfo" and not any("X-Header" in h for h in headers)
     ids = [h["WARC-Record-ID"] for h in headers]
     assert {h["WARC-Refers-To"] for h in headers if "WARC-Refers-To" in h} and len(ids) == len(frames)
+
+
+@pytest.mark.parametrize("records", [
+    [b"WARC/1.1\r\n\r\n"], [b"WARC/1.1\r\nx: 1\r\n\r\n" * 3, b"tiny"], [b"same record " * 40] * 9, [b"one long record of many words " * 20_000],
+])
+def test_every_archive_has_a_dictionary(records):
+    """Also of one short record, of copies, and of a single long one."""
+    out = io.BytesIO()
+    warc.write_archive(records, out)
+    raw = out.getvalue()
+    magic, size = struct.unpack("<II", raw[:8])
+    dictionary = zstandard.ZstdCompressionDict(zstandard.ZstdDecompressor().decompress(raw[8 : 8 + size]))
+    assert magic == 0x184D2A5D and len(dictionary.as_bytes()) >= 8
+    rest, found = raw[8 + size :], []
+    while rest:
+        reader = zstandard.ZstdDecompressor(dict_data=dictionary).decompressobj()
+        found.append(reader.decompress(rest))
+        rest = reader.unused_data
+    assert found == records
+
+
+def test_files_are_stored_as_written(pages):
+    """A Zstandard frame on disk, not one inside another."""
+    listed = warc.write_pages(pages.limit(40), files.new_folder(pages.sparkSession, "warc")).collect()
+    assert listed
+    for row in listed:
+        system, path = files._located(row.path)
+        with system.open_input_stream(path, compression=None) as file:
+            assert struct.unpack("<I", file.read(4))[0] == 0x184D2A5D
+
+
+def test_a_row_repeated_often_is_combined_before_it_is_shuffled(spark):
+    many = spark.range(5000).selectExpr("7L AS page_id", "'u' AS url", "'copied payload' AS html")
+    found = warc.round_trip(many.union(spark.createDataFrame([(9, "v", "copied payload")], many.schema))).groupBy("page_id", "record_type", "refers_to").count().collect()
+    assert sorted(map(tuple, found), key=str) == [(7, "response", None, 1), (7, "revisit", 7, 4999), (9, "revisit", 7, 1)]
