@@ -10,6 +10,7 @@ eight levels of splits.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import MapType
 
 from clickloom.llm.frames import numbered, position, row_key, take
 from clickloom.session import stage
@@ -107,7 +108,9 @@ def write_shards(docs: DataFrame, limit: int, path: str) -> None:
     plan = assign(docs, limit).select("a", "b", F.row_number().over(numbers).alias("_copy"), F.concat(F.lit("b"), "shard").alias("shard"))
     columns = (f"_{position(docs, c)}" for c in ("doc_id", "text"))
     rows = numbered(docs).select("*", row_key(*columns).alias("_key")).select("*", "_key.*").drop("_key")
-    rows = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("a", "b").orderBy(F.lit(0))))
+    # numbered by all they hold, so that a task that runs again numbers them alike
+    content = F.xxhash64(*[f"_{i}" for i, f in enumerate(docs.schema.fields) if not isinstance(f.dataType, MapType)])
+    rows = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("a", "b").orderBy(content)))
     joined = rows.join(plan, ["a", "b", "_copy"]).drop("a", "b", "_copy")
     names = [c if c.lower() != "shard" else "shard_" for c in docs.columns]
     joined.toDF(*names, "shard").repartition("shard").write.partitionBy("shard").parquet(path)
