@@ -22,7 +22,8 @@ from pyspark.sql import SparkSession
 ODD = r" (?:[\s\p{Z}\x0b\x1c-\x1f\x{85}]|\z)"
 KEPT_CHUNKS = 300_000  # distinct chunks a worker keeps between batches
 BATCH_BYTES = 8 << 20  # text encoded at once, unless one text is longer
-AT_ONCE = 4096  # chunks given to the tokenizer together: what it returns for each is large
+AT_ONCE = 4096  # texts given to the tokenizer together: what it returns for each is large
+JOINED = 64  # chunks encoded as one text
 
 
 class Encoder:
@@ -31,6 +32,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        # tokens that begin with a space
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.end = np.array([end], dtype="<u4").tobytes()
         self.kept: dict[str, bytes] = {}
 
@@ -41,12 +46,30 @@ class Encoder:
             ids += [array("I", x.ids).tobytes() for x in found]
         return ids
 
+    def _after_space(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk after a space, many chunks to a text.
+
+        A chunk holds no space, so each begins at the next token that begins with one.
+        """
+        found: list[bytes] = []
+        for at in range(0, len(chunks), AT_ONCE):
+            part = chunks[at : at + AT_ONCE]
+            texts = [" " + " ".join(part[i : i + JOINED]) for i in range(0, len(part), JOINED)]
+            ids = np.concatenate([np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) != len(part) or starts[0]:  # a tokenizer of another kind
+                found += self._encoded([" " + c for c in part])
+                continue
+            raw, bounds = ids.tobytes(), (4 * starts).tolist()
+            found += [raw[a:b] for a, b in zip(bounds, [*bounds[1:], len(raw)])]
+        return found
+
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk after a space."""
         get = self.kept.get
         known = [get(c) for c in chunks]
         new = [i for i, ids in enumerate(known) if ids is None]
-        for i, ids in zip(new, self._encoded([" " + chunks[i] for i in new])):
+        for i, ids in zip(new, self._after_space([chunks[i] for i in new])):
             known[i] = ids
             if len(self.kept) < KEPT_CHUNKS:
                 self.kept[chunks[i]] = ids
