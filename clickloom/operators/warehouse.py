@@ -227,21 +227,26 @@ def repeated_keys(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     and only of tables that have such.
     """
     names = list(tables)
+    spark = tables[names[0]][0].sparkSession
     hashes = [df.select(F.lit(i).alias("table"), F.xxhash64(*keys).alias("hash")) for i, (df, keys) in enumerate(tables.values())]
     counts = reduce(DataFrame.unionByName, hashes).groupBy("table", "hash").agg(F.count("*").alias("rows"))
-    suspects = stage(counts.filter("rows > 1").select("table", "hash"), "suspect_keys")
-    suspected = {row["table"] for row in suspects.select("table").distinct().collect()}  # one row per table at most
+    suspects = counts.filter("rows > 1").select("table", "hash")
+    suspected = {row["table"] for row in suspects.groupBy("table").count().collect()}  # one row per table at most
+    if suspected:
+        suspects = stage(suspects, "suspect_keys")
 
-    def line(i: int) -> DataFrame:
+    def named(i: int, repeated: Column) -> list[Column]:
+        key_columns = F.lit(",".join(tables[names[i]][1])).alias("key_columns")
+        return [F.lit(names[i]).alias("table_name"), key_columns, repeated.cast("long").alias("duplicate_keys")]
+
+    def counted(i: int) -> DataFrame:
         df, keys = tables[names[i]]
-        named = [F.lit(names[i]).alias("table_name"), F.lit(",".join(keys)).alias("key_columns")]
-        if i not in suspected:
-            return df.sparkSession.range(1).select(*named, F.lit(0).cast("long").alias("duplicate_keys"))
         held = df.select(*keys, F.xxhash64(*keys).alias("hash")).join(suspects.filter(F.col("table") == i), "hash", "left_semi")
-        repeated = held.groupBy(*keys).count().filter("count > 1")
-        return repeated.agg(F.count("*").alias("duplicate_keys")).select(*named, "duplicate_keys")
+        return held.groupBy(*keys).count().filter("count > 1").agg(F.count("*").alias("n")).select(*named(i, F.col("n")))
 
-    return reduce(DataFrame.unionByName, map(line, range(len(names))))
+    none = [F.struct(*named(i, F.lit(0))) for i in range(len(names)) if i not in suspected]
+    lines = [spark.range(1).select(F.inline(F.array(*none)))] if none else []
+    return reduce(DataFrame.unionByName, [*lines, *map(counted, sorted(suspected))])
 
 
 def check_foreign_key(child: DataFrame, parent: DataFrame, name: str, column: str, parent_key: str) -> DataFrame:
@@ -256,11 +261,13 @@ def orphan_rows(relations: dict[str, tuple[DataFrame, str, DataFrame, str]]) ->
     so a frequent key is shuffled once per task.
     """
     names = list(relations)
-    sides = []
+    # every table is read once, for all relations it is part of
+    roles: dict[int, tuple[DataFrame, list[Column]]] = {}
     for i, (child, column, parent, key) in enumerate(relations.values()):
         for df, c, is_child in ((child, column, 1), (parent, key, 0)):
-            refers = df.select(F.lit(i).alias("relation"), F.col(c).cast("string").alias("key"), F.lit(is_child).alias("child"))
-            sides.append(refers.filter("key IS NOT NULL"))
+            role = F.struct(F.lit(i).alias("relation"), F.col(c).cast("string").alias("key"), F.lit(is_child).alias("child"))
+            roles.setdefault(id(df), (df, []))[1].append(role)
+    sides = [df.select(F.inline(F.array(*held))).filter("key IS NOT NULL") for df, held in roles.values()]
     per_key = reduce(DataFrame.unionByName, sides).groupBy("relation", "key").agg(
         F.sum("child").alias("rows"), F.min("child").alias("without_parent")
     )
