@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from clickloom.operators.ordered import LAST_ROWS, order_statistics
 from clickloom.session import send_package, side_by_side, stage
 
-STAGE_ROUNDS = 1  # rounds after which the predictions are written
+STAGE_ROUNDS = 5  # rounds after which the predictions are written; those between evaluate the newest trees anew
 TREES = 6  # fitted at a time
 SHARE = 0.9  # of residuals that lie within the bound
 
