@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom import session
 from clickloom.models import features as feat, metrics as met, training
 from clickloom.models.predictions import ModelSize, run_ml_models
 from clickloom.plans.lake import Lake
+from clickloom.session import spread
 
 
 @pytest.fixture(scope="module")
@@ -141,3 +143,19 @@ def test_folds_are_fitted_on_a_part_and_scored_whole(spark):
     sizes = training.train_regressor(rows, "id", iterations=1, max_depth=1, folds=2).metrics.collect()
     sizes = {r.metric: r.value for r in sizes}
     assert sizes["train_size"] == sizes["fit_size"] == 80
+
+
+def test_many_rows_are_scored_by_many_tasks(spark, monkeypatch):
+    """A table of few bytes was one file, so that one task scored all rows."""
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    rows = spark.range(1000).selectExpr("id", "cast(id % 13 as double) a", "cast(id % 7 as double) b", "cast(id % 13 > 6 as int) label")
+    trained = training.train_classifier(rows.coalesce(1), "id", num_trees=3, max_depth=2, folds=2, max_rows=400)
+    assert len(trained.scored.inputFiles()) >= 4 and trained.scored.count() == 1000
+    assert spread(rows, 100).rdd.getNumPartitions() == rows.rdd.getNumPartitions()
+
+
+def test_a_part_to_fit_on_is_written_once(spark):
+    rows = spark.range(1000).withColumn("label", F.lit(1))
+    assert training.bounded(rows, "id", 1000) is rows
+    part = training.bounded(rows, "id", 300)
+    assert 200 < part.count() < 400 and len(part.inputFiles()) >= 1
