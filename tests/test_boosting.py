@@ -2,10 +2,12 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from clickloom.models import boosting
@@ -122,3 +124,46 @@ def test_local_sessions_without_a_shared_folder_get_one(spark):
                 return default
 
     assert shared_dir(Bare) == shared_dir(Bare) and shared_dir(Bare).startswith("/")
+
+
+def test_passes_of_a_round_do_not_grow_with_the_models(spark, sample):
+    """Six models once took about sixty jobs a round, one after another within each model."""
+    xs, ys = sample
+    rows = frame_of(spark, xs, ys)
+    scheduler = spark.sparkContext._jsc.sc().dagScheduler()
+
+    def jobs(models, rounds):
+        before = scheduler.numTotalJobs()
+        predicted, grown = boosting.boost(rows, [F.col("id") % 7 != i for i in range(models)], rounds, 3, 0.1, 1)
+        assert all(len(m.trees) == rounds for m in grown) and predicted.count() == 500
+        return scheduler.numTotalJobs() - before
+
+    assert jobs(6, 3) - jobs(6, 1) == jobs(2, 3) - jobs(2, 1) <= 2 * 8
+
+
+def test_trees_are_those_of_spark(spark, sample):
+    """The first tree is Spark's regression tree on the residuals that are cut off."""
+    xs, ys = sample
+    draw = random.Random(3)
+    xs = [[x[0], draw.gauss(0, 1), draw.random() if draw.random() < 0.3 else 0.0] for x in xs]  # more values than bins
+    ys = [y + 5 * x[1] + (9 if x[2] > 0.5 else 0) for x, y in zip(xs, ys)]
+    rows = frame_of(spark, xs, ys)
+    _, (model,) = boosting.boost(rows, [F.lit(True)], 1, 4, 0.1, 1)
+    residual = [y - lower(ys, 0.5) for y in ys]
+    bound = lower([abs(r) for r in residual], 0.9)
+    target = F.greatest(F.least(F.col("label") - lower(ys, 0.5), F.lit(bound)), F.lit(-bound))
+    learner = DecisionTreeRegressor(labelCol="target", maxDepth=4, minInstancesPerNode=10, seed=1)
+    spark_tree = learner.fit(rows.select(F.col("features").alias("features", metadata={}), target.alias("target")))
+    expected = [(int(f), float(t)) for f, t in re.findall(r"If \(feature (\d+) <= (\S+)\)", spark_tree.toDebugString)]
+    tree = model.trees[0]
+    assert [(int(f), float(t)) for f, t in zip(tree.feature, tree.threshold) if f >= 0] == expected and len(expected) > 3
+    assert model.featureImportances == pytest.approx(spark_tree.featureImportances.toArray())
+
+
+def test_adding_up_on_executors_is_the_same(spark, sample, monkeypatch):
+    xs, ys = sample
+    rows = frame_of(spark, xs, ys)
+    few = {r.id: r.prediction0 for r in boosting.boost(rows, [~F.col("is_test")], 2, 3, 0.1, 1)[0].collect()}
+    monkeypatch.setattr(boosting, "HERE_ROWS", 0)
+    many = {r.id: r.prediction0 for r in boosting.boost(rows, [~F.col("is_test")], 2, 3, 0.1, 1)[0].collect()}
+    assert many == pytest.approx(few, abs=1e-9)
