@@ -3,6 +3,9 @@
 import math
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -167,3 +170,25 @@ def test_adding_up_on_executors_is_the_same(spark, sample, monkeypatch):
     monkeypatch.setattr(boosting, "HERE_ROWS", 0)
     many = {r.id: r.prediction0 for r in boosting.boost(rows, [~F.col("is_test")], 2, 3, 0.1, 1)[0].collect()}
     assert many == pytest.approx(few, abs=1e-9)
+
+
+def test_few_rows_pass_over_cached_blocks_and_give_the_same(spark, sample, monkeypatch):
+    rows, fitted = frame_of(spark, *sample), [~F.col("is_test"), F.col("id") % 3 != 0]
+    held = spark.sparkContext._jsc.getPersistentRDDs
+    before = held().size()
+    with monkeypatch.context() as patch:
+        patch.setattr(boosting._Rows, "_found", None)  # a pass plans no query
+        _, cached = boosting.boost(rows, fitted, 7, 3, 0.1, 42)
+    assert held().size() == before
+    monkeypatch.setattr(boosting, "HERE_ROWS", 0)
+    _, queried = boosting.boost(rows, fitted, 7, 3, 0.1, 42)
+    for a, b in zip(cached, queried):
+        assert a.initial == b.initial and len(a.trees) == len(b.trees) == 7
+        for x, y in zip(a.trees, b.trees):
+            assert x.feature.tolist() == y.feature.tolist()
+            np.testing.assert_allclose(x.value, y.value, rtol=1e-12)
+
+
+def test_tasks_import_numpy_only():
+    code = "import sys, clickloom.models.blocks; sys.exit('pandas' in sys.modules or 'pyspark' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], check=False).returncode == 0
