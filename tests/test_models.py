@@ -1,12 +1,14 @@
 """Feature, split and training properties."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from clickloom import session
 from clickloom.models import features as feat, metrics as met, training
-from clickloom.models.predictions import ModelSize, run_ml_models
-from clickloom.plans.lake import Lake
+from clickloom.models.predictions import ModelSize, run_ml_models, run_model
+from clickloom.plans.lake import REGISTERED, Lake
 from clickloom.session import spread
 
 
@@ -159,3 +161,18 @@ def test_a_part_to_fit_on_is_written_once(spark):
     assert training.bounded(rows, "id", 1000) is rows
     part = training.bounded(rows, "id", 300)
     assert 200 < part.count() < 400 and len(part.inputFiles()) >= 1
+
+
+def test_registered_models_are_fitted_on_all_rows(spark, tmp_path, monkeypatch):
+    """The classifiers were fitted on at most 5,000 rows, in every fold and for the stored model."""
+    fits = []
+    fit = training.RandomForestClassifier.fit
+    monkeypatch.setattr(training.RandomForestClassifier, "fit", lambda self, df: fits.append(df.count()) or fit(self, df))
+    size = replace(REGISTERED, trees=1, tree_depth=1, folds=2)
+    rows = spark.range(12000).selectExpr("cast(id as string) key", "cast(id % 13 as double) total_revenue", "cast(id % 13 > 6 as int) label")
+    for model, key in (("conversion", "session_id"), ("churn", "user_id")):
+        trained = run_model(model, rows.withColumnRenamed("key", key), str(tmp_path), size)
+        sizes = {r.metric: r.value for r in trained.metrics.collect()}
+        assert sizes["fit_size"] == sizes["train_size"] == 9600 and sizes["test_size"] == 2400
+        assert fits[0] == 9600 and sum(fits[1:]) == 12000
+        fits.clear()
