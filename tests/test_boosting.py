@@ -192,3 +192,44 @@ def test_few_rows_pass_over_cached_blocks_and_give_the_same(spark, sample, monke
 def test_tasks_import_numpy_only():
     code = "import sys, clickloom.models.blocks; sys.exit('pandas' in sys.modules or 'pyspark' in sys.modules)"
     assert subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], check=False).returncode == 0
+
+
+def cuts_of(values):
+    """Spark's rule for candidate thresholds, over all values."""
+    seen, counts = np.unique(values, return_counts=True)
+    between = ((seen[:-1] + seen[1:]) / 2).tolist()
+    if len(between) < 32:
+        return between
+    kept, target, total = [], len(values) / 32, counts[0]
+    for i in range(1, len(seen)):
+        before, total = total, total + counts[i]
+        if abs(before - target) < abs(total - target):
+            kept.append(between[i - 1])
+            target += len(values) / 32
+    return kept
+
+
+@pytest.mark.parametrize("per_slice", [1_000_000, 700])
+def test_bins_come_from_all_rows(spark, monkeypatch, per_slice):
+    """They came from a sample of 10,000 rows; now whatever the slices, from every row of a fit."""
+    monkeypatch.setattr(boosting, "VALUES_PER_SLICE", per_slice, raising=False)
+    draw = np.random.default_rng(5)
+    n = 12_000 if per_slice > 1000 else 3_000
+    flat, few = draw.normal(size=n), draw.integers(0, 5, n) * 1.0
+    heavy = np.where(draw.random(n) < 0.6, 0.0, np.round(draw.exponential(3, n), 2))  # thresholds catch up behind a common value
+    ends = np.where(draw.random(n) < 0.7, 9.0, np.round(draw.random(n) * 9, 1))
+    matrix = np.stack([flat, few, heavy, ends, np.full(n, 2.0)], axis=1)
+    rows = [(i, float(3 * x[0] + x[1] + x[2] * x[3]), Vectors.dense(x)) for i, x in enumerate(matrix)]
+    rows = stage(spark.createDataFrame(rows, ["id", "label", "features"]).repartition(4), "bins-test")
+    masks = [np.ones(n, dtype=bool), np.arange(n) % 3 > 0, np.arange(n) < 40, np.zeros(n, dtype=bool)]
+    fitted = [F.lit(True), F.col("id") % 3 > 0, F.col("id") < 40, F.lit(False)]
+    found = []
+    thresholds = boosting._thresholds
+    monkeypatch.setattr(boosting, "_thresholds", lambda *a: found.append(thresholds(*a)) or found[0])
+    _, models = boosting.boost(rows, fitted, 1, 4, 0.1, 1)
+    for i, mask in enumerate(masks):
+        for f in range(5):
+            assert found[0].get((i, f), []) == cuts_of(matrix[mask, f])
+    tree = models[0].trees[0]
+    inner = [(int(f), float(t)) for f, t in zip(tree.feature, tree.threshold) if f >= 0]
+    assert len(inner) > 8 and all(t in cuts_of(matrix[:, f]) for f, t in inner)
